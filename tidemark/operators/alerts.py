@@ -36,12 +36,16 @@ def window_aggregate(events: DataFrame, window: str = WINDOW, slide: str = SLIDE
     evid = F.col("evid")
     is_coupon = evid == COUPON
     counts = [F.count_if(evid == e).alias(f"n_{e}") for e in EVENT_IDS]
-    return events.groupBy("mid", F.window("event_time", window, slide).alias("w")).agg(
+    # Grouped by the window struct itself so a stream's watermark can evict it.
+    agg = events.groupBy("mid", F.window("event_time", window, slide).alias("w")).agg(
         F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
         F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("itemids"),
         F.count(F.lit(1)).alias("event_count"),
         F.bool_or(evid == CLICK).alias("has_click"),
         *counts)
+    rest = [c for c in agg.columns if c not in ("mid", "w")]
+    return agg.select("mid", F.col("w.start").alias("window_start_ts"),
+                      F.col("w.end").alias("window_end_ts"), *rest)
 
 
 def _fmt(ts):
@@ -58,7 +62,8 @@ def alerts(agg: DataFrame, min_uids: int = MIN_UIDS) -> DataFrame:
         F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(e + ":"), F.col(f"n_{e}").cast("string")))
         for e in EVENT_IDS]), lambda x: x.isNotNull()))
     return agg.where(~F.col("has_click") & (F.size("uids") >= min_uids)).select(
-        "mid", _fmt(F.col("w.start")).alias("window_start"), _fmt(F.col("w.end")).alias("window_end"),
+        "mid", _fmt(F.col("window_start_ts")).alias("window_start"),
+        _fmt(F.col("window_end_ts")).alias("window_end"),
         F.array_join(F.array_sort("uids"), ",").alias("uids"),
         F.array_join(F.array_sort("itemids"), ",").alias("itemids"),
         ev.alias("events"), "event_count")

@@ -54,9 +54,11 @@ def sale_detail(orders: DataFrame, details: DataFrame,
     d = details.alias("d")
     cond = F.col("o.id") == F.col("d.order_id")
     if within_seconds is not None:
-        lo = F.timestamp_add("SECOND", F.lit(-within_seconds), F.col("o.arrival"))
-        hi = F.timestamp_add("SECOND", F.lit(within_seconds), F.col("o.arrival"))
-        cond = cond & F.col("d.arrival").between(lo, hi)
+        # ``ts +/- INTERVAL`` form: on streams the join reads its state
+        # eviction bounds from it.
+        gap = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
+        cond = cond & (F.col("d.arrival") >= F.col("o.arrival") - gap) & (
+            F.col("d.arrival") <= F.col("o.arrival") + gap)
     return o.join(d, cond, "inner").select(
         F.col("d.id").alias("order_detail_id"), F.col("o.id").alias("order_id"),
         F.col("o.order_status").alias("order_status"), F.col("o.create_time").alias("create_time"),

@@ -1,4 +1,376 @@
-"""Streaming jobs (filled in below); registry used by __spark_entry__."""
+"""Structured Streaming jobs built from the batch operators.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE: dict = {}
+Every job reads topic-shaped records (Kafka, or files of the same shape),
+applies the same transforms as the batch queries, and writes either a keyed
+table through ``foreachBatch`` (replay-safe upserts) or an append-only file
+sink. Checkpoints live in the shared folder named by ``spark.checkpoint.dir``,
+so a restarted driver or lost executors resume from the last committed batch.
+
+The registered ``stream_*`` queries derive their input from the driver
+tables, stage it as time-ordered files in the shared folder, run the job
+with ``availableNow`` and return the sink read back as a DataFrame; their
+oracle is the batch query's SQL (stream result = batch result).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from tidemark.functions.timefmt import ntz_to_instant
+from tidemark.operators import alerts as AL
+from tidemark.operators import dedup as DD
+from tidemark.operators import feeds as FE
+from tidemark.operators import sales as SA
+from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.orders import clean_orders, to_order_sink
+from tidemark.operators.parse import accepted, parse_json
+from tidemark.plans import params as P
+from tidemark.schemas import (CDC_CHANGE, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, ORDER_SINK_COLUMNS,
+                              SALE_DETAIL_COLUMNS, STARTUP_LOG, TOPIC_RECORD, USER_INFO)
+from tidemark.session import run_dir
+from tidemark.sources import adapters as AD
+from tidemark.sources.tables import tables
+
+TRIGGER = "5 seconds"          # the reference's micro-batch interval
+FILES_PER_TRIGGER = 4
+WAIT_SECONDS = 900
+DAY_MS = 86_400_000
+
+
+# ------------------------------------------------------------------ plumbing
+
+def _run(writer, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    w = writer.option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER)
+    return w.start()
+
+
+def _finish(q: StreamingQuery) -> None:
+    if not q.awaitTermination(WAIT_SECONDS):
+        q.stop()
+        raise TimeoutError(f"stream {q.name or q.id} did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def file_stream(spark: SparkSession, path: str, schema: T.StructType,
+                files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+            .parquet(path))
+
+
+def stage_slices(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM_SLICES,
+                 bounds: tuple[int, int] | None = None) -> int:
+    """Write ``df`` as ``slices`` successive appends ordered by ``time_col`` (an
+    instant), so a file source replays it in time order. Returns the span of
+    one slice in seconds (a lateness bound for the watermark).
+
+    Only the two bounds reach the driver; each slice is a filtered write.
+    """
+    us = F.unix_micros(F.col(time_col))
+    if bounds is None:
+        row = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+        bounds = (int(row["lo"]), int(row["hi"]))
+    lo, hi = bounds
+    step = (hi - lo) // slices + 1
+    for i in range(slices):
+        a, b = lo + i * step, lo + (i + 1) * step
+        df.where((us >= a) & (us < b)).write.mode("append").parquet(path)
+    return step // 1_000_000 + 1
+
+
+def _time_bounds(*frames_cols) -> tuple[int, int]:
+    parts = [df.select(F.unix_micros(F.col(c)).alias("u")) for df, c in frames_cols]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    row = u.agg(F.min("u").alias("lo"), F.max("u").alias("hi")).first()
+    return int(row["lo"]), int(row["hi"])
+
+
+def _topic(df: DataFrame, topic: str, schema: T.StructType, ts: str, offset=None) -> DataFrame:
+    """Records of ``df`` as topic records: value = JSON of ``schema`` fields."""
+    return df.select(F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
+                     (offset if offset is not None else F.lit(0).cast("long")).alias("offset"),
+                     F.lit(None).cast("string").alias("key"),
+                     F.to_json(F.struct(*[f.name for f in schema.fields])).alias("value"),
+                     F.col(ts).alias("timestamp"))
+
+
+# ---------------------------------------------------------------------- jobs
+
+STARTUP_ROW = T.StructType(list(STARTUP_LOG.fields) + [
+    T.StructField("logdate", T.StringType()), T.StructField("loghour", T.StringType())])
+
+
+def dau_job(records: DataFrame, table: KeyedTable, checkpoint: str, delay: str = "1 day",
+            available_now: bool = True) -> StreamingQuery:
+    """First log per (logdate, mid) kept in state keyed by the UTC day (the
+    watermark column is a key, so finished days leave the state); updates go
+    to the keyed table, where the latest batch's row is the earliest log."""
+    logs = DD.with_log_date_hour(accepted(parse_json(records, STARTUP_LOG)))
+    logs = logs.withColumn("day_ts", F.timestamp_millis(F.col("ts") - F.pmod(F.col("ts"), F.lit(DAY_MS))))
+    logs = logs.withWatermark("day_ts", delay)
+    cols = [f.name for f in STARTUP_ROW.fields]
+    rest = [c for c in cols if c not in ("logdate", "mid", "ts")]
+    first = logs.groupBy("day_ts", "logdate", "mid").agg(
+        F.min(F.struct("ts", *rest)).alias("_m")).select(
+        "logdate", "mid", "_m.ts", *[f"_m.{c}" for c in rest]).select(*cols)
+    return _run(first.writeStream.outputMode("update").foreachBatch(table.foreach_batch()),
+                checkpoint, available_now)
+
+
+def alert_job(records: DataFrame, table: KeyedTable, checkpoint: str, window: str, slide: str,
+              delay: str, available_now: bool = True) -> StreamingQuery:
+    """Sliding-window alert ingredients per (mid, window), updated per batch
+    into a keyed table; the alert predicate is applied when reading."""
+    ev = AL.with_event_time(accepted(parse_json(records, EVENT_LOG))).withWatermark("event_time", delay)
+    agg = AL.window_aggregate(ev, window, slide)
+    return _run(agg.writeStream.outputMode("update").foreachBatch(table.foreach_batch()),
+                checkpoint, available_now)
+
+
+def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
+               available_now: bool = True) -> StreamingQuery:
+    """Parse, clean and upsert orders (stateless)."""
+    clean = to_order_sink(clean_orders(accepted(parse_json(records, ORDER_INFO))))
+    return _run(clean.writeStream.outputMode("append").foreachBatch(table.foreach_batch()),
+                checkpoint, available_now)
+
+
+def sale_join_frame(order_records: DataFrame, detail_records: DataFrame, delay: str,
+                    within_seconds: int = P.JOIN_SECONDS) -> DataFrame:
+    """Interval join of the order and detail streams on arrival time."""
+    o = clean_orders(accepted(parse_json(order_records, ORDER_INFO, keep=("timestamp",))))
+    o = o.withColumnRenamed("timestamp", "arrival").withWatermark("arrival", delay)
+    d = accepted(parse_json(detail_records, ORDER_DETAIL, keep=("timestamp",)))
+    d = d.withColumnRenamed("timestamp", "arrival").withWatermark("arrival", delay)
+    return SA.sale_detail(o, d, within_seconds)
+
+
+def sale_join_job(order_records, detail_records, out: str, checkpoint: str, delay: str,
+                  available_now: bool = True) -> StreamingQuery:
+    pairs = sale_join_frame(order_records, detail_records, delay)
+    return _run(pairs.writeStream.outputMode("append").format("parquet").option("path", out),
+                checkpoint, available_now)
+
+
+USER_ROW = T.StructType(list(USER_INFO.fields) + [
+    T.StructField("change_ts", T.TimestampType()), T.StructField("seq", T.LongType())])
+
+
+def users_job(records: DataFrame, table: KeyedTable, checkpoint: str,
+              available_now: bool = True) -> StreamingQuery:
+    """User images (INSERT and UPDATE) into a keyed table, last write wins."""
+    u = accepted(parse_json(records, USER_INFO, keep=("timestamp", "offset"))).select(
+        *[f.name for f in USER_INFO.fields], F.col("timestamp").alias("change_ts"),
+        F.col("offset").alias("seq"))
+    return _run(u.writeStream.outputMode("append").foreachBatch(table.foreach_batch()),
+                checkpoint, available_now)
+
+
+def sale_users_job(order_records, detail_records, users: KeyedTable, out: str, checkpoint: str,
+                   delay: str, as_of: str = P.AS_OF, available_now: bool = True) -> StreamingQuery:
+    """Joined sales merged with the latest user images read per batch; each
+    batch overwrites its own folder (replay-safe)."""
+    pairs = sale_join_frame(order_records, detail_records, delay)
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        SA.with_users(batch, users.read(), as_of).write.mode("overwrite").parquet(
+            f"{out}/batch_id={int(batch_id)}")
+    return _run(pairs.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
+                available_now)
+
+
+def cdc_route_job(changes: DataFrame, out: str, checkpoint: str,
+                  available_now: bool = True) -> StreamingQuery:
+    routed = FE.cdc_route(changes)
+    return _run(routed.writeStream.outputMode("append").format("parquet").option("path", out)
+                .partitionBy("topic"), checkpoint, available_now)
+
+
+def log_route_job(raw: DataFrame, topic_out: str, daily_out: str, checkpoint: str,
+                  available_now: bool = True) -> StreamingQuery:
+    """Intake routing: topic files plus one text file set per day, both per batch."""
+    routed = FE.log_route(raw)
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            b.write.mode("overwrite").partitionBy("topic").parquet(f"{topic_out}/batch_id={batch_id}")
+            b.select("value", "dt").write.mode("overwrite").partitionBy("dt").text(
+                f"{daily_out}/batch_id={batch_id}")
+        finally:
+            b.unpersist()
+    return _run(routed.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
+                available_now)
+
+
+def strip_job(records: DataFrame, out: str, checkpoint: str,
+              available_now: bool = True) -> StreamingQuery:
+    return _run(FE.strip_topic(records).writeStream.outputMode("append").format("parquet")
+                .option("path", out), checkpoint, available_now)
+
+
+# ------------------------------------------------- registered stream queries
+
+def _delay(span_s: int) -> str:
+    return f"{int(span_s)} seconds"
+
+
+def q_stream_dau(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-dau")
+    logs = AD.startup_logs(t).withColumn("event_time", F.timestamp_millis("ts"))
+    recs = _topic(logs, AD.TOPIC_STARTUP, STARTUP_LOG, "event_time", F.col("ts"))
+    span = stage_slices(recs, f"{base}/in", "timestamp")
+    kt = KeyedTable(spark, f"{base}/table", STARTUP_ROW, ["logdate", "mid"], part="logdate")
+    q = dau_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
+                delay=_delay(span + 86400))
+    _finish(q)
+    return DD.to_dau_sink(kt.read())
+
+
+def q_stream_alert(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-alert")
+    ev = AD.event_logs(t).withColumn("event_time", F.timestamp_millis("ts"))
+    recs = _topic(ev, AD.TOPIC_EVENT, EVENT_LOG, "event_time", F.col("ts"))
+    span = stage_slices(recs, f"{base}/in", "timestamp")
+    probe = AL.window_aggregate(AL.with_event_time(accepted(parse_json(
+        spark.createDataFrame([], TOPIC_RECORD), EVENT_LOG))), P.ALERT_WINDOW, P.ALERT_SLIDE)
+    kt = KeyedTable(spark, f"{base}/table", probe.schema, ["mid", "window_start_ts"])
+    q = alert_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
+                  P.ALERT_WINDOW, P.ALERT_SLIDE, _delay(span + P.ALERT_WINDOW_S))
+    _finish(q)
+    return AL.alerts(kt.read(), P.ALERT_MIN_UIDS)
+
+
+def _order_records(t):
+    o = AD.order_infos(t).withColumn("at", ntz_to_instant("arrival"))
+    return _topic(o, AD.TOPIC_ORDER_INFO, ORDER_INFO, "at")
+
+
+def _detail_records(t):
+    d = AD.order_details(t).withColumn("at", ntz_to_instant("arrival"))
+    return _topic(d, AD.TOPIC_ORDER_DETAIL, ORDER_DETAIL, "at")
+
+
+ORDER_SINK_ROW = T.StructType([T.StructField(c, T.DoubleType() if c == "TOTAL_AMOUNT"
+                                             else T.StringType()) for c in ORDER_SINK_COLUMNS])
+
+
+def q_stream_orders(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-orders")
+    stage_slices(_order_records(t), f"{base}/in", "timestamp")
+    kt = KeyedTable(spark, f"{base}/table", ORDER_SINK_ROW, ["ID"], part="CREATE_DATE")
+    _finish(orders_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt"))
+    return kt.read()
+
+
+def _stage_sales(spark, t, base):
+    orec, drec = _order_records(t), _detail_records(t)
+    bounds = _time_bounds((orec, "timestamp"), (drec, "timestamp"))
+    span = stage_slices(orec, f"{base}/orders", "timestamp", bounds=bounds)
+    stage_slices(drec, f"{base}/details", "timestamp", bounds=bounds)
+    return span
+
+
+def q_stream_sale_join(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-sales")
+    span = _stage_sales(spark, t, base)
+    q = sale_join_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
+                      file_stream(spark, f"{base}/details", TOPIC_RECORD),
+                      f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS))
+    _finish(q)
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_stream_sale_users(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-sale-users")
+    ch = AD.user_changes(t).withColumn("at", ntz_to_instant("change_ts"))
+    urec = _topic(ch, AD.TOPIC_USER_INFO, USER_INFO, "at", F.col("seq"))
+    stage_slices(urec, f"{base}/users_in", "timestamp")
+    users = KeyedTable(spark, f"{base}/users", USER_ROW, ["id"], ["change_ts", "seq"])
+    _finish(users_job(file_stream(spark, f"{base}/users_in", TOPIC_RECORD), users,
+                      f"{base}/ckpt_users"))
+    span = _stage_sales(spark, t, base)
+    q = sale_users_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
+                       file_stream(spark, f"{base}/details", TOPIC_RECORD), users,
+                       f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS))
+    _finish(q)
+    schema = SA.with_users(spark.createDataFrame([], SA_PAIR_SCHEMA),
+                           spark.createDataFrame([], USER_ROW), P.AS_OF).schema
+    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(full).parquet(f"{base}/out").select(*SALE_DETAIL_COLUMNS)
+
+
+SA_PAIR_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
+    ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
+    ("order_status", T.StringType()), ("create_time", T.StringType()),
+    ("user_id", T.StringType()), ("sku_id", T.StringType()), ("sku_price", T.DoubleType()),
+    ("sku_name", T.StringType()), ("dt", T.StringType())]])
+
+
+def q_stream_cdc_route(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-cdc")
+    ch = AD.cdc_changes(t).withColumn("at", ntz_to_instant("change_ts"))
+    stage_slices(ch, f"{base}/in", "at")
+    schema = T.StructType(list(CDC_CHANGE.fields) + [T.StructField("at", T.TimestampType())])
+    _finish(cdc_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/out", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/out").select("topic", "value")
+
+
+def q_stream_log_route(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-logs")
+    raw = AD.raw_logs(t).withColumn("at", F.timestamp_millis("arrival_ms"))
+    stage_slices(raw, f"{base}/in", "at")
+    schema = T.StructType([T.StructField("value", T.StringType()),
+                           T.StructField("arrival_ms", T.LongType()),
+                           T.StructField("at", T.TimestampType())])
+    _finish(log_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/topics",
+                          f"{base}/daily", f"{base}/ckpt"))
+    full = T.StructType([T.StructField("value", T.StringType()), T.StructField("dt", T.StringType()),
+                         T.StructField("batch_id", T.LongType()), T.StructField("topic", T.StringType())])
+    return spark.read.schema(full).parquet(f"{base}/topics").select("topic", "value", "dt")
+
+
+def q_stream_topic_strip(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-strip")
+    stage_slices(AD.topic_records(t), f"{base}/in", "timestamp")
+    _finish(strip_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt"))
+    return spark.read.parquet(f"{base}/out")
+
+
+STREAM_QUERIES = {
+    "stream_dau": q_stream_dau,
+    "stream_alert": q_stream_alert,
+    "stream_orders": q_stream_orders,
+    "stream_sale_join": q_stream_sale_join,
+    "stream_sale_users": q_stream_sale_users,
+    "stream_cdc_route": q_stream_cdc_route,
+    "stream_log_route": q_stream_log_route,
+    "stream_topic_strip": q_stream_topic_strip,
+}
+
+# Stream result = batch result: each stream query is checked with the SQL of
+# the batch query it must reproduce.
+STREAM_ORACLE = {
+    "stream_dau": "dau_first_log",
+    "stream_alert": "coupon_alert",
+    "stream_orders": "order_info_clean",
+    "stream_sale_join": "sale_detail_interval",
+    "stream_sale_users": "sale_detail_users",
+    "stream_cdc_route": "cdc_route",
+    "stream_log_route": "log_route",
+    "stream_topic_strip": "topic_strip",
+}
