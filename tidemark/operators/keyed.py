@@ -2,15 +2,28 @@
 
 Layout under ``path``::
 
-    log/batch_id=<n>/[<part>=<v>/]*.parquet   one folder per write batch
+    log/batch_id=<n>/*.parquet            one folder per write batch, rows
+                                          sorted by (part, key) inside files
+    base/upto=<n>/[<part>=<v>/]*.parquet  compacted image through batch n
 
 ``upsert(df, batch_id)`` reduces the batch to its last row per key and
 overwrites exactly its own ``batch_id`` folder, so a replayed micro-batch
-rewrites the same files (idempotent). ``read()`` keeps, per key, the row of
-the highest batch id (then the highest ``order`` columns); it is an
-aggregate (``max`` of a struct), so the partial aggregate runs before the
-shuffle, and a partition filter on ``part`` prunes folders first. A key must
-not move between ``part`` values.
+rewrites the same files (idempotent). Files are sorted by the partition
+column, so a date filter skips row groups through parquet statistics
+without splitting a 5-second batch into per-date folders.
+
+``read()`` unions the newest complete base with the log batches written
+after it and keeps, per key, the row of the highest batch id (then the
+highest ``order`` columns). It is an aggregate (``max`` of a struct led by
+the batch id), so the partial aggregate runs before the shuffle; a filter
+passed as ``where`` is applied to both inputs before it (folder pruning on
+the base, row-group pruning on the log). A key must not move between
+``part`` values.
+
+``compact()`` writes the current image as a new base version partitioned by
+``part``; readers switch to it once its ``_SUCCESS`` marker exists, so a
+failed compaction is invisible. Superseded log folders are left for a
+retention job.
 """
 
 from __future__ import annotations
@@ -20,6 +33,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (metadata only)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  key: list[str], order: list[str] | None = None, part: str | None = None):
@@ -30,36 +62,80 @@ class KeyedTable:
         self.order = list(order or [])
         self.part = part
 
-    def _last_per_key(self, df: DataFrame) -> DataFrame:
-        cols = [f.name for f in self.schema.fields]
-        if not self.order:
-            return df.select(*cols).dropDuplicates(self.key)
+    @property
+    def columns(self) -> list[str]:
+        return [f.name for f in self.schema.fields]
+
+    def _latest(self, df: DataFrame, lead: list[str]) -> DataFrame:
+        cols = self.columns
         rest = [c for c in cols if c not in self.key and c not in self.order]
-        m = F.max(F.struct(*[F.col(c) for c in self.order + rest]))
+        packed = lead + self.order + rest
+        if not packed:
+            return df.select(*cols).dropDuplicates(self.key)
+        m = F.max(F.struct(*[F.col(c) for c in packed]))
         return df.groupBy(*self.key).agg(m.alias("_m")).select(
             *self.key, *[F.col(f"_m.{c}").alias(c) for c in self.order + rest]).select(*cols)
 
+    # ------------------------------------------------------------- writing
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        out = self._last_per_key(df)
-        w = out.write.mode("overwrite")
-        if self.part:
-            w = w.partitionBy(self.part)
-        w.parquet(f"{self.path}/log/batch_id={int(batch_id)}")
-
-    def read(self, where=None) -> DataFrame:
-        full = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
-        log = (self.spark.read.schema(full).option("basePath", f"{self.path}/log")
-               .parquet(f"{self.path}/log"))
-        if where is not None:
-            log = log.where(where)
-        cols = [f.name for f in self.schema.fields]
-        rest = [c for c in cols if c not in self.key and c not in self.order]
-        m = F.max(F.struct(*[F.col(c) for c in ["batch_id"] + self.order + rest]))
-        return log.groupBy(*self.key).agg(m.alias("_m")).select(
-            *self.key, *[F.col(f"_m.{c}").alias(c) for c in self.order + rest]).select(*cols)
+        out = self._latest(df, [])
+        sort = ([self.part] if self.part else []) + self.key
+        out.sortWithinPartitions(*sort).write.mode("overwrite").parquet(
+            f"{self.path}/log/batch_id={int(batch_id)}")
 
     def foreach_batch(self):
         """A ``foreachBatch`` function writing each micro-batch as an upsert."""
         def _write(batch_df: DataFrame, batch_id: int) -> None:
             self.upsert(batch_df, batch_id)
         return _write
+
+    # ------------------------------------------------------------- reading
+    def _base_upto(self) -> int | None:
+        done = []
+        for name in list_children(self.spark, f"{self.path}/base"):
+            if name.startswith("upto=") and exists(self.spark, f"{self.path}/base/{name}/_SUCCESS"):
+                done.append(int(name.split("=", 1)[1]))
+        return max(done) if done else None
+
+    def _log(self) -> DataFrame | None:
+        if not list_children(self.spark, f"{self.path}/log"):
+            return None
+        full = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
+        return (self.spark.read.schema(full).option("basePath", f"{self.path}/log")
+                .parquet(f"{self.path}/log"))
+
+    def read(self, where=None) -> DataFrame:
+        upto = self._base_upto()
+        parts = []
+        log = self._log()
+        if log is not None:
+            if upto is not None:
+                log = log.where(F.col("batch_id") > upto)
+            parts.append(log)
+        if upto is not None:
+            base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}")
+            parts.append(base.select(*self.columns, F.lit(upto).cast("long").alias("batch_id")))
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        df = parts[0]
+        for p in parts[1:]:
+            df = df.unionByName(p)
+        if where is not None:
+            df = df.where(where)
+        return self._latest(df, ["batch_id"])
+
+    def compact(self) -> int | None:
+        """Write the current image as base version ``upto=<last batch id>``."""
+        batches = [int(n.split("=", 1)[1]) for n in list_children(self.spark, f"{self.path}/log")
+                   if n.startswith("batch_id=")]
+        if not batches:
+            return self._base_upto()
+        upto = max(batches)
+        if upto == self._base_upto():
+            return upto
+        image = self.read()
+        w = image.write.mode("overwrite")
+        if self.part:
+            w = w.partitionBy(self.part)
+        w.parquet(f"{self.path}/base/upto={upto}")
+        return upto

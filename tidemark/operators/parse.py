@@ -13,11 +13,16 @@ def parse_json(records: DataFrame, schema: T.StructType, value_col: str = "value
                keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse ``value`` into ``schema`` fields; unparsable lines keep the raw text
     in ``_corrupt`` (all parsed fields null). JSON numbers read into string
-    fields as their text. Columns in ``keep`` are carried through."""
+    fields as their text. Columns in ``keep`` are carried through.
+
+    The parsed struct is expanded by a generator (``inline`` of a one-element
+    array): a later filter on ``_corrupt`` then stays above it instead of
+    being pushed below the projection, which would parse every line twice.
+    """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value_col), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return records.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
+    return records.select(*keep, F.inline(F.array(parsed)))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -261,16 +261,20 @@ USER_KEYED_SCHEMA = T.StructType(list(USER_INFO.fields) + [
 
 
 def q_keyed_upsert(spark, root):
-    """User changes written to a keyed table as two batches (inserts, then
-    updates, then the insert batch replayed); the reader returns the latest
-    image per id."""
+    """User changes written to a keyed table: inserts (batch 0), updates
+    (batch 1), a compaction, a replay of batch 0 and the updates re-sent as
+    batch 2; the reader returns the latest image per id."""
     c = _ctx(spark, root)
     changes = AD.user_changes(c.t)
     kt = KeyedTable(spark, run_dir(spark, "keyed-users"), USER_KEYED_SCHEMA, ["id"],
                     ["change_ts", "seq"])
-    kt.upsert(changes.where(F.col("event_type") == "INSERT"), 0)
-    kt.upsert(changes.where(F.col("event_type") == "UPDATE"), 1)
-    kt.upsert(changes.where(F.col("event_type") == "INSERT"), 0)   # replay of batch 0
+    inserts = changes.where(F.col("event_type") == "INSERT")
+    updates = changes.where(F.col("event_type") == "UPDATE")
+    kt.upsert(inserts, 0)
+    kt.upsert(updates, 1)
+    kt.compact()
+    kt.upsert(inserts, 0)    # replay of a batch already in the base: ignored
+    kt.upsert(updates, 2)    # re-sent updates: same images
     return kt.read().select("id", "login_name", "user_level", "birthday", "gender")
 
 

@@ -1,4 +1,12 @@
-"""Parquet table access. Catalyst prunes columns and pushes filters into the scan."""
+"""Parquet table access. Catalyst prunes columns and pushes filters into the scan.
+
+Small, under-split inputs are spread: a table file that is read as fewer
+splits than the session's parallelism, and is small (<= ``SPREAD_MAX_BYTES``),
+is round-robin repartitioned so CPU-heavy steps above the scan (JSON, text)
+use every core. Large tables are never touched (their files already give
+enough splits, and a shuffle of them would cost more than it saves); filters
+and column pruning still reach the scan below the repartition.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +15,54 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MAX_BYTES = 256 << 20
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
 
 class Tables:
     """Lazy handle on the parquet tables of one data folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    _plan_cache: dict = {}
+
+    def __init__(self, spark: SparkSession, root: str, spread: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.spread = spread
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
+    def _spread_to(self, name: str, df: DataFrame) -> int:
+        key = (id(self.spark), self.path(name))
+        if key not in Tables._plan_cache:
+            par = self.spark.sparkContext.defaultParallelism
+            size = path_bytes(self.spark, self.path(name))
+            n = 0
+            if SPREAD_MIN_BYTES <= size <= SPREAD_MAX_BYTES:
+                splits = df.rdd.getNumPartitions()
+                if splits < par:
+                    n = par
+            Tables._plan_cache[key] = n
+        return Tables._plan_cache[key]
+
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
-        raise AttributeError(name)
+        if name not in TABLES:
+            raise AttributeError(name)
+        df = self.spark.read.parquet(self.path(name))
+        if self.spread:
+            n = self._spread_to(name, df)
+            if n:
+                df = df.repartition(n)
+        return df
 
 
-def tables(spark: SparkSession, root: str) -> Tables:
-    return Tables(spark, root)
+def tables(spark: SparkSession, root: str, spread: bool = True) -> Tables:
+    return Tables(spark, root, spread)

@@ -48,12 +48,19 @@ def _run(writer, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     return w.start()
 
 
-def _finish(q: StreamingQuery) -> None:
+# Longest micro-batch (seconds) of each finished stream run, for the bench.
+BATCH_SECONDS: dict[str, float] = {}
+
+
+def _finish(q: StreamingQuery, name: str = "") -> None:
     if not q.awaitTermination(WAIT_SECONDS):
         q.stop()
         raise TimeoutError(f"stream {q.name or q.id} did not finish")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    durs = [p.get("durationMs", {}).get("triggerExecution", 0) for p in q.recentProgress]
+    if name and durs:
+        BATCH_SECONDS[name] = max(BATCH_SECONDS.get(name, 0.0), max(durs) / 1000.0)
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -230,7 +237,7 @@ def q_stream_dau(spark, root):
     kt = KeyedTable(spark, f"{base}/table", STARTUP_ROW, ["logdate", "mid"], part="logdate")
     q = dau_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
                 delay=_delay(span + 86400))
-    _finish(q)
+    _finish(q, "stream_dau")
     return DD.to_dau_sink(kt.read())
 
 
@@ -245,7 +252,7 @@ def q_stream_alert(spark, root):
     kt = KeyedTable(spark, f"{base}/table", probe.schema, ["mid", "window_start_ts"])
     q = alert_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
                   P.ALERT_WINDOW, P.ALERT_SLIDE, _delay(span + P.ALERT_WINDOW_S))
-    _finish(q)
+    _finish(q, "stream_alert")
     return AL.alerts(kt.read(), P.ALERT_MIN_UIDS)
 
 
@@ -268,7 +275,8 @@ def q_stream_orders(spark, root):
     base = run_dir(spark, "stream-orders")
     stage_slices(_order_records(t), f"{base}/in", "timestamp")
     kt = KeyedTable(spark, f"{base}/table", ORDER_SINK_ROW, ["ID"], part="CREATE_DATE")
-    _finish(orders_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt"))
+    _finish(orders_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt"),
+            "stream_orders")
     return kt.read()
 
 
@@ -287,7 +295,7 @@ def q_stream_sale_join(spark, root):
     q = sale_join_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
                       file_stream(spark, f"{base}/details", TOPIC_RECORD),
                       f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS))
-    _finish(q)
+    _finish(q, "stream_sale_join")
     return spark.read.parquet(f"{base}/out")
 
 
@@ -299,12 +307,12 @@ def q_stream_sale_users(spark, root):
     stage_slices(urec, f"{base}/users_in", "timestamp")
     users = KeyedTable(spark, f"{base}/users", USER_ROW, ["id"], ["change_ts", "seq"])
     _finish(users_job(file_stream(spark, f"{base}/users_in", TOPIC_RECORD), users,
-                      f"{base}/ckpt_users"))
+                      f"{base}/ckpt_users"), "stream_sale_users")
     span = _stage_sales(spark, t, base)
     q = sale_users_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
                        file_stream(spark, f"{base}/details", TOPIC_RECORD), users,
                        f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS))
-    _finish(q)
+    _finish(q, "stream_sale_users")
     schema = SA.with_users(spark.createDataFrame([], SA_PAIR_SCHEMA),
                            spark.createDataFrame([], USER_ROW), P.AS_OF).schema
     full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
@@ -324,7 +332,8 @@ def q_stream_cdc_route(spark, root):
     ch = AD.cdc_changes(t).withColumn("at", ntz_to_instant("change_ts"))
     stage_slices(ch, f"{base}/in", "at")
     schema = T.StructType(list(CDC_CHANGE.fields) + [T.StructField("at", T.TimestampType())])
-    _finish(cdc_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/out", f"{base}/ckpt"))
+    _finish(cdc_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/out", f"{base}/ckpt"),
+            "stream_cdc_route")
     return spark.read.parquet(f"{base}/out").select("topic", "value")
 
 
@@ -337,7 +346,7 @@ def q_stream_log_route(spark, root):
                            T.StructField("arrival_ms", T.LongType()),
                            T.StructField("at", T.TimestampType())])
     _finish(log_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/topics",
-                          f"{base}/daily", f"{base}/ckpt"))
+                          f"{base}/daily", f"{base}/ckpt"), "stream_log_route")
     full = T.StructType([T.StructField("value", T.StringType()), T.StructField("dt", T.StringType()),
                          T.StructField("batch_id", T.LongType()), T.StructField("topic", T.StringType())])
     return spark.read.schema(full).parquet(f"{base}/topics").select("topic", "value", "dt")
@@ -347,7 +356,8 @@ def q_stream_topic_strip(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-strip")
     stage_slices(AD.topic_records(t), f"{base}/in", "timestamp")
-    _finish(strip_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt"))
+    _finish(strip_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt"),
+            "stream_topic_strip")
     return spark.read.parquet(f"{base}/out")
 
 
