@@ -2,8 +2,7 @@
 
 One filtered frame (date filter + all-terms keyword match) feeds the page,
 the total and the aggregations. Corpus statistics for scoring cover the whole
-index and enter the plan as scalar subqueries (one global partial aggregate,
-no join). Paging is ``orderBy + offset + limit``, planned as a per-partition
+index: one global partial aggregate whose single row is bound as literals. Paging is ``orderBy + offset + limit``, planned as a per-partition
 top-k followed by a merge.
 """
 
@@ -53,42 +52,53 @@ def total(hits: DataFrame) -> DataFrame:
     return hits.agg(F.count(F.lit(1)).alias("total"))
 
 
-def bm25(index: DataFrame, hits: DataFrame, keyword: str | None, field: str = "sku_name",
+def bm25(corpus: DataFrame, hits: DataFrame, keyword: str | None, field: str = "sku_name",
          k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """Add ``score``: BM25 of the query terms with whole-index statistics."""
-    terms = query_terms(keyword) if keyword else []
+    """Add ``score``: BM25 of the query terms, with document count, average
+    length and document frequencies taken over the whole ``corpus``.
+
+    The statistics are one global (partially aggregated) pass over the
+    corpus; its single row (2 + number of query terms values) is fetched once
+    and bound into the scoring expression as literals. Separate scalar
+    subqueries would each re-run the corpus plan.
+    """
+    terms = list(dict.fromkeys(query_terms(keyword))) if keyword else []
     if not terms:
         return hits.withColumn("score", F.lit(0.0))
-    n_tok = F.size(tokens(field))
-    stats_aggs = [F.count(F.lit(1)).cast("double").alias("n_docs"),
-                  F.avg(n_tok.cast("double")).alias("avgdl")]
-    for i, t in enumerate(terms):
-        stats_aggs.append(F.count_if(F.array_contains(tokens(field), F.lit(t))).cast("double")
-                          .alias(f"df{i}"))
-    stats = index.agg(*stats_aggs)
-    n_docs = stats.select("n_docs").scalar()
-    avgdl = stats.select("avgdl").scalar()
     toks = tokens(field)
+    aggs = [F.count(F.lit(1)).cast("double").alias("n_docs"),
+            F.avg(F.size(toks).cast("double")).alias("avgdl")]
+    aggs += [F.count_if(F.array_contains(toks, F.lit(t))).cast("double").alias(f"df{i}")
+             for i, t in enumerate(terms)]
+    st = corpus.agg(*aggs).first()
+    n_docs, avgdl = float(st["n_docs"]), float(st["avgdl"] or 0.0)
     dl = F.size(toks).cast("double")
     score = F.lit(0.0)
-    for i, t in enumerate(dict.fromkeys(terms)):
-        df_t = stats.select(f"df{terms.index(t)}").scalar()
-        idf = F.log(F.lit(1.0) + (n_docs - df_t + 0.5) / (df_t + 0.5))
+    for i, t in enumerate(terms):
+        df_t = float(st[f"df{i}"])
+        idf = F.log(F.lit(1.0) + F.lit((n_docs - df_t + 0.5) / (df_t + 0.5)))
         tf = F.size(F.filter(toks, lambda x: x == F.lit(t))).cast("double")
-        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / F.lit(avgdl)))
     return hits.withColumn("score", F.round(score, 6))
 
 
-def ranked(index: DataFrame, date: str, keyword: str | None) -> DataFrame:
-    """All hits with their score (relevance order is score desc, then id)."""
-    return bm25(index, search(index, date, keyword), keyword)
+def ranked(index: DataFrame, date: str, keyword: str | None,
+           corpus: DataFrame | None = None) -> DataFrame:
+    """All hits with their score (relevance order is score desc, then id).
+
+    ``index`` may be restricted to the date already (scan pruning);
+    ``corpus`` is the whole index for the scoring statistics (defaults to
+    ``index``).
+    """
+    return bm25(index if corpus is None else corpus, search(index, date, keyword), keyword)
 
 
 def page(index: DataFrame, date: str, keyword: str | None, page_no: int = 1,
-         size: int = 20) -> DataFrame:
-    """Page ``page_no`` (from 1) of ``size`` hits in relevance order."""
+         size: int = 20, corpus: DataFrame | None = None) -> DataFrame:
+    """Page ``page_no`` (from 1) of ``size`` hits in relevance order: a
+    per-partition top-(offset+size) and a merge, never a full sort."""
     start = max(page_no - 1, 0) * size
-    r = ranked(index, date, keyword)
+    r = ranked(index, date, keyword, corpus)
     return r.orderBy(F.col("score").desc(), F.col("order_detail_id").asc()).offset(start).limit(size)
 
 

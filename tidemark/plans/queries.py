@@ -24,6 +24,7 @@ from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.plans import params as P
 from tidemark.schemas import ORDER_INFO, STARTUP_LOG, USER_INFO
+from tidemark.functions.timefmt import previous_day_str
 from tidemark.session import run_dir
 from tidemark.sources import adapters as AD
 from tidemark.sources.tables import tables
@@ -31,36 +32,37 @@ from pyspark.sql import types as T
 
 
 class Ctx:
-    """Lazy derived frames for one data folder."""
+    """Lazy derived frames for one data folder. ``days`` narrows the scans
+    to what a dated dashboard query can touch (exact date filters follow)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.t = tables(spark, root)
 
     # ---- daily active devices
-    def startup(self) -> DataFrame:
-        topic = AD.log_topic(AD.startup_logs(self.t), AD.TOPIC_STARTUP)
+    def startup(self, days=None) -> DataFrame:
+        topic = AD.log_topic(AD.startup_logs(self.t, days), AD.TOPIC_STARTUP)
         return DD.with_log_date_hour(accepted(parse_json(topic, STARTUP_LOG)))
 
-    def dau(self) -> DataFrame:
-        return DD.first_logs(self.startup())
+    def dau(self, days=None) -> DataFrame:
+        return DD.first_logs(self.startup(days))
 
     # ---- orders
-    def orders(self) -> DataFrame:
-        return clean_orders(AD.order_infos(self.t))
+    def orders(self, days=None) -> DataFrame:
+        return clean_orders(AD.order_infos(self.t, days))
 
-    def details(self) -> DataFrame:
-        return AD.order_details(self.t)
+    def details(self, days=None) -> DataFrame:
+        return AD.order_details(self.t, days)
 
     def users(self) -> DataFrame:
         return SA.latest_users(AD.user_changes(self.t))
 
-    def sales(self) -> DataFrame:
-        return SA.with_users(SA.sale_detail(self.orders(), self.details(), P.JOIN_SECONDS),
+    def sales(self, days=None) -> DataFrame:
+        return SA.with_users(SA.sale_detail(self.orders(days), self.details(days), P.JOIN_SECONDS),
                              self.users(), P.AS_OF)
 
     def hits(self) -> DataFrame:
-        return SE.search(self.sales(), P.ORDER_DATE, P.KEYWORD)
+        return SE.search(self.sales([P.ORDER_DATE]), P.ORDER_DATE, P.KEYWORD)
 
 
 def _ctx(spark, root):
@@ -84,15 +86,16 @@ def q_dau_incremental(spark, root):
 
 
 def q_dau_total(spark, root):
-    return ME.dau_total(_ctx(spark, root).dau(), P.DAU_DATE)
+    return ME.dau_total(_ctx(spark, root).dau([P.DAU_DATE]), P.DAU_DATE)
 
 
 def q_dau_by_hour(spark, root):
-    return ME.dau_by_hour(_ctx(spark, root).dau(), P.DAU_DATE)
+    return ME.dau_by_hour(_ctx(spark, root).dau([P.DAU_DATE]), P.DAU_DATE)
 
 
 def q_dau_hours_compare(spark, root):
-    return ME.hours_compare(_ctx(spark, root).dau(), P.DAU_DATE, "logdate", "loghour")
+    days = [previous_day_str(P.DAU_DATE), P.DAU_DATE]
+    return ME.hours_compare(_ctx(spark, root).dau(days), P.DAU_DATE, "logdate", "loghour")
 
 
 def q_new_devices(spark, root):
@@ -120,23 +123,24 @@ def q_order_info_clean(spark, root):
 
 
 def q_order_amount_total(spark, root):
-    return ME.order_amount_total(_ctx(spark, root).orders(), P.ORDER_DATE)
+    return ME.order_amount_total(_ctx(spark, root).orders([P.ORDER_DATE]), P.ORDER_DATE)
 
 
 def q_order_amount_by_hour(spark, root):
-    return ME.order_amount_by_hour(_ctx(spark, root).orders(), P.ORDER_DATE)
+    return ME.order_amount_by_hour(_ctx(spark, root).orders([P.ORDER_DATE]), P.ORDER_DATE)
 
 
 def q_order_hours_compare(spark, root):
-    return ME.hours_compare(_ctx(spark, root).orders(), P.ORDER_DATE, "create_date",
+    days = [previous_day_str(P.ORDER_DATE), P.ORDER_DATE]
+    return ME.hours_compare(_ctx(spark, root).orders(days), P.ORDER_DATE, "create_date",
                             "create_hour", "total_amount", 0.0)
 
 
 def q_realtime_total(spark, root):
     c = _ctx(spark, root)
-    dau = c.dau()
-    return ME.realtime_total(dau, DD.new_devices_by_date(dau), c.orders(), P.DAU_DATE,
-                             P.ORDER_DATE)
+    # new devices need every day's first logs; the other two rows one day each
+    return ME.realtime_total(c.dau([P.DAU_DATE]), DD.new_devices_by_date(c.dau()),
+                             c.orders([P.ORDER_DATE]), P.DAU_DATE, P.ORDER_DATE)
 
 
 def q_province_amount(spark, root):
@@ -181,12 +185,13 @@ def q_sale_search_total(spark, root):
 
 def q_sale_search_page(spark, root):
     c = _ctx(spark, root)
-    return SE.page(c.sales(), P.ORDER_DATE, P.KEYWORD, P.PAGE_NO, P.PAGE_SIZE)
+    return SE.page(c.sales([P.ORDER_DATE]), P.ORDER_DATE, P.KEYWORD, P.PAGE_NO, P.PAGE_SIZE,
+                   corpus=c.sales())
 
 
 def q_sale_search_ranked(spark, root):
     c = _ctx(spark, root)
-    return SE.ranked(c.sales(), P.ORDER_DATE, P.KEYWORD)
+    return SE.ranked(c.sales([P.ORDER_DATE]), P.ORDER_DATE, P.KEYWORD, corpus=c.sales())
 
 
 def q_sale_gender_terms(spark, root):

@@ -39,6 +39,21 @@ def _s(c):
     return F.col(c).cast("string")
 
 
+def _ntz(day, shift_days: int = 0):
+    """NTZ literal at midnight of ``day`` ('yyyy-MM-dd') shifted by whole days."""
+    import datetime as _dt
+    d = _dt.date.fromisoformat(day) + _dt.timedelta(days=shift_days)
+    return F.expr(f"TIMESTAMP_NTZ'{d.isoformat()} 00:00:00'")
+
+
+def day_range(col: str, days, before: int = 0, after: int = 1):
+    """Scan predicate ``col`` in [min(days) - before, max(days) + after) days,
+    as literals so the parquet reader can skip row groups and files."""
+    if not days:
+        return None
+    return (F.col(col) >= _ntz(min(days), -before)) & (F.col(col) < _ntz(max(days), after))
+
+
 def _money_text(c):
     return F.col(c).cast("decimal(18,2)").cast("string")
 
@@ -58,10 +73,16 @@ def _device_cols(user_id="user_id", event_id="event_id"):
 
 # --------------------------------------------------------------------------- logs
 
-def startup_logs(t: Tables) -> DataFrame:
-    """Startup log records: mid = user, ts = epoch ms of the event time."""
+def startup_logs(t: Tables, days=None) -> DataFrame:
+    """Startup log records: mid = user, ts = epoch ms of the event time.
+
+    ``days``: only logs whose (UTC) log date is within the days' range.
+    """
     d = _device_cols()
-    return t.events.select(
+    ev = t.events
+    if days:
+        ev = ev.where(day_range("ts", days))
+    return ev.select(
         _s("user_id").alias("mid"), _s("user_id").alias("uid"), d["appid"].alias("appid"),
         d["area"].alias("area"), d["os"].alias("os"), d["ch"].alias("ch"),
         F.lit("startup").alias("type"), d["vs"].alias("vs"),
@@ -121,13 +142,26 @@ def _create_ts(orderkey="o_orderkey", orderdate="o_orderdate"):
     return F.timestamp_add("SECOND", secs, F.col(orderdate))
 
 
-def order_infos(t: Tables) -> DataFrame:
+def _orders(t: Tables, days=None) -> DataFrame:
+    """The orders table, restricted to orders whose create date can be in
+    ``days``: create_time lies in [o_orderdate, o_orderdate + 1 day), so a
+    create date d implies o_orderdate in (d - 1 day, d + 1 day)."""
+    o = t.orders
+    if days:
+        o = o.where((F.col("o_orderdate") > _ntz(min(days), -1)) &
+                    (F.col("o_orderdate") < _ntz(max(days), 1)))
+    return o
+
+
+def order_infos(t: Tables, days=None) -> DataFrame:
     """Order rows as the change feed sends them, plus ``arrival`` (NTZ).
 
     province_id comes from the customer's nation (orders -> customer join).
+    ``days`` narrows the scan to orders that can fall on those create dates
+    (callers still filter on create_date exactly).
     """
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                        "o_orderdate", "o_orderpriority")
+    o = _orders(t, days).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                "o_orderdate", "o_orderpriority")
     c = t.customer.select(F.col("c_custkey"), F.col("c_nationkey"), F.col("c_name"))
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
     ts = _create_ts()
@@ -147,19 +181,20 @@ def order_infos(t: Tables) -> DataFrame:
         ts.alias("arrival"))
 
 
-def order_details(t: Tables) -> DataFrame:
+def order_details(t: Tables, days=None) -> DataFrame:
     """Order detail rows (lineitem + part name) plus ``arrival`` (NTZ).
 
     The detail's arrival is its order's arrival shifted by
     ``(l_partkey * 7) % 1201 - 600`` seconds, so some pairs fall outside a
     300 s join memory. The five-part id is unique at every scale.
+    With ``days``, only details of orders that can fall on those create dates.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_quantity", "l_extendedprice")
     p = t.part.select("p_partkey", "p_name")
-    o = t.orders.select("o_orderkey", "o_orderdate")
+    o = _orders(t, days).select("o_orderkey", "o_orderdate")
     j = li.join(p, li.l_partkey == p.p_partkey, "left").join(
-        o, li.l_orderkey == o.o_orderkey, "left")
+        o, li.l_orderkey == o.o_orderkey, "inner" if days else "left")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     shift = (F.col("l_partkey") * 7) % (2 * DETAIL_SKEW_SECONDS + 1) - DETAIL_SKEW_SECONDS
     arrival = F.timestamp_add("SECOND", shift, _create_ts("l_orderkey", "o_orderdate"))
