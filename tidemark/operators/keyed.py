@@ -12,13 +12,13 @@ rewrites the same files (idempotent). Files are sorted by the partition
 column, so a date filter skips row groups through parquet statistics
 without splitting a 5-second batch into per-date folders.
 
-``read()`` unions the newest complete base with the log batches written
-after it and keeps, per key, the row of the highest batch id (then the
-highest ``order`` columns). It is an aggregate (``max`` of a struct led by
-the batch id), so the partial aggregate runs before the shuffle; a filter
-passed as ``where`` is applied to both inputs before it (folder pruning on
-the base, row-group pruning on the log). A key must not move between
-``part`` values.
+``read()`` returns, per key, the row of the highest batch id (then the
+highest ``order`` columns): log rows after the newest complete base are
+reduced by an aggregate (``max`` of a struct led by the batch id, partial
+aggregation before the shuffle), base rows (one per key already) are kept
+unless their key was rewritten later. A filter passed as ``where`` is
+applied to both inputs first (folder pruning on the base, row-group pruning
+on the log). A key must not move between ``part`` values.
 
 ``compact()`` writes the current image as a new base version partitioned by
 ``part``; readers switch to it once its ``_SUCCESS`` marker exists, so a
@@ -105,24 +105,31 @@ class KeyedTable:
                 .parquet(f"{self.path}/log"))
 
     def read(self, where=None) -> DataFrame:
+        """Latest row per key: (base without keys rewritten later) plus the
+        newest log row of each key written after the base. The base already
+        holds one row per key, so it is never re-aggregated: only the log
+        (small between compactions) is, and its keys are anti-joined away
+        from the base (a broadcast when small)."""
         upto = self._base_upto()
-        parts = []
         log = self._log()
-        if log is not None:
-            if upto is not None:
-                log = log.where(F.col("batch_id") > upto)
-            parts.append(log)
+        if log is not None and upto is not None:
+            log = log.where(F.col("batch_id") > upto)
+        base = None
         if upto is not None:
-            base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={upto}")
-            parts.append(base.select(*self.columns, F.lit(upto).cast("long").alias("batch_id")))
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        df = parts[0]
-        for p in parts[1:]:
-            df = df.unionByName(p)
+            base = self.spark.read.schema(self.schema).parquet(
+                f"{self.path}/base/upto={upto}").select(*self.columns)
         if where is not None:
-            df = df.where(where)
-        return self._latest(df, ["batch_id"])
+            log = log.where(where) if log is not None else None
+            base = base.where(where) if base is not None else None
+        if log is None and base is None:
+            return self.spark.createDataFrame([], self.schema)
+        if log is None:
+            return base
+        latest_log = self._latest(log, ["batch_id"])
+        if base is None:
+            return latest_log
+        rest = base.join(log.select(*self.key).distinct(), self.key, "left_anti")
+        return rest.unionByName(latest_log)
 
     def compact(self) -> int | None:
         """Write the current image as base version ``upto=<last batch id>``."""

@@ -75,17 +75,23 @@ def stage_slices(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM
     instant), so a file source replays it in time order. Returns the span of
     one slice in seconds (a lateness bound for the watermark).
 
-    Only the two bounds reach the driver; each slice is a filtered write.
+    The frame is derived once into a sibling folder; each slice is a
+    filtered read of that copy. Only the two bounds reach the driver.
     """
+    spark = df.sparkSession
+    full = f"{path.rstrip('/')}_derived"
+    df.write.mode("overwrite").parquet(full)          # derive once, slice the copy
+    src = spark.read.parquet(full)
     us = F.unix_micros(F.col(time_col))
     if bounds is None:
-        row = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+        row = src.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
         bounds = (int(row["lo"]), int(row["hi"]))
     lo, hi = bounds
     step = (hi - lo) // slices + 1
     for i in range(slices):
         a, b = lo + i * step, lo + (i + 1) * step
-        df.where((us >= a) & (us < b)).write.mode("append").parquet(path)
+        src.where((F.col(time_col) >= F.timestamp_micros(F.lit(a)))
+                  & (F.col(time_col) < F.timestamp_micros(F.lit(b)))).write.mode("append").parquet(path)
     return step // 1_000_000 + 1
 
 
@@ -308,6 +314,7 @@ def q_stream_sale_users(spark, root):
     users = KeyedTable(spark, f"{base}/users", USER_ROW, ["id"], ["change_ts", "seq"])
     _finish(users_job(file_stream(spark, f"{base}/users_in", TOPIC_RECORD), users,
                       f"{base}/ckpt_users"), "stream_sale_users")
+    users.compact()      # per-batch lookups then read one row per user, no aggregation
     span = _stage_sales(spark, t, base)
     q = sale_users_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
                        file_stream(spark, f"{base}/details", TOPIC_RECORD), users,
