@@ -48,8 +48,10 @@ def _run(writer, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     return w.start()
 
 
-# Longest micro-batch (seconds) of each finished stream run, for the bench.
+# Longest micro-batch (seconds) and input rows / batch seconds of each
+# finished stream run, for the bench.
 BATCH_SECONDS: dict[str, float] = {}
+ROWS_PER_SEC: dict[str, float] = {}
 
 
 def _finish(q: StreamingQuery, name: str = "") -> None:
@@ -58,9 +60,12 @@ def _finish(q: StreamingQuery, name: str = "") -> None:
         raise TimeoutError(f"stream {q.name or q.id} did not finish")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    durs = [p.get("durationMs", {}).get("triggerExecution", 0) for p in q.recentProgress]
+    prog = q.recentProgress
+    durs = [p.get("durationMs", {}).get("triggerExecution", 0) for p in prog]
     if name and durs:
         BATCH_SECONDS[name] = max(BATCH_SECONDS.get(name, 0.0), max(durs) / 1000.0)
+        n = sum(p.get("numInputRows", 0) for p in prog)
+        ROWS_PER_SEC[name] = round(n / max(sum(durs) / 1000.0, 1e-9), 1)
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
