@@ -107,3 +107,21 @@ def test_alert_stream_update_mode_matches_batch(spark):
     batch = spark.read.schema(TOPIC_RECORD).parquet(f"{base}/in")
     expect = rows(AL.coupon_alerts(accepted(parse_json(batch, EVENT_LOG)), "60 seconds", "5 seconds"))
     assert streamed == expect and len(expect) == 12
+
+
+def test_processing_time_trigger_and_observed_counts(spark):
+    base = run_dir(spark, "t-trigger")
+    _write_batches(spark, f"{base}/in", [[_log("m1", DAY1 + H), _log("m2", DAY1 + 2 * H)]])
+    spark.createDataFrame([("gmall_startup", 0, 9, None, "{bad", None)], TOPIC_RECORD) \
+        .write.mode("append").parquet(f"{base}/in")
+    kt = KeyedTable(spark, f"{base}/t", J.STARTUP_ROW, ["logdate", "mid"], part="logdate")
+    q = J.dau_job(J.file_stream(spark, f"{base}/in", TOPIC_RECORD, 10), kt, f"{base}/ck",
+                  available_now=False)      # the 5-second processing-time trigger
+    try:
+        q.processAllAvailable()
+        observed = [p.get("observedMetrics", {}).get("dau_input") for p in q.recentProgress]
+        observed = [o for o in observed if o]
+        assert observed and observed[0]["raw"] == 3 and observed[0]["rejected"] == 1
+    finally:
+        q.stop()
+    assert rows(kt.read(), "mid") == [("m1",), ("m2",)]

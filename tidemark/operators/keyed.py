@@ -77,16 +77,19 @@ class KeyedTable:
             *self.key, *[F.col(f"_m.{c}").alias(c) for c in self.order + rest]).select(*cols)
 
     # ------------------------------------------------------------- writing
-    def upsert(self, df: DataFrame, batch_id: int) -> None:
-        out = self._latest(df, [])
+    def upsert(self, df: DataFrame, batch_id: int, unique: bool = False) -> None:
+        """Write one batch. ``unique=True`` when the batch already has one row
+        per key (e.g. the update output of a streaming aggregation): no
+        de-duplicating shuffle."""
+        out = df.select(*self.columns) if unique else self._latest(df, [])
         sort = ([self.part] if self.part else []) + self.key
         out.sortWithinPartitions(*sort).write.mode("overwrite").parquet(
             f"{self.path}/log/batch_id={int(batch_id)}")
 
-    def foreach_batch(self):
+    def foreach_batch(self, unique: bool = False):
         """A ``foreachBatch`` function writing each micro-batch as an upsert."""
         def _write(batch_df: DataFrame, batch_id: int) -> None:
-            self.upsert(batch_df, batch_id)
+            self.upsert(batch_df, batch_id, unique)
         return _write
 
     # ------------------------------------------------------------- reading

@@ -128,8 +128,13 @@ def dau_job(records: DataFrame, table: KeyedTable, checkpoint: str, delay: str =
             available_now: bool = True) -> StreamingQuery:
     """First log per (logdate, mid) kept in state keyed by the UTC day (the
     watermark column is a key, so finished days leave the state); updates go
-    to the keyed table, where the latest batch's row is the earliest log."""
-    logs = DD.with_log_date_hour(accepted(parse_json(records, STARTUP_LOG)))
+    to the keyed table, where the latest batch's row is the earliest log.
+    Per-batch input and reject counts are observed as ``dau_input`` in the
+    query progress (the reference printed them per batch)."""
+    parsed = parse_json(records, STARTUP_LOG).observe(
+        "dau_input", F.count(F.lit(1)).alias("raw"),
+        F.count_if(F.col("_corrupt").isNotNull()).alias("rejected"))
+    logs = DD.with_log_date_hour(accepted(parsed))
     logs = logs.withColumn("day_ts", F.timestamp_millis(F.col("ts") - F.pmod(F.col("ts"), F.lit(DAY_MS))))
     logs = logs.withWatermark("day_ts", delay)
     cols = [f.name for f in STARTUP_ROW.fields]
@@ -137,7 +142,8 @@ def dau_job(records: DataFrame, table: KeyedTable, checkpoint: str, delay: str =
     first = logs.groupBy("day_ts", "logdate", "mid").agg(
         F.min(F.struct("ts", *rest)).alias("_m")).select(
         "logdate", "mid", "_m.ts", *[f"_m.{c}" for c in rest]).select(*cols)
-    return _run(first.writeStream.outputMode("update").foreachBatch(table.foreach_batch()),
+    # update output of the aggregation: one row per (day, logdate, mid) per batch
+    return _run(first.writeStream.outputMode("update").foreachBatch(table.foreach_batch(True)),
                 checkpoint, available_now)
 
 
@@ -147,7 +153,7 @@ def alert_job(records: DataFrame, table: KeyedTable, checkpoint: str, window: st
     into a keyed table; the alert predicate is applied when reading."""
     ev = AL.with_event_time(accepted(parse_json(records, EVENT_LOG))).withWatermark("event_time", delay)
     agg = AL.window_aggregate(ev, window, slide)
-    return _run(agg.writeStream.outputMode("update").foreachBatch(table.foreach_batch()),
+    return _run(agg.writeStream.outputMode("update").foreachBatch(table.foreach_batch(True)),
                 checkpoint, available_now)
 
 
