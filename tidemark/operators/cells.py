@@ -28,11 +28,12 @@ def cells_from_tuples(tuples: DataFrame) -> DataFrame:
 
 def sort_cells(cells: DataFrame, partitions: int | None = None) -> DataFrame:
     """Global byte order on (rowkey, family, qualifier): a range shuffle on the
-    row key (sampled bounds) and a sort inside each partition, so a row's
-    cells stay in one file and files are ordered by key range."""
+    whole sort key (sampled bounds) and a sort inside each partition, so files
+    are ordered by key range and a row key with very many cells can still be
+    split between partitions."""
     n = partitions or cells.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return cells.repartitionByRange(int(n), "rowkey").sortWithinPartitions(
-        "rowkey", "family", "qualifier")
+    key = ["rowkey", "family", "qualifier"]
+    return cells.repartitionByRange(int(n), *key).sortWithinPartitions(*key)
 
 
 def write_sorted_cells(cells: DataFrame, path: str, partitions: int | None = None) -> None:

@@ -73,13 +73,13 @@ USER_CHANGES = """user_changes AS (
     strftime(DATE '1940-01-01' + CAST((c_custkey * 37) % 27000 AS INTEGER), '%Y-%m-%d') AS birthday,
     CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender, 'INSERT' AS event_type,
     TIMESTAMP '2023-06-01 00:00:00' + to_seconds(c_custkey) AS change_ts, c_custkey * 2 AS seq
-  FROM customer WHERE c_custkey % 17 <> 0
+  FROM customer WHERE c_acctbal >= 0
   UNION ALL
   SELECT CAST(c_custkey AS VARCHAR), c_name, c_mktsegment || '+',
     strftime(DATE '1940-01-01' + CAST((c_custkey * 37) % 27000 AS INTEGER), '%Y-%m-%d'),
     CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END, 'UPDATE',
     TIMESTAMP '2023-06-01 00:00:00' + to_seconds(c_custkey) + INTERVAL 1 DAY, c_custkey * 2 + 1
-  FROM customer WHERE c_custkey % 17 <> 0 AND c_custkey % 3 = 0)"""
+  FROM customer WHERE c_acctbal >= 0 AND c_mktsegment = 'AUTOMOBILE')"""
 
 LATEST_USER = """latest_user AS (
   SELECT id, login_name, user_level, birthday, gender FROM (
@@ -174,14 +174,14 @@ CDC = """cdc AS (
   FROM order_info
   UNION ALL
   SELECT 'order_info', 'ROWDATA', 'DELETE', json_object('id', id) FROM order_info
-  WHERE CAST(id AS BIGINT) % 29 = 0
+  WHERE order_status = 'P'
   UNION ALL
-  SELECT 'order_info', 'TRANSACTIONBEGIN', NULL, NULL FROM order_info WHERE CAST(id AS BIGINT) % 10 = 0
+  SELECT 'order_info', 'TRANSACTIONBEGIN', NULL, NULL FROM order_info WHERE order_comment = '1-URGENT'
   UNION ALL
-  SELECT 'order_info', 'TRANSACTIONEND', NULL, NULL FROM order_info WHERE CAST(id AS BIGINT) % 10 = 0
+  SELECT 'order_info', 'TRANSACTIONEND', NULL, NULL FROM order_info WHERE order_comment = '1-URGENT'
   UNION ALL
   SELECT 'payment_info', 'ROWDATA', 'INSERT', json_object('order_id', id) FROM order_info
-  WHERE CAST(id AS BIGINT) % 13 = 0
+  WHERE order_status = 'F'
   UNION ALL
   SELECT 'order_detail', 'ROWDATA', 'INSERT',
     json_object('id', id, 'order_id', order_id, 'sku_name', sku_name, 'sku_id', sku_id,

@@ -26,11 +26,10 @@ APP_ID = "gmall2019"
 EVID_OF_EVENT_TYPE = {"purchase": "coupon", "click": "clickItem", "view": "addCart",
                       "error": "addComment", "signup": "addFavor"}
 DETAIL_SKEW_SECONDS = 600       # detail arrival = order arrival + [-600, 600] s
-USERLESS_MODULUS = 17           # customers with key % 17 == 0 never register
-UPDATED_MODULUS = 3             # customers with key % 3 == 0 get one UPDATE
-DELETED_MODULUS = 29            # orders with key % 29 == 0 are later deleted
-TXN_MODULUS = 10                # orders with key % 10 == 0 carry begin/end entries
-OTHER_TABLE_MODULUS = 13        # orders with key % 13 == 0 also write payment_info
+UPDATED_SEGMENT = "AUTOMOBILE"  # customers of this segment change their level once
+DELETED_STATUS = "P"            # pending orders are later deleted
+TXN_PRIORITY = "1-URGENT"       # urgent orders are written in an explicit transaction
+PAID_STATUS = "F"               # finished orders also write a payment_info row
 USER_EPOCH = "2023-06-01 00:00:00"
 BIRTH_EPOCH = "1940-01-01"
 
@@ -211,13 +210,15 @@ def order_details(t: Tables, days=None) -> DataFrame:
 # ------------------------------------------------------------------------- users
 
 def user_changes(t: Tables) -> DataFrame:
-    """User change rows: INSERT for registered customers, one UPDATE for some.
+    """User change rows: an INSERT for every customer with an account (a
+    customer with a negative balance never opened one, so their sales have
+    no user), and one UPDATE of the level for the AUTOMOBILE segment.
 
     Columns: id, login_name, user_level, birthday, gender, event_type,
     change_ts (NTZ), seq.
     """
     c = t.customer.select("c_custkey", "c_name", "c_mktsegment").where(
-        F.col("c_custkey") % USERLESS_MODULUS != 0)
+        F.col("c_acctbal") >= 0)
     k = F.col("c_custkey")
     base_ts = F.timestamp_add("SECOND", k, F.to_timestamp_ntz(F.lit(USER_EPOCH)))
     birthday = F.date_format(F.date_add(F.to_date(F.lit(BIRTH_EPOCH)), ((k * 37) % 27000).cast("int")),
@@ -228,7 +229,7 @@ def user_changes(t: Tables) -> DataFrame:
     ins = c.select(*common, F.col("c_mktsegment").alias("user_level"), *tail,
                    F.lit("INSERT").alias("event_type"), base_ts.alias("change_ts"),
                    (k * 2).alias("seq"))
-    upd = c.where(k % UPDATED_MODULUS == 0).select(
+    upd = c.where(F.col("c_mktsegment") == UPDATED_SEGMENT).select(
         *common, F.concat(F.col("c_mktsegment"), F.lit("+")).alias("user_level"), *tail,
         F.lit("UPDATE").alias("event_type"),
         F.timestamp_add("DAY", F.lit(1), base_ts).alias("change_ts"), (k * 2 + 1).alias("seq"))
@@ -259,18 +260,18 @@ def cdc_changes(t: Tables) -> DataFrame:
     orders_ins = o.select(F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
                           F.lit("INSERT").alias("event_type"), order_after.alias("after"),
                           F.col("arrival").alias("change_ts"), (key * 8).alias("seq"))
-    orders_del = o.where(key % DELETED_MODULUS == 0).select(
+    orders_del = o.where(F.col("order_status") == DELETED_STATUS).select(
         F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
         F.lit("DELETE").alias("event_type"), F.create_map(F.lit("id"), F.col("id")).alias("after"),
         F.timestamp_add("DAY", F.lit(1), F.col("arrival")).alias("change_ts"), (key * 8 + 1).alias("seq"))
-    txn = o.where(key % TXN_MODULUS == 0)
+    txn = o.where(F.col("order_comment") == TXN_PRIORITY)
     txn_begin = txn.select(F.lit("order_info").alias("table"), F.lit("TRANSACTIONBEGIN").alias("entry_type"),
                            F.lit(None).cast("string").alias("event_type"), nul_map.alias("after"),
                            F.col("arrival").alias("change_ts"), (key * 8 + 2).alias("seq"))
     txn_end = txn.select(F.lit("order_info").alias("table"), F.lit("TRANSACTIONEND").alias("entry_type"),
                          F.lit(None).cast("string").alias("event_type"), nul_map.alias("after"),
                          F.col("arrival").alias("change_ts"), (key * 8 + 3).alias("seq"))
-    other = o.where(key % OTHER_TABLE_MODULUS == 0).select(
+    other = o.where(F.col("order_status") == PAID_STATUS).select(
         F.lit("payment_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
         F.lit("INSERT").alias("event_type"), F.create_map(F.lit("order_id"), F.col("id")).alias("after"),
         F.col("arrival").alias("change_ts"), (key * 8 + 4).alias("seq"))
