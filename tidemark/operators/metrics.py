@@ -59,7 +59,10 @@ def hours_compare(df: DataFrame, date: str, date_col: str, hour_col: str,
     """
     prev = previous_day_str(date)
     d = F.col(date_col)
-    part = df.where(d.isin(date, prev))
+    hours = [f"{h:02d}" for h in range(HOURS)]
+    # only the 24 spine hours are kept, so the aggregate below has at most 24
+    # rows whatever the data holds: that bound is what makes the broadcast safe
+    part = df.where(d.isin(date, prev) & F.col(hour_col).isin(hours))
     if value is None:
         today = F.count_if(d == date)
         yday = F.count_if(d == prev)
