@@ -37,6 +37,31 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the data for a cluster launch (pass as ``extra``).
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 2 per core, at most 100k) and AQE coalesces small ones
+    back; input splits are the same size, so a task reads ~256 MB and its
+    shuffle output fits executor memory before spilling. Skewed partitions
+    over 4x the median (and 1 GB) are split by AQE.
+
+    Streaming queries are different: a stateful query fixes its partition
+    count in its checkpoint at first start, so start those with the state
+    parallelism (about the cluster's core count) instead of this batch size.
+    """
+    parts = max(2 * cores, min(100_000, -(-input_bytes // target_partition_bytes)))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, taken from ``spark.checkpoint.dir``.
 
