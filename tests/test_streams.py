@@ -42,6 +42,9 @@ def test_dau_stream_equals_batch_and_drops_late(spark):
                   delay="1 day")
     J._finish(q)
     assert len(q.recentProgress) >= 4
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for op in p.get("stateOperators", []))
+    assert dropped == 1                                   # the late m7 log, counted
     got = rows(kt.read(), "logdate", "mid", "ch")
     assert got == [("2024-01-01", "m1", "earlier-next-batch"), ("2024-01-01", "m2", "c"),
                    ("2024-01-02", "m3", "c"), ("2024-01-03", "m1", "c"), ("2024-01-05", "m9", "c")]
