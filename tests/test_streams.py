@@ -128,3 +128,28 @@ def test_processing_time_trigger_and_observed_counts(spark):
     finally:
         q.stop()
     assert rows(kt.read(), "mid") == [("m1",), ("m2",)]
+
+
+def test_order_stream_rejects_and_sale_users_rejects(spark):
+    base = run_dir(spark, "t-rejects")
+    _write_batches(spark, f"{base}/in", [[_order("o1", DAY1), _order("o2", DAY1 + 1000)]])
+    spark.createDataFrame([("gmall_order_info", 0, 9, None, "{broken", None)], TOPIC_RECORD) \
+        .write.mode("append").parquet(f"{base}/in")
+    kt = KeyedTable(spark, f"{base}/t", J.ORDER_SINK_ROW, ["ID"], part="CREATE_DATE")
+    J._finish(J.orders_job(J.file_stream(spark, f"{base}/in", TOPIC_RECORD, 10), kt,
+                           f"{base}/ck", rejects=f"{base}/rej"))
+    assert rows(kt.read(), "ID", "CONSIGNEE_TEL") == [("o1", "1380*******"), ("o2", "1380*******")]
+    assert rows(spark.read.parquet(f"{base}/rej"), "value") == [("{broken",)]
+    # sales of an unknown user are kept apart, not dropped silently
+    users = KeyedTable(spark, f"{base}/u", J.USER_ROW, ["id"], ["change_ts", "seq"])
+    users.upsert(spark.createDataFrame(
+        [("u1", "n", "L", "2000-01-01", "F", dt.datetime(2023, 1, 1), 1)], J.USER_ROW), 0)
+    _write_batches(spark, f"{base}/o", [[_order("o1", DAY1), ("gmall_order_info", {
+        "id": "o2", "user_id": "u9", "order_status": "1", "create_time": "2024-01-01 00:00:00",
+        "total_amount": 1.0, "consignee_tel": "1"}, DAY1)]])
+    _write_batches(spark, f"{base}/d", [[_detail("d1", "o1", DAY1), _detail("d2", "o2", DAY1)]])
+    J._finish(J.sale_users_job(J.file_stream(spark, f"{base}/o", TOPIC_RECORD, 1),
+                               J.file_stream(spark, f"{base}/d", TOPIC_RECORD, 1), users,
+                               f"{base}/out", f"{base}/ck2", "10 minutes", rejects=f"{base}/nu"))
+    assert rows(spark.read.parquet(f"{base}/out"), "order_detail_id", "user_gender") == [("d1", "F")]
+    assert rows(spark.read.parquet(f"{base}/nu"), "order_detail_id", "user_id") == [("d2", "u9")]

@@ -84,3 +84,15 @@ def with_users(sales: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     u = users.select(F.col("id").alias("user_id"), F.col("gender").alias("user_gender"),
                      age_365("birthday", as_of).alias("user_age"), "user_level")
     return sales.join(u, "user_id", "inner").select(*SALE_DETAIL_COLUMNS)
+
+
+def with_users_split(sales: DataFrame, users: DataFrame, as_of: str):
+    """One left join, split into (merged rows, rows without a user).
+
+    Callers cache the joined frame when they use both halves (a micro-batch
+    writing its rejects next to its output)."""
+    u = users.select(F.col("id").alias("user_id"), F.col("gender").alias("user_gender"),
+                     age_365("birthday", as_of).alias("user_age"), "user_level",
+                     F.lit(True).alias("_has_user"))
+    joined = sales.join(u, "user_id", "left")
+    return joined, F.col("_has_user").isNotNull()

@@ -158,11 +158,22 @@ def alert_job(records: DataFrame, table: KeyedTable, checkpoint: str, window: st
 
 
 def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
-               available_now: bool = True) -> StreamingQuery:
-    """Parse, clean and upsert orders (stateless)."""
-    clean = to_order_sink(clean_orders(accepted(parse_json(records, ORDER_INFO))))
-    return _run(clean.writeStream.outputMode("append").foreachBatch(table.foreach_batch()),
-                checkpoint, available_now)
+               available_now: bool = True, rejects: str | None = None) -> StreamingQuery:
+    """Parse, clean and upsert orders (stateless). Unparsable records go to
+    ``rejects/batch_id=<n>`` instead of failing the batch."""
+    parsed = parse_json(records, ORDER_INFO, keep=("value",))
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            table.upsert(to_order_sink(clean_orders(accepted(b.drop("value")))), batch_id)
+            if rejects:
+                b.where(F.col("_corrupt").isNotNull()).select("value").write.mode(
+                    "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
+        finally:
+            b.unpersist()
+    return _run(parsed.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
+                available_now)
 
 
 def sale_join_frame(order_records: DataFrame, detail_records: DataFrame, delay: str,
@@ -197,14 +208,24 @@ def users_job(records: DataFrame, table: KeyedTable, checkpoint: str,
 
 
 def sale_users_job(order_records, detail_records, users: KeyedTable, out: str, checkpoint: str,
-                   delay: str, as_of: str = P.AS_OF, available_now: bool = True) -> StreamingQuery:
+                   delay: str, as_of: str = P.AS_OF, available_now: bool = True,
+                   rejects: str | None = None) -> StreamingQuery:
     """Joined sales merged with the latest user images read per batch; each
-    batch overwrites its own folder (replay-safe)."""
+    batch overwrites its own folder (replay-safe). Sales whose user is not
+    known are dropped from the output and, with ``rejects``, kept there."""
     pairs = sale_join_frame(order_records, detail_records, delay)
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        SA.with_users(batch, users.read(), as_of).write.mode("overwrite").parquet(
-            f"{out}/batch_id={int(batch_id)}")
+        joined, has_user = SA.with_users_split(batch, users.read(), as_of)
+        j = joined.persist()
+        try:
+            j.where(has_user).select(*SALE_DETAIL_COLUMNS).write.mode("overwrite").parquet(
+                f"{out}/batch_id={int(batch_id)}")
+            if rejects:
+                j.where(~has_user).select(*SA_PAIR_SCHEMA.fieldNames()).write.mode(
+                    "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
+        finally:
+            j.unpersist()
     return _run(pairs.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
                 available_now)
 
@@ -292,8 +313,8 @@ def q_stream_orders(spark, root):
     base = run_dir(spark, "stream-orders")
     stage_slices(_order_records(t), f"{base}/in", "timestamp")
     kt = KeyedTable(spark, f"{base}/table", ORDER_SINK_ROW, ["ID"], part="CREATE_DATE")
-    _finish(orders_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt"),
-            "stream_orders")
+    _finish(orders_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
+                       rejects=f"{base}/rejects"), "stream_orders")
     return kt.read()
 
 
@@ -329,7 +350,8 @@ def q_stream_sale_users(spark, root):
     span = _stage_sales(spark, t, base)
     q = sale_users_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
                        file_stream(spark, f"{base}/details", TOPIC_RECORD), users,
-                       f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS))
+                       f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
+                       rejects=f"{base}/no_user")
     _finish(q, "stream_sale_users")
     schema = SA.with_users(spark.createDataFrame([], SA_PAIR_SCHEMA),
                            spark.createDataFrame([], USER_ROW), P.AS_OF).schema
