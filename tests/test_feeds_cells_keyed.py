@@ -101,3 +101,23 @@ def test_keyed_table_replay_compaction_and_filter(spark):
     assert rows(kt.read(F.col("dt") == "d1")) == [("a", 2, "d1")]
     kt.upsert(b0, 0)                                               # replay of a compacted batch
     assert rows(kt.read()) == [("a", 2, "d1"), ("b", 9, "d2"), ("c", 5, "d2")]
+
+
+def test_keyed_table_per_partition_compaction(spark):
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()),
+                           T.StructField("dt", T.StringType())])
+    kt = KeyedTable(spark, run_dir(spark, "keyed-part"), schema, ["k"], ["v"], part="dt")
+    kt.upsert(spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2")], schema), 0)
+    kt.compact()                                                   # full base upto=0
+    kt.upsert(spark.createDataFrame([("a", 2, "d1"), ("b", 2, "d2")], schema), 1)
+    assert kt.compact("d1") == 1                                   # only d1 rewritten
+    assert kt._versions() == (0, {"d1": 1})
+    kt.upsert(spark.createDataFrame([("c", 3, "d1")], schema), 2)
+    want = [("a", 2, "d1"), ("b", 2, "d2"), ("c", 3, "d1")]
+    assert rows(kt.read()) == want
+    assert rows(kt.read(F.col("dt") == "d2")) == [("b", 2, "d2")]
+    kt.upsert(spark.createDataFrame([("a", 2, "d1"), ("b", 2, "d2")], schema), 1)   # replay
+    assert rows(kt.read()) == want
+    kt.compact()                                                   # full again: supersedes d1's
+    assert kt._versions() == (2, {})
+    assert rows(kt.read()) == want

@@ -21,9 +21,10 @@ applied to both inputs first (folder pruning on the base, row-group pruning
 on the log). A key must not move between ``part`` values.
 
 ``compact()`` writes the current image as a new base version partitioned by
-``part``; readers switch to it once its ``_SUCCESS`` marker exists, so a
-failed compaction is invisible. Superseded log folders are left for a
-retention job.
+``part``; ``compact(v)`` rewrites only partition ``v`` (one date) into
+``base/upto=<n>/<part>=<v>``. Readers switch to a version once its
+``_SUCCESS`` marker exists, so a failed compaction is invisible. Superseded
+log folders and versions are left for a retention job.
 """
 
 from __future__ import annotations
@@ -93,12 +94,31 @@ class KeyedTable:
         return _write
 
     # ------------------------------------------------------------- reading
+    def _versions(self):
+        """(full, per_part): the newest complete full base version and, for
+        each part value compacted on its own after it, that part's newest
+        version. File-system metadata only; each version is complete once
+        its ``_SUCCESS`` marker exists."""
+        full, per_part = None, {}
+        root = f"{self.path}/base"
+        ups = sorted(int(n.split("=", 1)[1]) for n in list_children(self.spark, root)
+                     if n.startswith("upto="))
+        for n in ups:
+            if exists(self.spark, f"{root}/upto={n}/_SUCCESS"):
+                full = n
+        if self.part:
+            for n in ups:
+                if full is not None and n <= full:
+                    continue
+                for name in list_children(self.spark, f"{root}/upto={n}"):
+                    if name.startswith(f"{self.part}=") and exists(
+                            self.spark, f"{root}/upto={n}/{name}/_SUCCESS"):
+                        per_part[name.split("=", 1)[1]] = n
+        return full, per_part
+
     def _base_upto(self) -> int | None:
-        done = []
-        for name in list_children(self.spark, f"{self.path}/base"):
-            if name.startswith("upto=") and exists(self.spark, f"{self.path}/base/{name}/_SUCCESS"):
-                done.append(int(name.split("=", 1)[1]))
-        return max(done) if done else None
+        full, per_part = self._versions()
+        return full
 
     def _log(self) -> DataFrame | None:
         if not list_children(self.spark, f"{self.path}/log"):
@@ -108,19 +128,32 @@ class KeyedTable:
                 .parquet(f"{self.path}/log"))
 
     def read(self, where=None) -> DataFrame:
-        """Latest row per key: (base without keys rewritten later) plus the
-        newest log row of each key written after the base. The base already
-        holds one row per key, so it is never re-aggregated: only the log
-        (small between compactions) is, and its keys are anti-joined away
-        from the base (a broadcast when small)."""
-        upto = self._base_upto()
-        log = self._log()
-        if log is not None and upto is not None:
-            log = log.where(F.col("batch_id") > upto)
+        """Latest row per key: base rows (one per key already, never
+        re-aggregated) unless the key was rewritten later, plus the newest log
+        row of each key written after its base. Only the log (small between
+        compactions) is aggregated; its keys are anti-joined away from the
+        base (a broadcast when small)."""
+        full, per_part = self._versions()
+        bases = []
+        if full is not None:
+            b = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={full}")
+            if per_part:
+                b = b.where(~F.col(self.part).isin(list(per_part)))
+            bases.append(b.select(*self.columns))
+        for v, n in per_part.items():
+            pschema = T.StructType([f for f in self.schema.fields if f.name != self.part])
+            b = self.spark.read.schema(pschema).parquet(f"{self.path}/base/upto={n}/{self.part}={v}")
+            bases.append(b.withColumn(self.part, F.lit(v).cast(
+                self.schema[self.part].dataType)).select(*self.columns))
         base = None
-        if upto is not None:
-            base = self.spark.read.schema(self.schema).parquet(
-                f"{self.path}/base/upto={upto}").select(*self.columns)
+        for b in bases:
+            base = b if base is None else base.unionByName(b)
+        log = self._log()
+        if log is not None:
+            keep = F.lit(True) if full is None else F.col("batch_id") > full
+            for v, n in per_part.items():
+                keep = keep & ~((F.col(self.part) == v) & (F.col("batch_id") <= n))
+            log = log.where(keep)
         if where is not None:
             log = log.where(where) if log is not None else None
             base = base.where(where) if base is not None else None
@@ -134,17 +167,29 @@ class KeyedTable:
         rest = base.join(log.select(*self.key).distinct(), self.key, "left_anti")
         return rest.unionByName(latest_log)
 
-    def compact(self) -> int | None:
-        """Write the current image as base version ``upto=<last batch id>``."""
+    def compact(self, part_value=None) -> int | None:
+        """Write the current image as base version ``upto=<last batch id>``.
+
+        With ``part_value`` only that partition (e.g. one date) is rewritten:
+        its cost is one partition, never the table. Readers switch to the new
+        version once its ``_SUCCESS`` marker exists.
+        """
         batches = [int(n.split("=", 1)[1]) for n in list_children(self.spark, f"{self.path}/log")
                    if n.startswith("batch_id=")]
+        full, per_part = self._versions()
         if not batches:
-            return self._base_upto()
+            return full
         upto = max(batches)
-        if upto == self._base_upto():
+        if part_value is not None and self.part:
+            if per_part.get(str(part_value), full) == upto:
+                return upto
+            image = self.read(F.col(self.part) == F.lit(part_value)).drop(self.part)
+            image.write.mode("overwrite").parquet(
+                f"{self.path}/base/upto={upto}/{self.part}={part_value}")
+            return upto
+        if upto == full and not per_part:
             return upto
-        image = self.read()
-        w = image.write.mode("overwrite")
+        w = self.read().write.mode("overwrite")
         if self.part:
             w = w.partitionBy(self.part)
         w.parquet(f"{self.path}/base/upto={upto}")
