@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefmt import epoch_ms_to_ntz, instant_to_ntz
+from tidemark.functions.timefmt import instant_to_ntz
 
 # Fixed values of the alert rule.
 COUPON = "coupon"
@@ -85,6 +85,3 @@ def keyed_alerts(alert_rows: DataFrame) -> DataFrame:
     return alert_rows.withColumn("doc_id", doc).groupBy("doc_id").agg(m.alias("_m")).select(
         "doc_id", *[F.col(f"_m.{c}").alias(c) for c in cols])
 
-
-__all__ = ["window_aggregate", "alerts", "coupon_alerts", "keyed_alerts", "with_event_time",
-           "epoch_ms_to_ntz"]

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import alerts as AL
 from tidemark.operators import cells as CE
@@ -24,11 +25,10 @@ from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.plans import params as P
 from tidemark.schemas import ORDER_INFO, STARTUP_LOG, USER_INFO
-from tidemark.functions.timefmt import previous_day_str
+from tidemark.functions.timefmt import ntz_to_epoch_ms, previous_day_str
 from tidemark.session import run_dir
 from tidemark.sources import adapters as AD
 from tidemark.sources.tables import tables
-from pyspark.sql import types as T
 
 
 class Ctx:
@@ -75,13 +75,16 @@ def q_dau_first_log(spark, root):
     return DD.to_dau_sink(_ctx(spark, root).dau())
 
 
-def q_dau_incremental(spark, root):
-    c = _ctx(spark, root)
+def _seen_and_batch(c: Ctx):
+    """Logs before the cutoff (earlier batches, the seen set) and after it."""
     logs = c.startup()
-    cut = F.lit(P.SEEN_CUTOFF).cast("timestamp_ntz")
-    t_ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), cut)
-    seen = logs.where(F.col("ts") < t_ms).select("logdate", "mid")
-    batch = logs.where(F.col("ts") >= t_ms)
+    cut_ms = ntz_to_epoch_ms(F.lit(P.SEEN_CUTOFF).cast("timestamp_ntz"))
+    return (logs.where(F.col("ts") < cut_ms).select("logdate", "mid"),
+            logs.where(F.col("ts") >= cut_ms))
+
+
+def q_dau_incremental(spark, root):
+    seen, batch = _seen_and_batch(_ctx(spark, root))
     return DD.to_dau_sink(DD.incremental_first_logs(batch, seen))
 
 
@@ -103,12 +106,7 @@ def q_new_devices(spark, root):
 
 
 def q_pipeline_counts(spark, root):
-    c = _ctx(spark, root)
-    logs = c.startup()
-    cut = F.lit(P.SEEN_CUTOFF).cast("timestamp_ntz")
-    t_ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), cut)
-    seen = logs.where(F.col("ts") < t_ms).select("logdate", "mid")
-    batch = logs.where(F.col("ts") >= t_ms)
+    seen, batch = _seen_and_batch(_ctx(spark, root))
     after = DD.not_seen(batch, seen)
     return DD.stage_counts(batch, after, DD.first_logs(after))
 
