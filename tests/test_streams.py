@@ -147,9 +147,11 @@ def test_order_stream_rejects_and_sale_users_rejects(spark):
     _write_batches(spark, f"{base}/o", [[_order("o1", DAY1), ("gmall_order_info", {
         "id": "o2", "user_id": "u9", "order_status": "1", "create_time": "2024-01-01 00:00:00",
         "total_amount": 1.0, "consignee_tel": "1"}, DAY1)]])
-    _write_batches(spark, f"{base}/d", [[_detail("d1", "o1", DAY1), _detail("d2", "o2", DAY1)]])
+    _write_batches(spark, f"{base}/d", [[_detail("d1", "o1", DAY1), _detail("d2", "o2", DAY1)],
+                                        [_detail("d1", "o1", DAY1 + 1000)]])   # d1 replayed
+    index = KeyedTable(spark, f"{base}/index", J.SALE_ROW, ["order_detail_id"], part="dt")
     J._finish(J.sale_users_job(J.file_stream(spark, f"{base}/o", TOPIC_RECORD, 1),
-                               J.file_stream(spark, f"{base}/d", TOPIC_RECORD, 1), users,
-                               f"{base}/out", f"{base}/ck2", "10 minutes", rejects=f"{base}/nu"))
-    assert rows(spark.read.parquet(f"{base}/out"), "order_detail_id", "user_gender") == [("d1", "F")]
+                               J.file_stream(spark, f"{base}/d", TOPIC_RECORD, 1), users, index,
+                               f"{base}/ck2", "10 minutes", rejects=f"{base}/nu"))
+    assert rows(index.read(), "order_detail_id", "user_gender") == [("d1", "F")]   # once
     assert rows(spark.read.parquet(f"{base}/nu"), "order_detail_id", "user_id") == [("d2", "u9")]

@@ -207,20 +207,20 @@ def users_job(records: DataFrame, table: KeyedTable, checkpoint: str,
                 checkpoint, available_now)
 
 
-def sale_users_job(order_records, detail_records, users: KeyedTable, out: str, checkpoint: str,
-                   delay: str, as_of: str = P.AS_OF, available_now: bool = True,
+def sale_users_job(order_records, detail_records, users: KeyedTable, index: KeyedTable,
+                   checkpoint: str, delay: str, as_of: str = P.AS_OF, available_now: bool = True,
                    rejects: str | None = None) -> StreamingQuery:
-    """Joined sales merged with the latest user images read per batch; each
-    batch overwrites its own folder (replay-safe). Sales whose user is not
-    known are dropped from the output and, with ``rejects``, kept there."""
+    """Joined sales merged with the latest user images read per batch, upserted
+    into the sale index keyed by ``order_detail_id`` (a replayed detail
+    replaces itself). Sales whose user is not known are left out of the index
+    and, with ``rejects``, kept there."""
     pairs = sale_join_frame(order_records, detail_records, delay)
 
     def _write(batch: DataFrame, batch_id: int) -> None:
         joined, has_user = SA.with_users_split(batch, users.read(), as_of)
         j = joined.persist()
         try:
-            j.where(has_user).select(*SALE_DETAIL_COLUMNS).write.mode("overwrite").parquet(
-                f"{out}/batch_id={int(batch_id)}")
+            index.upsert(j.where(has_user).select(*SALE_DETAIL_COLUMNS), batch_id)
             if rejects:
                 j.where(~has_user).select(*SA_PAIR_SCHEMA.fieldNames()).write.mode(
                     "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
@@ -349,17 +349,22 @@ def q_stream_sale_users(spark, root):
                       f"{base}/ckpt_users"), "stream_sale_users")
     users.compact()      # per-batch lookups then read one row per user, no aggregation
     span = _stage_sales(spark, t, base)
+    index = KeyedTable(spark, f"{base}/index", SALE_ROW, ["order_detail_id"], part="dt")
     q = sale_users_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
-                       file_stream(spark, f"{base}/details", TOPIC_RECORD), users,
-                       f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
+                       file_stream(spark, f"{base}/details", TOPIC_RECORD), users, index,
+                       f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
                        rejects=f"{base}/no_user")
     _finish(q, "stream_sale_users")
-    schema = SA.with_users(spark.createDataFrame([], SA_PAIR_SCHEMA),
-                           spark.createDataFrame([], USER_ROW), P.AS_OF).schema
-    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).parquet(f"{base}/out").select(*SALE_DETAIL_COLUMNS)
+    return index.read()
 
 
+SALE_ROW = T.StructType([T.StructField(n, t) for n, t in [
+    ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
+    ("order_status", T.StringType()), ("create_time", T.StringType()),
+    ("user_id", T.StringType()), ("sku_id", T.StringType()), ("user_gender", T.StringType()),
+    ("user_age", T.IntegerType()), ("user_level", T.StringType()), ("sku_price", T.DoubleType()),
+    ("sku_name", T.StringType()), ("dt", T.StringType())]])
+
 SA_PAIR_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
     ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
     ("order_status", T.StringType()), ("create_time", T.StringType()),
