@@ -121,3 +121,11 @@ def test_keyed_table_per_partition_compaction(spark):
     kt.compact()                                                   # full again: supersedes d1's
     assert kt._versions() == (2, {})
     assert rows(kt.read()) == want
+
+
+def test_log_routing_rejects_malformed_lines(spark):
+    from tidemark.operators.parse import rejected
+    raw = spark.createDataFrame([("{bad", 5), ('{"mid":"m"}', 6), ("", 7), ("[1,2]", 8), (None, 9)],
+                                "value string, arrival_ms long")
+    assert rows(FE.log_route(raw)) == [("gmall_event", '{"mid":"m","ts":6}', "1970-01-01")]
+    assert rows(rejected(FE.log_lines(raw))) == [("",), ("",), ("[1,2]",), ("{bad",)]

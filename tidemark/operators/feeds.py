@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import MARKER, prefix_millis, strip_marker
 from tidemark.functions.timefmt import log_date
+from tidemark.operators.parse import accepted, parse_json
 
 # Topic names of the routed feeds.
 TOPIC_STARTUP = "gmall_startup"
@@ -46,18 +47,24 @@ def cdc_route(changes: DataFrame) -> DataFrame:
     return routed.where(F.col("topic").isNotNull())
 
 
+def log_lines(raw: DataFrame, arrival_ms: str = "arrival_ms") -> DataFrame:
+    """Client log lines parsed into ``LOG_LINE`` fields, ``_corrupt`` set for
+    lines that are not a JSON object, and the intake time as ``_a``."""
+    return parse_json(raw.withColumnRenamed(arrival_ms, "_a"), LOG_LINE, keep=("_a",))
+
+
 def log_route(raw: DataFrame, arrival_ms: str = "arrival_ms", zone: str = "UTC") -> DataFrame:
     """Client log lines -> (topic, value, dt): intake time stamped into ``ts``
     (overwriting the client's), startup logs to the startup topic and every
     other line (missing type included) to the event topic; ``dt`` names the
-    daily log file. Unparsable lines are left out (see ``parse.rejected``)."""
-    parsed = F.from_json(F.col("value"), LOG_LINE)
-    stamped = raw.select(parsed.alias("r"), F.col(arrival_ms).alias("_a")).where(
-        F.col("r").isNotNull())
-    line = F.col("r").withField("ts", F.col("_a"))
-    topic = F.when(F.col("r.type") == "startup", F.lit(TOPIC_STARTUP)).otherwise(F.lit(TOPIC_EVENT))
-    return stamped.select(topic.alias("topic"), F.to_json(line).alias("value"),
-                          log_date("_a", zone).alias("dt"))
+    daily log file. Lines that are not a JSON object are not routed
+    (``rejected(log_lines(raw))`` returns them)."""
+    lines = accepted(log_lines(raw, arrival_ms))
+    fields = [f.name for f in LOG_LINE.fields]
+    line = F.struct(*[F.col("_a").alias("ts") if n == "ts" else F.col(n) for n in fields])
+    topic = F.when(F.col("type") == "startup", F.lit(TOPIC_STARTUP)).otherwise(F.lit(TOPIC_EVENT))
+    return lines.select(topic.alias("topic"), F.to_json(line).alias("value"),
+                        log_date("_a", zone).alias("dt"))
 
 
 def strip_topic(records: DataFrame, marker: str = MARKER) -> DataFrame:

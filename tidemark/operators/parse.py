@@ -20,9 +20,15 @@ def parse_json(records: DataFrame, schema: T.StructType, value_col: str = "value
     being pushed below the projection, which would parse every line twice.
     """
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(F.col(value_col), with_corrupt,
+    v = F.col(value_col)
+    parsed = F.from_json(v, with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return records.select(*keep, F.inline(F.array(parsed)))
+    # a null or blank line is not a record either: reject it (as ''). The flag
+    # is applied above the generator so the parse still runs once per line.
+    blank = (v.isNull() | (F.trim(v) == "")).alias("_blank")
+    out = records.select(*keep, blank, F.inline(F.array(parsed)))
+    fixed = F.when(F.col("_blank"), F.lit("")).otherwise(F.col(CORRUPT))
+    return out.withColumn(CORRUPT, fixed).drop("_blank")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
