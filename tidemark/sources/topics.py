@@ -45,3 +45,20 @@ def read_offset_range(spark: SparkSession, topic: str, partition: int, start: in
 def write_topic_files(df: DataFrame, path: str, mode: str = "append") -> None:
     """Offline topic sink: (topic, value[, key, partition]) files split by topic."""
     df.write.mode(mode).partitionBy("topic").parquet(path)
+
+
+def topic_stream_writer(routed: DataFrame, *, kind: str = "files", path: str | None = None,
+                        options: dict | None = None):
+    """Stream sink for rows with a ``topic`` column: one sink, many topics.
+
+    kind='kafka': each row goes to its own ``topic`` (``value`` and optional
+    ``key``/``partition`` columns, per the Kafka sink); ``options`` carry
+    ``kafka.bootstrap.servers``. kind='files': parquet under ``path`` split
+    by topic (exactly-once through the file sink's log).
+    """
+    w = routed.writeStream.outputMode("append").options(**dict(options or {}))
+    if kind == "kafka":
+        return w.format("kafka")
+    if path is None:
+        raise ValueError("files sink needs a path")
+    return w.format("parquet").option("path", path).partitionBy("topic")

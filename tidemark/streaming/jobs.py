@@ -33,6 +33,7 @@ from tidemark.schemas import (CDC_CHANGE, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, O
 from tidemark.session import run_dir
 from tidemark.sources import adapters as AD
 from tidemark.sources.tables import tables
+from tidemark.sources.topics import topic_stream_writer
 
 TRIGGER = "5 seconds"          # the reference's micro-batch interval
 FILES_PER_TRIGGER = 4
@@ -230,11 +231,14 @@ def sale_users_job(order_records, detail_records, users: KeyedTable, index: Keye
                 available_now)
 
 
-def cdc_route_job(changes: DataFrame, out: str, checkpoint: str,
-                  available_now: bool = True) -> StreamingQuery:
+def cdc_route_job(changes: DataFrame, out: str | None, checkpoint: str,
+                  available_now: bool = True, kind: str = "files",
+                  options: dict | None = None) -> StreamingQuery:
+    """Route row changes to their topics through one topic sink (Kafka, or
+    files split by topic)."""
     routed = FE.cdc_route(changes)
-    return _run(routed.writeStream.outputMode("append").format("parquet").option("path", out)
-                .partitionBy("topic"), checkpoint, available_now)
+    return _run(topic_stream_writer(routed, kind=kind, path=out, options=options),
+                checkpoint, available_now)
 
 
 def log_route_job(raw: DataFrame, topic_out: str, daily_out: str, checkpoint: str,
