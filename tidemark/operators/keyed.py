@@ -88,8 +88,11 @@ class KeyedTable:
             f"{self.path}/log/batch_id={int(batch_id)}")
 
     def foreach_batch(self, unique: bool = False):
-        """A ``foreachBatch`` function writing each micro-batch as an upsert."""
+        """A ``foreachBatch`` function writing each micro-batch as an upsert;
+        an empty micro-batch writes nothing (a one-row probe, not a count)."""
         def _write(batch_df: DataFrame, batch_id: int) -> None:
+            if batch_df.isEmpty():
+                return
             self.upsert(batch_df, batch_id, unique)
         return _write
 
