@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed import DEFAULT_DATE, DEFAULT_KEYWORD
 from tidemark.operators import dedup as DD
 from tidemark.operators import metrics as ME
 from tidemark.operators import search as SE
 
-# The dashboard's default arguments.
-DEFAULT_DATE = "2019-03-04"
-DEFAULT_KEYWORD = ""
 DEFAULT_PAGE = 1
 DEFAULT_SIZE = 20
 

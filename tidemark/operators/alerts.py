@@ -15,15 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed import ALERT_MIN_UIDS, ALERT_SLIDE, ALERT_WINDOW, CLICK, COUPON, EVENT_IDS
 from tidemark.functions.timefmt import instant_to_ntz
 
-# Fixed values of the alert rule.
-COUPON = "coupon"
-CLICK = "clickItem"
-EVENT_IDS = ["addFavor", "addComment", "addCart", "clickItem", "coupon"]
-MIN_UIDS = 3
-WINDOW = "60 seconds"
-SLIDE = "5 seconds"
+MIN_UIDS, WINDOW, SLIDE = ALERT_MIN_UIDS, ALERT_WINDOW, ALERT_SLIDE
 
 
 def with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:

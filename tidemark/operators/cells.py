@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: column family of the cell table.
-FAMILY = "hfile-fy"
+from tidemark.fixed import FAMILY
 
 
 def to_cells(rows: DataFrame, key: str = "id", family: str = FAMILY) -> DataFrame:

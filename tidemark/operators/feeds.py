@@ -8,19 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.text import MARKER, prefix_millis, strip_marker
+from tidemark.fixed import (FETCH_BYTES, FIXED_PARTITION, MARKER, TOPIC_EVENT,
+                            TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_STARTUP, TOPIC_USER_INFO)
+from tidemark.functions.text import prefix_millis, strip_marker
 from tidemark.functions.timefmt import log_date
 from tidemark.operators.parse import accepted, parse_json
 
-# Topic names of the routed feeds.
-TOPIC_STARTUP = "gmall_startup"
-TOPIC_EVENT = "gmall_event"
-TOPIC_ORDER_INFO = "gmall_order_info"
-TOPIC_ORDER_DETAIL = "gmall_order_detail"
-TOPIC_USER_INFO = "gmall_user_info"
-FIXED_PARTITION = 1
-FETCH_BYTES = 10 * 1024
-
 # Fields of a client log line (startup and event logs together).
 LOG_LINE = T.StructType([T.StructField(n, t) for n, t in [
     ("type", T.StringType()), ("mid", T.StringType()), ("uid", T.StringType()),

@@ -10,15 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.fixed import TOTAL_ROWS
 from tidemark.functions.stats import band
 from tidemark.functions.timefmt import previous_day_str
 
-# Fixed values shown on the dashboard (ids and labels of the headline list).
-TOTAL_ROWS = [
-    ("dau", "新增日活"),
-    ("new_mid", "新增设备"),
-    ("order_amount", "新增交易额"),
-]
 HOURS = 24
 
 

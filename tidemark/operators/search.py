@@ -11,16 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed import (AGE_BUCKETS, AGE_OPTIONS, AGE_TITLE, GENDER_BUCKETS,  # noqa: F401
+                            GENDER_OPTIONS, GENDER_TITLE)
 from tidemark.functions.stats import percent_1dp
 from tidemark.functions.text import query_terms, tokens
 
-# Share titles and option names as the dashboard shows them.
-GENDER_TITLE = "用户性别占比"
-GENDER_OPTIONS = [("男", "M"), ("女", "F")]
-AGE_TITLE = "用户年龄占比"
-AGE_OPTIONS = ["20岁以下", "20岁到30岁", "30岁以上"]
-GENDER_BUCKETS = 2
-AGE_BUCKETS = 100
 BM25_K1 = 1.2
 BM25_B = 0.75
 

@@ -12,17 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.fixed import (APP_ID, MARKER, TOPIC_EVENT, TOPIC_ORDER_DETAIL,  # noqa: F401
+                            TOPIC_ORDER_INFO, TOPIC_RAW, TOPIC_STARTUP, TOPIC_USER_INFO)
 from tidemark.functions.timefmt import ntz_to_epoch_ms, ntz_to_instant
 from tidemark.sources.tables import Tables
 
-# Fixed values of the feeds (topic names, app id, family, derivation constants).
-TOPIC_STARTUP = "gmall_startup"
-TOPIC_EVENT = "gmall_event"
-TOPIC_ORDER_INFO = "gmall_order_info"
-TOPIC_ORDER_DETAIL = "gmall_order_detail"
-TOPIC_USER_INFO = "gmall_user_info"
-TOPIC_RAW = "first"
-APP_ID = "gmall2019"
+# Derivation rules of the test feeds (see README "Feed rules").
 EVID_OF_EVENT_TYPE = {"purchase": "coupon", "click": "clickItem", "view": "addCart",
                       "error": "addComment", "signup": "addFavor"}
 DETAIL_SKEW_SECONDS = 600       # detail arrival = order arrival + [-600, 600] s
@@ -293,7 +288,7 @@ def cdc_changes(t: Tables) -> DataFrame:
 # ------------------------------------------------------------------ raw topic
 
 def topic_records(t: Tables, topic: str = TOPIC_RAW, partitions: int = 4,
-                  marker: str = "atguigu>>>") -> DataFrame:
+                  marker: str = MARKER) -> DataFrame:
     """Records of a raw topic: partition = user % 4, offset = event id
     (increasing inside a partition, with gaps as compacted topics have),
     marker-prefixed value for even event ids."""
