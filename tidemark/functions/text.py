@@ -42,8 +42,9 @@ def tokens(text) -> Column:
 
 
 def query_terms(keyword: str) -> list[str]:
-    """The same rule applied on the driver to the (short) query string."""
-    import regex
-    low = keyword.lower()
-    low = regex.sub(r"(\p{Han})", r" \1 ", low)
-    return [t for t in regex.split(r"[^\p{L}\p{N}]+", low) if t]
+    """Terms of a (short) query string, cut by the very same Spark expression
+    as the indexed text, so both sides agree on every character (the JVM's
+    Unicode tables, not Python's). A one-row evaluation of a literal."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return list(spark.range(1).select(tokens(F.lit(keyword))).first()[0])

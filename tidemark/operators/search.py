@@ -27,15 +27,10 @@ def keyword_filter(keyword: str | None, field: str = "sku_name"):
     """
     if keyword is None:
         return F.lit(True)
-    terms = query_terms(keyword)
-    if not terms:
-        return F.lit(False)
+    # same tokenizer on both sides; tokens(lit) folds to a constant array
+    terms = tokens(F.lit(keyword))
     toks = tokens(field)
-    pred = None
-    for t in terms:
-        p = F.array_contains(toks, F.lit(t))
-        pred = p if pred is None else pred & p
-    return pred
+    return (F.size(terms) > 0) & F.forall(terms, lambda t: F.array_contains(toks, t))
 
 
 def search(index: DataFrame, date: str, keyword: str | None) -> DataFrame:
