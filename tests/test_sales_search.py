@@ -115,3 +115,17 @@ def test_terms_and_shares(spark):
     assert [r["value"] for r in SE.gender_share(only_m).collect()] == [100.0, 0.0]
     four = SE.sale_search(idx, "2019-03-04", "cup", 1, 20)
     assert set(four) == {"detail", "total", "gender", "age"} and four["total"].first()[0] == 3
+
+
+def test_salted_join_equals_plain_join_on_a_hot_order(spark):
+    base = _ts("2019-03-04 10:00:00")
+    o = _orders(spark, [("hot", "1", "t", "u1", "2019-03-04", base),
+                        ("cold", "1", "t", "u1", "2019-03-04", base)])
+    d = _details(spark, [(f"d{i}", "hot", "s", "n", "1.00", base) for i in range(50)]
+                 + [("c1", "cold", "s", "n", "1.00", base)])
+    plain = rows(SA.sale_detail(o, d, 300), "order_detail_id", "order_id")
+    so, sd = SA.salt_pair(o, d, 4)
+    salted = rows(SA.sale_detail(so, sd, 300), "order_detail_id", "order_id")
+    assert salted == plain and len(plain) == 51
+    spread = sd.where(F.col("order_id") == "hot").select("_salt").distinct().count()
+    assert spread > 1                                   # the hot order's details are split

@@ -41,6 +41,18 @@ def order_detail_outer(orders: DataFrame, details: DataFrame, batch_seconds: int
     return with_order.unionByName(alone)
 
 
+def salt_pair(orders: DataFrame, details: DataFrame, salt: int):
+    """Split hot orders over ``salt`` tasks: every order row is repeated for
+    salt values 0..salt-1, every detail takes ``xxhash64(id) mod salt``; the
+    join then also matches on ``_salt``. Costs ``salt`` times the order
+    side; used where AQE's skew splitting is not available (streams)."""
+    if salt <= 1:
+        return orders, details
+    o = orders.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    d = details.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salt)).cast("int"))
+    return o, d
+
+
 def sale_detail(orders: DataFrame, details: DataFrame,
                 within_seconds: int | None = None) -> DataFrame:
     """Pair every detail with its order; with ``within_seconds``, only pairs
@@ -53,6 +65,8 @@ def sale_detail(orders: DataFrame, details: DataFrame,
     o = orders.alias("o")
     d = details.alias("d")
     cond = F.col("o.id") == F.col("d.order_id")
+    if "_salt" in orders.columns and "_salt" in details.columns:
+        cond = cond & (F.col("o._salt") == F.col("d._salt"))
     if within_seconds is not None:
         # ``ts +/- INTERVAL`` form: on streams the join reads its state
         # eviction bounds from it.

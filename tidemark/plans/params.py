@@ -25,3 +25,4 @@ OFFSET_START = 108
 OFFSET_MAX_BYTES = 10 * 1024
 BAND_WIDTH = 100
 STREAM_SLICES = 4                  # input files (one per trigger) for stream runs
+STREAM_JOIN_SALT = 2               # salt of the registered order/detail stream join

@@ -178,18 +178,21 @@ def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
 
 
 def sale_join_frame(order_records: DataFrame, detail_records: DataFrame, delay: str,
-                    within_seconds: int = P.JOIN_SECONDS) -> DataFrame:
-    """Interval join of the order and detail streams on arrival time."""
+                    within_seconds: int = P.JOIN_SECONDS, salt: int = 1) -> DataFrame:
+    """Interval join of the order and detail streams on arrival time. With
+    ``salt`` > 1 a hot order's details are spread over that many tasks
+    (streaming queries have no AQE skew splitting)."""
     o = clean_orders(accepted(parse_json(order_records, ORDER_INFO, keep=("timestamp",))))
     o = o.withColumnRenamed("timestamp", "arrival").withWatermark("arrival", delay)
     d = accepted(parse_json(detail_records, ORDER_DETAIL, keep=("timestamp",)))
     d = d.withColumnRenamed("timestamp", "arrival").withWatermark("arrival", delay)
+    o, d = SA.salt_pair(o, d, salt)
     return SA.sale_detail(o, d, within_seconds)
 
 
 def sale_join_job(order_records, detail_records, out: str, checkpoint: str, delay: str,
-                  available_now: bool = True) -> StreamingQuery:
-    pairs = sale_join_frame(order_records, detail_records, delay)
+                  available_now: bool = True, salt: int = 1) -> StreamingQuery:
+    pairs = sale_join_frame(order_records, detail_records, delay, salt=salt)
     return _run(pairs.writeStream.outputMode("append").format("parquet").option("path", out),
                 checkpoint, available_now)
 
@@ -337,7 +340,8 @@ def q_stream_sale_join(spark, root):
     span = _stage_sales(spark, t, base)
     q = sale_join_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
                       file_stream(spark, f"{base}/details", TOPIC_RECORD),
-                      f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS))
+                      f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
+                      salt=P.STREAM_JOIN_SALT)
     _finish(q, "stream_sale_join")
     return spark.read.parquet(f"{base}/out")
 
