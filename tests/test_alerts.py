@@ -55,3 +55,19 @@ def test_keyed_alert_one_per_mid_minute(spark):
     m0 = str((T0 // 60000))
     assert [d for d, _ in got] == [f"m_{m0}", f"m_{int(m0) + 1}"]
     assert got[0][1] == "2024-01-01 00:00:55"      # latest window end of minute 0 wins
+
+
+def test_pane_aggregation_equals_window_aggregation(spark):
+    import random
+    rnd = random.Random(7)
+    evs = ["coupon", "coupon", "addCart", "clickItem", "addFavor"]
+    data = [(f"m{rnd.randrange(4)}", f"u{rnd.randrange(6)}", rnd.choice(evs), str(rnd.randrange(5)),
+             T0 + rnd.randrange(0, 600) * S) for _ in range(400)]
+    ev = AL.with_event_time(_events(spark, data))
+    direct = AL.window_aggregate(ev, "60 seconds", "5 seconds")
+    panes = AL.window_aggregate_panes(ev, "60 seconds", "5 seconds")
+    cols = ["mid", "window_start_ts", "window_end_ts", "event_count", "has_click", "n_coupon"]
+    from pyspark.sql import functions as F
+    norm = [F.array_sort("uids").alias("u"), F.array_sort("itemids").alias("i")]
+    assert rows(direct.select(*cols, *norm)) == rows(panes.select(*cols, *norm))
+    assert rows(AL.alerts(direct)) == rows(AL.alerts(panes))

@@ -43,6 +43,46 @@ def window_aggregate(events: DataFrame, window: str = WINDOW, slide: str = SLIDE
                       F.col("w.end").alias("window_end_ts"), *rest)
 
 
+def _seconds(interval: str) -> int:
+    n, unit = interval.split()
+    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    return int(n) * mult[unit.rstrip("s").lower()]
+
+
+def window_aggregate_panes(events: DataFrame, window: str = WINDOW,
+                           slide: str = SLIDE) -> DataFrame:
+    """Batch form of ``window_aggregate`` built from panes.
+
+    Events are aggregated once per (mid, slide-long pane); each window is
+    then assembled from its panes (window / slide of them, so the fan-out
+    multiplies pane rows, not events) by merging sets and adding counts.
+    Same output as ``window_aggregate``; needs window a multiple of slide.
+    """
+    w_s, s_s = _seconds(window), _seconds(slide)
+    if w_s % s_s:
+        return window_aggregate(events, window, slide)
+    evid = F.col("evid")
+    is_coupon = evid == COUPON
+    pane = F.window("event_time", slide).start
+    panes = events.groupBy("mid", pane.alias("pane")).agg(
+        F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
+        F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("itemids"),
+        F.count(F.lit(1)).alias("event_count"),
+        F.bool_or(evid == CLICK).alias("has_click"),
+        *[F.count_if(evid == e).alias(f"n_{e}") for e in EVENT_IDS])
+    # every window holding the pane: starts pane - i*slide, i = 0..window/slide-1
+    i = F.explode(F.sequence(F.lit(0), F.lit(w_s // s_s - 1))).alias("_i")
+    spread = panes.select("*", i).withColumn(
+        "window_start_ts", F.timestamp_add("SECOND", -F.col("_i") * s_s, F.col("pane")))
+    return spread.groupBy("mid", "window_start_ts").agg(
+        F.timestamp_add("SECOND", F.lit(w_s), F.first("window_start_ts")).alias("window_end_ts"),
+        F.array_distinct(F.flatten(F.collect_list("uids"))).alias("uids"),
+        F.array_distinct(F.flatten(F.collect_list("itemids"))).alias("itemids"),
+        F.sum("event_count").alias("event_count"),
+        F.bool_or("has_click").alias("has_click"),
+        *[F.sum(f"n_{e}").alias(f"n_{e}") for e in EVENT_IDS])
+
+
 def _fmt(ts):
     return F.date_format(instant_to_ntz(ts), "yyyy-MM-dd HH:mm:ss")
 
@@ -66,7 +106,8 @@ def alerts(agg: DataFrame, min_uids: int = MIN_UIDS) -> DataFrame:
 
 def coupon_alerts(events: DataFrame, window: str = WINDOW, slide: str = SLIDE,
                   min_uids: int = MIN_UIDS) -> DataFrame:
-    return alerts(window_aggregate(with_event_time(events), window, slide), min_uids)
+    """Batch alerts (pane-based aggregation)."""
+    return alerts(window_aggregate_panes(with_event_time(events), window, slide), min_uids)
 
 
 def keyed_alerts(alert_rows: DataFrame) -> DataFrame:
