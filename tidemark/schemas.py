@@ -54,3 +54,22 @@ ORDER_SINK_COLUMNS = ["ID", "PROVINCE_ID", "CONSIGNEE", "ORDER_COMMENT", "CONSIG
 SALE_DETAIL_COLUMNS = ["order_detail_id", "order_id", "order_status", "create_time", "user_id",
                        "sku_id", "user_gender", "user_age", "user_level", "sku_price",
                        "sku_name", "dt"]
+
+
+# Keyed-table rows of the order sink and the sale index, and the joined
+# (order, detail) pair before the user merge.
+ORDER_SINK_ROW = T.StructType([T.StructField(c, T.DoubleType() if c == "TOTAL_AMOUNT"
+                                             else T.StringType()) for c in ORDER_SINK_COLUMNS])
+
+SALE_ROW = T.StructType([T.StructField(n, t) for n, t in [
+    ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
+    ("order_status", T.StringType()), ("create_time", T.StringType()),
+    ("user_id", T.StringType()), ("sku_id", T.StringType()), ("user_gender", T.StringType()),
+    ("user_age", T.IntegerType()), ("user_level", T.StringType()), ("sku_price", T.DoubleType()),
+    ("sku_name", T.StringType()), ("dt", T.StringType())]])
+
+SA_PAIR_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
+    ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
+    ("order_status", T.StringType()), ("create_time", T.StringType()),
+    ("user_id", T.StringType()), ("sku_id", T.StringType()), ("sku_price", T.DoubleType()),
+    ("sku_name", T.StringType()), ("dt", T.StringType())]])

@@ -28,8 +28,9 @@ from tidemark.operators.keyed import KeyedTable
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.plans import params as P
-from tidemark.schemas import (CDC_CHANGE, EVENT_LOG, ORDER_DETAIL, ORDER_INFO, ORDER_SINK_COLUMNS,
-                              SALE_DETAIL_COLUMNS, STARTUP_LOG, TOPIC_RECORD, USER_INFO)
+from tidemark.schemas import (CDC_CHANGE, EVENT_LOG, ORDER_DETAIL, ORDER_INFO,  # noqa: F401
+                              ORDER_SINK_ROW, SA_PAIR_SCHEMA, SALE_DETAIL_COLUMNS, SALE_ROW,
+                              STARTUP_LOG, TOPIC_RECORD, USER_INFO)
 from tidemark.session import run_dir
 from tidemark.sources import adapters as AD
 from tidemark.sources.tables import tables
@@ -311,10 +312,6 @@ def _detail_records(t):
     return _topic(d, AD.TOPIC_ORDER_DETAIL, ORDER_DETAIL, "at")
 
 
-ORDER_SINK_ROW = T.StructType([T.StructField(c, T.DoubleType() if c == "TOTAL_AMOUNT"
-                                             else T.StringType()) for c in ORDER_SINK_COLUMNS])
-
-
 def q_stream_orders(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-orders")
@@ -366,20 +363,6 @@ def q_stream_sale_users(spark, root):
     return index.read()
 
 
-SALE_ROW = T.StructType([T.StructField(n, t) for n, t in [
-    ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
-    ("order_status", T.StringType()), ("create_time", T.StringType()),
-    ("user_id", T.StringType()), ("sku_id", T.StringType()), ("user_gender", T.StringType()),
-    ("user_age", T.IntegerType()), ("user_level", T.StringType()), ("sku_price", T.DoubleType()),
-    ("sku_name", T.StringType()), ("dt", T.StringType())]])
-
-SA_PAIR_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
-    ("order_detail_id", T.StringType()), ("order_id", T.StringType()),
-    ("order_status", T.StringType()), ("create_time", T.StringType()),
-    ("user_id", T.StringType()), ("sku_id", T.StringType()), ("sku_price", T.DoubleType()),
-    ("sku_name", T.StringType()), ("dt", T.StringType())]])
-
-
 def q_stream_cdc_route(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-cdc")
