@@ -25,3 +25,18 @@ def test_sale_detail_defaults_and_stat_json(spark):
     doc = json.loads(api.stats_as_json(res["gender"]).first()[0])
     assert doc == {"title": SE.GENDER_TITLE, "options": [{"name": "男", "value": 100.0},
                                                          {"name": "女", "value": 0.0}]}
+
+
+def test_search_over_materialized_index(spark):
+    from tidemark.operators.keyed import KeyedTable
+    from tidemark.schemas import SALE_ROW
+    from tidemark.session import run_dir
+    rows_ = [("d1", "o1", "1", "t", "u1", "s", "M", 25, "L", 1.0, "red cup", "2019-03-04"),
+             ("d2", "o2", "1", "t", "u2", "s", "F", 35, "L", 2.0, "blue cup", "2019-03-04"),
+             ("d3", "o3", "1", "t", "u3", "s", "F", 15, "L", 3.0, "red cup", "2019-03-05")]
+    index = KeyedTable(spark, run_dir(spark, "index-test"), SALE_ROW, ["order_detail_id"], part="dt")
+    index.upsert(spark.createDataFrame(rows_, SALE_ROW), 0)
+    res = api.search_index(index, keyword="cup")
+    assert res["total"].first()[0] == 2
+    assert [r[0] for r in res["detail"].select("order_detail_id").collect()] == ["d1", "d2"]
+    assert [r["value"] for r in res["age"].collect()] == [0.0, 50.0, 50.0]

@@ -52,3 +52,14 @@ def stats_as_json(share: DataFrame) -> DataFrame:
     return share.groupBy("title").agg(
         F.collect_list(F.struct("name", "value")).alias("options")).select(
         F.to_json(F.struct("title", "options")).alias("json"))
+
+
+def search_index(index, date: str = DEFAULT_DATE, startpage: int = DEFAULT_PAGE,
+                 size: int = DEFAULT_SIZE, keyword: str | None = DEFAULT_KEYWORD) -> dict:
+    """The same four results read from a materialized sale index (a
+    ``KeyedTable`` keyed by order_detail_id, partitioned by ``dt``): hits come
+    from the date's partition only, scoring statistics from the whole index."""
+    day = index.read(F.col("dt") == date)
+    hits = SE.search(day, date, keyword)
+    return {"detail": SE.page(day, date, keyword, startpage, size, corpus=index.read()),
+            "total": SE.total(hits), "gender": SE.gender_share(hits), "age": SE.age_share(hits)}
