@@ -88,12 +88,17 @@ class KeyedTable:
             f"{self.path}/log/batch_id={int(batch_id)}")
 
     def foreach_batch(self, unique: bool = False):
-        """A ``foreachBatch`` function writing each micro-batch as an upsert;
-        an empty micro-batch writes nothing (a one-row probe, not a count)."""
+        """A ``foreachBatch`` function writing each micro-batch as an upsert.
+        The batch is cached first, so the emptiness probe and the write do not
+        run the streaming plan (and its state updates) twice; an empty
+        micro-batch writes nothing."""
         def _write(batch_df: DataFrame, batch_id: int) -> None:
-            if batch_df.isEmpty():
-                return
-            self.upsert(batch_df, batch_id, unique)
+            b = batch_df.persist()
+            try:
+                if not b.isEmpty():
+                    self.upsert(b, batch_id, unique)
+            finally:
+                b.unpersist()
         return _write
 
     # ------------------------------------------------------------- reading

@@ -27,10 +27,17 @@ def keyword_filter(keyword: str | None, field: str = "sku_name"):
     """
     if keyword is None:
         return F.lit(True)
-    # same tokenizer on both sides; tokens(lit) folds to a constant array
-    terms = tokens(F.lit(keyword))
+    # the query is cut once by the same tokenizer as the field, then bound as
+    # literals (a tokenizer over a literal would run again for every row)
+    terms = query_terms(keyword)
+    if not terms:
+        return F.lit(False)
     toks = tokens(field)
-    return (F.size(terms) > 0) & F.forall(terms, lambda t: F.array_contains(toks, t))
+    pred = None
+    for t in terms:
+        p = F.array_contains(toks, F.lit(t))
+        pred = p if pred is None else pred & p
+    return pred
 
 
 def search(index: DataFrame, date: str, keyword: str | None) -> DataFrame:
