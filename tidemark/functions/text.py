@@ -41,10 +41,11 @@ def tokens(text) -> Column:
     return F.filter(F.split(spaced, _SEP), lambda t: t != F.lit(""))
 
 
-def query_terms(keyword: str) -> list[str]:
+def query_terms(keyword: str, spark=None) -> list[str]:
     """Terms of a (short) query string, cut by the very same Spark expression
     as the indexed text, so both sides agree on every character (the JVM's
     Unicode tables, not Python's). A one-row evaluation of a literal."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
+    if spark is None:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
     return list(spark.range(1).select(tokens(F.lit(keyword))).first()[0])

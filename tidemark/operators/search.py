@@ -20,7 +20,7 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 
-def keyword_filter(keyword: str | None, field: str = "sku_name"):
+def keyword_filter(keyword: str | None, field: str = "sku_name", spark=None):
     """Column predicate: every analysed query term occurs in ``field``.
 
     ``None`` means no keyword clause; a keyword with no terms matches nothing.
@@ -29,7 +29,7 @@ def keyword_filter(keyword: str | None, field: str = "sku_name"):
         return F.lit(True)
     # the query is cut once by the same tokenizer as the field, then bound as
     # literals (a tokenizer over a literal would run again for every row)
-    terms = query_terms(keyword)
+    terms = query_terms(keyword, spark)
     if not terms:
         return F.lit(False)
     toks = tokens(field)
@@ -42,7 +42,7 @@ def keyword_filter(keyword: str | None, field: str = "sku_name"):
 
 def search(index: DataFrame, date: str, keyword: str | None) -> DataFrame:
     """Rows of ``date`` (unscored filter) that match ``keyword`` (all terms)."""
-    return index.where((F.col("dt") == date) & keyword_filter(keyword))
+    return index.where((F.col("dt") == date) & keyword_filter(keyword, spark=index.sparkSession))
 
 
 def total(hits: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def bm25(corpus: DataFrame, hits: DataFrame, keyword: str | None, field: str = "
     and bound into the scoring expression as literals. Separate scalar
     subqueries would each re-run the corpus plan.
     """
-    terms = list(dict.fromkeys(query_terms(keyword))) if keyword else []
+    terms = list(dict.fromkeys(query_terms(keyword, corpus.sparkSession))) if keyword else []
     if not terms:
         return hits.withColumn("score", F.lit(0.0))
     toks = tokens(field)
