@@ -155,3 +155,15 @@ def test_order_stream_rejects_and_sale_users_rejects(spark):
                                f"{base}/ck2", "10 minutes", rejects=f"{base}/nu"))
     assert rows(index.read(), "order_detail_id", "user_gender") == [("d1", "F")]   # once
     assert rows(spark.read.parquet(f"{base}/nu"), "order_detail_id", "user_id") == [("d2", "u9")]
+
+
+def test_apps_launcher_drains_a_topic_folder(spark):
+    from tidemark import apps
+    base = run_dir(spark, "t-apps")
+    _write_batches(spark, f"{base}/topics", [[_log("m1", DAY1 + H), _log("m2", DAY1 + 2 * H)],
+                                             [_order("o1", DAY1)]])
+    q = apps.start(spark, "dau", kind="files", path=f"{base}/topics", out=f"{base}/dau",
+                   checkpoint=f"{base}/ck", once=True)
+    J._finish(q)
+    kt = KeyedTable(spark, f"{base}/dau", J.STARTUP_ROW, ["logdate", "mid"], part="logdate")
+    assert rows(kt.read(), "mid") == [("m1",), ("m2",)]          # order record not subscribed
