@@ -38,7 +38,8 @@ def prefix_millis(value, ts) -> Column:
 def tokens(text) -> Column:
     """Analysed terms of ``text`` as an array (duplicates kept, for tf)."""
     spaced = F.regexp_replace(F.lower(_c(text)), _CJK, " $1 ")
-    return F.filter(F.split(spaced, _SEP), lambda t: t != F.lit(""))
+    # array_remove, not a lambda filter: stays inside generated code
+    return F.array_remove(F.split(spaced, _SEP), "")
 
 
 def query_terms(keyword: str, spark=None) -> list[str]:

@@ -74,7 +74,7 @@ def bm25(corpus: DataFrame, hits: DataFrame, keyword: str | None, field: str = "
     for i, t in enumerate(terms):
         df_t = float(st[f"df{i}"])
         idf = F.log(F.lit(1.0) + F.lit((n_docs - df_t + 0.5) / (df_t + 0.5)))
-        tf = F.size(F.filter(toks, lambda x: x == F.lit(t))).cast("double")
+        tf = (F.size(toks) - F.size(F.array_remove(toks, t))).cast("double")   # occurrences of t
         score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / F.lit(avgdl)))
     return hits.withColumn("score", F.round(score, 6))
 
