@@ -93,9 +93,10 @@ def alerts(agg: DataFrame, min_uids: int = MIN_UIDS) -> DataFrame:
     Output: mid, window_start, window_end, uids, itemids (sorted, comma
     joined), events ('evid:count' for each event id seen), event_count.
     """
-    ev = F.concat_ws(",", F.filter(F.array(*[
+    # concat_ws skips the nulls of event ids that did not occur
+    ev = F.concat_ws(",", *[
         F.when(F.col(f"n_{e}") > 0, F.concat(F.lit(e + ":"), F.col(f"n_{e}").cast("string")))
-        for e in EVENT_IDS]), lambda x: x.isNotNull()))
+        for e in EVENT_IDS])
     return agg.where(~F.col("has_click") & (F.size("uids") >= min_uids)).select(
         "mid", _fmt(F.col("window_start_ts")).alias("window_start"),
         _fmt(F.col("window_end_ts")).alias("window_end"),
