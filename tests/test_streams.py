@@ -167,3 +167,22 @@ def test_apps_launcher_drains_a_topic_folder(spark):
     J._finish(q)
     kt = KeyedTable(spark, f"{base}/dau", J.STARTUP_ROW, ["logdate", "mid"], part="logdate")
     assert rows(kt.read(), "mid") == [("m1",), ("m2",)]          # order record not subscribed
+
+
+def test_apps_cdc_and_logs(spark):
+    from tidemark import apps
+    from tidemark.schemas import CDC_CHANGE
+    base = run_dir(spark, "t-apps2")
+    spark.createDataFrame([("user_info", "ROWDATA", "UPDATE", {"id": "1"}, dt.datetime(2024, 1, 1), 1),
+                           ("order_info", "ROWDATA", "DELETE", {"id": "2"}, dt.datetime(2024, 1, 1), 2)],
+                          CDC_CHANGE).write.parquet(f"{base}/cdc")
+    J._finish(apps.start(spark, "cdc", kind="files", path=f"{base}/cdc", out=f"{base}/routed",
+                         checkpoint=f"{base}/ck1", once=True))
+    assert rows(spark.read.parquet(f"{base}/routed"), "topic", "value") == [
+        ("gmall_user_info", '{"id":"1"}')]
+    spark.createDataFrame([('{"type":"startup","mid":"m"}', 1704153600000), ("{bad", 1)],
+                          apps.LOG_INPUT).write.parquet(f"{base}/logs")
+    J._finish(apps.start(spark, "logs", kind="files", path=f"{base}/logs", out=f"{base}/out",
+                         checkpoint=f"{base}/ck2", once=True))
+    daily = [r[0] for r in spark.read.text(f"{base}/out/daily").collect()]
+    assert daily == ['{"type":"startup","mid":"m","ts":1704153600000}']

@@ -13,17 +13,21 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from tidemark.fixed import (ALERT_SLIDE, ALERT_WINDOW, TOPIC_EVENT, TOPIC_ORDER_DETAIL,
                             TOPIC_ORDER_INFO, TOPIC_STARTUP)
 from tidemark.operators import alerts as AL
 from tidemark.operators.keyed import KeyedTable
 from tidemark.operators.parse import accepted, parse_json
-from tidemark.schemas import EVENT_LOG, ORDER_SINK_ROW, TOPIC_RECORD
+from tidemark.schemas import CDC_CHANGE, EVENT_LOG, ORDER_SINK_ROW, TOPIC_RECORD
 from tidemark.sources.topics import read_topics
 from tidemark.streaming import jobs as J
 
-APPS = ("dau", "alert", "orders", "sale_join", "strip")
+APPS = ("dau", "alert", "orders", "sale_join", "strip", "cdc", "logs")
+
+LOG_INPUT = T.StructType([T.StructField("value", T.StringType()),
+                          T.StructField("arrival_ms", T.LongType())])
 
 
 def _source(spark: SparkSession, topics: list[str], kind: str, path: str | None,
@@ -59,6 +63,14 @@ def start(spark: SparkSession, app: str, *, kind: str, out: str, checkpoint: str
     if app == "strip":
         return J.strip_job(_source(spark, ["first"], kind, path, servers), out, checkpoint,
                            available_now=not live)
+    if app == "cdc":          # change rows (table, entry_type, event_type, after, ...) as files
+        changes = J.file_stream(spark, path, CDC_CHANGE)
+        return J.cdc_route_job(changes, out, checkpoint, available_now=not live,
+                               kind="kafka" if servers else "files",
+                               options={"kafka.bootstrap.servers": servers} if servers else None)
+    if app == "logs":         # intake lines (value, arrival_ms) as files
+        return J.log_route_job(J.file_stream(spark, path, LOG_INPUT), f"{out}/topics",
+                               f"{out}/daily", checkpoint, available_now=not live)
     raise ValueError(f"unknown app {app!r}; one of {APPS}")
 
 
