@@ -40,3 +40,12 @@ def test_search_over_materialized_index(spark):
     assert res["total"].first()[0] == 2
     assert [r[0] for r in res["detail"].select("order_detail_id").collect()] == ["d1", "d2"]
     assert [r["value"] for r in res["age"].collect()] == [0.0, 50.0, 50.0]
+
+
+def test_realtime_total_default_date(spark):
+    dau = spark.createDataFrame([("2019-03-04", "m1"), ("2019-03-03", "m1"), ("2019-03-04", "m2")],
+                                "logdate string, mid string")
+    orders = spark.createDataFrame([("2019-03-04", 10.0), ("2019-03-04", 2.5)],
+                                   "create_date string, total_amount double")
+    got = {r["id"]: r["value"] for r in api.realtime_total(dau, orders).collect()}
+    assert got == {"dau": 2.0, "new_mid": 1.0, "order_amount": 12.5}   # m1 was new the day before
