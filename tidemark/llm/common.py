@@ -32,7 +32,13 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Bounds the rows of an Arrow batch, so that a batch of long texts fits a worker."""
+    """Bounds the rows of an Arrow batch, so that a batch of long texts fits a
+    worker, and lets workers of this machine import the package from where the
+    driver has it (a cluster's launcher ships it)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
@@ -96,11 +102,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 FILTER_BITS = 27
 
 
-def _slices_of_bits(groups, bits: int):
-    for key, frame in groups:
-        yield key, frame
-
-
 def bitmap(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """A bitmap of the lowest ``bits`` bits of a column of longs (its only column).
 

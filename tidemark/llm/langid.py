@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import common
 
@@ -174,26 +175,33 @@ class Model:
 _MODELS: dict = {}
 
 
-def identify(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score (the winner's share of 2 ** -bits) of every text.
+def identify_rows(docs: DataFrame, texts: dict[str, str], text_col: str = "text") -> DataFrame:
+    """The rows with lang_pred and score (the winner's share of 2 ** -bits) of their text.
 
     ``texts`` is the text of each language, as :func:`sample` gives it; each
     worker builds its automata once."""
     common.arrow_batches(docs.sparkSession)
     name, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(texts)
+    schema = T.StructType([f for f in docs.schema if f.name not in ("lang_pred", "score")])
+    docs = docs.select(*schema.names)
 
     def run(batches):
         if name not in _MODELS:
             _MODELS.clear()
             _MODELS[name] = Model(shared.value)
         for batch in batches:
-            for part in common.slices(batch):
-                langs, scores = _MODELS[name].predict(part.column("text").to_pylist())
+            for part in common.slices(batch, text_col):
+                langs, scores = _MODELS[name].predict(part.column(text_col).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                    ["doc_id", "lang_pred", "score"])
+                    [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    [*part.schema.names, "lang_pred", "score"])
+
+    return docs.mapInArrow(run, T.StructType(list(schema)).add("lang_pred", "string").add("score", "double"))
 
-    return common.narrow(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+
+def identify(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred, score of every text."""
+    return identify_rows(common.narrow(docs, id_col, text_col), texts).select("doc_id", "lang_pred", "score")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -139,7 +139,7 @@ def next_ids(ids: DataFrame) -> DataFrame:
     """
     spark = ids.sparkSession
     dealt = common.written(
-        ids.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg()
+        ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
         .repartitionByRange(common.n_ranges(spark), F.desc("doc_id"))
         .withColumn("part", F.spark_partition_id()), "ids")
     inside = dealt.withColumn("next_id", F.lead("doc_id").over(Window.partitionBy("part").orderBy(F.desc("doc_id"))))
