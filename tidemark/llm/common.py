@@ -113,18 +113,16 @@ def bitmap(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     mask = (1 << bits) - 1
     step = min(bits, 20)
 
-    def build(frame):
-        import pandas as pd
-
+    def build(bits_set: pa.Table) -> pa.Table:
         packed = np.zeros((1 << step) // 8, np.uint8)
-        low = frame["bit"].to_numpy() & ((1 << step) - 1)
+        low = bits_set.column("bit").to_numpy() & ((1 << step) - 1)
         np.bitwise_or.at(packed, low >> 3, (1 << (low & 7)).astype(np.uint8))
-        return pd.DataFrame({"slice": [int(frame["slice"].iloc[0])], "packed": [packed.tobytes()]})
+        return pa.table({"slice": bits_set.column("slice").slice(0, 1), "packed": pa.array([packed.tobytes()], pa.binary())})
 
     got = (values.where(F.col(name).isNotNull())
            .select(F.col(name).bitwiseAND(F.lit(mask)).alias("bit")).distinct()
            .withColumn("slice", F.shiftrightunsigned("bit", step))
-           .groupBy("slice").applyInPandas(build, "slice bigint, packed binary").collect())
+           .groupBy("slice").applyInArrow(build, "slice bigint, packed binary").collect())
     out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
     size = (1 << step) // 8
     for row in got:
@@ -140,22 +138,20 @@ def in_bitmap(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ hashes, counted in blobs
 
-def hash_counts(blobs: DataFrame, least: int, keep_counts: bool = False) -> DataFrame:
+def hash_counts(blobs: DataFrame, least: int) -> DataFrame:
     """Hashes that occur at least ``least`` times in packed arrays of them.
 
     ``blobs``: (range int, hashes binary): little-endian uint32 arrays whose
     values all belong to that range of the hash space. Each range is put
     together in one task; ranges are as many as the caller made.
     """
-    def count(key, frames):
-        import pandas as pd
-
-        hashes = np.concatenate([np.frombuffer(b, np.uint32) for f in frames for b in f["hashes"]])
+    def count(blobs: pa.Table) -> pa.Table:
+        hashes = np.concatenate([np.frombuffer(b, np.uint32) for b in blobs.column("hashes").to_pylist()])
         values, counts = np.unique(hashes, return_counts=True)
         often = counts >= least
-        yield pd.DataFrame({"hash": values[often].astype(np.int64), "n": counts[often].astype(np.int64)})
+        return pa.table({"hash": values[often].astype(np.int64), "n": counts[often].astype(np.int64)})
 
-    return blobs.groupBy("range").applyInPandas(count, "hash bigint, n bigint")
+    return blobs.groupBy("range").applyInArrow(count, "hash bigint, n bigint")
 
 
 def to_ranges(hashes: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes]]:

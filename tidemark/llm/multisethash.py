@@ -130,54 +130,52 @@ def with_lanes(df: DataFrame, text: str, name: str) -> DataFrame:
             .withColumn(name, lanes(F.col("_p"), F.col("_c"))).drop("_p", "_c"))
 
 
-def next_ids(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id): the next smaller id, and the largest after the smallest.
+def _bucket(doc_id: Column, firsts: list[int]) -> Column:
+    """Which of the id ranges that begin (descending) at ``firsts`` holds an id; null ids are in the last.
 
-    Ids are range-partitioned; the order inside a partition is a window, and
-    each partition's last id takes the first of the next partition that has
-    rows, from a table of one row a partition. Null ids have no next.
-    """
-    spark = ids.sparkSession
-    dealt = common.written(
-        ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-        .repartitionByRange(common.n_ranges(spark), F.desc("doc_id"))
-        .withColumn("part", F.spark_partition_id()), "ids")
-    inside = dealt.withColumn("next_id", F.lead("doc_id").over(Window.partitionBy("part").orderBy(F.desc("doc_id"))))
-    # one row a partition: as many as shuffle partitions
-    parts = dealt.groupBy("part").agg(F.max("doc_id").alias("first"))
-    order = Window.orderBy("part")
-    heads = parts.select("part", F.lead("first").over(order).alias("after"), F.max("first").over(
-        Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("top"))
-    return inside.join(F.broadcast(heads), "part").select(
-        "doc_id", F.coalesce("next_id", "after", "top").alias("next_id"))
+    Two steps over about the square root of the ranges each."""
+    if not firsts:
+        return F.lit(0)
+    step = max(1, int(len(firsts) ** 0.5))
+    coarse = F.array(*[F.lit(x) for x in firsts[::step]])
+    fine = F.array(*[F.lit(x) for x in firsts])
+    group = F.greatest(F.size(F.filter(coarse, lambda f: f >= doc_id)) - 1, F.lit(0)) * step
+    inside = F.size(F.filter(F.slice(fine, group + 1, F.lit(step)), lambda f: f >= doc_id))
+    return F.when(doc_id.isNull(), F.lit(len(firsts) - 1)).otherwise(group + inside - 1)
 
 
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document with its edited text, whose last third is the head of the
-    next document in descending id (after the last: the first).
+    next document in descending id (after the last: the first). Rows of one id
+    follow one another by text; null ids come last.
 
-    Texts are shuffled by id once and used twice; only the heads travel from
-    a document to its predecessor. A null id has no next document and so an
-    empty head. Of rows with one id, the one with the smallest head goes on.
+    Ids are cut into even ranges, four for each shuffle partition; texts are
+    shuffled once, by range, and a window takes the next row inside a range.
+    A range's last row takes the first row of the next range, from a table of
+    one row a range.
     """
-    needs = common.narrow(docs, id_col, text_col).select("doc_id", _third(F.coalesce("text", F.lit(""))).alias("need"))
-    asked = (next_ids(needs.select("doc_id"))
-             .join(needs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("need").alias("most")), "doc_id")
-             .withColumnRenamed("doc_id", "for_id"))
-    prints = fingerprints(docs, id_col, text_col)
-    named = prints.where(F.col("doc_id").isNotNull())
-    heads = (asked.join(named, asked["next_id"] == F.col("doc_id"))
-             .groupBy("for_id").agg(F.min(F.struct(F.col("text").substr(F.lit(1), F.col("most")).alias("head"),
-                                                   F.col("lanes").alias("next_lanes"))).alias("n")))
-    joined = named.join(heads, named["doc_id"] == heads["for_id"], "left").select(
-        "doc_id", "text", "lanes", F.coalesce("n.head", F.lit("")).alias("head"), F.col("n.next_lanes").alias("next_lanes"))
-    alone = prints.where(F.col("doc_id").isNull()).select(
-        "doc_id", "text", "lanes", F.lit("").alias("head"), F.lit(None).cast("array<bigint>").alias("next_lanes"))
+    spark = docs.sparkSession
+    base = common.narrow(docs, id_col, text_col)
+    dealt = (base.select("doc_id").where(F.col("doc_id").isNotNull())
+             .repartitionByRange(4 * common.n_ranges(spark), F.desc("doc_id")))
+    # one row a range: as many as a multiple of the shuffle partitions
+    firsts = sorted((r["first"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.max("doc_id").alias("first")).collect()),
+                    reverse=True)
+    follows = spark.createDataFrame([(k, firsts[(k + 1) % len(firsts)]) for k in range(len(firsts))] if firsts else [],
+                                    "bucket int, first bigint")
+    edge = with_lanes(
+        base.join(F.broadcast(follows), base["doc_id"] == follows["first"])
+        .groupBy("bucket").agg(F.min(F.coalesce("text", F.lit(""))).alias("edge_text"))
+        .withColumnRenamed("bucket", "edge_bucket"), "edge_text", "edge_lanes")
+    prints = fingerprints(base).withColumn("bucket", _bucket(F.col("doc_id"), firsts))
+    order = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), "text")
+    rows = (prints.withColumn("next_text", F.lead("text").over(order)).withColumn("next_lanes", F.lead("lanes").over(order))
+            .join(edge, F.col("bucket") == F.col("edge_bucket"), "left"))
     need = _third(F.col("text"))
-    return joined.unionByName(alone).select(
-        "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "lanes",
-        F.concat(F.col("text").substr(F.lit(1), F.char_length("text") - need),
-                 F.col("head").substr(F.lit(1), need)).alias("edited"), "next_lanes")
+    head = F.coalesce("next_text", "edge_text", F.lit("")).substr(F.lit(1), need)
+    return rows.select("doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "lanes",
+                       F.concat(F.col("text").substr(F.lit(1), F.char_length("text") - need), head).alias("edited"),
+                       F.coalesce("next_lanes", "edge_lanes").alias("next_lanes"))
 
 
 def _third(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, maintext, multisethash, notices, pieces, tokencount, urlalias
+from tidemark.llm import langid, maintext, multisethash, notices, pieces, suffixdup, tokencount, urlalias
 from tidemark.llm.common import table, tokenizer_path
 
 PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -37,6 +37,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdup.summary(suffixdup.remove(table(spark, sf_dir, "documents")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op4_main_text": op4_main_text,
     "op5_url_aliases": op5_url_aliases,
     "op7_pieces": op7_pieces,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
