@@ -21,6 +21,7 @@ from array import array
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tidemark.llm import common
 
@@ -99,6 +100,27 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return common.narrow(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
+def encode_rows(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """The rows with ids and n_tokens of their text, which becomes the text decoded from the ids."""
+    common.arrow_batches(docs.sparkSession)
+    schema = T.StructType([f for f in docs.schema if f.name not in ("ids", "n_tokens")])
+    docs = docs.select(*schema.names)
+    at = schema.names.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for part in common.slices(batch, text_col):
+                codec = _codec(path)
+                ids = codec.encode(part.column(text_col).to_pylist())
+                columns = list(part.columns)
+                columns[at] = pa.array(codec.decode(ids), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())),
+                     pa.array([len(x) // 4 for x in ids], pa.int64())], [*schema.names, "ids", "n_tokens"])
+
+    return docs.mapInArrow(run, T.StructType(list(schema)).add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()))
+
+
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id, text: the text of every id list (null ids: empty)."""
     common.arrow_batches(tokens.sparkSession)

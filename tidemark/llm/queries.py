@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, maintext, multisethash, notices, pieces, suffixdup, tokencount, urlalias
+from tidemark.llm import decontam, langid, maintext, multisethash, notices, pieces, sigtree, suffixdup, tokencount, urlalias
 from tidemark.llm.common import table, tokenizer_path
 
 PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -33,10 +33,18 @@ def op5_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlalias.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sigtree.join(table(spark, sf_dir, "documents"))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.copies(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdup.summary(suffixdup.remove(table(spark, sf_dir, "documents")))
 
@@ -51,7 +59,9 @@ QUERIES = {
     "op3_multiset_hash": op3_multiset_hash,
     "op4_main_text": op4_main_text,
     "op5_url_aliases": op5_url_aliases,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_pieces": op7_pieces,
+    "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_counts": op10_token_counts,
 }

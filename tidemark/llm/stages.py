@@ -7,9 +7,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid
+from tidemark.llm import decontam, langid, pieces, sigtree, suffixdup
+from tidemark.llm.common import table, tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,3 +20,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = langid.identify_rows(docs.select(*COLUMNS), langid.fit(docs))
     return (found.where(F.col("lang_pred") != langid.UNKNOWN)
             .select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group that similarity links join; of
+    its repeated rows one."""
+    groups = (sigtree.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+              .select(F.col("doc_id").alias("kept_id")).distinct())
+    kept = docs.select(*COLUMNS).join(groups, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that a document of smaller id holds too; every document stays."""
+    cut = suffixdup.remove(docs, carry=("lang", "source"))
+    text = suffixdup.text_of(F.col("kept"), F.col("removed"))
+    return (cut.select("doc_id", text.alias("text"), "carried.lang", "carried.source")
+            .withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a copy of a test item."""
+    return decontam.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, ids, n_tokens, text as decoded from the ids."""
+    return pieces.encode_rows(docs.select("doc_id", "lang", "source", "text"), tokenizer_path(PIECE_MODEL))

@@ -35,8 +35,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import common
 
@@ -332,8 +333,10 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[in
     return b"".join(kept), [(a, b) for a, b in merged]
 
 
-def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, mark, kept binary, removed array<struct<start, stop>> of every document.
+def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, kept binary, removed array<struct<start, stop>>, carried
+    struct (the columns named in ``carry``) of every document.
 
     Documents without a covered byte are passed on where they are read; only
     the others meet their stretches in a shuffle.
@@ -341,23 +344,22 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
     spark = docs.sparkSession
     found = stretches(docs, length, id_col, text_col)
     touched = spark.sparkContext.broadcast(common.bitmap(found.select(F.xxhash64("doc_id").alias("h"))))
-    base = (common.narrow(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-            .select("doc_id", F.hash("text").alias("mark"), F.xxhash64("doc_id").alias("h"), "text"))
-
-    def hit(batch):
-        return common.in_bitmap(touched.value, batch.column("h").to_numpy().view(np.uint64))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    doc_id = F.col(id_col).cast("bigint")
+    base = docs.select(doc_id.alias("doc_id"), F.hash(text).alias("mark"), F.xxhash64(doc_id).alias("h"), text.alias("text"),
+                       F.struct(F.lit(None).cast("string").alias("_"), *carry).alias("carried"))
+    kind = T.StructType([f for f in base.schema if f.name != "h"])
 
     def split(want):
         def work(batches):
             for batch in batches:
-                got = hit(batch)
-                yield batch.filter(pa.array(got if want else ~got)).select(["doc_id", "mark", "text"])
+                got = common.in_bitmap(touched.value, batch.column("h").to_numpy().view(np.uint64))
+                yield batch.filter(pa.array(got if want else ~got)).select(kind.names)
         return work
 
-    kind = "doc_id bigint, mark int, text string"
     spans_kind = "array<struct<start: bigint, stop: bigint>>"
     whole = base.mapInArrow(split(False), kind).select(
-        "doc_id", "mark", F.encode("text", "UTF-8").alias("kept"), F.array().cast(spans_kind).alias("removed"))
+        "doc_id", F.encode("text", "UTF-8").alias("kept"), F.array().cast(spans_kind).alias("removed"), "carried")
     spans = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # of one document
     joined = base.mapInArrow(split(True), kind).join(spans, ["doc_id", "mark"], "left")
 
@@ -369,12 +371,17 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
                 kept.append(left)
                 removed.append([{"start": a, "stop": b} for a, b in gone])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("mark"), pa.array(kept, pa.binary()),
-                 pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
-                ["doc_id", "mark", "kept", "removed"])
+                [batch.column("doc_id"), pa.array(kept, pa.binary()),
+                 pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), batch.column("carried")],
+                ["doc_id", "kept", "removed", "carried"])
+
+    return whole.unionByName(joined.select("doc_id", "text", "spans", "carried").mapInArrow(apply, whole.schema))
+
 
-    return whole.unionByName(joined.select("doc_id", "mark", "text", "spans")
-                             .mapInArrow(apply, f"doc_id bigint, mark int, kept binary, removed {spans_kind}"))
+def text_of(kept: Column, removed: Column) -> Column:
+    """Kept bytes as text; what is left of a character that was cut goes."""
+    valid = F.translate(F.make_valid_utf8(kept.cast("string")), "\ufffd", "")
+    return F.when(F.size(removed) > 0, valid).otherwise(kept.cast("string"))
 
 
 def summary(removed: DataFrame) -> DataFrame:
