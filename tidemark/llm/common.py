@@ -141,12 +141,11 @@ def in_bitmap(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
 def hash_counts(blobs: DataFrame, least: int) -> DataFrame:
     """Hashes that occur at least ``least`` times in packed arrays of them.
 
-    ``blobs``: (range int, hashes binary): little-endian uint32 arrays whose
-    values all belong to that range of the hash space. Each range is put
-    together in one task; ranges are as many as the caller made.
+    ``blobs``: (range int, hashes binary) as :func:`to_ranges` gives them. Each
+    range is put together in one task; ranges are as many as the caller made.
     """
     def count(blobs: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.frombuffer(b, np.uint32) for b in blobs.column("hashes").to_pylist()])
+        hashes = np.concatenate([unpacked(b) for b in blobs.column("hashes").to_pylist()])
         values, counts = np.unique(hashes, return_counts=True)
         often = counts >= least
         return pa.table({"hash": values[often].astype(np.int64), "n": counts[often].astype(np.int64)})
@@ -160,7 +159,19 @@ def to_ranges(hashes: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes]]:
     cuts = np.searchsorted(hashes, (np.arange(1, ranges, dtype=np.uint64) << np.uint64(32)) // np.uint64(ranges))
     for k, part in enumerate(np.split(hashes, cuts)):
         if len(part):
-            yield k, part.astype(np.uint32).tobytes()
+            yield k, packed(part)
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    """Sorted uint32 values as differences, their lowest bytes first, then the
+    next and so on: the high bytes are mostly 0, which Spark compresses away."""
+    steps = np.diff(hashes.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32)
 
 
 def n_ranges(spark: SparkSession) -> int:

@@ -5,23 +5,26 @@ shingles is PERCENT / 100 or more. The join is exact on 64-bit shingle hashes.
 
 1. Documents of equal sets are one class; only its first document goes on.
 2. Shingles are counted over all classes (packed hash arrays). Each set is
-   ordered with the widespread shingles last; two sets that link share one of
-   the first ``n - ceil(0.75 n) + 1`` of their shingles, so classes meet in
-   the groups of those, and a passage that many documents share does not bring
-   them together.
-3. First round: each class is compared with the class that is most often the
-   first of its groups. That settles the large groups of near copies with one
-   comparison a class.
-4. Second round, over groups that still hold more than one component: a
-   group's classes become leaves of a signature tree, whose nodes hold
-   OR-combined shingle bitmaps, size ranges and component ranges. A dual
-   traversal from the root drops node pairs of one component, of sizes too far
-   apart, or whose largest possible overlap is too small. Groups over CELL
-   classes are cut into cells, a pair of blocks each.
+   ordered: shingles of its own first, then ones of two classes or more, then
+   widespread ones. Two sets that link share one of the first
+   ``n - ceil(0.75 n) + 1`` of their shingles, so classes meet in the groups of
+   those: a class with a quarter of its own meets none, and a passage that many
+   documents share does not bring them together.
+3. First rounds: each class is compared with the most central class (the
+   smallest share of shingles of its own) that it meets in VOTES of its groups.
+   Widespread groups are dealt over SALTS tasks by class; a further round joins
+   what the salts kept apart. That settles the large groups of near copies with
+   one comparison a class.
+4. Last round, over groups that still hold more than one component: a group's
+   classes become leaves of a signature tree, whose nodes hold OR-combined
+   shingle bitmaps, size ranges and component ranges. A dual traversal from the
+   root drops node pairs of one component, of sizes too far apart, or whose
+   largest possible overlap is too small. Groups over CELL classes are cut into
+   cells, a pair of blocks each.
 5. What survives is compared exactly; links join components.
 
 The bitmaps that are broadcast are of fixed size (see common.bitmap); false
-positives cost time only. Sets travel only for classes that are compared.
+positives cost time only. Sets travel only for classes that meet others.
 
 Defined results: a null text and one without words have an empty set, link
 with nothing and are their own component; with fewer words than a shingle the
@@ -42,6 +45,8 @@ from tidemark.llm import common
 from tidemark.llm.components import components
 
 SHINGLE, PERCENT = 5, 75
+#: Share of a class's groups in which another must come first to be compared in the first round.
+VOTES = 0.3
 #: Classes that may hold a shingle before it counts as widespread.
 WIDESPREAD = 64
 #: Classes of one group that a task holds at once; children of a tree node; node pairs looked at together.
@@ -288,70 +293,62 @@ def _shingle_bitmaps(rows: DataFrame, firsts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(rows: DataFrame, firsts, shared, widespread, percent: int) -> DataFrame:
-    """(shingle, key, n, wide): the shingles by which classes meet."""
+    """(shingle, key, n, wide, own, shingles): the shingles by which classes
+    meet; own is a class's share of unshared shingles; its set is on one of its rows."""
     def work(batches):
         for batch in batches:
             for part in common.slices(_first_rows(firsts, batch)):
-                cols = []
+                cols, blobs = [], []
                 for s in _sets(part):
                     if not len(s):
                         continue
-                    wide = common.in_bitmap(widespread.value, s >> np.uint64(32))
-                    order = np.concatenate([np.flatnonzero(~wide), np.flatnonzero(wide)])[:prefix(len(s), percent)]
-                    order = order[common.in_bitmap(shared.value, s[order] >> np.uint64(32))]
+                    both = common.in_bitmap(shared.value, s >> np.uint64(32))
+                    wide = both & common.in_bitmap(widespread.value, s >> np.uint64(32))
+                    own = int((~both).sum())
+                    most = max(0, prefix(len(s), percent) - own)  # its own fill the rest
+                    order = np.concatenate([np.flatnonzero(both & ~wide), np.flatnonzero(wide)])[:most]
                     if len(order):
-                        cols.append((s[order].view(np.int64), np.full(len(order), set_key(s)), np.full(len(order), len(s)), wide[order]))
+                        k = len(order)
+                        cols.append((s[order].view(np.int64), np.full(k, set_key(s)), np.full(k, len(s)), wide[order],
+                                     np.full(k, own / len(s))))
+                        blobs += [s.tobytes()] + [None] * (k - 1)
                 if cols:
-                    a, b, c, d = (np.concatenate(x) for x in zip(*cols))
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d)],
-                                                     ["shingle", "key", "n", "wide"])
+                    a, b, c, d, e = (np.concatenate(x) for x in zip(*cols))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d), pa.array(e), pa.array(blobs, pa.binary())],
+                        ["shingle", "key", "n", "wide", "own", "shingles"])
 
-    return rows.mapInArrow(work, "shingle bigint, key bigint, n int, wide boolean")
+    return rows.mapInArrow(work, "shingle bigint, key bigint, n int, wide boolean, own double, shingles binary")
 
 
-def _hubs(groups: DataFrame, percent: int) -> DataFrame:
-    """(hub, key): each class of a group with the first before it that is not too small; one for each class, the most frequent."""
+def _hubs(groups: DataFrame, percent: int, salts: int) -> DataFrame:
+    """(src, dst): each class with the most central one that it meets in VOTES of its groups, if any."""
     def work(batches):
-        group = hub = hub_n = None
+        group, hubs = None, []
         for batch in batches:
             out = []
             for s, salt, key, n in zip(*(batch.column(c).to_pylist() for c in ("shingle", "salt", "key", "n"))):
-                if (s, salt) != group or 100 * hub_n < percent * n:
-                    group, hub, hub_n = (s, salt), key, n
+                if (s, salt) != group:
+                    group, hubs = (s, salt), []
+                hub = next((k for k, m in hubs if 100 * m >= percent * n and 100 * n >= percent * m), None)
+                if hub is None:
+                    hubs.append((key, n))  # no two hubs are of near sizes, so they are few
                 elif key != hub:
                     out.append((hub, key))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["hub", "key"])
 
-    salt = F.when(F.col("wide"), F.pmod(F.xxhash64("key", "shingle"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    parts = common.n_ranges(groups.sparkSession)
-    met = (groups.withColumn("salt", salt).repartition(parts, "shingle", "salt")
-           .sortWithinPartitions("shingle", "salt", "n", "key").mapInArrow(work, "hub bigint, key bigint"))
-    return (met.groupBy("hub", "key").count()
-            .groupBy("key").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub")).select("hub", "key"))
+    salt = F.when(F.col("wide"), F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    met = (groups.select("shingle", salt.alias("salt"), "own", "n", "key")
+           .repartition(common.n_ranges(groups.sparkSession), "shingle", "salt")
+           .sortWithinPartitions("shingle", "salt", "own", "n", "key").mapInArrow(work, "hub bigint, key bigint"))
+    meetings = groups.groupBy("key").agg(F.count("*").alias("meetings"))
+    best = met.groupBy("hub", "key").count().groupBy("key").agg(F.max(F.struct("count", "hub")).alias("best"))
+    return (best.join(meetings, "key").where(F.col("best.count") >= VOTES * F.col("meetings"))
+            .select(F.col("best.hub").alias("src"), F.col("key").alias("dst")))
 
 
-def _compared(pairs: DataFrame, rows: DataFrame, firsts, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (src, dst) of class keys whose sets link, written."""
-    pairs = common.written(pairs, "pairs")
-    spark = rows.sparkSession
-    wanted = spark.sparkContext.broadcast(common.bitmap(
-        pairs.select(F.xxhash64("src").alias("h")).unionByName(pairs.select(F.xxhash64("dst").alias("h")))))
-
-    def work(batches):
-        for batch in batches:
-            for part in common.slices(_first_rows(firsts, batch)):
-                sets = [s for s in _sets(part) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "shingles"])
-
-    def keep(batches):  # by the key's hash, which only Spark computes
-        for batch in batches:
-            hit = common.in_bitmap(wanted.value, batch.column("h").to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(hit)).select(["key", "shingles"])
-
-    sets = (rows.mapInArrow(work, "key bigint, shingles binary").withColumn("h", F.xxhash64("key"))
-            .mapInArrow(keep, "key bigint, shingles binary").dropDuplicates(["key"]))
-
     def compare(batches):
         for batch in batches:
             src, dst = [], []
@@ -368,33 +365,24 @@ def _compared(pairs: DataFrame, rows: DataFrame, firsts, percent: int) -> DataFr
     return common.written(joined.select("src", "dst", "x", "y").mapInArrow(compare, "src bigint, dst bigint"), "links")
 
 
-def _tree_pairs(groups: DataFrame, found: DataFrame, rows: DataFrame, firsts, percent: int) -> DataFrame:
+def _tree_pairs(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(src, dst): pairs of classes of different components that a group's signature tree leaves."""
-    spark = rows.sparkSession
-    with_comp = (groups.select("shingle", "key", "n")
-                 .join(found.select(F.col("node").alias("key"), "component"), "key", "left")
-                 .withColumn("component", F.coalesce("component", "key")).distinct())
-    with_comp = common.written(with_comp, "members")
+    spark = groups.sparkSession
+    with_comp = common.written(
+        groups.select("shingle", "key", "n").join(found.select(F.col("node").alias("key"), "component"), "key", "left")
+        .withColumn("component", F.coalesce("component", "key")), "members")
     mixed = (with_comp.groupBy("shingle")
              .agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"))
              .where("c0 <> c1").select("shingle", "members"))
-    members = common.written(with_comp.join(mixed, "shingle"), "mixed")
-    wanted = spark.sparkContext.broadcast(common.bitmap(members.select(F.xxhash64("key").alias("h"))))
+    members = with_comp.join(mixed, "shingle")
 
     def sign(batches):
         for batch in batches:
-            for part in common.slices(_first_rows(firsts, batch)):
-                sets = [s for s in _sets(part) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()),
-                                                  pa.array([signature(s) for s in sets], pa.binary())], ["key", "signature"])
-
-    def keep(batches):
-        for batch in batches:
-            hit = common.in_bitmap(wanted.value, batch.column("h").to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(hit)).select(["key", "signature"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array([signature(np.frombuffer(s, np.uint64)) for s in batch.column("shingles").to_pylist()],
+                                               pa.binary())], ["key", "signature"])
 
-    signatures = (rows.mapInArrow(sign, "key bigint, signature binary").withColumn("h", F.xxhash64("key"))
-                  .mapInArrow(keep, "key bigint, signature binary").dropDuplicates(["key"]))
+    signatures = sets.select("key", "shingles").mapInArrow(sign, "key bigint, signature binary")
     # a group of over CELL classes is cut into blocks by key; a cell holds two blocks, or one with itself
     blocks = F.ceil(F.col("members") / CELL).cast("int")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
@@ -448,11 +436,18 @@ def join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_c
     rows, firsts = _of_firsts(docs, classes)
     shared, widespread = (spark.sparkContext.broadcast(b) for b in _shingle_bitmaps(rows, firsts))
     groups = common.written(_prefixes(rows, firsts, shared, widespread, percent), "groups")
+    sets = common.written(groups.where(F.col("shingles").isNotNull()).select("key", "own", "shingles").dropDuplicates(["key"]), "sets")
+    groups = groups.select("shingle", "key", "n", "wide", "own")
 
-    links = _compared(_hubs(groups, percent).select(F.col("hub").alias("src"), F.col("key").alias("dst")), rows, firsts, percent)
+    links = _compared(_hubs(groups, percent, SALTS), sets, percent)
+    found = components(links)
+    # the most central class of each component, and classes without a link
+    member = sets.select("key", "own").join(found.withColumnRenamed("node", "key"), "key", "left")
+    central = (member.groupBy(F.coalesce("component", "key").alias("component"))
+               .agg(F.min(F.struct("own", "key")).alias("c")).select(F.col("c.key").alias("key")))
+    links = links.unionByName(_compared(_hubs(groups.join(central, "key", "left_semi"), percent, 1), sets, percent))
     found = components(links)
-    more = _compared(_tree_pairs(groups, found, rows, firsts, percent), rows, firsts, percent)
-    found = components(found.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
+    found = components(links.unionByName(_compared(_tree_pairs(groups, found, sets, percent), sets, percent)))
 
     least = (classes.join(found.withColumnRenamed("node", "key"), "key", "left")
              .withColumn("component", F.coalesce("component", "key")))
