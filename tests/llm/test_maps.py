@@ -101,8 +101,8 @@ def test_notices_against_brute_force(spark, documents, odd_texts):
 
 def test_notices_with_edits():
     scanner = notices.Scanner(notices.PHRASES, notices.NOTICES, notices.CHARS_AN_EDIT)
-    n, places, spans = scanner.scan(b"so Licensed under the Apach Licence, Version 2.0; al rights resrved, and more")
-    assert places == [] and [(s[0], s[3]) for s in spans] == [("apache", 2), ("reserved", 2)]
+    n, places, spans = scanner.scan(b"so Licensed under the Apach Licence, Version 2.0; all rights resrved, and more")
+    assert places == [] and [(s[0], s[3]) for s in spans] == [("apache", 2), ("reserved", 1)]
     assert spans[0][1:3] == (1, 8) and spans[1][1:3] == (9, 11)
 
 

@@ -7,7 +7,6 @@ columns, also ones whose names clash with an operator's own, never reach it.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import run_dir
+
 #: Rows of one Arrow batch; long texts keep a batch within tens of MB.
 BATCH_ROWS = 512
 #: Bytes of text worked on at once inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,18 +44,10 @@ def arrow_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder and read again: lineage ends here,
     and a lost executor costs no more than its running tasks."""
-    path = shared_folder(df.sparkSession, name)
+    path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -41,7 +41,7 @@ def _sum(array: Column, value, modulus_mask: int) -> Column:
 
 def paragraph_hashes(text: Column) -> Column:
     """SHA-512 (hex) of each non-empty line, white space at its ends aside."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda p: p != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda p: F.trim(p)), lambda p: p != "")
     return F.transform(lines, lambda p: F.sha2(F.encode(p, "UTF-8"), 512))
 
 

@@ -53,7 +53,7 @@ WIDESPREAD = 64
 CELL, FAN, PAIRS = 4096, 8, 4096
 #: Tasks that share one widespread shingle's group in the first round.
 SALTS = 16
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

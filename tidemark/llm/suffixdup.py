@@ -45,7 +45,7 @@ LENGTH, GRAM = 50, 16
 #: Window starts worked on at once; distinct runs sorted at once, and of one anchor at most.
 PIECE, BATCH, GROUP = 1 << 20, 8_000, 24_000
 #: Hashes that a task gathers before it sends them on.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 
 
 # ---------------------------------------------------------------- selection
