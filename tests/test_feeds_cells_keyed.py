@@ -103,24 +103,46 @@ def test_keyed_table_replay_compaction_and_filter(spark):
     assert rows(kt.read()) == [("a", 2, "d1"), ("b", 9, "d2"), ("c", 5, "d2")]
 
 
-def test_keyed_table_per_partition_compaction(spark):
+def _keyed(spark, name, **kw):
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType()),
                            T.StructField("dt", T.StringType())])
-    kt = KeyedTable(spark, run_dir(spark, "keyed-part"), schema, ["k"], ["v"], part="dt")
-    kt.upsert(spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2")], schema), 0)
-    kt.compact()                                                   # full base upto=0
-    kt.upsert(spark.createDataFrame([("a", 2, "d1"), ("b", 2, "d2")], schema), 1)
-    assert kt.compact("d1") == 1                                   # only d1 rewritten
-    assert kt._versions() == (0, {"d1": 1})
-    kt.upsert(spark.createDataFrame([("c", 3, "d1")], schema), 2)
-    want = [("a", 2, "d1"), ("b", 2, "d2"), ("c", 3, "d1")]
-    assert rows(kt.read()) == want
-    assert rows(kt.read(F.col("dt") == "d2")) == [("b", 2, "d2")]
-    kt.upsert(spark.createDataFrame([("a", 2, "d1"), ("b", 2, "d2")], schema), 1)   # replay
-    assert rows(kt.read()) == want
-    kt.compact()                                                   # full again: supersedes d1's
-    assert kt._versions() == (2, {})
-    assert rows(kt.read()) == want
+    kt = KeyedTable(spark, run_dir(spark, name), schema, ["k"], part="dt", **kw)
+    return kt, lambda *data: spark.createDataFrame(list(data), schema)
+
+
+def test_keyed_table_compaction_leaves_a_batch_in_flight_alone(spark):
+    kt, frame = _keyed(spark, "keyed-flight")
+    kt.upsert(frame(("a", 1, "d1")), 0)
+    begun = f"{kt.path}/log/batch_id=1/attempt=x"
+    frame(("b", 2, "d1")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(begun)
+    kt.upsert(frame(("c", 3, "d1")), 2)
+    assert rows(kt.read()) == [("a", 1, "d1"), ("c", 3, "d1")]       # half-written batches are not read
+    assert kt.compact() == 0
+    frame(("b", 2, "d1")).write.mode("overwrite").parquet(begun)     # now it finishes
+    assert rows(kt.read()) == [("a", 1, "d1"), ("b", 2, "d1"), ("c", 3, "d1")]
+    assert kt.compact() == 2
+    assert rows(kt.read()) == [("a", 1, "d1"), ("b", 2, "d1"), ("c", 3, "d1")]
+
+
+def test_keyed_table_null_part_null_key_and_moved_key(spark):
+    kt, frame = _keyed(spark, "keyed-null")
+    kt.upsert(frame(("n", 7, None), (None, 1, "d1"), ("a", 1, "d1")), 0)
+    kt.compact()
+    assert sorted(map(str, kt.read().collect())) == sorted(map(str, frame(("n", 7, None), (None, 1, "d1"), ("a", 1, "d1")).collect()))
+    kt.upsert(frame((None, 2, "d1"), ("a", 2, "d2")), 1)
+    want = sorted(map(str, frame(("n", 7, None), (None, 2, "d1"), ("a", 2, "d2")).collect()))
+    assert sorted(map(str, kt.read().collect())) == want
+    assert rows(kt.read(F.col("dt") == "d2")) == [("a", 2, "d2")]
+    assert [tuple(r) for r in kt.read(F.col("dt") == "d1").collect()] == [(None, 2, "d1")]
+    kt.compact()
+    assert sorted(map(str, kt.read().collect())) == want
+
+
+def test_keyed_table_last_write_of_a_batch_wins_by_arrival(spark):
+    kt, frame = _keyed(spark, "keyed-arrival")
+    images = frame(("a", 9, "d1"), ("a", 2, "d1")).withColumn("offset", F.when(F.col("v") == 2, 5).otherwise(4))
+    kt.upsert(images, 0, arrival=("offset",))
+    assert rows(kt.read()) == [("a", 2, "d1")]
 
 
 def test_log_routing_rejects_malformed_lines(spark):

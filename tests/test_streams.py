@@ -152,7 +152,7 @@ def test_order_stream_rejects_and_sale_users_rejects(spark):
     index = KeyedTable(spark, f"{base}/index", J.SALE_ROW, ["order_detail_id"], part="dt")
     J._finish(J.sale_users_job(J.file_stream(spark, f"{base}/o", TOPIC_RECORD, 1),
                                J.file_stream(spark, f"{base}/d", TOPIC_RECORD, 1), users, index,
-                               f"{base}/ck2", "10 minutes", rejects=f"{base}/nu"))
+                               f"{base}/ck2", "10 minutes", "2024-01-01", rejects=f"{base}/nu"))
     assert rows(index.read(), "order_detail_id", "user_gender") == [("d1", "F")]   # once
     assert rows(spark.read.parquet(f"{base}/nu"), "order_detail_id", "user_id") == [("d2", "u9")]
 

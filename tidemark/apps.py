@@ -32,8 +32,7 @@ LOG_INPUT = T.StructType([T.StructField("value", T.StringType()),
 
 def _source(spark: SparkSession, topics: list[str], kind: str, path: str | None,
             servers: str | None):
-    opts = {"kafka.bootstrap.servers": servers} if kind == "kafka" else {
-        "maxFilesPerTrigger": str(J.FILES_PER_TRIGGER)}
+    opts = {"kafka.bootstrap.servers": servers} if kind == "kafka" else {}
     return read_topics(spark, topics, kind=kind, path=path, stream=True, options=opts)
 
 

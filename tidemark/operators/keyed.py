@@ -2,33 +2,36 @@
 
 Layout under ``path``::
 
-    log/batch_id=<n>/*.parquet            one folder per write batch, rows
-                                          sorted by (part, key) inside files
-    base/upto=<n>/[<part>=<v>/]*.parquet  compacted image through batch n
-
-``upsert(df, batch_id)`` reduces the batch to its last row per key and
-overwrites exactly its own ``batch_id`` folder, so a replayed micro-batch
-rewrites the same files (idempotent). Files are sorted by the partition
-column, so a date filter skips row groups through parquet statistics
-without splitting a 5-second batch into per-date folders.
-
-``read()`` returns, per key, the row of the highest batch id (then the
-highest ``order`` columns): log rows after the newest complete base are
-reduced by an aggregate (``max`` of a struct led by the batch id, partial
-aggregation before the shuffle), base rows (one per key already) are kept
-unless their key was rewritten later. A filter passed as ``where`` is
-applied to both inputs first (folder pruning on the base, row-group pruning
-on the log). A key must not move between ``part`` values.
+    log/batch_id=<n>/attempt=<id>/*.parquet   one folder per write of a batch, rows
+                                              sorted by (part, key) inside files
+    base/upto=<n>/[<part>=<v>/]*.parquet      compacted image through batch n
+
+``upsert(df, batch_id)`` reduces the batch to its last row per key and writes
+it to a new attempt folder, which counts once its ``_SUCCESS`` marker exists.
+Of a batch's complete attempts the newest is read, so a replay replaces the
+batch at one moment and a reader never sees half of it.
+
+``read()`` returns, per key, the row of the highest batch id (then the highest
+``order`` columns): rows of complete batches after the newest complete base
+are reduced by an aggregate (``max`` of a struct led by the batch id, partial
+aggregation before the shuffle); base rows (one per key already) are kept
+unless their key was rewritten later. Null keys are keys, a null ``part`` is a
+value like any other, and a key may move between ``part`` values: a ``where``
+filter is applied to the base's scan, but to the log only after the last row
+of each key is known.
 
 ``compact()`` writes the current image as a new base version partitioned by
-``part``; ``compact(v)`` rewrites only partition ``v`` (one date) into
-``base/upto=<n>/<part>=<v>``. Readers switch to a version once its
-``_SUCCESS`` marker exists, so a failed compaction is invisible. Superseded
-log folders and versions are left for a retention job.
+``part``. It goes as far as the last batch below which every batch is
+complete, so a batch in flight is never passed over. Readers switch to a
+version once its ``_SUCCESS`` marker exists, so a failed compaction is
+invisible. Superseded folders are left for a retention job.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,9 +51,10 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
+def written_at(spark: SparkSession, path: str) -> int | None:
+    """When the folder's ``_SUCCESS`` marker was written; None without one."""
+    p, fs = _fs(spark, f"{path}/_SUCCESS")
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
 
 
 class KeyedTable:
@@ -78,14 +82,16 @@ class KeyedTable:
             *self.key, *[F.col(f"_m.{c}").alias(c) for c in self.order + rest]).select(*cols)
 
     # ------------------------------------------------------------- writing
-    def upsert(self, df: DataFrame, batch_id: int, unique: bool = False) -> None:
-        """Write one batch. ``unique=True`` when the batch already has one row
-        per key (e.g. the update output of a streaming aggregation): no
-        de-duplicating shuffle."""
-        out = df.select(*self.columns) if unique else self._latest(df, [])
+    def upsert(self, df: DataFrame, batch_id: int, unique: bool = False,
+               arrival: tuple[str, ...] = ()) -> None:
+        """Write one batch. ``arrival`` names columns of ``df``, not stored, by
+        which the last write of a key in the batch wins. ``unique=True`` when
+        the batch already has one row per key (e.g. the update output of a
+        streaming aggregation): no de-duplicating shuffle."""
+        out = df.select(*self.columns) if unique else self._latest(df, list(arrival))
         sort = ([self.part] if self.part else []) + self.key
-        out.sortWithinPartitions(*sort).write.mode("overwrite").parquet(
-            f"{self.path}/log/batch_id={int(batch_id)}")
+        out.sortWithinPartitions(*sort).write.parquet(
+            f"{self.path}/log/batch_id={int(batch_id)}/attempt={uuid.uuid4().hex}")
 
     def foreach_batch(self, unique: bool = False):
         """A ``foreachBatch`` function writing each micro-batch as an upsert.
@@ -102,102 +108,62 @@ class KeyedTable:
         return _write
 
     # ------------------------------------------------------------- reading
-    def _versions(self):
-        """(full, per_part): the newest complete full base version and, for
-        each part value compacted on its own after it, that part's newest
-        version. File-system metadata only; each version is complete once
-        its ``_SUCCESS`` marker exists."""
-        full, per_part = None, {}
+    def _base(self) -> int | None:
+        """The newest complete base version (file-system metadata only)."""
         root = f"{self.path}/base"
-        ups = sorted(int(n.split("=", 1)[1]) for n in list_children(self.spark, root)
-                     if n.startswith("upto="))
-        for n in ups:
-            if exists(self.spark, f"{root}/upto={n}/_SUCCESS"):
-                full = n
-        if self.part:
-            for n in ups:
-                if full is not None and n <= full:
-                    continue
-                for name in list_children(self.spark, f"{root}/upto={n}"):
-                    if name.startswith(f"{self.part}=") and exists(
-                            self.spark, f"{root}/upto={n}/{name}/_SUCCESS"):
-                        per_part[name.split("=", 1)[1]] = n
-        return full, per_part
-
-    def _base_upto(self) -> int | None:
-        full, per_part = self._versions()
-        return full
-
-    def _log(self) -> DataFrame | None:
-        if not list_children(self.spark, f"{self.path}/log"):
-            return None
-        full = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
-        return (self.spark.read.schema(full).option("basePath", f"{self.path}/log")
-                .parquet(f"{self.path}/log"))
+        ups = sorted((int(n.split("=", 1)[1]) for n in list_children(self.spark, root)
+                      if n.startswith("upto=")), reverse=True)
+        return next((n for n in ups if written_at(self.spark, f"{root}/upto={n}") is not None), None)
+
+    def _batches(self, after: int | None) -> dict[int, str | None]:
+        """Batches after a base version, each with its newest complete attempt (None: none yet)."""
+        root, out = f"{self.path}/log", {}
+        for name in list_children(self.spark, root):
+            if not name.startswith("batch_id=") or after is not None and int(name.split("=", 1)[1]) <= after:
+                continue
+            done = [(at, a) for a in list_children(self.spark, f"{root}/{name}")
+                    if (at := written_at(self.spark, f"{root}/{name}/{a}")) is not None]
+            out[int(name.split("=", 1)[1])] = f"{root}/{name}/{max(done)[1]}" if done else None
+        return out
+
+    def _image(self, full: int | None, folders: list[str], where=None) -> DataFrame:
+        base = None
+        if full is not None:
+            base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={full}").select(*self.columns)
+            base = base if where is None else base.where(where)
+        if not folders:
+            return self.spark.createDataFrame([], self.schema) if base is None else base
+        logged = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
+        log = (self.spark.read.schema(logged).option("basePath", f"{self.path}/log").parquet(*folders)
+               .select(*self.columns, "batch_id"))
+        latest = self._latest(log, ["batch_id"])
+        if base is not None:
+            new = log.select(*[F.col(k).alias(f"_{k}") for k in self.key]).distinct()
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key])
+            base = base.join(new, same, "left_anti")
+        latest = latest if where is None else latest.where(where)
+        return latest if base is None else base.unionByName(latest)
 
     def read(self, where=None) -> DataFrame:
-        """Latest row per key: base rows (one per key already, never
-        re-aggregated) unless the key was rewritten later, plus the newest log
-        row of each key written after its base. Only the log (small between
-        compactions) is aggregated; its keys are anti-joined away from the
-        base (a broadcast when small)."""
-        full, per_part = self._versions()
-        bases = []
-        if full is not None:
-            b = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={full}")
-            if per_part:
-                b = b.where(~F.col(self.part).isin(list(per_part)))
-            bases.append(b.select(*self.columns))
-        for v, n in per_part.items():
-            pschema = T.StructType([f for f in self.schema.fields if f.name != self.part])
-            b = self.spark.read.schema(pschema).parquet(f"{self.path}/base/upto={n}/{self.part}={v}")
-            bases.append(b.withColumn(self.part, F.lit(v).cast(
-                self.schema[self.part].dataType)).select(*self.columns))
-        base = None
-        for b in bases:
-            base = b if base is None else base.unionByName(b)
-        log = self._log()
-        if log is not None:
-            keep = F.lit(True) if full is None else F.col("batch_id") > full
-            for v, n in per_part.items():
-                keep = keep & ~((F.col(self.part) == v) & (F.col("batch_id") <= n))
-            log = log.where(keep)
-        if where is not None:
-            log = log.where(where) if log is not None else None
-            base = base.where(where) if base is not None else None
-        if log is None and base is None:
-            return self.spark.createDataFrame([], self.schema)
-        if log is None:
-            return base
-        latest_log = self._latest(log, ["batch_id"])
-        if base is None:
-            return latest_log
-        rest = base.join(log.select(*self.key).distinct(), self.key, "left_anti")
-        return rest.unionByName(latest_log)
-
-    def compact(self, part_value=None) -> int | None:
-        """Write the current image as base version ``upto=<last batch id>``.
-
-        With ``part_value`` only that partition (e.g. one date) is rewritten:
-        its cost is one partition, never the table. Readers switch to the new
-        version once its ``_SUCCESS`` marker exists.
-        """
-        batches = [int(n.split("=", 1)[1]) for n in list_children(self.spark, f"{self.path}/log")
-                   if n.startswith("batch_id=")]
-        full, per_part = self._versions()
-        if not batches:
+        """Latest row per key of complete batches, filtered by ``where``. Only
+        the log (small between compactions) is aggregated; its keys are
+        anti-joined away from the base (a broadcast when small)."""
+        full = self._base()
+        return self._image(full, [f for f in self._batches(full).values() if f], where)
+
+    def compact(self) -> int | None:
+        """Write the image through the last batch below which all are complete
+        as base version ``upto=<that batch>``; returns the newest version."""
+        full = self._base()
+        upto, folders = full, []
+        for n, folder in sorted(self._batches(full).items()):
+            if folder is None:
+                break
+            upto = n
+            folders.append(folder)
+        if not folders:
             return full
-        upto = max(batches)
-        if part_value is not None and self.part:
-            if per_part.get(str(part_value), full) == upto:
-                return upto
-            image = self.read(F.col(self.part) == F.lit(part_value)).drop(self.part)
-            image.write.mode("overwrite").parquet(
-                f"{self.path}/base/upto={upto}/{self.part}={part_value}")
-            return upto
-        if upto == full and not per_part:
-            return upto
-        w = self.read().write.mode("overwrite")
+        w = self._image(full, folders).write.mode("overwrite")
         if self.part:
             w = w.partitionBy(self.part)
         w.parquet(f"{self.path}/base/upto={upto}")

@@ -17,7 +17,7 @@ def clean_orders(orders: DataFrame) -> DataFrame:
             .withColumn("create_hour", datetime_hour("create_time")))
 
 
-def to_order_sink(clean: DataFrame) -> DataFrame:
-    """The 20 upper-case columns of the order table."""
+def to_order_sink(clean: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 20 upper-case columns of the order table, and those of ``keep``."""
     src = [f.name for f in ORDER_INFO.fields] + ["create_date", "create_hour"]
-    return clean.select(*[F.col(s).alias(d) for s, d in zip(src, ORDER_SINK_COLUMNS)])
+    return clean.select(*[F.col(s).alias(d) for s, d in zip(src, ORDER_SINK_COLUMNS)], *keep)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +41,7 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
     """Settings sized to the data for a cluster launch (pass as ``extra``).
 
     Shuffle partitions start at about one per ``target_partition_bytes`` of
-    input (at least 2 per core, at most 100k) and AQE coalesces small ones
+    input (at least 2 per core) and AQE coalesces small ones
     back; input splits are the same size, so a task reads ~256 MB and its
     shuffle output fits executor memory before spilling. Skewed partitions
     over 4x the median (and 1 GB) are split by AQE.
@@ -50,7 +50,7 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
     count in its checkpoint at first start, so start those with the state
     parallelism (about the cluster's core count) instead of this batch size.
     """
-    parts = max(2 * cores, min(100_000, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
@@ -65,13 +65,14 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
 def shared_dir(spark: SparkSession) -> str:
     """Folder visible to every executor, taken from ``spark.checkpoint.dir``.
 
-    The cluster names this folder; it is only set here when the session has
-    none (local tests), in which case a fresh scratch folder is created.
+    The cluster names this folder. Where the session has none, one is only
+    made for a local master, whose executors are the driver itself (tests,
+    bench); on a cluster a local folder would be the driver's alone.
     """
-    path = spark.conf.get(_CKPT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(_CKPT_KEY, path)
         spark.sparkContext.setCheckpointDir(path)
@@ -82,16 +83,3 @@ def run_dir(spark: SparkSession, name: str) -> str:
     """A new, never reused sub-folder of the shared folder for one job run."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_path(path), exist_ok=True)

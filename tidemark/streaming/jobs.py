@@ -24,7 +24,7 @@ from tidemark.operators import alerts as AL
 from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
 from tidemark.operators import sales as SA
-from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.keyed import KeyedTable, list_children
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.plans import params as P
@@ -37,8 +37,6 @@ from tidemark.sources.tables import tables
 from tidemark.sources.topics import topic_stream_writer
 
 TRIGGER = "5 seconds"          # the reference's micro-batch interval
-FILES_PER_TRIGGER = 4
-WAIT_SECONDS = 900
 DAY_MS = 86_400_000
 
 
@@ -57,9 +55,7 @@ ROWS_PER_SEC: dict[str, float] = {}
 
 
 def _finish(q: StreamingQuery, name: str = "") -> None:
-    if not q.awaitTermination(WAIT_SECONDS):
-        q.stop()
-        raise TimeoutError(f"stream {q.name or q.id} did not finish")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     prog = q.recentProgress
@@ -71,9 +67,23 @@ def _finish(q: StreamingQuery, name: str = "") -> None:
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
-                files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path))
+                files_per_trigger: int | None = None, bytes_per_trigger: str | None = None) -> DataFrame:
+    """Files as they appear. A trigger takes all that is new, unless one of
+    the two budgets is given (``bytes_per_trigger``: such as ``10g``, sized to
+    what the cluster clears in one trigger)."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
+    return reader.parquet(path)
+
+
+def replay_stream(spark: SparkSession, path: str, schema: T.StructType,
+                  slices: int = P.STREAM_SLICES) -> DataFrame:
+    """A staged replay: about ``slices`` data batches at any scale."""
+    files = sum(n.endswith(".parquet") for n in list_children(spark, path))
+    return file_stream(spark, path, schema, max(1, files // slices))
 
 
 def stage_slices(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM_SLICES,
@@ -92,13 +102,15 @@ def stage_slices(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM
     us = F.unix_micros(F.col(time_col))
     if bounds is None:
         row = src.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-        bounds = (int(row["lo"]), int(row["hi"]))
+        bounds = (int(row["lo"] or 0), int(row["hi"] or 0))
     lo, hi = bounds
     step = (hi - lo) // slices + 1
     for i in range(slices):
         a, b = lo + i * step, lo + (i + 1) * step
-        src.where((F.col(time_col) >= F.timestamp_micros(F.lit(a)))
-                  & (F.col(time_col) < F.timestamp_micros(F.lit(b)))).write.mode("append").parquet(path)
+        inside = (F.col(time_col) >= F.timestamp_micros(F.lit(a))) & (F.col(time_col) < F.timestamp_micros(F.lit(b)))
+        if i == 0:                                    # records without a time come first
+            inside = inside | F.col(time_col).isNull()
+        src.where(inside).write.mode("append").parquet(path)
     return step // 1_000_000 + 1
 
 
@@ -163,12 +175,14 @@ def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
                available_now: bool = True, rejects: str | None = None) -> StreamingQuery:
     """Parse, clean and upsert orders (stateless). Unparsable records go to
     ``rejects/batch_id=<n>`` instead of failing the batch."""
-    parsed = parse_json(records, ORDER_INFO, keep=("value",))
+    arrival = ("timestamp", "partition", "offset")
+    parsed = parse_json(records, ORDER_INFO, keep=("value", *arrival))
 
     def _write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         try:
-            table.upsert(to_order_sink(clean_orders(accepted(b.drop("value")))), batch_id)
+            # of two images of an order in one batch the later record wins
+            table.upsert(to_order_sink(clean_orders(accepted(b.drop("value"))), arrival), batch_id, arrival=arrival)
             if rejects:
                 b.where(F.col("_corrupt").isNotNull()).select("value").write.mode(
                     "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
@@ -213,7 +227,7 @@ def users_job(records: DataFrame, table: KeyedTable, checkpoint: str,
 
 
 def sale_users_job(order_records, detail_records, users: KeyedTable, index: KeyedTable,
-                   checkpoint: str, delay: str, as_of: str = P.AS_OF, available_now: bool = True,
+                   checkpoint: str, delay: str, as_of: str, available_now: bool = True,
                    rejects: str | None = None) -> StreamingQuery:
     """Joined sales merged with the latest user images read per batch, upserted
     into the sale index keyed by ``order_detail_id`` (a replayed detail
@@ -281,7 +295,7 @@ def q_stream_dau(spark, root):
     recs = _topic(logs, AD.TOPIC_STARTUP, STARTUP_LOG, "event_time", F.col("ts"))
     span = stage_slices(recs, f"{base}/in", "timestamp")
     kt = KeyedTable(spark, f"{base}/table", STARTUP_ROW, ["logdate", "mid"], part="logdate")
-    q = dau_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
+    q = dau_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
                 delay=_delay(span + 86400))
     _finish(q, "stream_dau")
     return DD.to_dau_sink(kt.read())
@@ -296,7 +310,7 @@ def q_stream_alert(spark, root):
     probe = AL.window_aggregate(AL.with_event_time(accepted(parse_json(
         spark.createDataFrame([], TOPIC_RECORD), EVENT_LOG))), P.ALERT_WINDOW, P.ALERT_SLIDE)
     kt = KeyedTable(spark, f"{base}/table", probe.schema, ["mid", "window_start_ts"])
-    q = alert_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
+    q = alert_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
                   P.ALERT_WINDOW, P.ALERT_SLIDE, _delay(span + P.ALERT_WINDOW_S))
     _finish(q, "stream_alert")
     return AL.alerts(kt.read(), P.ALERT_MIN_UIDS)
@@ -317,9 +331,9 @@ def q_stream_orders(spark, root):
     base = run_dir(spark, "stream-orders")
     stage_slices(_order_records(t), f"{base}/in", "timestamp")
     kt = KeyedTable(spark, f"{base}/table", ORDER_SINK_ROW, ["ID"], part="CREATE_DATE")
-    _finish(orders_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
+    _finish(orders_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
                        rejects=f"{base}/rejects"), "stream_orders")
-    kt.compact(P.ORDER_DATE)     # the dashboard's date gets its own compacted version
+    kt.compact()
     return kt.read()
 
 
@@ -335,8 +349,8 @@ def q_stream_sale_join(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-sales")
     span = _stage_sales(spark, t, base)
-    q = sale_join_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
-                      file_stream(spark, f"{base}/details", TOPIC_RECORD),
+    q = sale_join_job(replay_stream(spark, f"{base}/orders", TOPIC_RECORD),
+                      replay_stream(spark, f"{base}/details", TOPIC_RECORD),
                       f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
                       salt=P.STREAM_JOIN_SALT)
     _finish(q, "stream_sale_join")
@@ -350,14 +364,14 @@ def q_stream_sale_users(spark, root):
     urec = _topic(ch, AD.TOPIC_USER_INFO, USER_INFO, "at", F.col("seq"))
     stage_slices(urec, f"{base}/users_in", "timestamp")
     users = KeyedTable(spark, f"{base}/users", USER_ROW, ["id"], ["change_ts", "seq"])
-    _finish(users_job(file_stream(spark, f"{base}/users_in", TOPIC_RECORD), users,
+    _finish(users_job(replay_stream(spark, f"{base}/users_in", TOPIC_RECORD), users,
                       f"{base}/ckpt_users"), "stream_sale_users")
     users.compact()      # per-batch lookups then read one row per user, no aggregation
     span = _stage_sales(spark, t, base)
     index = KeyedTable(spark, f"{base}/index", SALE_ROW, ["order_detail_id"], part="dt")
-    q = sale_users_job(file_stream(spark, f"{base}/orders", TOPIC_RECORD),
-                       file_stream(spark, f"{base}/details", TOPIC_RECORD), users, index,
-                       f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
+    q = sale_users_job(replay_stream(spark, f"{base}/orders", TOPIC_RECORD),
+                       replay_stream(spark, f"{base}/details", TOPIC_RECORD), users, index,
+                       f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS), P.AS_OF,
                        rejects=f"{base}/no_user")
     _finish(q, "stream_sale_users")
     return index.read()
@@ -369,7 +383,7 @@ def q_stream_cdc_route(spark, root):
     ch = AD.cdc_changes(t).withColumn("at", ntz_to_instant("change_ts"))
     stage_slices(ch, f"{base}/in", "at")
     schema = T.StructType(list(CDC_CHANGE.fields) + [T.StructField("at", T.TimestampType())])
-    _finish(cdc_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/out", f"{base}/ckpt"),
+    _finish(cdc_route_job(replay_stream(spark, f"{base}/in", schema), f"{base}/out", f"{base}/ckpt"),
             "stream_cdc_route")
     return spark.read.parquet(f"{base}/out").select("topic", "value")
 
@@ -382,7 +396,7 @@ def q_stream_log_route(spark, root):
     schema = T.StructType([T.StructField("value", T.StringType()),
                            T.StructField("arrival_ms", T.LongType()),
                            T.StructField("at", T.TimestampType())])
-    _finish(log_route_job(file_stream(spark, f"{base}/in", schema), f"{base}/topics",
+    _finish(log_route_job(replay_stream(spark, f"{base}/in", schema), f"{base}/topics",
                           f"{base}/daily", f"{base}/ckpt"), "stream_log_route")
     full = T.StructType([T.StructField("value", T.StringType()), T.StructField("dt", T.StringType()),
                          T.StructField("batch_id", T.LongType()), T.StructField("topic", T.StringType())])
@@ -393,7 +407,7 @@ def q_stream_topic_strip(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-strip")
     stage_slices(AD.topic_records(t), f"{base}/in", "timestamp")
-    _finish(strip_job(file_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt"),
+    _finish(strip_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt"),
             "stream_topic_strip")
     return spark.read.parquet(f"{base}/out")
 
