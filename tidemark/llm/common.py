@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from tidemark.session import run_dir
 
-#: Rows of one Arrow batch; long texts keep a batch within tens of MB.
-BATCH_ROWS = 512
+#: Rows and bytes of one Arrow batch at most (one row at least).
+BATCH_ROWS, BATCH_BYTES = 512, 1 << 23
 #: Bytes of text worked on at once inside a task.
 SLICE_BYTES = 1 << 20
 
@@ -33,8 +33,8 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Bounds the rows of an Arrow batch, so that a batch of long texts fits a
-    worker, and lets workers of this machine import the package from where the
+    """Bounds the rows and bytes of an Arrow batch, so that a batch of long texts
+    or packed arrays fits a worker, and lets workers of this machine import the package from where the
     driver has it (a cluster's launcher ships it)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
@@ -42,6 +42,7 @@ def arrow_batches(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
