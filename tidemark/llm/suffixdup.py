@@ -10,7 +10,9 @@ with a smaller id. Three steps find those strings exactly, across documents:
    arrays, each value twice a task at most); a fixed-size bitmap of those that
    occur in two documents or more is broadcast. Wrongly passed hashes cost
    only time, and a full bitmap only means that every run goes on.
-2. Two-stage sorting. Runs are dealt out by anchor and sorted. Equal runs are
+2. Two-stage sorting. Runs are dealt out by anchor, packed by task and range of
+   anchors (near-equal runs lie side by side there, so they take little room on
+   the way), unpacked and sorted. Equal runs are
    settled as they stream by: all but the smallest id's are covered whole. The
    distinct rest are put together into one text, whose suffixes not greater
    than their successors (by first bytes) are sorted directly; the others are
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +47,8 @@ from tidemark.llm import common
 LENGTH, GRAM = 50, 16
 #: Window starts worked on at once; distinct runs sorted at once, and of one anchor at most.
 PIECE, BATCH, GROUP = 1 << 20, 8_000, 24_000
-#: Hashes that a task gathers before it sends them on.
-GATHERED = 1 << 21
+#: Hashes, and bytes of text with shared runs, that a task gathers before it sends them on.
+GATHERED, GATHERED_TEXT = 1 << 21, 1 << 23
 
 
 # ---------------------------------------------------------------- selection
@@ -85,7 +88,7 @@ def runs(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH):
             continue
         first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         last = np.concatenate([first[1:], [len(starts)]]) - 1
-        out.append((doc[first], starts[first], starts[last], h[anchor[first]]))
+        out.append((doc[first], starts[first], starts[last], common.mix(h[anchor[first]])))  # least hashes are small: spread
     if not out:
         return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.uint64),)
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -124,6 +127,58 @@ def _shared_anchors(docs: DataFrame, length: int) -> np.ndarray:
     return common.bitmap(common.hash_counts(blobs, 2).select("hash"))
 
 
+# ---------------------------------------------------------------- runs on their way
+
+_RUNS = "anchor bigint, doc_id bigint, mark int, start bigint, run binary"
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """uint32 values, their lowest bytes first, then the next and so on."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _values(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack(anchor: np.ndarray, doc: np.ndarray, ids: np.ndarray, marks: np.ndarray,
+         start: np.ndarray, found: list[bytes]) -> bytes:
+    """Runs in order of their anchors (uint32), in one compressed array; ``doc``
+    is each run's place in ``ids`` and ``marks``, of which only those in use are written."""
+    used, doc = np.unique(doc, return_inverse=True)
+    return zstandard.ZstdCompressor(level=3).compress(b"".join((
+        np.array([len(anchor), len(used)], "<u4").tobytes(), common.packed(anchor), _planes(doc), _planes(start),
+        _planes(np.array([len(r) for r in found])), ids[used].astype("<i8").tobytes(), marks[used].astype("<i4").tobytes(),
+        *found)))
+
+
+def unpack(blob: bytes):
+    """(anchor, doc_id, mark, start, list of runs) of :func:`pack`'s array."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    n, d = (int(x) for x in raw[:8].view("<u4"))
+    at = 8 + 16 * n
+    start, size = _values(raw[8 + 8 * n:8 + 12 * n]), _values(raw[8 + 12 * n:at])
+    doc = _values(raw[8 + 4 * n:8 + 8 * n])
+    ids = np.frombuffer(raw[at:at + 8 * d].tobytes(), "<i8")
+    marks = np.frombuffer(raw[at + 8 * d:at + 12 * d].tobytes(), "<i4")
+    ends = np.cumsum(size.astype(np.int64)).tolist()
+    text = raw[at + 12 * d:].tobytes()
+    return (common.unpacked(raw[8:8 + 4 * n].tobytes()), ids[doc], marks[doc], start,
+            [text[a:b] for a, b in zip([0, *ends], ends)])
+
+
+def _unpacked(batches):
+    """Rows of ``_RUNS`` from packed runs."""
+    for batch in batches:
+        for blob in batch.column("runs"):
+            anchor, ids, marks, start, found = unpack(blob.as_py())
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(anchor.astype(np.int64)), pa.array(ids), pa.array(marks, pa.int32()), pa.array(start.astype(np.int64)),
+                 pa.array(found, pa.binary())], ["anchor", "doc_id", "mark", "start", "run"])
+            for at in range(0, rows.num_rows, 8192):
+                yield rows.slice(at, 8192)
+
+
 # ---------------------------------------------------------------- two-stage sorting
 
 def sorted_suffixes(text: np.ndarray, places: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -283,24 +338,45 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     shared = spark.sparkContext.broadcast(_shared_anchors(
         keyed.select("h", "text").mapInArrow(only_firsts, "text string"), length))
 
+    ranges = common.n_ranges(spark)
+
     def ship(batches):
+        held, size, docs_held = [], 0, 0
+
+        def send():
+            anchor, doc, start, at, to = (np.concatenate([x[k] for x in held]) for k in range(5))
+            ids, marks = (np.concatenate([x[k] for x in held]) for k in (5, 6))
+            raw = b"".join(x[7] for x in held)
+            order = np.argsort(anchor, kind="stable")
+            anchor, doc, start, at, to = (x[order] for x in (anchor, doc, start, at, to))
+            cuts = np.searchsorted(anchor, (np.arange(ranges + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(ranges))
+            sent = [(k, pack(anchor[a:b], doc[a:b], ids, marks, start[a:b], [raw[x:y] for x, y in zip(at[a:b].tolist(), to[a:b].tolist())]))
+                    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()),
+                                               pa.array([b for _, b in sent], pa.binary())], ["range", "runs"])
+
         for batch in batches:
             for part in common.slices(of_firsts(batch)):
                 offsets, data = common.utf8(part.column("text"))
                 doc, first, last, h = runs(offsets, data, length)
                 h >>= np.uint64(32)
                 kept = common.in_bitmap(shared.value, h)
-                doc, first, last, h = doc[kept], first[kept], last[kept], h[kept]
-                raw = data.tobytes()
-                ids, marks = (part.column(c).to_numpy()[doc] for c in ("doc_id", "mark"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.astype(np.int64)), pa.array(ids), pa.array(marks, pa.int32()), pa.array(first - offsets[doc]),
-                     pa.array([raw[a:b + length] for a, b in zip(first.tolist(), last.tolist())], pa.binary())],
-                    ["anchor", "doc_id", "mark", "start", "run"])
+                if not kept.any():
+                    continue
+                doc, first, last = doc[kept], first[kept], last[kept]
+                held.append((h[kept], doc + docs_held, first - offsets[doc], first + size, last + length + size,
+                             *(part.column(c).to_numpy() for c in ("doc_id", "mark")), data.tobytes()))
+                docs_held += part.num_rows
+                size += len(data)
+                if size >= GATHERED_TEXT:
+                    yield send()
+                    held, size, docs_held = [], 0, 0
+        if held:
+            yield send()
 
     found = common.written(
-        keyed.mapInArrow(ship, "anchor bigint, doc_id bigint, mark int, start bigint, run binary")
-        .repartition(common.n_ranges(spark), "anchor").sortWithinPartitions("anchor", "run", "doc_id")
+        keyed.mapInArrow(ship, "range int, runs binary").repartitionById(ranges, F.col("range"))
+        .mapInArrow(_unpacked, _RUNS).sortWithinPartitions("anchor", "run", "doc_id")
         .mapInArrow(_cover(length), _FOUND), "stretches")
     out = found.where("run is null").select("doc_id", "mark", "start", "stop")
 
