@@ -20,7 +20,6 @@ are not read; an empty table gives no rows.
 from __future__ import annotations
 
 import unicodedata
-import uuid
 from collections import Counter
 
 import numpy as np
@@ -172,26 +171,21 @@ class Model:
                 [float(s) if k else 0.0 for s, k in zip(share, known)])
 
 
-_MODELS: dict = {}
-
-
 def identify_rows(docs: DataFrame, texts: dict[str, str], text_col: str = "text") -> DataFrame:
     """The rows with lang_pred and score (the winner's share of 2 ** -bits) of their text.
 
     ``texts`` is the text of each language, as :func:`sample` gives it; each
-    worker builds its automata once."""
+    task builds its automata, and frees them for what the worker does next."""
     common.arrow_batches(docs.sparkSession)
-    name, shared = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(texts)
+    shared = docs.sparkSession.sparkContext.broadcast(texts)
     schema = T.StructType([f for f in docs.schema if f.name not in ("lang_pred", "score")])
     docs = docs.select(*schema.names)
 
     def run(batches):
-        if name not in _MODELS:
-            _MODELS.clear()
-            _MODELS[name] = Model(shared.value)
+        model = Model(shared.value)
         for batch in batches:
             for part in common.slices(batch, text_col):
-                langs, scores = _MODELS[name].predict(part.column(text_col).to_pylist())
+                langs, scores = model.predict(part.column(text_col).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                     [*part.schema.names, "lang_pred", "score"])
