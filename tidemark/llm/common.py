@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +33,21 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.col(text_col).cast("string").alias("text"))
 
 
+#: Workers give large blocks back when freed, so that what one stage used does not add to the next one's.
+WORKER_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "2097152", "MALLOC_TRIM_THRESHOLD_": "8388608", "MALLOC_ARENA_MAX": "2",
+                 "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def arrow_batches(spark: SparkSession) -> None:
-    """Bounds the rows and bytes of an Arrow batch, so that a batch of long texts
-    or packed arrays fits a worker, and lets workers of this machine import the package from where the
+    """Bounds the rows and bytes of an Arrow batch and the rows that a scan
+    decodes at once, so that long texts or packed arrays fit, and lets workers of this machine import the package from where the
     driver has it (a cluster's launcher ships it)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    spark.sparkContext.environment.update(WORKER_MEMORY)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -139,10 +147,18 @@ def hash_counts(blobs: DataFrame, least: int) -> DataFrame:
     range is put together in one task; ranges are as many as the caller made.
     """
     def count(blobs: pa.Table) -> pa.Table:
-        hashes = np.concatenate([unpacked(b) for b in blobs.column("hashes").to_pylist()])
-        values, counts = np.unique(hashes, return_counts=True)
-        often = counts >= least
-        return pa.table({"hash": values[often].astype(np.int64), "n": counts[often].astype(np.int64)})
+        column = blobs.column("hashes")
+        sizes = pc.divide(pc.binary_length(column), 4).to_numpy()
+        hashes, at = np.empty(int(sizes.sum()), np.uint32), 0
+        for blob, size in zip(column, sizes.tolist()):
+            hashes[at:at + size] = unpacked(blob.as_py())
+            at += size
+        hashes.sort()  # in place: a range is held once
+        often = hashes[least - 1:] == hashes[:len(hashes) - least + 1]
+        often[1:] &= hashes[1:len(often)] != hashes[:len(often) - 1]
+        first = np.flatnonzero(often)
+        values = hashes[first]
+        return pa.table({"hash": values.astype(np.int64), "n": np.searchsorted(hashes, values, side="right") - first})
 
     return blobs.groupBy("range").applyInArrow(count, "hash bigint, n bigint")
 
