@@ -38,6 +38,13 @@ def test_log_routing_stamps_arrival(spark):
                    ("gmall_startup", '{"type":"startup","mid":"m1","ts":99}', "1970-01-01")]
 
 
+def test_log_route_keeps_every_field(spark):
+    raw = spark.createDataFrame([('{"type":"event","pgid":12,"extra":"x","props":{"a":1},"ts":"text"}', 99), ("{}", 5),
+                                 ('{"type":null,"a":[1.5,true]}', 6)], "value string, arrival_ms long")
+    assert sorted(r["value"] for r in FE.log_route(raw).collect()) == [
+        '{"ts":5}', '{"type":"event","pgid":12,"extra":"x","props":{"a":1},"ts":99}', '{"type":null,"a":[1.5,true],"ts":6}']
+
+
 def _records(spark, data):
     return spark.createDataFrame(
         [("first", p, o, None, v, NOW) for p, o, v in data],

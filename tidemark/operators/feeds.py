@@ -6,22 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.fixed import (FETCH_BYTES, FIXED_PARTITION, MARKER, TOPIC_EVENT,
                             TOPIC_ORDER_DETAIL, TOPIC_ORDER_INFO, TOPIC_STARTUP, TOPIC_USER_INFO)
 from tidemark.functions.text import prefix_millis, strip_marker
 from tidemark.functions.timefmt import log_date
-from tidemark.operators.parse import accepted, parse_json
-
-# Fields of a client log line (startup and event logs together).
-LOG_LINE = T.StructType([T.StructField(n, t) for n, t in [
-    ("type", T.StringType()), ("mid", T.StringType()), ("uid", T.StringType()),
-    ("appid", T.StringType()), ("area", T.StringType()), ("os", T.StringType()),
-    ("ch", T.StringType()), ("vs", T.StringType()), ("evid", T.StringType()),
-    ("pgid", T.StringType()), ("npgid", T.StringType()), ("itemid", T.StringType()),
-    ("ts", T.LongType())]])
-
+from tidemark.operators.parse import accepted
 
 def cdc_topic(table, event_type):
     """Routing rule: order_info INSERT, order_detail INSERT, user_info INSERT or
@@ -41,23 +31,30 @@ def cdc_route(changes: DataFrame) -> DataFrame:
 
 
 def log_lines(raw: DataFrame, arrival_ms: str = "arrival_ms") -> DataFrame:
-    """Client log lines parsed into ``LOG_LINE`` fields, ``_corrupt`` set for
+    """Client log lines as ``line`` (every field as it came), ``_corrupt`` set for
     lines that are not a JSON object, and the intake time as ``_a``."""
-    return parse_json(raw.withColumnRenamed(arrival_ms, "_a"), LOG_LINE, keep=("_a",))
+    value = F.col("value")
+    parsed = F.struct(F.from_json(value, "map<string,variant>").alias("line"), value.alias("_raw"))
+    out = raw.select(F.col(arrival_ms).alias("_a"), F.inline(F.array(parsed)))  # parsed once, as in parse_json
+    bad = F.when(F.trim("_raw") == "", F.lit("")).otherwise(F.coalesce("_raw", F.lit("")))
+    return out.select("_a", "line", F.when(F.col("line").isNull() | (F.trim("_raw") == ""), bad).alias("_corrupt"))
 
 
 def log_route(raw: DataFrame, arrival_ms: str = "arrival_ms", zone: str = "UTC") -> DataFrame:
     """Client log lines -> (topic, value, dt): intake time stamped into ``ts``
-    (overwriting the client's), startup logs to the startup topic and every
-    other line (missing type included) to the event topic; ``dt`` names the
-    daily log file. Lines that are not a JSON object are not routed
-    (``rejected(log_lines(raw))`` returns them)."""
+    (replacing the client's, whatever it is), all other fields as they came;
+    startup logs to the startup topic and every other line (missing type
+    included) to the event topic; ``dt`` names the daily log file. Lines that
+    are not a JSON object are not routed (``rejected(log_lines(raw))`` returns
+    them)."""
     lines = accepted(log_lines(raw, arrival_ms))
-    fields = [f.name for f in LOG_LINE.fields]
-    line = F.struct(*[F.col("_a").alias("ts") if n == "ts" else F.col(n) for n in fields])
-    topic = F.when(F.col("type") == "startup", F.lit(TOPIC_STARTUP)).otherwise(F.lit(TOPIC_EVENT))
-    return lines.select(topic.alias("topic"), F.to_json(line).alias("value"),
-                        log_date("_a", zone).alias("dt"))
+    rest = F.to_json(F.map_filter("line", lambda k, _: k != "ts"))
+    stamp = F.concat(F.lit('"ts":'), F.col("_a").cast("string"), F.lit("}"))
+    value = F.when(rest == "{}", F.concat(F.lit("{"), stamp)).otherwise(
+        F.concat(F.substring(rest, F.lit(1), F.length(rest) - 1), F.lit(","), stamp))
+    kind = F.try_variant_get(F.element_at("line", "type"), "$", "string")
+    topic = F.when(kind == "startup", F.lit(TOPIC_STARTUP)).otherwise(F.lit(TOPIC_EVENT))
+    return lines.select(topic.alias("topic"), value.alias("value"), log_date("_a", zone).alias("dt"))
 
 
 def strip_topic(records: DataFrame, marker: str = MARKER) -> DataFrame:
