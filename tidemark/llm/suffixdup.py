@@ -94,8 +94,8 @@ def runs(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _shared_anchors(docs: DataFrame, length: int) -> np.ndarray:
-    """Bitmap of the anchor hashes (32 bits) that two documents or more have."""
+def _shared_anchors(docs: DataFrame, length: int, chosen) -> np.ndarray:
+    """Bitmap of the anchor hashes (32 bits) that two documents or more have; ``chosen`` filters a batch's rows."""
     ranges = common.n_ranges(docs.sparkSession)
 
     def gather(batches):
@@ -109,7 +109,7 @@ def _shared_anchors(docs: DataFrame, length: int) -> np.ndarray:
                                                pa.array([b for _, b in sent], pa.binary())], ["range", "hashes"])
 
         for batch in batches:
-            for part in common.slices(batch):
+            for part in common.slices(chosen(batch)):
                 doc, _, _, h = runs(*common.utf8(part.column("text")), length)
                 if not len(h):
                     continue
@@ -123,7 +123,7 @@ def _shared_anchors(docs: DataFrame, length: int) -> np.ndarray:
         if held:
             yield send()
 
-    blobs = docs.select("text").mapInArrow(gather, "range int, hashes binary")
+    blobs = docs.mapInArrow(gather, "range int, hashes binary")
     return common.bitmap(common.hash_counts(blobs, 2).select("hash"))
 
 
@@ -181,23 +181,24 @@ def _unpacked(batches):
 
 # ---------------------------------------------------------------- two-stage sorting
 
-def sorted_suffixes(text: np.ndarray, places: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def sorted_suffixes(text: np.ndarray, places: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Order of the suffixes at ``places`` by their first ``length`` bytes at
-    least, and those bytes of each as words.
+    least, and those bytes as words, a column for each eight.
 
     ``places`` are consecutive within a run; ``last`` marks a run's last one,
-    which is not greater than its successor and so is sorted directly.
+    which is not greater than its successor and so is sorted directly. Columns
+    are gathered and sorted by one after another, so that the keys are held once.
     """
     n = len(places)
-    words = -(-length // 8)
-    rows = np.zeros((n, words * 8), np.uint8)
-    rows[:, :length] = np.lib.stride_tricks.sliding_window_view(text, length)[places]
-    keys = rows.view(">u8").astype(np.uint64)
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([text, np.zeros(8, np.uint8)]), 8)
+    keys = [eight[places + k].view(">u8").ravel().astype(np.uint64) for k in range(0, length, 8)]
+    keys[-1] &= np.uint64((1 << 64) - (1 << 8 * (-length % 8)))
     first = text[places]
     induced = np.zeros(n, bool)
     induced[:-1] = ~last[:-1] & (first[:-1] > first[1:])
     direct = np.flatnonzero(~induced)
-    direct = direct[np.lexsort(keys[direct].T[::-1])]
+    for key in reversed(keys):
+        direct = direct[np.argsort(key[direct], kind="stable")]
     cuts = np.searchsorted(first[direct], np.arange(257))
     has_before = np.concatenate([[False], ~last[:-1]])
     buckets: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -234,8 +235,11 @@ def covered(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> list[t
     inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     order, keys = sorted_suffixes(text, base[owner] + inside, inside == counts[owner] - 1, length)
     order = order[inside[order] < starts[owner[order]]]
-    same = np.zeros(len(order), bool)
-    same[1:] = (keys[order[1:]] == keys[order[:-1]]).all(axis=1)  # a common prefix of `length` bytes
+    same = np.ones(len(order), bool)  # as the suffix before: a common prefix of `length` bytes
+    same[:1] = False
+    for key in keys:
+        key = key[order]
+        same[1:] &= key[1:] == key[:-1]
     group = np.flatnonzero(~same)
     least = np.repeat(np.minimum.reduceat(ids[owner[order]], group), np.diff(np.append(group, len(order))))
     hit = np.zeros(len(owner), bool)
@@ -331,12 +335,7 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     def of_firsts(batch):
         return batch.filter(pa.array(common.in_bitmap(firsts.value, batch.column("h").to_numpy().view(np.uint64))))
 
-    def only_firsts(batches):
-        for batch in batches:
-            yield of_firsts(batch).select(["text"])
-
-    shared = spark.sparkContext.broadcast(_shared_anchors(
-        keyed.select("h", "text").mapInArrow(only_firsts, "text string"), length))
+    shared = spark.sparkContext.broadcast(_shared_anchors(keyed.select("h", "text"), length, of_firsts))
 
     ranges = common.n_ranges(spark)
 
