@@ -224,6 +224,35 @@ def test_copies_of_test_items(spark, documents, odd_texts):
     assert decontam.copies(documents(texts), bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("many", [2, 2000])
+def test_edited_copies_are_found_however_many(spark, documents, many):
+    r = random.Random(13)
+    item = [f"w{k}" for k in range(40)]
+    edited = [f"x{k}" if k % 10 in (0, 4) or k % 20 == 9 else w for k, w in enumerate(item)]  # 25 % of the words
+    other = [f"w{k}" for k in range(4)] + [f"v{k}" for k in range(36)]  # begins with the same phrase
+    texts = [" ".join([str(r.random()), "before", *edited, "after", *item[20:24], str(k)]) for k in range(many)]
+    texts += [" ".join(["no", *item[:4], "copy", str(k)]) for k in range(many)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other))], "item_id bigint, text string")
+    rows = decontam.copies(documents(texts), bench).collect()
+    assert {(x["doc_id"], x["item_id"]) for x in rows} == {(k, 1) for k in range(many)}
+    assert {x["score"] for x in rows} == {(2 * 30 - 9) / 80}  # the first word lies outside
+    kept = {x["doc_id"] for x in decontam.clean(documents(texts), bench).collect()}
+    assert kept == set(range(many, 2 * many))
+
+
+def test_long_stretches_of_hits_are_aligned_whole():
+    r = random.Random(14)
+    item = [str(r.randrange(30)) for _ in range(30)]
+    items = decontam.Items([(1, " ".join(item))], 4)
+    for _ in range(20):
+        copy = [w if r.random() < 0.85 else "edited" for w in item]
+        words = (item[3:7] + ["x"]) * r.randrange(60) + copy + (item[20:25] + ["y"]) * r.randrange(60)
+        raw = " ".join(words).encode()
+        h, _ = decontam.word_hashes(np.array([0, len(raw)]), np.frombuffer(raw, np.uint8))
+        score = decontam.align(items.words[0], h)[0] / 60
+        assert [x[1] for x in decontam.search(items, h, 4, 0.5, {})] == [score] * (score >= 0.5)
+
+
 def test_alignment_is_smith_waterman():
     r = random.Random(8)
     for _ in range(200):

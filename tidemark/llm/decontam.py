@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs of digits, letters and non-ASCII characters, so
 case and punctuation don't matter. Seeds are the SEED-word grams of test
-items; a first pass counts the documents that hold each, over the whole
-corpus, and a seed much more widespread than its item's others is left out as
-a common phrase (at least half of an item's seeds stay, also when the item
-itself is copied everywhere). In a second pass a document's seed hits name the
-items and places to look at, and a local alignment of words (match 2, mismatch
-and gap -1) scores each: the score is its share of a full match, so an edited
-or paraphrased copy loses by its edits only.
+items, common phrases among them too. A document's seed hits name the items and
+places to look at, and a local alignment of words (match 2, mismatch and gap
+-1) scores each: the score is its share of a full match, so an edited or
+paraphrased copy loses by its edits only. A place that shares too few words
+with the item for the threshold, whatever their order, is not aligned; that is
+a bound on the score, so it loses nothing, and it is what keeps common phrases
+cheap.
 
 The test items are the small side: BLOCK_BYTES of their text at most are
 broadcast at a time; a larger benchmark is worked through in blocks, each over
@@ -35,8 +35,9 @@ from tidemark.llm import common, sigtree
 SEED, THRESHOLD = 4, 0.5
 MATCH, MISS, GAP = 2, -1, -1
 BLOCK_BYTES = 32 << 20
-#: A seed is a common phrase beyond so many times its item's median, and so many documents more.
-COMMON_TIMES, COMMON_MORE = 4, 16
+#: A longer stretch of hits is aligned in pieces of so many times the item's words. An
+#: alignment over a threshold above 0 takes under 3 times the item's words, so pieces overlap by that.
+PIECE, OVERLAP = 6, 3
 
 _LETTERS = np.array([b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                      for b in range(256)], np.uint8)
@@ -71,7 +72,7 @@ class Items:
         self.seeds = np.array([g for g, _, _ in got], np.uint64)
         self.items = np.array([k for _, k, _ in got], np.int64)
         self.places = np.array([p for _, _, p in got], np.int64)
-        self.rare = np.ones(len(got), bool)
+        self.counted = [np.unique(w, return_counts=True) for w in self.words]
         self.bits = np.zeros(1 << 19, np.uint8)
         low = (self.seeds & np.uint64((1 << 22) - 1)).astype(np.int64)
         np.bitwise_or.at(self.bits, low >> 3, (1 << (low & 7)).astype(np.uint8))
@@ -84,13 +85,11 @@ class Items:
         k = np.minimum(np.searchsorted(self.seeds, g[at]), len(self.seeds) - 1)
         return at[self.seeds[k] == g[at]]
 
-    def weigh(self, documents: dict[int, int]) -> None:
-        """Leaves out common phrases, by the number of documents that hold each seed."""
-        n = np.array([documents.get(int(g), 0) for g in self.seeds.view(np.int64)], np.int64)
-        for k in range(len(self.ids)):
-            own = self.items == k
-            if own.any():
-                self.rare[own] = n[own] <= COMMON_TIMES * np.median(n[own]) + COMMON_MORE
+    def shared(self, k: int, part: np.ndarray) -> int:
+        """Words that item ``k`` and a part of a text share, whatever their order: no alignment matches more."""
+        words, counts = self.counted[k]
+        part = np.sort(part)
+        return int(np.minimum(np.searchsorted(part, words, side="right") - np.searchsorted(part, words), counts).sum())
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -125,30 +124,40 @@ def search(items: Items, h: np.ndarray, size: int, threshold: float, known: dict
     hi = np.searchsorted(items.seeds, g[at], side="right")
     count = hi - lo
     seed = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    place, keep = np.repeat(at, count), items.rare[seed]
-    place, seed = place[keep], seed[keep]
+    start = np.repeat(at, count) - items.places[seed]  # where the whole item would begin
+    order = np.lexsort((start, items.items[seed]))
+    start, item = start[order], items.items[seed][order]
     out = []
-    for k in np.unique(items.items[seed]).tolist():
-        own = items.items[seed] == k
-        words = items.words[k]
-        starts = np.sort(place[own] - items.places[seed[own]])  # where the whole item would begin
-        best = None
-        for stretch in np.split(starts, np.flatnonzero(np.diff(starts) > len(words)) + 1):
-            a = max(0, int(stretch[0]) - len(words) // 2)
-            b = min(len(h), int(stretch[-1]) + len(words) + len(words) // 2)
+    for own in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
+        k = int(item[own[0]])
+        words, best = items.words[k], None
+        for a, b in _parts(start[own], len(words), len(h)):
             part = h[a:b]
             if (key := (k, part.tobytes())) not in known:
+                if items.shared(k, part) / len(words) < threshold:
+                    continue
                 if len(known) > 2_000:
                     known.clear()
                 known[key] = align(words, part)
             score, first, last = known[key]
             got = (score / (MATCH * len(words)), -(a + first), a + last)
             best = max(best, got) if best else got
-        if best[0] >= threshold:
+        if best and best[0] >= threshold:
             out.append((k, best[0], -best[1], best[2]))
     return out
 
 
+def _parts(starts: np.ndarray, size: int, n: int):
+    """Bounds of the parts of a text of ``n`` words to align, from where an item would begin."""
+    for stretch in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):
+        a = max(0, int(stretch[0]) - size // 2)
+        b = min(n, int(stretch[-1]) + size + size // 2)
+        while b - a > PIECE * size:
+            yield a, a + PIECE * size
+            a += (PIECE - OVERLAP) * size
+        yield a, b
+
+
 _ITEMS: dict = {}
 
 
@@ -164,51 +173,23 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
 
 
 class _Block:
-    """One block in the workers: built once there from the broadcast items and counts."""
+    """One block in the workers: built once there from the broadcast items."""
 
     def __init__(self, spark, items, size):
         self.name, self.size = uuid.uuid4().hex, size
-        self.items, self.counts = spark.sparkContext.broadcast(items), None
+        self.items = spark.sparkContext.broadcast(items)
 
     def get(self) -> Items:
-        key = (self.name, self.counts is not None)
-        if key not in _ITEMS:
+        if self.name not in _ITEMS:
             _ITEMS.clear()
-            _ITEMS[key] = Items(self.items.value, self.size)
-            if self.counts is not None:
-                _ITEMS[key].weigh(self.counts.value)
-        return _ITEMS[key]
-
-
-def _seed_documents(docs: DataFrame, block: _Block) -> dict[int, int]:
-    """Documents that hold each seed of the block (as many rows as seeds at most), over all documents."""
-    def work(batches):
-        items = block.get()
-        total = np.zeros(len(items.seeds), np.int64)
-        for batch in batches:
-            for part in common.slices(batch):
-                h, starts = word_hashes(*common.utf8(part.column("text")))
-                g = grams(h, block.size)
-                at = items.hits(g)
-                doc = np.searchsorted(starts, at, side="right") - 1
-                inside = at + block.size <= starts[doc + 1]
-                seed = np.searchsorted(items.seeds, g[at[inside]])
-                once = np.unique(np.stack([doc[inside], seed]), axis=1)
-                total += np.bincount(once[1], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(items.seeds[some].view(np.int64)), pa.array(total[some])], ["seed", "n"])
-
-    got = docs.select("text").mapInArrow(work, "seed bigint, n bigint").groupBy("seed").agg(F.sum("n").alias("n")).collect()
-    return {r["seed"]: r["n"] for r in got}
-
-
-def _prepared(docs: DataFrame, benchmark: DataFrame, size: int, item_col: str, item_text: str, block_bytes: int):
-    spark = docs.sparkSession
+            _ITEMS[self.name] = Items(self.items.value, self.size)
+        return _ITEMS[self.name]
+
+
+def _prepared(spark, benchmark: DataFrame, size: int, item_col: str, item_text: str, block_bytes: int):
     common.arrow_batches(spark)
     for items in _blocks(benchmark, item_col, item_text, block_bytes):
-        block = _Block(spark, items, size)
-        block.counts = spark.sparkContext.broadcast(_seed_documents(docs, block))
-        yield block
+        yield _Block(spark, items, size)
 
 
 def _found(block: _Block, part: pa.RecordBatch, text_col: str, threshold: float, known: dict):
@@ -230,7 +211,7 @@ def copies(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     """doc_id, item_id, score, first_word, last_word of each document's copy of a test item."""
     docs = common.narrow(docs, id_col, text_col)
     out = None
-    for block in _prepared(docs, benchmark, size, item_col, item_text, block_bytes):
+    for block in _prepared(docs.sparkSession, benchmark, size, item_col, item_text, block_bytes):
         def work(batches, block=block):
             known: dict = {}
             for batch in batches:
@@ -252,7 +233,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, s
           item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows whose text holds no copy of a test item; columns as they are."""
     out = docs
-    for block in _prepared(docs.select(F.col(text_col).alias("text")), benchmark, size, item_col, item_text, block_bytes):
+    for block in _prepared(docs.sparkSession, benchmark, size, item_col, item_text, block_bytes):
         def work(batches, block=block):
             known: dict = {}
             for batch in batches:
