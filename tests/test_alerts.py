@@ -71,3 +71,14 @@ def test_pane_aggregation_equals_window_aggregation(spark):
     norm = [F.array_sort("uids").alias("u"), F.array_sort("itemids").alias("i")]
     assert rows(direct.select(*cols, *norm)) == rows(panes.select(*cols, *norm))
     assert rows(AL.alerts(direct)) == rows(AL.alerts(panes))
+
+
+def test_events_of_any_id_are_listed(spark):
+    ev = [("m", f"u{k}", "coupon", "1", T0 + k * S) for k in range(3)]
+    ev += [("m", "u1", e, "1", T0 + 40 * S + k) for k, e in enumerate(["share", "share", "scan", "addCart", None])]
+    for window, slide in (("60 seconds", "5 seconds"), ("60 seconds", "7 seconds")):
+        got = AL.coupon_alerts(_events(spark, ev), window, slide, 3).where("event_count = 8")
+        assert {r["events"] for r in got.collect()} == {"addCart:1,coupon:3,null:1,scan:1,share:2"}
+    frame = AL.with_event_time(_events(spark, ev))
+    direct = AL.window_aggregate(frame, "60 seconds", "5 seconds")
+    assert rows(AL.alerts(direct)) == rows(_alert_windows(spark, ev))

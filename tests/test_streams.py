@@ -112,6 +112,30 @@ def test_alert_stream_update_mode_matches_batch(spark):
     assert streamed == expect and len(expect) == 12
 
 
+def test_alert_stream_lists_events_of_any_id(spark):
+    from tidemark.operators import alerts as AL
+    from tidemark.operators.parse import accepted, parse_json
+    from tidemark.schemas import EVENT_LOG
+    base = run_dir(spark, "t-alert-ids")
+    T0, s = DAY1, 1000
+
+    def ev(uid, evid, ms):
+        return ("gmall_event", {"mid": "m", "uid": uid, "evid": evid, "itemid": 1, "ts": ms}, ms)
+    batches = [[ev("u1", "coupon", T0 + s), ev("u2", "coupon", T0 + 2 * s), ev("u2", "share", T0 + 2 * s)],
+               [ev("u3", "coupon", T0 + 3 * s), ev("u3", "share", T0 + 3 * s), ev("u3", None, T0 + 3 * s)],
+               [ev("u1", "scan", T0 + 4 * s)]]
+    _write_batches(spark, f"{base}/in", batches)
+    probe = AL.window_aggregate(AL.with_event_time(accepted(parse_json(
+        spark.createDataFrame([], TOPIC_RECORD), EVENT_LOG))), "60 seconds", "5 seconds")
+    kt = KeyedTable(spark, f"{base}/t", probe.schema, ["mid", "window_start_ts"])
+    J._finish(J.alert_job(J.file_stream(spark, f"{base}/in", TOPIC_RECORD, 1), kt, f"{base}/ck",
+                          "60 seconds", "5 seconds", "2 minutes"))
+    streamed = rows(AL.alerts(kt.read()))
+    batch = spark.read.schema(TOPIC_RECORD).parquet(f"{base}/in")
+    assert streamed == rows(AL.coupon_alerts(accepted(parse_json(batch, EVENT_LOG)), "60 seconds", "5 seconds"))
+    assert "coupon:3,null:1,scan:1,share:2" in {r["events"] for r in AL.alerts(kt.read()).collect()}
+
+
 def test_processing_time_trigger_and_observed_counts(spark):
     base = run_dir(spark, "t-trigger")
     _write_batches(spark, f"{base}/in", [[_log("m1", DAY1 + H), _log("m2", DAY1 + 2 * H)]])
