@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import components, decontam, multisethash, sigtree, suffixdup, urlalias
+from tidemark.llm import components, decontam, multisethash, sigtree, stages, suffixdup, urlalias
 
 VOCAB = [a + b for a in ("th", "er", "on", "an", "re", "st") for b in ("", "e", "ing", "ation", "ed", "ly")]
 
@@ -296,6 +296,17 @@ def test_removal_against_brute_force(spark, documents, odd_texts, monkeypatch, g
     assert suffixdup.summary(suffixdup.remove(documents([]))).collect() == []
 
 
+def test_only_cut_characters_go_with_a_passage(spark, documents):
+    passage = "one passage that two documents hold, of over fifty bytes in all "
+    # the shared bytes end inside the second text's first character after them (0xC3 begins both), and begin inside another
+    texts = ["\u00c2\u00a9" + passage + "\u00e9 first", "\ufffd kept \ufffd \u00e8" + passage + "\u00e8 \ufffd second", "\ufffd alone"]
+    got = {x["doc_id"]: x["text"] for x in stages.repeated_passages(spark, documents(texts, clash=False), "").collect()}
+    assert got == {0: texts[0], 1: "\ufffd kept \ufffd \u00e8 \ufffd second", 2: texts[2]}
+    text = ("\ufffd" + "\u65e5" * 3 + "\ufffd").encode()
+    assert suffixdup.cut(text, [(4, 10)], True)[0].decode() == "\ufffd\ufffd"  # 0xE6 and the rest of another 0xE6 0x97 0xA5
+    assert suffixdup.cut(text, [(4, 10)])[0] == text[:4] + text[10:]
+
+
 def test_covered_strings_against_brute_force():
     r = random.Random(10)
     for _ in range(200):

@@ -33,9 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that a document of smaller id holds too; every document stays."""
-    cut = suffixdup.remove(docs, carry=("lang", "source"))
-    text = suffixdup.text_of(F.col("kept"), F.col("removed"))
-    return (cut.select("doc_id", text.alias("text"), "carried.lang", "carried.source")
+    cut = suffixdup.remove(docs, carry=("lang", "source"), characters=True)
+    return (cut.select("doc_id", F.col("kept").cast("string").alias("text"), "carried.lang", "carried.source")
             .withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS))
 
 

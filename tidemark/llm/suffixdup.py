@@ -392,8 +392,9 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     return out.unionByName(whole)
 
 
-def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
-    """The text without its covered bytes, and the maximal runs of those."""
+def cut(text: bytes, spans: list[tuple[int, int]], characters: bool = False) -> tuple[bytes, list[tuple[int, int]]]:
+    """The text without its covered bytes, and the maximal runs of those. With
+    ``characters`` what is left of a character that a run's edge cuts goes too."""
     merged: list[list[int]] = []
     for a, b in sorted((a, len(text) if b < 0 else b) for a, b in spans):
         if merged and a <= merged[-1][1]:
@@ -405,13 +406,15 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[in
         kept.append(text[at:a])
         at = b
     kept.append(text[at:])
+    if characters:  # a valid text's stretch is invalid only where it begins or ends inside a character
+        kept = [k.decode(errors="ignore").encode() for k in kept]
     return b"".join(kept), [(a, b) for a, b in merged]
 
 
 def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-           carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, kept binary, removed array<struct<start, stop>>, carried
-    struct (the columns named in ``carry``) of every document.
+           carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
+    """doc_id, kept binary (``characters``: whole ones only), removed array<struct<start, stop>>,
+    carried struct (the columns named in ``carry``) of every document.
 
     Documents without a covered byte are passed on where they are read; only
     the others meet their stretches in a shuffle.
@@ -442,7 +445,7 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
         for batch in batches:
             kept, removed = [], []
             for text, stretch in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                left, gone = cut(text.encode(), [(s["start"], s["stop"]) for s in stretch or ()])
+                left, gone = cut(text.encode(), [(s["start"], s["stop"]) for s in stretch or ()], characters)
                 kept.append(left)
                 removed.append([{"start": a, "stop": b} for a, b in gone])
             yield pa.RecordBatch.from_arrays(
@@ -453,12 +456,6 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
     return whole.unionByName(joined.select("doc_id", "text", "spans", "carried").mapInArrow(apply, whole.schema))
 
 
-def text_of(kept: Column, removed: Column) -> Column:
-    """Kept bytes as text; what is left of a character that was cut goes."""
-    valid = F.translate(F.make_valid_utf8(kept.cast("string")), "\ufffd", "")
-    return F.when(F.size(removed) > 0, valid).otherwise(kept.cast("string"))
-
-
 def summary(removed: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of :func:`remove`'s rows."""
     gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, r: s + (r["stop"] - r["start"]))
