@@ -74,6 +74,17 @@ def test_fingerprint_ignores_order_and_takes_edits(spark, documents):
     assert r["near"] > 0.5 > r["far"]
 
 
+def test_likeness_of_texts_whose_lanes_wrap(spark, monkeypatch):
+    monkeypatch.setattr(multisethash, "_BITS", 8)  # lanes wrap at 256 clauses instead of 2**20
+    monkeypatch.setattr(multisethash, "_MASK", sum(255 << (21 * k) for k in range(3)))
+    texts = [",".join(f"{p}{k}" for k in range(600)) for p in "ab"] + ["one, two, three."]
+    texts.append(",".join(texts[0].split(",") + texts[1].split(",")[:100]))
+    df = multisethash.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).drop("text")
+    a, b = df.select("doc_id", F.col("lanes").alias("x")), df.select(F.col("doc_id").alias("other"), F.col("lanes").alias("y"))
+    got = {(r[0], r[1]): r[2] for r in a.crossJoin(b).select("doc_id", "other", multisethash.likeness(F.col("x"), F.col("y"))).collect()}
+    assert all(got[k, k] == 1 for k in range(4)) and got[0, 1] < 0.5 and got[0, 2] < 0.5 and got[0, 3] > 0.8
+
+
 def test_multiset_hash_of_rows_without_or_with_one_id(spark, documents):
     got = multisethash.compared(documents(["a b", "c d e f", None, "x y z"], [None, 7, 7, None])).collect()
     assert len(got) == 4

@@ -9,13 +9,15 @@ subtracting its vector. It has two groups of lanes:
   SHA-512: documents of the same paragraphs are equal here;
 * LANES lanes modulo 2**20 over clauses (runs between punctuation marks or
   line ends), each lane adding one bit of a clause's hash, and the number of
-  clauses. A lane's sum, taken around its mean, is a random projection of the
+  clauses, in full (the fingerprint's digits give it modulo 2**20). A lane's sum, taken around its mean, is a random projection of the
   multiset of clauses, so the cosine of two such vectors estimates the cosine
   of the multisets: the likeness.
 
 Defined results: a null text counts as empty; two texts without a clause have
 likeness 1 when the fingerprints are equal, else 0; long texts are
-fingerprinted whole; repeated rows get equal fingerprints; extra columns are
+fingerprinted whole, and their likeness holds as long as no lane lies 2**20 or
+more from its mean (under 2**20 clauses: always; beyond, unless clauses repeat
+about a million times); repeated rows get equal fingerprints; extra columns are
 not read; an empty table gives no rows.
 """
 
@@ -59,7 +61,7 @@ def lanes(paragraphs: Column, clauses: Column) -> Column:
     """
     wide = [_sum(paragraphs, lambda p, k=k: F.conv(F.substring(p, 8 * k + 1, 8), 16, 10).cast("bigint"), 0xFFFFFFFF)
             for k in range(_PARAGRAPH_LANES)]
-    count = [F.size(clauses).cast("bigint").bitwiseAND(F.lit((1 << _BITS) - 1))]
+    count = [F.size(clauses).cast("bigint")]
     second = F.transform(clauses, lambda h: F.xxhash64(h, F.lit(1)))
     words = [_sum(source, lambda h, k=k: F.shiftrightunsigned(h, k).bitwiseAND(F.lit(_ONE)), _MASK)
              for source in (clauses, second) for k in range(WORDS // 2)]
@@ -81,11 +83,11 @@ def _combined(a: Column, b: Column, sign: int) -> Column:
 
     def at(x, y, k):
         mask = F.when(k < _PARAGRAPH_LANES, F.lit(0xFFFFFFFF)).when(
-            k == _PARAGRAPH_LANES, F.lit((1 << _BITS) - 1)).otherwise(F.lit(_MASK))
+            k == _PARAGRAPH_LANES, F.lit((1 << 63) - 1)).otherwise(F.lit(_MASK))
         if sign > 0:
             return (x + y).bitwiseAND(mask)
         spare = F.when(k < _PARAGRAPH_LANES, F.lit(1 << 32)).when(
-            k == _PARAGRAPH_LANES, F.lit(1 << _BITS)).otherwise(F.lit(guard))
+            k == _PARAGRAPH_LANES, F.lit(0)).otherwise(F.lit(guard))
         return (x.bitwiseOR(spare) - y).bitwiseAND(mask)
 
     pairs = F.arrays_zip(a.alias("x"), b.alias("y"))
@@ -95,16 +97,17 @@ def _combined(a: Column, b: Column, sign: int) -> Column:
 def as_text(vector: Column) -> Column:
     """The fingerprint as hexadecimal digits of fixed width."""
     return F.lower(F.array_join(F.transform(
-        vector, lambda x, k: F.lpad(F.hex(x), F.when(k < _PARAGRAPH_LANES, 8).when(k == _PARAGRAPH_LANES, 5).otherwise(16), F.lit("0"))), ""))
+        vector, lambda x, k: F.lpad(F.hex(F.when(k == _PARAGRAPH_LANES, x.bitwiseAND(F.lit((1 << _BITS) - 1))).otherwise(x)), F.when(k < _PARAGRAPH_LANES, 8).when(k == _PARAGRAPH_LANES, 5).otherwise(16), F.lit("0"))), ""))
 
 
 def _centred(vector: Column) -> Column:
-    """The likeness lanes around their mean: 2 x sum - clauses."""
+    """The likeness lanes around their mean: 2 x sum - clauses, known modulo 2**21 and taken as a signed value."""
     n = vector[_PARAGRAPH_LANES]
     low = F.lit((1 << _BITS) - 1)
     split = F.flatten(F.transform(F.slice(vector, _PARAGRAPH_LANES + 2, WORDS), lambda w: F.array(
         *[F.shiftrightunsigned(w, _GAP * k).bitwiseAND(low) for k in range(3)])))
-    return F.transform(split, lambda x: (x * 2 - n).cast("double"))
+    half = 1 << _BITS
+    return F.transform(split, lambda x: ((x * 2 - n + half).bitwiseAND(F.lit(2 * half - 1)) - half).cast("double"))
 
 
 def likeness(a: Column, b: Column) -> Column:
