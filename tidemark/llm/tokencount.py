@@ -2,8 +2,10 @@
 
 A text is cut before each space that follows a character other than white
 space; no merge of the tokenizer crosses such a cut, so a text's count is the
-sum over its pre-tokens. Tier one is a broadcast table of the corpus's most
-frequent pre-tokens with their lengths in tokens, of bounded size. Tier two is
+sum over its pre-tokens. Tier one is a broadcast table of about the corpus's most
+frequent pre-tokens with their lengths in tokens, of bounded size: tasks forget
+rare ones while they count and offer their most frequent only, so the choice is
+approximate, which costs speed and never a count. Tier two is
 a bounded cache in each worker, which the tokenizer's library fills with what
 the table lacks. No pre-token of a text is shuffled; only each task's
 candidates for the table are.
@@ -146,10 +148,11 @@ def _model(path: str, table) -> Lengths:
 
 
 def frequent(docs: DataFrame, path: str, rows: int = TABLE_ROWS) -> dict[str, int]:
-    """The corpus's most frequent pre-tokens with their token counts, ``rows`` at most.
+    """About the corpus's most frequent pre-tokens with their token counts, ``rows`` at most.
 
-    Every text is counted. A task offers its most frequent pre-tokens, and
-    counts are summed; what it forgets could only cost speed.
+    Every text is read. A task keeps a quarter of COUNTED pre-tokens whenever it
+    holds more than COUNTED, offers its OFFERED most frequent, never those marked
+    whole, and counts are summed; what it forgets could only cost speed.
     """
     def offer(batches):
         seen: Counter = Counter()
