@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, maintext, multisethash, notices, pieces, sigtree, suffixdup, tokencount, urlalias
+from tidemark.llm import decontam, langid, maintext, multisethash, notices, pieces, sigtree, suffixdup, tokencount, topk, urlalias
 from tidemark.llm.common import table, tokenizer_path
 
 PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -53,6 +53,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_licenses": op2_licenses,
@@ -64,7 +68,21 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_topk": op11_topk,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(coalesce(list_sum(list_transform(list_zip(q.w, c.w), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
