@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
+import re
+import zlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import topk
+from tidemark.llm import common, resample, topk
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
 
@@ -72,3 +78,89 @@ def test_topk_few_or_no_rows(spark):
     assert run_topk(spark, [(0, [1.0])]) == []
     assert run_topk(spark, [(1, [1.0]), (2, [1.0])]) == []
     assert run_topk(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 64 * 128)]
+
+
+# ---------------------------------------------------------------- importance resampling
+
+def brute_features(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    return words, [" ".join(words[i:i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+
+
+def brute_bucket(feature):
+    return zlib.crc32(feature.encode()) % 10000
+
+
+def brute_resample(docs, target, percent=5, least=20):
+    raw, goal = Counter(), Counter()
+    for counts, texts in ((raw, [t for _, t in docs]), (goal, target)):
+        for t in texts:
+            counts.update(map(brute_bucket, brute_features(t)[1]))
+    s_all, t_all = sum(raw.values()), sum(goal.values())
+    rows = []
+    for i, t in docs:
+        words, got = brute_features(t)
+        weight = sum(math.floor(1000 * math.log((goal[b] + 1) * (s_all + 10000) / ((raw[b] + 1) * (t_all + 10000)))) for b in map(brute_bucket, got))
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        rows.append((len(words), i, len(got), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    long = sorted((r for r in rows if r[0] >= least), key=lambda r: (-r[4], r[1] is None, r[1] or 0))
+    drawn = percent * len(long) // 100
+    out = [(*r[1:], k if k <= drawn else None) for k, r in enumerate(long, 1)]
+    return sorted(out + [(*r[1:], None) for r in rows if r[0] < least], key=repr)
+
+
+def run_resample(spark, documents, texts, target, ids=None, **more):
+    goal = spark.createDataFrame([(k, t) for k, t in enumerate(target)], "item_id bigint, text string")
+    return sorted((tuple(r) for r in resample.resample(documents(texts, ids), goal, **more).collect()), key=repr)
+
+
+def test_features_of_odd_texts(odd_texts):
+    odd = [*odd_texts, "Mixed CASE Straße-é 12a", "x" * 49 + " " + "y" * 48 + " " + "z" * 5000 + " end", "a", "b c"]
+    offsets, data = common.utf8(pa.array(odd, pa.string()))
+    got, first = resample.features(offsets, data)
+    for k, t in enumerate(odd):
+        mine = [b for buckets, at in got for b, a in zip(buckets.tolist(), at.tolist()) if first[k] <= a < first[k + 1]]
+        assert sorted(mine) == sorted(map(brute_bucket, brute_features(t)[1]))
+        assert first[k + 1] - first[k] == len(brute_features(t)[0])
+
+
+@pytest.mark.parametrize("percent", [5, 60, 100])
+def test_resample_matches_brute_force(spark, documents, odd_texts, percent):
+    r = random.Random(percent)
+    vocab = [f"w{k}" for k in range(60)] + ["é", "日本", "Cat"]
+    texts = odd_texts + [" ".join(r.choices(vocab, k=r.choice([3, 19, 20, 21, 60]))) for _ in range(300)]
+    target = [" ".join(r.choices(vocab[:12], k=30)) for _ in range(9)] + [None, ""]
+    assert run_resample(spark, documents, texts, target, percent=percent) == brute_resample(list(enumerate(texts)), target, percent)
+
+
+def test_resample_repeated_and_null_ids(spark, documents):
+    """A third of the rows have one id and one text, a third no id."""
+    r = random.Random(3)
+    same = " ".join(f"w{k}" for k in range(25))
+    texts = [same] * 120 + [" ".join(r.choices("abcdefgh", k=30)) for _ in range(120)] + [same] * 120
+    ids = [7] * 120 + list(range(100, 220)) + [None] * 120
+    got = run_resample(spark, documents, texts, [same], ids, percent=50)
+    want = brute_resample(list(zip(ids, texts)), [same], 50)
+    assert sorted(repr(x[:4]) for x in got) == sorted(repr(x[:4]) for x in want)
+    assert sorted(x[4] for x in got if x[4]) == list(range(1, 181))
+    assert Counter((x[0], x[4] is None) for x in got) == Counter((x[0], x[4] is None) for x in want)
+
+
+def test_resample_empty_tables(spark, documents):
+    docs = [" ".join(f"w{k}" for k in range(30))] * 25
+    assert run_resample(spark, documents, docs, []) == brute_resample(list(enumerate(docs)), [])
+    empty = documents(["x"]).limit(0)
+    assert resample.resample(empty, empty).collect() == []
+    assert {x[4] for x in run_resample(spark, documents, ["few words"] * 30, ["x"])} == {None}
+
+
+def test_ranks_split_a_hot_score(spark):
+    """Rows equal in score and id are dealt to several segments; ranks stay 1..n."""
+    df = spark.range(0, 4000, 1, 9).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("doc_id"), F.lit(1).cast("bigint").alias("score"))
+    got = [(r["doc_id"], r["rank"]) for r in resample.ranked(df).collect()]
+    assert sorted(x[1] for x in got) == list(range(1, 4001))
+    by_rank = [x[0] for x in sorted(got, key=lambda x: x[1])]
+    assert by_rank == sorted(by_rank)
+    assert {x[1] is None for x in ((r["doc_id"], r["rank"]) for r in resample.ranked(df, 0).collect())} == {True}
