@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import common, resample, topk
+from tidemark.llm import common, prefixtrie, resample, topk
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
 
@@ -164,3 +164,91 @@ def test_ranks_split_a_hot_score(spark):
     by_rank = [x[0] for x in sorted(got, key=lambda x: x[1])]
     assert by_rank == sorted(by_rank)
     assert {x[1] is None for x in ((r["doc_id"], r["rank"]) for r in resample.ranked(df, 0).collect())} == {True}
+
+
+# ---------------------------------------------------------------- conversation trie
+
+CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
+
+
+def brute_trie(rows):
+    convs: dict = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn, role or "", text or ""))
+    for c, own in convs.items():
+        mark = lambda r, t: hashlib.md5(f"{len(r.encode())}:{r}{t}".encode()).hexdigest()
+        convs[c] = [(r, t) for _, r, t in sorted(own, key=lambda x: (x[0] is not None, x[0] or 0, x[1], mark(*x[1:])))]
+    again = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        again[c] = convs.get(c - int(math.fmod(c, 5)), [])[:h] + own[h:]
+    member: dict = {}
+    for c, path in again.items():
+        for d in range(len(path) + 1):
+            member.setdefault(tuple(path[:d]), []).append(c)
+    kids = Counter(p[:-1] for p in member if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in member.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += p not in kids
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1].encode()) if p else 0
+    out = []
+    for p, m in member.items():
+        end = ",".join(str(c) for c in sorted(m) if len(again[c]) == len(p))
+        out.append((min(m), len(p), min(member[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p], hashlib.sha256(end.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def run_trie(spark, rows, parts=3):
+    df = spark.createDataFrame(rows, CONVERSATIONS).repartition(parts).withColumns({c: F.lit("clash") for c in ("c", "d", "k", "pos", "part", "size")})
+    return sorted((tuple(r) for r in prefixtrie.trie(df).collect()), key=repr)
+
+
+def conversations(seed, n, length, vocab):
+    """Random conversations, half of them grown from the first turns of another."""
+    r = random.Random(seed)
+    made = []
+    for _ in range(n):
+        old = r.choice(made)[:r.randint(0, length)] if made and r.random() < 0.5 else []
+        made.append(old + [(r.choice(("user", "assistant", None)), r.choice(vocab)) for _ in range(r.randint(1, length))])
+    return [(c, turn, role, text) for c, path in enumerate(made) for turn, (role, text) in enumerate(path)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_trie_matches_brute_force(spark, seed):
+    rows = conversations(seed, 120, 6, ["a", "b", "é日", "", None])
+    assert run_trie(spark, rows) == brute_trie(rows)
+
+
+def test_trie_odd_rows(spark):
+    rows = [(0, 1, "u", "x"), (0, None, None, None), (0, 1, "u", "a"), (0, 1, "u", "a"), (None, 0, "u", "x"), (3, 5, "u", "x"), (3, 5, "u", "x"),
+            (-7, 0, "u", "neg"), (-5, 0, "u", "base"), (41, 0, "u", "no base"), (42, 0, "u", "no base"), (44, 0, "u", "no base"), (9, 0, "1:u", "x"), (8, 0, "1", ":ux")]
+    assert run_trie(spark, rows) == brute_trie(rows)
+    assert run_trie(spark, rows[4:5]) == [] and run_trie(spark, []) == []
+
+
+def test_trie_one_conversation_holds_most_turns(spark, monkeypatch):
+    """A chain of 400 turns, its runs split between tasks, and many conversations that end at one node."""
+    rows = [(25, k, "u", f"t{k}") for k in range(400)] + [(c, 0, "u", "hi") for c in range(1000, 1300)]
+    monkeypatch.setattr(prefixtrie, "CHUNK", 64)
+    assert run_trie(spark, rows, 6) == brute_trie(rows)
+
+
+def test_contraction_of_deep_and_wide_trees(spark):
+    """Caterpillars, stars and random trees: every subtree total."""
+    r = random.Random(5)
+    parents = {0: None}
+    for k in range(1, 300):
+        parents[k] = k - 1 if r.random() < 0.6 else r.randrange(k) if r.random() < 0.5 else 0
+    depth = {0: 0}
+    for k in range(1, 300):
+        depth[k] = depth[parents[k]] + 1
+    own = {k: r.randrange(9) for k in parents}
+    total = dict(own)
+    for k in reversed(range(1, 300)):
+        total[parents[k]] += total[k]
+    df = spark.createDataFrame([(k, depth[k], p, None if p is None else depth[p], 1, own[k]) for k, p in parents.items()],
+                               "c bigint, d bigint, pc bigint, pd bigint, l bigint, s bigint")
+    got = {r["c"]: r["s"] for r in prefixtrie.subtree_totals(df).collect()}
+    assert got == total

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, maintext, multisethash, notices, pieces, resample, sigtree, suffixdup, tokencount, topk, urlalias
+from tidemark.llm import decontam, langid, maintext, multisethash, notices, pieces, prefixtrie, resample, sigtree, suffixdup, tokencount, topk, urlalias
 from tidemark.llm.common import table, tokenizer_path
 
 PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -61,6 +61,10 @@ def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_licenses": op2_licenses,
@@ -74,6 +78,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_topk": op11_topk,
     "op12_resample": op12_resample,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
