@@ -152,6 +152,34 @@ def test_keyed_table_last_write_of_a_batch_wins_by_arrival(spark):
     assert rows(kt.read()) == [("a", 2, "d1")]
 
 
+def test_keyed_table_base_files_follow_bytes(spark):
+    """Hundreds of dates make one file; a date's rows are found by statistics."""
+    kt, frame = _keyed(spark, "keyed-files")
+    kt.upsert(frame(*[(f"k{k}", k, f"d{k % 300:03d}") for k in range(900)]), 0)
+    kt.compact()
+    assert len(kt.read().inputFiles()) == 1
+    assert sorted(r[0] for r in rows(kt.read(F.col("dt") == "d007"))) == ["k307", "k607", "k7"]
+
+
+def test_keyed_lookup_equals_read(spark, monkeypatch):
+    """Base and log, few keys and more than may be broadcast, with and without buckets."""
+    from tidemark.operators import keyed
+    for buckets, most in ((0, 1 << 20), (8, 1 << 20), (8, 1)):
+        monkeypatch.setattr(keyed, "LOOKUP_KEYS", most)
+        kt, frame = _keyed(spark, "keyed-lookup", buckets=buckets)
+        keys = frame(*[(k, 0, "") for k in ("k3", "k3", "k50", "new", "none", None)])
+        assert rows(kt.lookup(keys)) == []
+        kt.upsert(frame(*[(f"k{k}", k, "d") for k in range(100)]), 0)
+        assert rows(kt.lookup(keys)) == [("k3", 3, "d"), ("k50", 50, "d")]
+        kt.compact()
+        assert rows(kt.lookup(keys)) == [("k3", 3, "d"), ("k50", 50, "d")]
+        kt.upsert(frame(("k50", 51, "e"), ("new", 1, "e"), (None, 2, "e"), ("k9", 10, "e")), 1)
+        assert rows(kt.lookup(keys)) == [("k3", 3, "d"), ("k50", 51, "e"), ("new", 1, "e")]
+        kt.compact()
+        assert rows(kt.lookup(keys)) == [("k3", 3, "d"), ("k50", 51, "e"), ("new", 1, "e")]
+        assert rows(kt.lookup(keys.limit(0))) == []
+
+
 def test_log_routing_rejects_malformed_lines(spark):
     from tidemark.operators.parse import rejected
     raw = spark.createDataFrame([("{bad", 5), ('{"mid":"m"}', 6), ("", 7), ("[1,2]", 8), (None, 9)],

@@ -4,7 +4,9 @@ Layout under ``path``::
 
     log/batch_id=<n>/attempt=<id>/*.parquet   one folder per write of a batch, rows
                                               sorted by (part, key) inside files
-    base/upto=<n>/[<part>=<v>/]*.parquet      compacted image through batch n
+    base/upto=<n>/[bucket=<b>/]*.parquet      compacted image through batch n, in files
+                                              of about FILE_BYTES, rows in order of
+                                              (bucket, part, key) across files and inside
 
 ``upsert(df, batch_id)`` reduces the batch to its last row per key and writes
 it to a new attempt folder, which counts once its ``_SUCCESS`` marker exists.
@@ -20,8 +22,15 @@ value like any other, and a key may move between ``part`` values: a ``where``
 filter is applied to the base's scan, but to the log only after the last row
 of each key is known.
 
-``compact()`` writes the current image as a new base version partitioned by
-``part``. It goes as far as the last batch below which every batch is
+``lookup(keys)`` returns the latest rows of some keys. A table with ``buckets``
+keeps its base in a folder for each hash bucket of the key, and a lookup opens
+the folders of its keys' buckets only; the base is never shuffled while the keys
+are few enough to be broadcast (LOOKUP_KEYS, counted first).
+
+``compact()`` writes the current image as a new base version, dealt by ranges of
+(bucket, ``part``, key): the number of files follows the bytes, not the number of
+``part`` values, and a filter on ``part`` skips row groups by their statistics.
+It goes as far as the last batch below which every batch is
 complete, so a batch in flight is never passed over. Readers switch to a
 version once its ``_SUCCESS`` marker exists, so a failed compaction is
 invisible. Superseded folders are left for a retention job.
@@ -36,6 +45,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of a base file, about.
+FILE_BYTES = 128 << 20
+#: Keys of one lookup that may be broadcast; more are joined by a shuffle.
+LOOKUP_KEYS = 1 << 20
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -57,15 +71,23 @@ def written_at(spark: SparkSession, path: str) -> int | None:
     return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
 
 
+def bytes_under(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path`` (metadata only)."""
+    p, fs = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
-                 key: list[str], order: list[str] | None = None, part: str | None = None):
+                 key: list[str], order: list[str] | None = None, part: str | None = None,
+                 buckets: int = 0):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = list(key)
         self.order = list(order or [])
         self.part = part
+        self.buckets = int(buckets)
 
     @property
     def columns(self) -> list[str]:
@@ -95,13 +117,13 @@ class KeyedTable:
 
     def foreach_batch(self, unique: bool = False):
         """A ``foreachBatch`` function writing each micro-batch as an upsert.
-        The batch is cached first, so the emptiness probe and the write do not
+        The batch is cached first, so counting it and the write do not
         run the streaming plan (and its state updates) twice; an empty
         micro-batch writes nothing."""
         def _write(batch_df: DataFrame, batch_id: int) -> None:
             b = batch_df.persist()
             try:
-                if not b.isEmpty():
+                if b.count():      # all tasks at once; a probe would run the first one alone
                     self.upsert(b, batch_id, unique)
             finally:
                 b.unpersist()
@@ -126,21 +148,43 @@ class KeyedTable:
             out[int(name.split("=", 1)[1])] = f"{root}/{name}/{max(done)[1]}" if done else None
         return out
 
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def _read_base(self, upto: int, buckets: list[int] | None = None) -> DataFrame:
+        """Rows of a base version, of some buckets only if given."""
+        root = f"{self.path}/base/upto={upto}"
+        reader = self.spark.read.schema(self.schema)
+        if buckets is None:
+            return reader.parquet(root).select(*self.columns)
+        there = set(list_children(self.spark, root))
+        folders = [f"{root}/{name}" for b in sorted(buckets) if (name := f"bucket={b}") in there]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return reader.option("basePath", root).parquet(*folders).select(*self.columns)
+
+    def _read_log(self, folders: list[str]) -> DataFrame:
+        logged = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
+        return (self.spark.read.schema(logged).option("basePath", f"{self.path}/log").parquet(*folders)
+                .select(*self.columns, "batch_id"))
+
+    def _without(self, base: DataFrame, log: DataFrame) -> DataFrame:
+        """Base rows whose key the log did not rewrite."""
+        new = log.select(*[F.col(k).alias(f"_{k}") for k in self.key]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key])
+        return base.join(new, same, "left_anti")
+
     def _image(self, full: int | None, folders: list[str], where=None) -> DataFrame:
         base = None
         if full is not None:
-            base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/upto={full}").select(*self.columns)
+            base = self._read_base(full)
             base = base if where is None else base.where(where)
         if not folders:
             return self.spark.createDataFrame([], self.schema) if base is None else base
-        logged = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
-        log = (self.spark.read.schema(logged).option("basePath", f"{self.path}/log").parquet(*folders)
-               .select(*self.columns, "batch_id"))
+        log = self._read_log(folders)
         latest = self._latest(log, ["batch_id"])
         if base is not None:
-            new = log.select(*[F.col(k).alias(f"_{k}") for k in self.key]).distinct()
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key])
-            base = base.join(new, same, "left_anti")
+            base = self._without(base, log)
         latest = latest if where is None else latest.where(where)
         return latest if base is None else base.unionByName(latest)
 
@@ -151,6 +195,29 @@ class KeyedTable:
         full = self._base()
         return self._image(full, [f for f in self._batches(full).values() if f], where)
 
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """Latest rows of the keys in ``keys`` (a frame with the key columns; nulls
+        find nothing). One row reaches the driver: the number of keys and their
+        buckets. Cache ``keys`` if it is dear, it is read several times."""
+        wanted = keys.select(*self.key).dropna().distinct()
+        asked = [F.count(F.lit(1)).alias("n")]
+        if self.buckets:
+            asked.append(F.collect_set(self._bucket()).alias("buckets"))   # at most ``buckets`` numbers
+        found = wanted.agg(*asked).first()
+        if found["n"] <= LOOKUP_KEYS:
+            wanted = F.broadcast(wanted)
+        full = self._base()
+        folders = [f for f in self._batches(full).values() if f]
+        out = self.spark.createDataFrame([], self.schema)
+        log = self._read_log(folders).join(wanted, self.key, "left_semi") if folders else None
+        if full is not None:
+            base = self._read_base(full, found["buckets"] if self.buckets else None).join(wanted, self.key, "left_semi")
+            out = base if log is None else self._without(base, log)
+        if log is None:
+            return out.select(*self.columns)
+        latest = self._latest(log, ["batch_id"])
+        return latest if full is None else out.select(*self.columns).unionByName(latest)
+
     def compact(self) -> int | None:
         """Write the image through the last batch below which all are complete
         as base version ``upto=<that batch>``; returns the newest version."""
@@ -163,8 +230,16 @@ class KeyedTable:
             folders.append(folder)
         if not folders:
             return full
-        w = self._image(full, folders).write.mode("overwrite")
-        if self.part:
-            w = w.partitionBy(self.part)
+        size = sum(bytes_under(self.spark, f) for f in folders)
+        size += bytes_under(self.spark, f"{self.path}/base/upto={full}") if full is not None else 0
+        image = self._image(full, folders)
+        order = ([self.part] if self.part else []) + self.key
+        if self.buckets:
+            image, order = image.withColumn("bucket", self._bucket()), ["bucket", *order]
+        files = max(1, -(-size // FILE_BYTES))
+        image = image.repartitionByRange(files, *order) if files > 1 else image.repartition(1)
+        w = image.sortWithinPartitions(*order).write.mode("overwrite")
+        if self.buckets:
+            w = w.partitionBy("bucket")
         w.parquet(f"{self.path}/base/upto={upto}")
         return upto

@@ -24,5 +24,7 @@ OFFSET_PARTITION = 3
 OFFSET_START = 108
 OFFSET_MAX_BYTES = 10 * 1024
 BAND_WIDTH = 100
-STREAM_SLICES = 4                  # input files (one per trigger) for stream runs
+STREAM_SLICES = 8                  # triggers of a replayed stream run
+STREAM_DELAY = "10 minutes"        # lateness that stateful streams wait for
+USER_BUCKETS = 32                  # hash buckets of the user table
 STREAM_JOIN_SALT = 2               # salt of the registered order/detail stream join

@@ -29,6 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+         .config("spark.sql.streaming.join.stateFormatVersion", "3")   # one store for a join's two sides
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

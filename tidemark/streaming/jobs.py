@@ -24,7 +24,7 @@ from tidemark.operators import alerts as AL
 from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
 from tidemark.operators import sales as SA
-from tidemark.operators.keyed import KeyedTable, list_children
+from tidemark.operators.keyed import FILE_BYTES, KeyedTable, _fs, bytes_under, list_children
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.plans import params as P
@@ -52,6 +52,9 @@ def _run(writer, checkpoint: str, available_now: bool = True) -> StreamingQuery:
 # finished stream run, for the bench.
 BATCH_SECONDS: dict[str, float] = {}
 ROWS_PER_SEC: dict[str, float] = {}
+# State of each finished stateful run: rows that left it, rows it held at its
+# largest and at the end, rows refused as late.
+STATE_ROWS: dict[str, dict[str, int]] = {}
 
 
 def _finish(q: StreamingQuery, name: str = "") -> None:
@@ -64,6 +67,13 @@ def _finish(q: StreamingQuery, name: str = "") -> None:
         BATCH_SECONDS[name] = max(BATCH_SECONDS.get(name, 0.0), max(durs) / 1000.0)
         n = sum(p.get("numInputRows", 0) for p in prog)
         ROWS_PER_SEC[name] = round(n / max(sum(durs) / 1000.0, 1e-9), 1)
+        ops = [p["stateOperators"] for p in prog if p.get("stateOperators")]
+        if ops:
+            held = [sum(o["numRowsTotal"] for o in batch) for batch in ops]
+            STATE_ROWS[name] = {"removed": sum(o["numRowsRemoved"] for batch in ops for o in batch),
+                                "late": sum(o["numRowsDroppedByWatermark"] for batch in ops for o in batch),
+                                "most": max(held), "last": held[-1],
+                                "batches": sum(p.get("numInputRows", 0) > 0 for p in prog)}
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -86,41 +96,31 @@ def replay_stream(spark: SparkSession, path: str, schema: T.StructType,
     return file_stream(spark, path, schema, max(1, files // slices))
 
 
-def stage_slices(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM_SLICES,
-                 bounds: tuple[int, int] | None = None) -> int:
-    """Write ``df`` as ``slices`` successive appends ordered by ``time_col`` (an
-    instant), so a file source replays it in time order. Returns the span of
-    one slice in seconds (a lateness bound for the watermark).
+def stage_in_order(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM_SLICES) -> None:
+    """Write ``df`` as files that a file source replays in order of ``time_col``
+    (an instant): at least ``slices`` files, more by bytes, each holding one
+    range of times (records without a time first) and a later modification
+    time than the file before it, which is the order that a file source takes. A
+    replay in order needs no more lateness than the feed itself has.
 
-    The frame is derived once into a sibling folder; each slice is a
-    filtered read of that copy. Only the two bounds reach the driver.
+    The frame is derived once into a sibling folder and dealt by time from there.
     """
     spark = df.sparkSession
     full = f"{path.rstrip('/')}_derived"
-    df.write.mode("overwrite").parquet(full)          # derive once, slice the copy
-    src = spark.read.parquet(full)
-    us = F.unix_micros(F.col(time_col))
-    if bounds is None:
-        row = src.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
-        bounds = (int(row["lo"] or 0), int(row["hi"] or 0))
-    lo, hi = bounds
-    step = (hi - lo) // slices + 1
-    for i in range(slices):
-        a, b = lo + i * step, lo + (i + 1) * step
-        inside = (F.col(time_col) >= F.timestamp_micros(F.lit(a))) & (F.col(time_col) < F.timestamp_micros(F.lit(b)))
-        if i == 0:                                    # records without a time come first
-            inside = inside | F.col(time_col).isNull()
-        src.where(inside).write.mode("append").parquet(path)
-    return step // 1_000_000 + 1
-
-
-def _time_bounds(*frames_cols) -> tuple[int, int]:
-    parts = [df.select(F.unix_micros(F.col(c)).alias("u")) for df, c in frames_cols]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    row = u.agg(F.min("u").alias("lo"), F.max("u").alias("hi")).first()
-    return int(row["lo"]), int(row["hi"])
+    df.write.mode("overwrite").parquet(full)          # derive once: the range shuffle samples its input
+    each = max(1, -(-bytes_under(spark, full) // (slices * FILE_BYTES)))
+    spark.read.parquet(full).repartitionByRange(slices * each, F.asc_nulls_first(time_col)).sortWithinPartitions(
+        F.asc_nulls_first(time_col)).write.parquet(path)
+    put_in_order(spark, path)
+
+
+def put_in_order(spark: SparkSession, path: str) -> None:
+    """Set the files' modification times to follow their names (metadata only)."""
+    files = sorted(n for n in list_children(spark, path) if n.endswith(".parquet"))
+    folder, fs = _fs(spark, path)
+    first = int(fs.getFileStatus(folder).getModificationTime()) - len(files)
+    for k, name in enumerate(files):
+        fs.setTimes(_fs(spark, f"{path.rstrip('/')}/{name}")[0], first + k, -1)
 
 
 def _topic(df: DataFrame, topic: str, schema: T.StructType, ts: str, offset=None) -> DataFrame:
@@ -216,6 +216,16 @@ USER_ROW = T.StructType(list(USER_INFO.fields) + [
     T.StructField("change_ts", T.TimestampType()), T.StructField("seq", T.LongType())])
 
 
+def users_table(spark: SparkSession, path: str) -> KeyedTable:
+    """Latest user images, in hash buckets of the id."""
+    return KeyedTable(spark, path, USER_ROW, ["id"], ["change_ts", "seq"], buckets=P.USER_BUCKETS)
+
+
+def sale_index(spark: SparkSession, path: str) -> KeyedTable:
+    """The sale index: one row for each order detail, in order of date."""
+    return KeyedTable(spark, path, SALE_ROW, ["order_detail_id"], part="dt")
+
+
 def users_job(records: DataFrame, table: KeyedTable, checkpoint: str,
               available_now: bool = True) -> StreamingQuery:
     """User images (INSERT and UPDATE) into a keyed table, last write wins."""
@@ -229,22 +239,30 @@ def users_job(records: DataFrame, table: KeyedTable, checkpoint: str,
 def sale_users_job(order_records, detail_records, users: KeyedTable, index: KeyedTable,
                    checkpoint: str, delay: str, as_of: str, available_now: bool = True,
                    rejects: str | None = None) -> StreamingQuery:
-    """Joined sales merged with the latest user images read per batch, upserted
+    """Joined sales merged with the latest images of the batch's users (a lookup
+    in their buckets of the user table), upserted
     into the sale index keyed by ``order_detail_id`` (a replayed detail
     replaces itself). Sales whose user is not known are left out of the index
     and, with ``rejects``, kept there."""
     pairs = sale_join_frame(order_records, detail_records, delay)
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        joined, has_user = SA.with_users_split(batch, users.read(), as_of)
-        j = joined.persist()
+        b = batch.persist()      # the join, and its state, runs once
         try:
-            index.upsert(j.where(has_user).select(*SALE_DETAIL_COLUMNS), batch_id)
-            if rejects:
-                j.where(~has_user).select(*SA_PAIR_SCHEMA.fieldNames()).write.mode(
-                    "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
+            if not b.count():    # all tasks at once; a probe would run the first one alone
+                return
+            found = users.lookup(b.select(F.col("user_id").alias("id")))
+            joined, has_user = SA.with_users_split(b, found, as_of)
+            j = joined.persist()
+            try:
+                index.upsert(j.where(has_user).select(*SALE_DETAIL_COLUMNS), batch_id)
+                if rejects:
+                    j.where(~has_user).select(*SA_PAIR_SCHEMA.fieldNames()).write.mode(
+                        "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
+            finally:
+                j.unpersist()
         finally:
-            j.unpersist()
+            b.unpersist()
     return _run(pairs.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
                 available_now)
 
@@ -284,19 +302,15 @@ def strip_job(records: DataFrame, out: str, checkpoint: str,
 
 # ------------------------------------------------- registered stream queries
 
-def _delay(span_s: int) -> str:
-    return f"{int(span_s)} seconds"
-
-
 def q_stream_dau(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-dau")
     logs = AD.startup_logs(t).withColumn("event_time", F.timestamp_millis("ts"))
     recs = _topic(logs, AD.TOPIC_STARTUP, STARTUP_LOG, "event_time", F.col("ts"))
-    span = stage_slices(recs, f"{base}/in", "timestamp")
+    stage_in_order(recs, f"{base}/in", "timestamp")
     kt = KeyedTable(spark, f"{base}/table", STARTUP_ROW, ["logdate", "mid"], part="logdate")
     q = dau_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
-                delay=_delay(span + 86400))
+                delay="1 day")
     _finish(q, "stream_dau")
     return DD.to_dau_sink(kt.read())
 
@@ -306,12 +320,12 @@ def q_stream_alert(spark, root):
     base = run_dir(spark, "stream-alert")
     ev = AD.event_logs(t).withColumn("event_time", F.timestamp_millis("ts"))
     recs = _topic(ev, AD.TOPIC_EVENT, EVENT_LOG, "event_time", F.col("ts"))
-    span = stage_slices(recs, f"{base}/in", "timestamp")
+    stage_in_order(recs, f"{base}/in", "timestamp")
     probe = AL.window_aggregate(AL.with_event_time(accepted(parse_json(
         spark.createDataFrame([], TOPIC_RECORD), EVENT_LOG))), P.ALERT_WINDOW, P.ALERT_SLIDE)
     kt = KeyedTable(spark, f"{base}/table", probe.schema, ["mid", "window_start_ts"])
     q = alert_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
-                  P.ALERT_WINDOW, P.ALERT_SLIDE, _delay(span + P.ALERT_WINDOW_S))
+                  P.ALERT_WINDOW, P.ALERT_SLIDE, P.STREAM_DELAY)
     _finish(q, "stream_alert")
     return AL.alerts(kt.read(), P.ALERT_MIN_UIDS)
 
@@ -329,7 +343,7 @@ def _detail_records(t):
 def q_stream_orders(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-orders")
-    stage_slices(_order_records(t), f"{base}/in", "timestamp")
+    stage_in_order(_order_records(t), f"{base}/in", "timestamp")
     kt = KeyedTable(spark, f"{base}/table", ORDER_SINK_ROW, ["ID"], part="CREATE_DATE")
     _finish(orders_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), kt, f"{base}/ckpt",
                        rejects=f"{base}/rejects"), "stream_orders")
@@ -338,20 +352,17 @@ def q_stream_orders(spark, root):
 
 
 def _stage_sales(spark, t, base):
-    orec, drec = _order_records(t), _detail_records(t)
-    bounds = _time_bounds((orec, "timestamp"), (drec, "timestamp"))
-    span = stage_slices(orec, f"{base}/orders", "timestamp", bounds=bounds)
-    stage_slices(drec, f"{base}/details", "timestamp", bounds=bounds)
-    return span
+    stage_in_order(_order_records(t), f"{base}/orders", "timestamp")
+    stage_in_order(_detail_records(t), f"{base}/details", "timestamp")
 
 
 def q_stream_sale_join(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-sales")
-    span = _stage_sales(spark, t, base)
+    _stage_sales(spark, t, base)
     q = sale_join_job(replay_stream(spark, f"{base}/orders", TOPIC_RECORD),
                       replay_stream(spark, f"{base}/details", TOPIC_RECORD),
-                      f"{base}/out", f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS),
+                      f"{base}/out", f"{base}/ckpt", P.STREAM_DELAY,
                       salt=P.STREAM_JOIN_SALT)
     _finish(q, "stream_sale_join")
     return spark.read.parquet(f"{base}/out")
@@ -362,16 +373,16 @@ def q_stream_sale_users(spark, root):
     base = run_dir(spark, "stream-sale-users")
     ch = AD.user_changes(t).withColumn("at", ntz_to_instant("change_ts"))
     urec = _topic(ch, AD.TOPIC_USER_INFO, USER_INFO, "at", F.col("seq"))
-    stage_slices(urec, f"{base}/users_in", "timestamp")
-    users = KeyedTable(spark, f"{base}/users", USER_ROW, ["id"], ["change_ts", "seq"])
+    stage_in_order(urec, f"{base}/users_in", "timestamp")
+    users = users_table(spark, f"{base}/users")
     _finish(users_job(replay_stream(spark, f"{base}/users_in", TOPIC_RECORD), users,
                       f"{base}/ckpt_users"), "stream_sale_users")
-    users.compact()      # per-batch lookups then read one row per user, no aggregation
-    span = _stage_sales(spark, t, base)
-    index = KeyedTable(spark, f"{base}/index", SALE_ROW, ["order_detail_id"], part="dt")
+    users.compact()      # lookups then open the buckets of a batch's users only
+    _stage_sales(spark, t, base)
+    index = sale_index(spark, f"{base}/index")
     q = sale_users_job(replay_stream(spark, f"{base}/orders", TOPIC_RECORD),
                        replay_stream(spark, f"{base}/details", TOPIC_RECORD), users, index,
-                       f"{base}/ckpt", _delay(span + 2 * P.JOIN_SECONDS), P.AS_OF,
+                       f"{base}/ckpt", P.STREAM_DELAY, P.AS_OF,
                        rejects=f"{base}/no_user")
     _finish(q, "stream_sale_users")
     return index.read()
@@ -381,7 +392,7 @@ def q_stream_cdc_route(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-cdc")
     ch = AD.cdc_changes(t).withColumn("at", ntz_to_instant("change_ts"))
-    stage_slices(ch, f"{base}/in", "at")
+    stage_in_order(ch, f"{base}/in", "at")
     schema = T.StructType(list(CDC_CHANGE.fields) + [T.StructField("at", T.TimestampType())])
     _finish(cdc_route_job(replay_stream(spark, f"{base}/in", schema), f"{base}/out", f"{base}/ckpt"),
             "stream_cdc_route")
@@ -392,7 +403,7 @@ def q_stream_log_route(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-logs")
     raw = AD.raw_logs(t).withColumn("at", F.timestamp_millis("arrival_ms"))
-    stage_slices(raw, f"{base}/in", "at")
+    stage_in_order(raw, f"{base}/in", "at")
     schema = T.StructType([T.StructField("value", T.StringType()),
                            T.StructField("arrival_ms", T.LongType()),
                            T.StructField("at", T.TimestampType())])
@@ -406,7 +417,7 @@ def q_stream_log_route(spark, root):
 def q_stream_topic_strip(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-strip")
-    stage_slices(AD.topic_records(t), f"{base}/in", "timestamp")
+    stage_in_order(AD.topic_records(t), f"{base}/in", "timestamp")
     _finish(strip_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt"),
             "stream_topic_strip")
     return spark.read.parquet(f"{base}/out")
