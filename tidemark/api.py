@@ -63,3 +63,12 @@ def search_index(index, date: str = DEFAULT_DATE, startpage: int = DEFAULT_PAGE,
     hits = SE.search(day, date, keyword)
     return {"detail": SE.page(day, date, keyword, startpage, size, corpus=index.read()),
             "total": SE.total(hits), "gender": SE.gender_share(hits), "age": SE.age_share(hits)}
+
+
+def search_kept(index, date: str = DEFAULT_DATE, startpage: int = DEFAULT_PAGE,
+                size: int = DEFAULT_SIZE, keyword: str | None = DEFAULT_KEYWORD) -> dict:
+    """The same four results from a ``SearchIndex``: hits by postings of the date
+    and the terms, scores by the kept statistics, no job while planning."""
+    hits = index.hits(date, keyword)
+    return {"detail": index.page(date, keyword, startpage, size), "total": index.total(date, keyword),
+            "gender": SE.gender_share(hits), "age": SE.age_share(hits)}

@@ -45,8 +45,10 @@ def tokens(text) -> Column:
 def query_terms(keyword: str, spark=None) -> list[str]:
     """Terms of a (short) query string, cut by the very same Spark expression
     as the indexed text, so both sides agree on every character (the JVM's
-    Unicode tables, not Python's). A one-row evaluation of a literal."""
+    Unicode tables, not Python's). A literal row, which the optimizer evaluates
+    on the driver: no job."""
     if spark is None:
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
-    return list(spark.range(1).select(tokens(F.lit(keyword))).first()[0])
+    return list(spark.sql("SELECT * FROM VALUES (:keyword) AS t(k)", args={"keyword": keyword})
+                .select(tokens("k")).first()[0])

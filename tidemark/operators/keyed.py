@@ -77,6 +77,12 @@ def bytes_under(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
+def stamp(spark: SparkSession, path: str) -> tuple:
+    """State of a file, or of the files directly in a folder: names, sizes and times."""
+    p, fs = _fs(spark, path)
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  key: list[str], order: list[str] | None = None, part: str | None = None,
@@ -130,11 +136,13 @@ class KeyedTable:
         return _write
 
     # ------------------------------------------------------------- reading
-    def _base(self) -> int | None:
-        """The newest complete base version (file-system metadata only)."""
+    def _base(self, before: int | None = None) -> int | None:
+        """The newest complete base version, of batches ``before`` one only if
+        given (file-system metadata only)."""
         root = f"{self.path}/base"
         ups = sorted((int(n.split("=", 1)[1]) for n in list_children(self.spark, root)
                       if n.startswith("upto=")), reverse=True)
+        ups = [n for n in ups if before is None or n < before]
         return next((n for n in ups if written_at(self.spark, f"{root}/upto={n}") is not None), None)
 
     def _batches(self, after: int | None) -> dict[int, str | None]:
@@ -195,9 +203,10 @@ class KeyedTable:
         full = self._base()
         return self._image(full, [f for f in self._batches(full).values() if f], where)
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
+    def lookup(self, keys: DataFrame, before: int | None = None) -> DataFrame:
         """Latest rows of the keys in ``keys`` (a frame with the key columns; nulls
-        find nothing). One row reaches the driver: the number of keys and their
+        find nothing), as of the batches ``before`` one if given. One row reaches
+        the driver: the number of keys and their
         buckets. Cache ``keys`` if it is dear, it is read several times."""
         wanted = keys.select(*self.key).dropna().distinct()
         asked = [F.count(F.lit(1)).alias("n")]
@@ -206,8 +215,8 @@ class KeyedTable:
         found = wanted.agg(*asked).first()
         if found["n"] <= LOOKUP_KEYS:
             wanted = F.broadcast(wanted)
-        full = self._base()
-        folders = [f for f in self._batches(full).values() if f]
+        full = self._base(before)
+        folders = [f for n, f in self._batches(full).items() if f and (before is None or n < before)]
         out = self.spark.createDataFrame([], self.schema)
         log = self._read_log(folders).join(wanted, self.key, "left_semi") if folders else None
         if full is not None:

@@ -293,6 +293,10 @@ WHERE user_age IS NOT NULL GROUP BY user_age ORDER BY doc_count DESC, user_age A
   UNION ALL
   SELECT '30岁以上', {pct.format(x='b')} FROM (SELECT count(*) AS n, count(*) FILTER (WHERE user_age > 30) AS b FROM hits))"""
 
+    for name in ("total", "page", "ranked"):     # the kept index answers as the search does
+        q[f"sale_index_{name}"] = q[f"sale_search_{name}"]
+    q["sale_index_stat_age"] = q["sale_stat_age"]
+
     q["coupon_alert"] = "WITH " + _alert_sql() + "\nSELECT * FROM alerts"
     q["coupon_alert_keyed"] = "WITH " + _alert_sql() + """
 SELECT doc_id, mid, window_start, window_end, uids, itemids, events, event_count FROM (

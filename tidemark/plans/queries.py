@@ -20,9 +20,10 @@ from tidemark.operators import feeds as FE
 from tidemark.operators import metrics as ME
 from tidemark.operators import sales as SA
 from tidemark.operators import search as SE
-from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.keyed import KeyedTable, stamp
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
+from tidemark.operators.textindex import SearchIndex
 from tidemark.plans import params as P
 from tidemark.schemas import ORDER_INFO, STARTUP_LOG, USER_INFO
 from tidemark.functions.timefmt import ntz_to_epoch_ms, previous_day_str
@@ -208,6 +209,44 @@ def q_sale_stat_age(spark, root):
     return SE.age_share(_ctx(spark, root).hits())
 
 
+#: Search indexes kept by this session, by the state of the tables that they were made from.
+_INDEXES: dict[tuple, SearchIndex] = {}
+
+
+def kept_index(spark: SparkSession, root: str) -> SearchIndex:
+    """The sale index of a data folder, kept in the shared folder: written in two
+    batches (sales before the searched day, and the rest) and compacted when it is
+    first asked for, and again when a table changes; searches then read it."""
+    c = _ctx(spark, root)
+    made_from = tuple(stamp(spark, c.t.path(name)) for name in ("orders", "lineitem", "customer", "part"))
+    key = (spark.sparkContext.applicationId, made_from)
+    if key not in _INDEXES:
+        index = SearchIndex(spark, run_dir(spark, "sale-index"))
+        sales = c.sales()
+        earlier = F.coalesce(F.col("dt") < P.ORDER_DATE, F.lit(True))
+        index.upsert(sales.where(earlier), 0)
+        index.upsert(sales.where(~earlier), 1)
+        index.compact()
+        _INDEXES[key] = index
+    return _INDEXES[key]
+
+
+def q_sale_index_total(spark, root):
+    return kept_index(spark, root).total(P.ORDER_DATE, P.KEYWORD)
+
+
+def q_sale_index_page(spark, root):
+    return kept_index(spark, root).page(P.ORDER_DATE, P.KEYWORD, P.PAGE_NO, P.PAGE_SIZE)
+
+
+def q_sale_index_ranked(spark, root):
+    return kept_index(spark, root).ranked(P.ORDER_DATE, P.KEYWORD)
+
+
+def q_sale_index_stat_age(spark, root):
+    return SE.age_share(kept_index(spark, root).hits(P.ORDER_DATE, P.KEYWORD))
+
+
 # -------------------------------------------------------------------- alerts
 
 def q_coupon_alert(spark, root):
@@ -308,6 +347,10 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sale_age_terms": q_sale_age_terms,
     "sale_stat_gender": q_sale_stat_gender,
     "sale_stat_age": q_sale_stat_age,
+    "sale_index_total": q_sale_index_total,
+    "sale_index_page": q_sale_index_page,
+    "sale_index_ranked": q_sale_index_ranked,
+    "sale_index_stat_age": q_sale_index_stat_age,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_keyed": q_coupon_alert_keyed,
     "cdc_route": q_cdc_route,
