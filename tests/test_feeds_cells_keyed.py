@@ -186,3 +186,61 @@ def test_log_routing_rejects_malformed_lines(spark):
                                 "value string, arrival_ms long")
     assert rows(FE.log_route(raw)) == [("gmall_event", '{"mid":"m","ts":6}', "1970-01-01")]
     assert rows(rejected(FE.log_lines(raw))) == [("",), ("",), ("[1,2]",), ("{bad",)]
+
+
+def _lines(spark, name, *lines):
+    path = run_dir(spark, name)
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(2).write.text(path)
+    return path
+
+
+def test_json_schema_merges_between_lines_and_loads(spark):
+    from tidemark.sources import json_files as JF
+    one = _lines(spark, "json-1", '{"id":1,"n":5,"f":1,"s":"a","o":{"x":1},"l":[1]}', '{"id":2,"f":1.5,"z":null}', '{bad', '{"s":"no key"}')
+    known = JF.infer_schema(spark, one)
+    two = _lines(spark, "json-2", '{"id":"k3","n":2.5,"s":7,"o":{"y":"t"},"l":["b"],"new":true}')
+    merged = JF.infer_schema(spark, two, known)
+    types = {f.name: f.dataType.simpleString() for f in merged.fields}
+    assert types == {"id": "string", "n": "double", "f": "double", "s": "string", "o": "struct<x:bigint,y:string>",
+                     "l": "array<string>", "z": types["z"], "new": "boolean"}
+    recs = JF.read_json(spark, one, known=known)
+    assert rows(JF.keyed_rows(recs, "id"), "id", "n", "f") == [(1, 5, 1.0), (2, None, 1.5)]
+    assert sorted((r["reason"], r["value"]) for r in JF.rejects(recs, "id").collect()) == [
+        ("no key", '{"s":"no key"}'), ("not JSON", "{bad")]
+
+
+def test_cell_table_versions_gets_and_replays(spark):
+    from tidemark.operators.celltable import CellTable
+    table = CellTable(spark, run_dir(spark, "celltable"), buckets=4)
+    one = _lines(spark, "cells-1", '{"id":10,"name":"b","o":{"x":1}}', '{"id":2,"name":"a","f":1.50}', '{"id":2,"name":"a2"}', "{bad", '{"name":"x"}')
+    known = table.load_json(one, 0)
+    assert rows(table.scan(), "rowkey", "qualifier", "value") == [
+        ("10", "name", "b"), ("10", "o", '{"x":1}'), ("2", "f", "1.5"), ("2", "name", "a2")]
+    table.compact()
+    two = _lines(spark, "cells-2", '{"id":2,"name":"c","extra":true}')
+    table.load_json(two, 1, known=known)
+    table.load_json(two, 1, known=known)          # replay
+    assert rows(table.scan("2"), "rowkey", "qualifier", "version", "value") == [
+        ("2", "extra", 1, "true"), ("2", "f", 0, "1.5"), ("2", "name", 1, "c")]
+    keys = spark.createDataFrame([("2",), ("none",), (None,)], "rowkey string")
+    assert rows(table.get(keys, versions=2).where("qualifier = 'name'"), "version", "value") == [(0, "a2"), (1, "c")]
+    assert rows(table.get(keys), "qualifier", "value") == [("extra", "true"), ("f", "1.5"), ("name", "c")]
+    assert rows(table.scan("1", "2"), "rowkey", "value") == [("10", "b"), ("10", '{"x":1}')]
+    table.compact()
+    got = table.get(keys)
+    assert rows(got, "qualifier", "value") == [("extra", "true"), ("f", "1.5"), ("name", "c")]
+    assert len({f.split("bucket=")[1][0] for f in got.inputFiles()}) <= 2
+
+
+def test_puts_do_not_shuffle_and_failures_fail_the_job(spark):
+    import pytest
+    from tidemark.operators.celltable import CellTable
+    table = CellTable(spark, run_dir(spark, "celltable-fail"))
+    cells = spark.range(20, numPartitions=3).select(
+        F.col("id").cast("string").alias("rowkey"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"), F.lit("v").alias("value"))
+    table.put(cells, 0)
+    assert len(table.table.read().inputFiles()) == 3          # one list for each partition
+    bad = cells.withColumn("value", F.expr("CASE WHEN rowkey = '19' THEN raise_error('x') ELSE 'w' END"))
+    with pytest.raises(Exception):
+        table.put(bad, 1)
+    assert table.scan().where("value = 'v'").count() == 20    # nothing of the failed batch is seen

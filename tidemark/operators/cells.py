@@ -5,16 +5,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.fixed import FAMILY
 
+CELL_COLUMNS = ["rowkey", "family", "qualifier", "value"]
+
 
 def to_cells(rows: DataFrame, key: str = "id", family: str = FAMILY) -> DataFrame:
     """One cell (rowkey, family, qualifier, value) per non-key column; column
-    names in sorted order; every value as its text; null cells skipped."""
+    names in sorted order; every value as its text (nested ones as JSON); null
+    cells skipped."""
+    nested = {f.name for f in rows.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))}
     fields = sorted(c for c in rows.columns if c != key)
     text = rows.select(F.col(key).cast("string").alias("rowkey"),
-                       *[F.col(c).cast("string").alias(c) for c in fields])
+                       *[(F.to_json(c) if c in nested else F.col(c).cast("string")).alias(c) for c in fields])
+    if not fields:
+        return text.select("rowkey", *[F.lit(None).cast("string").alias(c) for c in ("family", "qualifier", "value")]).limit(0)
     cells = text.unpivot("rowkey", fields, "qualifier", "value")
     return cells.where(F.col("value").isNotNull()).select(
         "rowkey", F.lit(family).alias("family"), "qualifier", "value")

@@ -86,7 +86,7 @@ def stamp(spark: SparkSession, path: str) -> tuple:
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType,
                  key: list[str], order: list[str] | None = None, part: str | None = None,
-                 buckets: int = 0):
+                 buckets: int = 0, by: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -94,6 +94,7 @@ class KeyedTable:
         self.order = list(order or [])
         self.part = part
         self.buckets = int(buckets)
+        self.by = list(by or key)     # the columns of the key that lookups give and buckets hash
 
     @property
     def columns(self) -> list[str]:
@@ -157,7 +158,7 @@ class KeyedTable:
         return out
 
     def _bucket(self):
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
 
     def _read_base(self, upto: int, buckets: list[int] | None = None) -> DataFrame:
         """Rows of a base version, of some buckets only if given."""
@@ -204,11 +205,11 @@ class KeyedTable:
         return self._image(full, [f for f in self._batches(full).values() if f], where)
 
     def lookup(self, keys: DataFrame, before: int | None = None) -> DataFrame:
-        """Latest rows of the keys in ``keys`` (a frame with the key columns; nulls
-        find nothing), as of the batches ``before`` one if given. One row reaches
+        """Latest rows of the keys in ``keys`` (a frame with the key columns, or those
+        of ``by``; nulls find nothing), as of the batches ``before`` one if given. One row reaches
         the driver: the number of keys and their
         buckets. Cache ``keys`` if it is dear, it is read several times."""
-        wanted = keys.select(*self.key).dropna().distinct()
+        wanted = keys.select(*self.by).dropna().distinct()
         asked = [F.count(F.lit(1)).alias("n")]
         if self.buckets:
             asked.append(F.collect_set(self._bucket()).alias("buckets"))   # at most ``buckets`` numbers
@@ -218,9 +219,9 @@ class KeyedTable:
         full = self._base(before)
         folders = [f for n, f in self._batches(full).items() if f and (before is None or n < before)]
         out = self.spark.createDataFrame([], self.schema)
-        log = self._read_log(folders).join(wanted, self.key, "left_semi") if folders else None
+        log = self._read_log(folders).join(wanted, self.by, "left_semi") if folders else None
         if full is not None:
-            base = self._read_base(full, found["buckets"] if self.buckets else None).join(wanted, self.key, "left_semi")
+            base = self._read_base(full, found["buckets"] if self.buckets else None).join(wanted, self.by, "left_semi")
             out = base if log is None else self._without(base, log)
         if log is None:
             return out.select(*self.columns)

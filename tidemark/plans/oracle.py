@@ -342,5 +342,12 @@ WHERE upto <= {P.OFFSET_MAX_BYTES}"""
 WHERE value IS NOT NULL"""
     q["kv_cells"] = cells
     q["kv_cells_sorted"] = cells
+    q["kv_cells_json"] = """SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'hfile-fy' AS family, qualifier, value FROM (
+  SELECT c_custkey, 'c_acctbal' AS qualifier, CAST(c_acctbal AS VARCHAR) AS value FROM customer
+  UNION ALL SELECT c_custkey, 'c_mktsegment', CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'AUTOMOBILE+' ELSE c_mktsegment END FROM customer
+  UNION ALL SELECT c_custkey, 'c_name', c_name FROM customer
+  UNION ALL SELECT c_custkey, 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT c_custkey, 'c_level', CAST(c_custkey % 9 AS VARCHAR) FROM customer WHERE c_mktsegment = 'AUTOMOBILE')
+WHERE value IS NOT NULL"""
     q["keyed_upsert"] = _with(USER_CHANGES, LATEST_USER) + "SELECT * FROM latest_user"
     return q

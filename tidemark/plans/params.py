@@ -27,4 +27,5 @@ BAND_WIDTH = 100
 STREAM_SLICES = 8                  # triggers of a replayed stream run
 STREAM_DELAY = "10 minutes"        # lateness that stateful streams wait for
 USER_BUCKETS = 32                  # hash buckets of the user table
+CELL_BUCKETS = 8                   # hash buckets of the cell table
 STREAM_JOIN_SALT = 2               # salt of the registered order/detail stream join

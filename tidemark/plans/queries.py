@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import alerts as AL
 from tidemark.operators import cells as CE
+from tidemark.operators.celltable import CellTable
 from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
 from tidemark.operators import metrics as ME
@@ -298,6 +299,19 @@ def q_kv_cells_sorted(spark, root):
     return spark.read.parquet(path)
 
 
+def q_kv_cells_json(spark, root):
+    """Two loads of JSON files, whose fields differ, into a cell table: the first
+    is compacted, the second adds versions; returns the newest of each cell."""
+    base = run_dir(spark, "cells-json")
+    table, known = CellTable(spark, f"{base}/table", buckets=P.CELL_BUCKETS), None
+    for n, lines in enumerate(AD.cell_json(_ctx(spark, root).t)):
+        lines.write.text(f"{base}/in/{n}")
+        known = table.load_json(f"{base}/in/{n}", n, known=known)
+        if n == 0:
+            table.compact()
+    return table.scan().select(*CE.CELL_COLUMNS)
+
+
 USER_KEYED_SCHEMA = T.StructType(list(USER_INFO.fields) + [
     T.StructField("change_ts", T.TimestampNTZType()), T.StructField("seq", T.LongType())])
 
@@ -361,5 +375,6 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_counts": q_delivery_counts,
     "kv_cells": q_kv_cells,
     "kv_cells_sorted": q_kv_cells_sorted,
+    "kv_cells_json": q_kv_cells_json,
     "keyed_upsert": q_keyed_upsert,
 }

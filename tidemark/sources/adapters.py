@@ -309,3 +309,13 @@ def delivery_results(t: Tables) -> DataFrame:
 def cell_rows(t: Tables) -> DataFrame:
     """Flat rows with an ``id`` key for the cell loaders (customers)."""
     return t.customer.withColumnRenamed("c_custkey", "id")
+
+
+def cell_json(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """JSON lines of two loads of the cell loaders: every customer; and the
+    ``UPDATED_SEGMENT`` ones again, with a new segment, a field more and fields less."""
+    first = F.to_json(F.struct(F.col("c_custkey").alias("id"), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
+    again = F.to_json(F.struct(F.concat("c_mktsegment", F.lit("+")).alias("c_mktsegment"), F.col("c_custkey").alias("id"),
+                               (F.col("c_custkey") % 9).alias("c_level")))
+    return (t.customer.select(first.alias("value")),
+            t.customer.where(F.col("c_mktsegment") == UPDATED_SEGMENT).select(again.alias("value")))
