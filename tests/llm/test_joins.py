@@ -208,6 +208,72 @@ def test_traversal_loses_no_link():
                     assert (b, a) in got
 
 
+def brute_components(sets, comps, side=None):
+    root = list(comps)
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if (side is None or len(set(side)) < 2 or side[a] != side[b]) and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                root = [root[b] if x == root[a] else x for x in root]
+    return root
+
+
+def test_forest_joins_what_all_links_join():
+    r = random.Random(16)
+    for _ in range(60):
+        base = np.unique(np.array([r.getrandbits(64) for _ in range(r.randint(1, 60))], np.uint64))
+        sets = []
+        for _ in range(r.randint(2, 40)):
+            s = base[[r.random() < r.choice([0.5, 0.85, 0.97, 1]) for _ in base]]
+            s = np.unique(np.concatenate([s, np.array([r.getrandbits(64) for _ in range(r.randint(0, 8))], np.uint64)]))
+            sets += [s] if len(s) else []
+        comps = np.array([r.randrange(len(sets)) for _ in sets])
+        side = np.array([r.randrange(2) for _ in sets]) if r.random() < 0.4 else None
+        got = sigtree.forest(np.arange(len(sets)), sets, comps, side)
+        assert len(got) < len(set(comps.tolist())) or not got
+        root = comps.tolist()
+        for a, b in got:
+            assert root[a] != root[b]
+            root = [root[b] if x == root[a] else x for x in root]
+        want = brute_components(sets, comps.tolist(), side)
+        assert {frozenset(k for k, x in enumerate(root) if x == y) for y in root} == {frozenset(k for k, x in enumerate(want) if x == y) for y in want}
+
+
+def test_near_copies_without_a_centre_give_a_forest():
+    """2,000 sets in a circle, each like its neighbours only, and 600 just under the threshold."""
+    r = random.Random(17)
+    ring = np.array([r.getrandbits(64) for _ in range(2000 + 100)], np.uint64)
+    sets = [np.unique(ring[k:k + 100]) for k in range(2000)]
+    assert len(sigtree.forest(np.arange(2000), sets, np.arange(2000))) == 1999
+    base = np.array([r.getrandbits(64) for _ in range(200)], np.uint64)
+    under = [np.unique(np.concatenate([base[:171], np.array([r.getrandbits(64) for _ in range(29)], np.uint64)])) for _ in range(600)]
+    assert sigtree.forest(np.arange(600), under, np.arange(600)) == []   # 171 / 229 of any two
+
+
+def test_join_of_copies_without_a_centre(spark, documents, monkeypatch):
+    """A chain of windows on one text: each links with its neighbours only; one component, in several cells."""
+    r = random.Random(18)
+    words = [f"w{r.getrandbits(40):x}" for _ in range(700)]
+    texts = [" ".join(words[k:k + 60]) for k in range(0, 600, 3)] + ["something else altogether, of no group"]
+    monkeypatch.setattr(sigtree, "CELL", 16)
+    got = {r["doc_id"]: r["component_id"] for r in sigtree.join(documents(texts)).collect()}
+    assert got == {k: 0 if k < 200 else 200 for k in range(201)}
+
+
+@pytest.mark.parametrize("ids, kept", [([None, None, 5, 7], {5}), ([7, 7, 7, 7], {7}), ([None] * 4, {None}), ([9, 3, None, 4], {3})])
+def test_one_row_of_each_group_stays(spark, documents, ids, kept):
+    """Near copies with null and repeated ids beside a text of its own that has one of these ids."""
+    r = random.Random(19)
+    words = r.choices(VOCAB, k=120)
+    near = [" ".join(words[:k] + ["edit"] + words[k + 1:]) for k in (5, 40, 70, 100)]
+    other = " ".join(r.choices(VOCAB, k=80))
+    df = documents([*near, other, None, None, ""], [*ids, 7, 50, 50, None], clash=False)
+    got = stages.near_duplicates(spark, df, "").collect()
+    assert [r["doc_id"] for r in got if r["text"] in near] == list(kept)
+    rest = [(r["doc_id"], r["text"]) for r in got if r["text"] not in near]
+    assert len(rest) == 3 and set(rest) == {(7, other), (50, None), (None, "")}
+
+
 # ---------------------------------------------------------------- benchmark decontamination
 
 def test_copies_of_test_items(spark, documents, odd_texts):

@@ -34,7 +34,7 @@ def op5_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sigtree.join(table(spark, sf_dir, "documents"))
+    return sigtree.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,13 +15,18 @@ shingles is PERCENT / 100 or more. The join is exact on 64-bit shingle hashes.
    Widespread groups are dealt over SALTS tasks by class; a further round joins
    what the salts kept apart. That settles the large groups of near copies with
    one comparison a class.
-4. Last round, over groups that still hold more than one component: a group's
+4. Last round, over groups that still hold more than one component. Groups with
+   the same first class are one bundle (near copies meet in many groups, mostly
+   with the same first class, so their sets travel once or twice instead of
+   once a group). A bundle's
    classes become leaves of a signature tree, whose nodes hold OR-combined
    shingle bitmaps, size ranges and component ranges. A dual traversal from the
    root drops node pairs of one component, of sizes too far apart, or whose
-   largest possible overlap is too small. Groups over CELL classes are cut into
-   cells, a pair of blocks each.
-5. What survives is compared exactly; links join components.
+   largest possible overlap is too small. Bundles over CELL classes or
+   CELL_SHINGLES shingles are cut into cells, a pair of blocks each.
+5. What survives is compared exactly where it is found, unless links found before
+   already join the two: a cell gives at most one link less than it has
+   classes, however many pairs link. Links join components.
 
 The bitmaps that are broadcast are of fixed size (see common.bitmap); false
 positives cost time only. Sets travel only for classes that meet others.
@@ -36,6 +41,8 @@ gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,8 +56,10 @@ SHINGLE, PERCENT = 5, 75
 VOTES = 0.3
 #: Classes that may hold a shingle before it counts as widespread.
 WIDESPREAD = 64
-#: Classes of one group that a task holds at once; children of a tree node; node pairs looked at together.
-CELL, FAN, PAIRS = 4096, 8, 4096
+#: Classes of one bundle, and their shingles, that make a block; children of a tree node; node pairs looked at together.
+CELL, CELL_SHINGLES, FAN, PAIRS = 4096, 1 << 22, 8, 4096
+#: Sets compared with one at once.
+TOGETHER = 64
 #: Tasks that share one widespread shingle's group in the first round.
 SALTS = 16
 GATHERED = 1 << 21
@@ -154,9 +163,13 @@ class Tree:
 
 def traverse(a: Tree, b: Tree | None, percent: int = PERCENT) -> np.ndarray:
     """Leaf pairs of two trees, or of one with itself, that may link and are of different components."""
+    return np.concatenate([np.zeros((0, 2), np.int64), *walk(a, b, percent)])
+
+
+def walk(a: Tree, b: Tree | None, percent: int = PERCENT) -> Iterator[np.ndarray]:
+    """The same, a block of pairs at a time."""
     own = b is None
     b = a if own else b
-    out = []
 
     def alive(la, lb, i, j):
         m, lo, hi, c0, c1, hid = (x[i] for x in a.levels[la])
@@ -181,7 +194,7 @@ def traverse(a: Tree, b: Tree | None, percent: int = PERCENT) -> np.ndarray:
         if la == lb == 0:
             if own:
                 i, j = i[i < j], j[i < j]
-            out.append(np.stack([i, j], axis=1))
+            yield np.stack([i, j], axis=1)
             continue
 
         def down(level, nodes, tree):
@@ -197,12 +210,11 @@ def traverse(a: Tree, b: Tree | None, percent: int = PERCENT) -> np.ndarray:
         if own:
             good &= x <= y
         stack.append((max(0, la - 1), max(0, lb - 1), x[good], y[good]))
-    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
-def candidates(keys: np.ndarray, sizes: np.ndarray, comps: np.ndarray, signatures: list[bytes],
-               side: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs of keys of a group that may link. With ``side``: only pairs across its two sides.
+def leaf_pairs(keys: np.ndarray, sizes: np.ndarray, comps: np.ndarray, signatures: list[bytes],
+               side: np.ndarray | None = None, percent: int = PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a group's classes (their numbers) that may link, in blocks. With ``side``: only pairs across its two sides.
 
     A tree for each size class and side; pairs within a class and with the next.
     """
@@ -215,20 +227,53 @@ def candidates(keys: np.ndarray, sizes: np.ndarray, comps: np.ndarray, signature
         m = np.frombuffer(b"".join(signatures[k] for k in at), np.uint8).reshape(len(at), 1 << c)
         trees[c, s] = (at, m, Tree(m, sizes[at], comps[at]))
     crossed = len(set(side.tolist())) > 1
-    out = []
     for (c, s), (at, m, tree) in trees.items():
         for other in ((c, s), (c, 1 - s), (c + 1, 0), (c + 1, 1)):
             if other not in trees or crossed and other[1] == s or other == (c, 1 - s) and s:
                 continue
             at2, m2, tree2 = trees[other]
             if other == (c, s):
-                pairs = traverse(tree, None, percent)
+                pairs = walk(tree, None, percent)
             elif other[0] == c:
-                pairs = traverse(tree, tree2, percent)
+                pairs = walk(tree, tree2, percent)
             else:  # the wider bitmaps are folded to the narrower ones' width
                 half = m2.shape[1] // 2
-                pairs = traverse(tree, Tree(m2[:, :half] | m2[:, half:], sizes[at2], comps[at2]), percent)
-            out += [(int(keys[at[i]]), int(keys[at2[j]])) for i, j in pairs.tolist()]
+                pairs = walk(tree, Tree(m2[:, :half] | m2[:, half:], sizes[at2], comps[at2]), percent)
+            for block in pairs:
+                yield at[block[:, 0]], at2[block[:, 1]]
+
+
+def candidates(keys: np.ndarray, sizes: np.ndarray, comps: np.ndarray, signatures: list[bytes],
+               side: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs of keys of a group that may link."""
+    return [(int(keys[i]), int(keys[j])) for a, b in leaf_pairs(keys, sizes, comps, signatures, side, percent)
+            for i, j in zip(a.tolist(), b.tolist())]
+
+
+def forest(keys: np.ndarray, sets: list[np.ndarray], comps: np.ndarray, side: np.ndarray | None = None,
+           percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that join a group's components as far as all its links do: at most one
+    less than there are components. Pairs that earlier links join are not compared."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    root, comp = np.unique(comps, return_inverse=True)
+    root = np.arange(len(root))  # of each component
+    out = []
+    for a, b in leaf_pairs(keys, sizes, comps, [signature(s) for s in sets], side, percent):
+        apart = root[comp[a]] != root[comp[b]]
+        a, b = a[apart], b[apart]
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        for i, left in zip(np.unique(a).tolist(), np.split(b, np.flatnonzero(np.diff(a)) + 1)):
+            mine = sets[i]
+            while len(left := left[root[comp[left]] != root[comp[i]]]):
+                now, left = left[:TOGETHER], left[TOGETHER:]
+                theirs = np.concatenate([sets[k] for k in now])
+                same = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+                both = np.add.reduceat(same, np.cumsum(sizes[now]) - sizes[now], dtype=np.int64)
+                for k in now[100 * both >= percent * (len(mine) + sizes[now] - both)].tolist():
+                    if root[comp[k]] != root[comp[i]]:
+                        out.append((int(keys[i]), int(keys[k])))
+                        root[root == root[comp[k]]] = root[comp[i]]
     return out
 
 
@@ -239,16 +284,17 @@ def _sets(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (distinct shingles), key (hash of the set) of every document."""
+    """doc_id, text_hash, n (distinct shingles), key (hash of the set) of every document."""
     def work(batches):
         for batch in batches:
             for part in common.slices(batch):
                 sets = _sets(part)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "n", "key"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "text_hash", "n", "key"])
 
-    return common.narrow(docs, id_col, text_col).mapInArrow(work, "doc_id bigint, n bigint, key bigint")
+    return (common.narrow(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+            .mapInArrow(work, "doc_id bigint, text_hash bigint, n bigint, key bigint"))
 
 
 def _of_firsts(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, object]:
@@ -365,69 +411,56 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return common.written(joined.select("src", "dst", "x", "y").mapInArrow(compare, "src bigint, dst bigint"), "links")
 
 
-def _tree_pairs(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(src, dst): pairs of classes of different components that a group's signature tree leaves."""
+def _tree_links(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(src, dst): links between components, found by signature trees over bundles of groups."""
     spark = groups.sparkSession
     with_comp = common.written(
         groups.select("shingle", "key", "n").join(found.select(F.col("node").alias("key"), "component"), "key", "left")
         .withColumn("component", F.coalesce("component", "key")), "members")
     mixed = (with_comp.groupBy("shingle")
-             .agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"))
-             .where("c0 <> c1").select("shingle", "members"))
-    members = with_comp.join(mixed, "shingle")
-
-    def sign(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array([signature(np.frombuffer(s, np.uint64)) for s in batch.column("shingles").to_pylist()],
-                                               pa.binary())], ["key", "signature"])
-
-    signatures = sets.select("key", "shingles").mapInArrow(sign, "key bigint, signature binary")
-    # a group of over CELL classes is cut into blocks by key; a cell holds two blocks, or one with itself
-    blocks = F.ceil(F.col("members") / CELL).cast("int")
+             .agg(F.min("key").alias("bundle"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+             .where("c0 <> c1").select("shingle", "bundle"))
+    members = common.written(with_comp.join(mixed, "shingle").select("bundle", "key", "n", "component").distinct(), "bundles")
+    # a large bundle is cut into blocks by key; a cell holds two blocks, or one with itself
+    blocks = F.greatest(F.ceil(F.count("*") / CELL), F.ceil(F.sum("n") / CELL_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    cells = (members.join(signatures, "key").withColumn("blocks", blocks).withColumn("own", own)
+    cells = (members.join(members.groupBy("bundle").agg(blocks.alias("blocks")), "bundle")
+             .join(sets.select("key", "shingles"), "key").withColumn("own", own)
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("lo", F.least("own", "with")).withColumn("hi", F.greatest("own", "with")))
 
     def work(batches):
-        cell, held, told = None, [], set()
+        cell, held = None, []
 
         def settle():
             got = []
-            if len(held) > 1 and len({x[2] for x in held}) > 1:
-                key, n, comp, own_block, sigs = zip(*held)
+            if len(held) > 1 and len({x[1] for x in held}) > 1:
+                key, comp, own_block, blobs = zip(*held)
                 side = None if cell[1] == cell[2] else (np.array(own_block) == cell[2]).astype(np.int64)
-                got = candidates(np.array(key), np.array(n, np.int64), np.array(comp), sigs, side, percent)
+                got = forest(np.array(key), [np.frombuffer(b, np.uint64) for b in blobs], np.array(comp), side, percent)
             held.clear()
-            new = [p for p in ((min(x), max(x)) for x in got) if p not in told]
-            told.update(new)  # a pair meets in many groups
-            if len(told) > 200_000:
-                told.clear()
-            return new
-
-        def sent(pairs):
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["src", "dst"])
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in got], pa.int64()) for k in (0, 1)], ["src", "dst"])
 
         for batch in batches:
-            out = []
-            for s, lo, hi, *rest in zip(*(batch.column(c).to_pylist() for c in
-                                          ("shingle", "lo", "hi", "key", "n", "component", "own", "signature"))):
-                if (s, lo, hi) != cell:
-                    out += settle()
-                    cell = (s, lo, hi)
+            for bundle, lo, hi, *rest in zip(*(batch.column(c).to_pylist() for c in
+                                               ("bundle", "lo", "hi", "key", "component", "own", "shingles"))):
+                if (bundle, lo, hi) != cell:
+                    yield settle()
+                    cell = (bundle, lo, hi)
                 held.append(rest)
-            yield sent(out)
-        yield sent(settle())
+        yield settle()
 
     parts = common.n_ranges(spark)
-    return (cells.select("shingle", "lo", "hi", "key", "n", "component", "own", "signature")
-            .repartition(parts, "shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi")
-            .mapInArrow(work, "src bigint, dst bigint").distinct())
+    return common.written(
+        cells.select("bundle", "lo", "hi", "key", "component", "own", "shingles")
+        .repartition(parts, "bundle", "lo", "hi").sortWithinPartitions("bundle", "lo", "hi")
+        .mapInArrow(work, "src bigint, dst bigint"), "links")
 
 
 def join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id reached by links, its own included)."""
+    """doc_id, n_shingles, component_id (the smallest id reached by links, its own
+    included), and to tell rows and groups apart where ids are null or repeated:
+    text_hash, and group (null for an empty set), a number of the component."""
     spark = docs.sparkSession
     common.arrow_batches(spark)
     docs = common.narrow(docs, id_col, text_col)
@@ -447,12 +480,13 @@ def join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_c
                .agg(F.min(F.struct("own", "key")).alias("c")).select(F.col("c.key").alias("key")))
     links = links.unionByName(_compared(_hubs(groups.join(central, "key", "left_semi"), percent, 1), sets, percent))
     found = components(links)
-    found = components(links.unionByName(_compared(_tree_pairs(groups, found, sets, percent), sets, percent)))
+    found = components(links.unionByName(_tree_links(groups, found, sets, percent)))
 
     least = (classes.join(found.withColumnRenamed("node", "key"), "key", "left")
-             .withColumn("component", F.coalesce("component", "key")))
-    smallest = least.groupBy("component").agg(F.min("first").alias("component_id"))
-    labels = least.join(smallest, "component").select("key", "component_id")
-    alone = profile.where(F.col("key").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+             .withColumn("group", F.coalesce("component", "key")))
+    smallest = least.groupBy("group").agg(F.min("first").alias("component_id"))
+    labels = least.join(smallest, "group").select("key", "component_id", "group")
+    alone = profile.where(F.col("key").isNull()).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("bigint").alias("group"))
     return (profile.where(F.col("key").isNotNull()).join(labels, "key")
-            .select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone))
+            .select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "group").unionByName(alone))

@@ -23,12 +23,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group that similarity links join; of
-    its repeated rows one."""
-    groups = (sigtree.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-              .select(F.col("doc_id").alias("kept_id")).distinct())
-    kept = docs.select(*COLUMNS).join(groups, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*COLUMNS)
+    """One document of each group that similarity links join: the one of least id
+    (one without an id only where none has one), of several with that id the one of
+    least text hash, of repeated rows one. Documents without words link with
+    nothing and stay, of repeated rows one."""
+    found = sigtree.join(docs)
+    least = found.where(F.col("group").isNotNull()).groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("row"))
+    kept = least.select("row.doc_id", "row.text_hash").unionByName(
+        found.where(F.col("group").isNull()).select("doc_id", "text_hash").distinct())
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    rows = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
+            .dropDuplicates(["doc_id", "text_hash"]).select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
