@@ -256,3 +256,71 @@ def test_apps_users_and_sale_users_read_the_buckets_of_a_batch(spark):
     J._finish(apps.start(spark, "sale_users", kind="files", path=f"{base}/o", detail_path=f"{base}/d", users=f"{base}/users",
                          out=f"{base}/index", checkpoint=f"{base}/ck2", once=True))
     assert rows(J.sale_index(spark, f"{base}/index").read(), "order_detail_id", "user_level") == [("d1", "M"), ("d2", "M")]
+
+
+def test_devices_are_remembered_across_batches_and_a_restart(spark):
+    from tidemark.operators.rollup import Dashboard
+    base = run_dir(spark, "t-devices")
+    D = 24 * H
+
+    def run():
+        """A process: new objects, the same folders."""
+        kept = Dashboard(spark, f"{base}/kept")
+        q = J.first_seen_job(J.file_stream(spark, f"{base}/in", TOPIC_RECORD, 1), kept, f"{base}/ck")
+        J._finish(q, "t-devices")
+        return kept
+
+    def dau(kept, day):
+        return [r["value"] for r in kept.realtime_total(day).collect()][:2]
+
+    b1 = [_log("m1", DAY1 + 5 * H), _log("m1", DAY1 + 3 * H), _log("m2", DAY1 + 6 * H), _log("m2", DAY1 + 6 * H)]
+    b2 = [_log("m1", DAY1 + 2 * H), _log("m3", DAY1 + 20 * H), _log("m1", DAY1 + D + H)]
+    b3 = [_log("m2", DAY1 + D + 2 * H), _log("m4", DAY1 + 2 * D), _log("m1", DAY1 + 2 * D)]
+    _write_batches(spark, f"{base}/in", [b1, b2])
+    kept = run()
+    assert rows(kept.new_devices()) == [("2024-01-01", 3)]
+    assert rows(kept.first_logs.read(), "logdate", "mid", "loghour") == [
+        ("2024-01-01", "m1", "02"), ("2024-01-01", "m2", "06"), ("2024-01-01", "m3", "20"), ("2024-01-02", "m1", "01")]
+    kept.compact()
+    _write_batches(spark, f"{base}/in", [b3, []])
+    kept = run()                                   # restarted: goes on where it stopped
+    assert rows(kept.new_devices()) == [("2024-01-01", 3), ("2024-01-03", 1)]
+    assert dau(kept, "2024-01-01") == [3.0, 3.0] and dau(kept, "2024-01-02") == [2.0, 0.0] and dau(kept, "2024-01-03") == [2.0, 1.0]
+    hours = {r["hour"]: (r["today"], r["yesterday"]) for r in kept.hours("dau", "2024-01-02").collect()}
+    assert hours["01"] == (1, 0) and hours["02"] == (1, 1) and hours["06"] == (0, 1) and len(hours) == 24
+    assert kept.hours("other", "2024-01-02") is None
+    # the checkpoint is lost as well: all logs come again, nothing counts twice
+    kept.compact()
+    again = J.first_seen_job(J.file_stream(spark, f"{base}/in", TOPIC_RECORD, 1), kept, f"{base}/ck-new")
+    J._finish(again)
+    assert rows(kept.new_devices()) == [("2024-01-01", 3), ("2024-01-03", 1)]
+
+
+def test_order_totals_follow_changed_and_replayed_orders(spark):
+    from tidemark.operators.rollup import Dashboard
+    from tidemark.schemas import ORDER_SINK_COLUMNS
+
+    def orders(*some):
+        full = [tuple({"ID": i, "CREATE_DATE": d, "CREATE_HOUR": h, "TOTAL_AMOUNT": a}.get(c) for c in ORDER_SINK_COLUMNS) for i, d, h, a in some]
+        return spark.createDataFrame(full, J.ORDER_SINK_ROW)
+
+    kept = Dashboard(spark, run_dir(spark, "t-order-totals"), buckets=2)
+    assert kept.realtime_total("d1").collect()[2]["value"] is None
+    kept.add_orders(orders(("o1", "d1", "01", 10.0), ("o2", "d1", "02", 5.0), ("o3", None, None, 9.0)), 0)
+    second = orders(("o1", "d2", "03", 11.0), ("o4", "d1", "02", 1.5), ("o2", "d1", "02", None))
+    kept.add_orders(second, 1)
+    kept.add_orders(second, 1)                     # written again
+    total = lambda day: kept.realtime_total("x", day).collect()[2]["value"]
+    assert (total("d1"), total("d2")) == (1.5, 11.0)
+    kept.compact()
+    kept.add_orders(second, 1)                     # replay of a compacted batch
+    kept.add_orders(orders(("o1", "d1", "01", 2.0)), 2)
+    assert (total("d1"), total("d2")) == (3.5, None)
+    assert rows(kept.orders.rollups["totals"].read(), "CREATE_DATE", "CREATE_HOUR", "n") == [("d1", "01", 1), ("d1", "02", 2)]
+
+
+def test_kept_dashboards_read_kept_tables_only(spark):
+    import __spark_entry__ as E
+    for name in ("kept_realtime_total", "kept_new_devices", "kept_dau_hours", "kept_order_hours"):
+        files = E.queries()[name](spark, "/root/testdata/sf0.001").inputFiles()
+        assert files and all("_totals/" in f for f in files)

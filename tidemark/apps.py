@@ -23,12 +23,13 @@ from tidemark.fixed import (ALERT_SLIDE, ALERT_WINDOW, TOPIC_EVENT, TOPIC_ORDER_
 from tidemark.operators import alerts as AL
 from tidemark.operators.keyed import KeyedTable
 from tidemark.operators.parse import accepted, parse_json
+from tidemark.operators.rollup import Dashboard
 from tidemark.plans.params import AS_OF
 from tidemark.schemas import CDC_CHANGE, EVENT_LOG, ORDER_SINK_ROW, TOPIC_RECORD
 from tidemark.sources.topics import read_topics
 from tidemark.streaming import jobs as J
 
-APPS = ("dau", "alert", "orders", "users", "sale_join", "sale_users", "strip", "cdc", "logs")
+APPS = ("dau", "devices", "alert", "orders", "users", "sale_join", "sale_users", "strip", "cdc", "logs")
 
 LOG_INPUT = T.StructType([T.StructField("value", T.StringType()),
                           T.StructField("arrival_ms", T.LongType())])
@@ -46,11 +47,12 @@ def _alert_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, probe.schema, ["mid", "window_start_ts"])
 
 
-#: The keyed tables that apps write, by the app's name.
+#: The tables that apps write, by the app's name; each has ``compact()``.
 TABLES = {
     "dau": lambda spark, path: KeyedTable(spark, path, J.STARTUP_ROW, ["logdate", "mid"], part="logdate"),
     "alert": _alert_table,
     "orders": lambda spark, path: KeyedTable(spark, path, ORDER_SINK_ROW, ["ID"], part="CREATE_DATE"),
+    "devices": Dashboard,
     "users": J.users_table,
     "sale_users": J.sale_index,
 }
@@ -66,6 +68,9 @@ def start(spark: SparkSession, app: str, *, kind: str, out: str, checkpoint: str
     if app == "dau":
         return J.dau_job(_source(spark, [TOPIC_STARTUP], kind, path, servers), table,
                          checkpoint, delay="1 day", available_now=not live)
+    if app == "devices":
+        return J.first_seen_job(_source(spark, [TOPIC_STARTUP], kind, path, servers), table,
+                                checkpoint, delay="1 day", available_now=not live)
     if app == "alert":
         return J.alert_job(_source(spark, [TOPIC_EVENT], kind, path, servers), table, checkpoint,
                            ALERT_WINDOW, ALERT_SLIDE, delay, available_now=not live)

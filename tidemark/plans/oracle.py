@@ -293,6 +293,9 @@ WHERE user_age IS NOT NULL GROUP BY user_age ORDER BY doc_count DESC, user_age A
   UNION ALL
   SELECT '30岁以上', {pct.format(x='b')} FROM (SELECT count(*) AS n, count(*) FILTER (WHERE user_age > 30) AS b FROM hits))"""
 
+    for name, same in (("realtime_total", "realtime_total"), ("new_devices", "new_devices"),
+                       ("dau_hours", "dau_hours_compare"), ("order_hours", "order_hours_compare")):
+        q[f"kept_{name}"] = q[same]              # kept totals answer as the tables do
     for name in ("total", "page", "ranked"):     # the kept index answers as the search does
         q[f"sale_index_{name}"] = q[f"sale_search_{name}"]
     q["sale_index_stat_age"] = q["sale_stat_age"]

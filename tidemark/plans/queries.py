@@ -23,6 +23,7 @@ from tidemark.operators import sales as SA
 from tidemark.operators import search as SE
 from tidemark.operators.keyed import KeyedTable, stamp
 from tidemark.operators.orders import clean_orders, to_order_sink
+from tidemark.operators.rollup import Dashboard
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.operators.textindex import SearchIndex
 from tidemark.plans import params as P
@@ -77,12 +78,15 @@ def q_dau_first_log(spark, root):
     return DD.to_dau_sink(_ctx(spark, root).dau())
 
 
+def _cut_ms():
+    return ntz_to_epoch_ms(F.lit(P.SEEN_CUTOFF).cast("timestamp_ntz"))
+
+
 def _seen_and_batch(c: Ctx):
     """Logs before the cutoff (earlier batches, the seen set) and after it."""
     logs = c.startup()
-    cut_ms = ntz_to_epoch_ms(F.lit(P.SEEN_CUTOFF).cast("timestamp_ntz"))
-    return (logs.where(F.col("ts") < cut_ms).select("logdate", "mid"),
-            logs.where(F.col("ts") >= cut_ms))
+    return (logs.where(F.col("ts") < _cut_ms()).select("logdate", "mid"),
+            logs.where(F.col("ts") >= _cut_ms()))
 
 
 def q_dau_incremental(spark, root):
@@ -143,6 +147,45 @@ def q_realtime_total(spark, root):
                              c.orders([P.ORDER_DATE]), P.DAU_DATE, P.ORDER_DATE)
 
 
+#: Kept dashboards of this session, by the state of the tables that they were made from.
+_DASHBOARDS: dict[tuple, Dashboard] = {}
+
+
+def kept_dashboard(spark: SparkSession, root: str) -> Dashboard:
+    """The dashboards' tables of a data folder, kept in the shared folder: logs in two
+    batches (before the cutoff, and after), orders in two (before the day, and
+    after), compacted; made when first asked for, and again when a table changes."""
+    c = _ctx(spark, root)
+    key = (spark.sparkContext.applicationId, tuple(stamp(spark, c.t.path(name)) for name in ("events", "orders", "customer")))
+    if key not in _DASHBOARDS:
+        kept = Dashboard(spark, run_dir(spark, "dashboard"))
+        for n, logs in enumerate((c.startup().where(F.col("ts") < _cut_ms()), c.startup().where(F.col("ts") >= _cut_ms()))):
+            kept.add_logs(logs, n)
+        rows = to_order_sink(c.orders())
+        earlier = F.coalesce(F.col("CREATE_DATE") < P.ORDER_DATE, F.lit(True))
+        for n, orders in enumerate((rows.where(earlier), rows.where(~earlier))):
+            kept.add_orders(orders, n)
+        kept.compact()
+        _DASHBOARDS[key] = kept
+    return _DASHBOARDS[key]
+
+
+def q_kept_realtime_total(spark, root):
+    return kept_dashboard(spark, root).realtime_total(P.DAU_DATE, P.ORDER_DATE)
+
+
+def q_kept_new_devices(spark, root):
+    return kept_dashboard(spark, root).new_devices()
+
+
+def q_kept_dau_hours(spark, root):
+    return kept_dashboard(spark, root).hours("dau", P.DAU_DATE)
+
+
+def q_kept_order_hours(spark, root):
+    return kept_dashboard(spark, root).hours("order_amount", P.ORDER_DATE)
+
+
 def q_province_amount(spark, root):
     c = _ctx(spark, root)
     return ME.province_amount(c.orders(), c.t.nation)
@@ -347,6 +390,10 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_amount_by_hour": q_order_amount_by_hour,
     "order_hours_compare": q_order_hours_compare,
     "realtime_total": q_realtime_total,
+    "kept_realtime_total": q_kept_realtime_total,
+    "kept_new_devices": q_kept_new_devices,
+    "kept_dau_hours": q_kept_dau_hours,
+    "kept_order_hours": q_kept_order_hours,
     "province_amount": q_province_amount,
     "province_bands": q_province_bands,
     "order_detail_outer": q_order_detail_outer,

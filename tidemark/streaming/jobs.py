@@ -27,6 +27,7 @@ from tidemark.operators import sales as SA
 from tidemark.operators.keyed import FILE_BYTES, KeyedTable, _fs, bytes_under, list_children
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
+from tidemark.operators.rollup import Dashboard
 from tidemark.plans import params as P
 from tidemark.schemas import (CDC_CHANGE, EVENT_LOG, ORDER_DETAIL, ORDER_INFO,  # noqa: F401
                               ORDER_SINK_ROW, SA_PAIR_SCHEMA, SALE_DETAIL_COLUMNS, SALE_ROW,
@@ -161,6 +162,25 @@ def dau_job(records: DataFrame, table: KeyedTable, checkpoint: str, delay: str =
                 checkpoint, available_now)
 
 
+def first_seen_job(records: DataFrame, kept: Dashboard, checkpoint: str, delay: str = "1 day",
+                   available_now: bool = True) -> StreamingQuery:
+    """Startup logs into the dashboard's kept tables. A log that is delivered again
+    within ``delay`` is dropped by the stream's state; what a device's first
+    log of a day and its first day are, is remembered by the tables, which
+    outlive the state, the checkpoint and the process."""
+    logs = DD.with_log_date_hour(accepted(parse_json(records, STARTUP_LOG)))
+    logs = logs.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
+    once = logs.dropDuplicatesWithinWatermark([f.name for f in STARTUP_LOG.fields])
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            kept.add_logs(b, batch_id)
+        finally:
+            b.unpersist()
+    return _run(once.writeStream.outputMode("append").foreachBatch(_write), checkpoint, available_now)
+
+
 def alert_job(records: DataFrame, table: KeyedTable, checkpoint: str, window: str, slide: str,
               delay: str, available_now: bool = True) -> StreamingQuery:
     """Sliding-window alert ingredients per (mid, window), updated per batch
@@ -315,6 +335,16 @@ def q_stream_dau(spark, root):
     return DD.to_dau_sink(kt.read())
 
 
+def q_stream_new_devices(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-devices")
+    logs = AD.startup_logs(t).withColumn("event_time", F.timestamp_millis("ts"))
+    stage_in_order(_topic(logs, AD.TOPIC_STARTUP, STARTUP_LOG, "event_time", F.col("ts")), f"{base}/in", "timestamp", 3)
+    kept = Dashboard(spark, f"{base}/kept")
+    _finish(first_seen_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD, 3), kept, f"{base}/ckpt"), "stream_new_devices")
+    return kept.new_devices()
+
+
 def q_stream_alert(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-alert")
@@ -425,6 +455,7 @@ def q_stream_topic_strip(spark, root):
 
 STREAM_QUERIES = {
     "stream_dau": q_stream_dau,
+    "stream_new_devices": q_stream_new_devices,
     "stream_alert": q_stream_alert,
     "stream_orders": q_stream_orders,
     "stream_sale_join": q_stream_sale_join,
@@ -438,6 +469,7 @@ STREAM_QUERIES = {
 # the batch query it must reproduce.
 STREAM_ORACLE = {
     "stream_dau": "dau_first_log",
+    "stream_new_devices": "new_devices",
     "stream_alert": "coupon_alert",
     "stream_orders": "order_info_clean",
     "stream_sale_join": "sale_detail_interval",
