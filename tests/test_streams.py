@@ -324,3 +324,30 @@ def test_kept_dashboards_read_kept_tables_only(spark):
     for name in ("kept_realtime_total", "kept_new_devices", "kept_dau_hours", "kept_order_hours"):
         files = E.queries()[name](spark, "/root/testdata/sf0.001").inputFiles()
         assert files and all("_totals/" in f for f in files)
+
+
+def test_closed_alerts_equal_batch_and_state_does_not_follow_traffic(spark):
+    from tidemark.operators import alerts as AL
+    from tidemark.operators.parse import accepted, parse_json
+    from tidemark.schemas import EVENT_LOG
+    T0, s = DAY1, 1000
+    most = []
+    for busy in (1, 40):
+        base = run_dir(spark, "t-alert-closed")
+
+        def ev(uid, evid, ms):
+            return ("gmall_event", {"mid": "m", "uid": uid, "evid": evid, "itemid": 1, "ts": ms}, ms)
+        batches = [[ev("u1", "coupon", T0 + s), ev("u2", "coupon", T0 + 2 * s)] + [ev("u2", "share", T0 + 2 * s)] * busy,
+                   [ev("u3", "coupon", T0 + 3 * s), ev("u3", None, T0 + 3 * s)] + [ev("u3", "scan", T0 + 9 * s)] * busy,
+                   [ev("u4", "clickItem", T0 + 62 * s)], [ev(None, None, T0 + 999 * s)]]
+        _write_batches(spark, f"{base}/in", batches)
+        q = J.closed_alert_job(J.file_stream(spark, f"{base}/in", TOPIC_RECORD, 1), f"{base}/out", f"{base}/ck",
+                               "60 seconds", "5 seconds", "30 seconds")
+        J._finish(q, "t-alert-closed")
+        batch = spark.read.schema(TOPIC_RECORD).parquet(f"{base}/in")
+        expect = rows(AL.coupon_alerts(accepted(parse_json(batch, EVENT_LOG)), "60 seconds", "5 seconds"))
+        assert rows(spark.read.schema(AL.ALERT_SCHEMA).parquet(f"{base}/out")) == expect and len(expect) == 12
+        most.append(J.STATE_ROWS["t-alert-closed"]["most"])
+        assert J.STATE_ROWS["t-alert-closed"]["removed"] > 0
+        del J.STATE_ROWS["t-alert-closed"]
+    assert most[0] == most[1]

@@ -29,7 +29,7 @@ from tidemark.schemas import CDC_CHANGE, EVENT_LOG, ORDER_SINK_ROW, TOPIC_RECORD
 from tidemark.sources.topics import read_topics
 from tidemark.streaming import jobs as J
 
-APPS = ("dau", "devices", "alert", "orders", "users", "sale_join", "sale_users", "strip", "cdc", "logs")
+APPS = ("dau", "devices", "alert", "closed_alert", "orders", "users", "sale_join", "sale_users", "strip", "cdc", "logs")
 
 LOG_INPUT = T.StructType([T.StructField("value", T.StringType()),
                           T.StructField("arrival_ms", T.LongType())])
@@ -74,6 +74,9 @@ def start(spark: SparkSession, app: str, *, kind: str, out: str, checkpoint: str
     if app == "alert":
         return J.alert_job(_source(spark, [TOPIC_EVENT], kind, path, servers), table, checkpoint,
                            ALERT_WINDOW, ALERT_SLIDE, delay, available_now=not live)
+    if app == "closed_alert":
+        return J.closed_alert_job(_source(spark, [TOPIC_EVENT], kind, path, servers), out, checkpoint,
+                                  ALERT_WINDOW, ALERT_SLIDE, delay, available_now=not live)
     if app == "orders":
         return J.orders_job(_source(spark, [TOPIC_ORDER_INFO], kind, path, servers), table,
                             checkpoint, available_now=not live, rejects=f"{out}_rejects")

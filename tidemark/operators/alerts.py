@@ -22,6 +22,8 @@ from tidemark.fixed import ALERT_MIN_UIDS, ALERT_SLIDE, ALERT_WINDOW, CLICK, COU
 from tidemark.functions.timefmt import instant_to_ntz
 
 MIN_UIDS, WINDOW, SLIDE = ALERT_MIN_UIDS, ALERT_WINDOW, ALERT_SLIDE
+ALERT_SCHEMA = ("mid string, window_start string, window_end string, uids string, itemids string, "
+                "events string, event_count bigint")
 
 
 def with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -105,6 +107,32 @@ def window_aggregate_panes(events: DataFrame, window: str = WINDOW,
                       F.timestamp_add("SECOND", F.lit(w_s), F.col("window_start_ts")).alias("window_end_ts"), *rest)
 
 
+def window_aggregate_chained(events: DataFrame, window: str = WINDOW, slide: str = SLIDE) -> DataFrame:
+    """Append-mode stream form: panes, then windows over the closed panes.
+
+    Two stateful aggregations in a row. The first holds a row for each (mid,
+    open pane, event id); the second adds closed panes to their windows, so the
+    sliding fan-out multiplies pane rows and the state has a number for each event
+    id, however often it occurs. Rows appear when the watermark has passed their window. Same
+    output as ``window_aggregate``; needs window a multiple of slide.
+    """
+    if _seconds(window) % _seconds(slide):
+        raise ValueError("the window must be a multiple of the slide")
+    panes = events.groupBy("mid", F.window("event_time", slide).alias("pane"), "evid").agg(
+        *_sets(), F.count(F.lit(1)).alias("n")).withColumn("at", F.window_time("pane"))
+    evid, n = F.col("evid"), F.col("n")
+    agg = panes.groupBy("mid", F.window("at", window, slide).alias("w")).agg(*_merged(
+        F.sum("n").alias("event_count"), F.bool_or(evid == CLICK).alias("has_click"),
+        *[F.coalesce(F.sum(F.when(evid == e, n)), F.lit(0).cast("bigint")).alias(f"n_{e}") for e in EVENT_IDS],
+        F.collect_list(F.when(_is_other(), F.struct(evid, n))).alias("_list")))     # a row for each pane and id
+    ids = F.array_distinct(F.transform("_list", lambda x: x["evid"]))
+    others = F.array_sort(F.transform(ids, lambda e: F.struct(e.alias("evid"), F.aggregate(
+        F.filter("_list", lambda y: y["evid"].eqNullSafe(e)), F.lit(0).cast("bigint"), lambda a, y: a + y["n"]).alias("n"))))
+    agg = agg.withColumn("others", others).drop("_list")
+    rest = [c for c in agg.columns if c not in ("mid", "w")]
+    return agg.select("mid", F.col("w.start").alias("window_start_ts"), F.col("w.end").alias("window_end_ts"), *rest)
+
+
 def _fmt(ts):
     return F.date_format(instant_to_ntz(ts), "yyyy-MM-dd HH:mm:ss")
 

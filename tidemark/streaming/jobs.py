@@ -191,6 +191,15 @@ def alert_job(records: DataFrame, table: KeyedTable, checkpoint: str, window: st
                 checkpoint, available_now)
 
 
+def closed_alert_job(records: DataFrame, out: str, checkpoint: str, window: str, slide: str, delay: str,
+                     min_uids: int = AL.MIN_UIDS, available_now: bool = True) -> StreamingQuery:
+    """Alerts of closed windows, appended once to files: panes first, then
+    windows of panes. ``alert_job`` reports a window while it is open."""
+    ev = AL.with_event_time(accepted(parse_json(records, EVENT_LOG))).withWatermark("event_time", delay)
+    found = AL.alerts(AL.window_aggregate_chained(ev, window, slide), min_uids)
+    return _run(found.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint, available_now)
+
+
 def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
                available_now: bool = True, rejects: str | None = None) -> StreamingQuery:
     """Parse, clean and upsert orders (stateless). Unparsable records go to
@@ -360,6 +369,22 @@ def q_stream_alert(spark, root):
     return AL.alerts(kt.read(), P.ALERT_MIN_UIDS)
 
 
+def q_stream_alert_closed(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-alert-closed")
+    ev = AD.event_logs(t).withColumn("event_time", F.timestamp_millis("ts"))
+    # a heartbeat, without a device, after the last window: it closes what is open
+    beat = ev.agg(F.max("ts").alias("ts")).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in EVENT_LOG.fields if f.name != "ts"],
+        (F.col("ts") + 2 * P.ALERT_WINDOW_S * 1000).alias("ts")).withColumn("event_time", F.timestamp_millis("ts"))
+    recs = _topic(ev.unionByName(beat), AD.TOPIC_EVENT, EVENT_LOG, "event_time", F.col("ts"))
+    stage_in_order(recs, f"{base}/in", "timestamp")
+    q = closed_alert_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), f"{base}/out", f"{base}/ckpt",
+                         P.ALERT_WINDOW, P.ALERT_SLIDE, P.STREAM_DELAY, P.ALERT_MIN_UIDS)
+    _finish(q, "stream_alert_closed")
+    return spark.read.schema(AL.ALERT_SCHEMA).parquet(f"{base}/out")
+
+
 def _order_records(t):
     o = AD.order_infos(t).withColumn("at", ntz_to_instant("arrival"))
     return _topic(o, AD.TOPIC_ORDER_INFO, ORDER_INFO, "at")
@@ -457,6 +482,7 @@ STREAM_QUERIES = {
     "stream_dau": q_stream_dau,
     "stream_new_devices": q_stream_new_devices,
     "stream_alert": q_stream_alert,
+    "stream_alert_closed": q_stream_alert_closed,
     "stream_orders": q_stream_orders,
     "stream_sale_join": q_stream_sale_join,
     "stream_sale_users": q_stream_sale_users,
@@ -471,6 +497,7 @@ STREAM_ORACLE = {
     "stream_dau": "dau_first_log",
     "stream_new_devices": "new_devices",
     "stream_alert": "coupon_alert",
+    "stream_alert_closed": "coupon_alert",
     "stream_orders": "order_info_clean",
     "stream_sale_join": "sale_detail_interval",
     "stream_sale_users": "sale_detail_users",
