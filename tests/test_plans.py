@@ -60,3 +60,33 @@ def test_no_explicit_broadcast_hint_on_growing_sides(spark, name):
     # joins are size-decided (AQE); only the 24-row hour aggregate carries a hint
     p = plan(E.queries()[name](spark, SF))
     assert "BroadcastHint" not in p and "broadcast(" not in p.lower().replace("broadcastexchange", "")
+
+
+@pytest.mark.parametrize("name, most", [("sale_detail", 4), ("sale_detail_interval", 5), ("order_amount_total", 1),
+                                        ("order_amount_by_hour", 1), ("order_hours_compare", 2), ("pipeline_counts", 2)])
+def test_exchanges_without_broadcast(spark, name, most):
+    """lineitem is dealt by part and by order, once each; totals don't meet the customers."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            E.queries()[name](spark, SF).explain("simple")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert buf.getvalue().count("Exchange ") <= most
+
+
+def test_stage_counts_agree_with_the_stages(spark):
+    from pyspark.sql import functions as F
+    logs = spark.createDataFrame([("d1", "a", 1), ("d1", "a", 5), ("d1", "b", 6), ("d1", "b", 7), ("d2", "a", 8), (None, "c", 1),
+                                  (None, "c", 9), (None, "c", 9), ("d1", None, 2), ("d1", None, 7)], "logdate string, mid string, ts long")
+    batch, seen = logs.where("ts >= 5"), logs.where("ts < 5")
+    after = DD.not_seen(batch, seen)
+    want = DD.stage_counts(batch, after, DD.first_logs(after))
+    got = DD.stage_counts_at_once(logs, F.col("ts") < 5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert [r["n"] for r in DD.stage_counts_at_once(logs.limit(0), F.col("ts") < 5).collect()] == [0, 0, 0]

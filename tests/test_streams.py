@@ -351,3 +351,30 @@ def test_closed_alerts_equal_batch_and_state_does_not_follow_traffic(spark):
         assert J.STATE_ROWS["t-alert-closed"]["removed"] > 0
         del J.STATE_ROWS["t-alert-closed"]
     assert most[0] == most[1]
+
+
+def test_two_topics_of_different_schema_and_lateness(spark):
+    """A topic that is behind holds the watermark back: its logs are not late."""
+    base = run_dir(spark, "t-two-topics")
+
+    def ev(ms):
+        return ("gmall_event", {"mid": "m", "uid": "u", "evid": "coupon", "itemid": 7, "ts": ms}, ms)
+    _write_batches(spark, f"{base}/s", [[_log("a", DAY1), _log("b", DAY1 + 50 * H)], [_log("a", DAY1 + 51 * H)], [_log("a", DAY1 + 52 * H)]])
+    _write_batches(spark, f"{base}/e", [[ev(DAY1 + 1000)], [ev(DAY1 + 2000), ev(DAY1 + 2 * H)], [ev(DAY1 + 3 * H)]])
+    kt = KeyedTable(spark, f"{base}/t", J.LOG_COUNT, ["topic", "hour_start"])
+    J._finish(J.log_counts_job(J.file_stream(spark, f"{base}/s", TOPIC_RECORD, 1), J.file_stream(spark, f"{base}/e", TOPIC_RECORD, 1),
+                               kt, f"{base}/ck", "10 minutes", "2 hours"), "t-two-topics")
+    assert J.STATE_ROWS.pop("t-two-topics")["late"] == 0
+    got = {(r["topic"], int(r["hour_start"].replace(tzinfo=dt.timezone.utc).timestamp() * 1000 - DAY1) // H): r["logs"] for r in kt.read().collect()}
+    assert got == {("gmall_startup", 0): 1, ("gmall_startup", 50): 1, ("gmall_startup", 51): 1, ("gmall_startup", 52): 1,
+                   ("gmall_event", 0): 2, ("gmall_event", 2): 1, ("gmall_event", 3): 1}
+
+
+def test_transfer_app_writes_the_target_topic(spark):
+    from tidemark import apps
+    base = run_dir(spark, "t-transfer")
+    recs = [("first", 0, 1, "k", "atguigu>>>a atguigu>>>b", None), ("first", 0, 2, None, None, None), ("other", 0, 3, "k", "c", None)]
+    spark.createDataFrame(recs, TOPIC_RECORD).write.parquet(f"{base}/in")
+    J._finish(apps.start(spark, "transfer", kind="files", path=f"{base}/in", out=f"{base}/out", checkpoint=f"{base}/ck", once=True))
+    got = spark.read.parquet(f"{base}/out").select("topic", "key", "value").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("second", "k", "a b"), ("second", None, None)], key=str)

@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.fixed import (ALERT_SLIDE, ALERT_WINDOW, TOPIC_EVENT, TOPIC_ORDER_DETAIL,
-                            TOPIC_ORDER_INFO, TOPIC_RAW, TOPIC_STARTUP, TOPIC_USER_INFO)
+                            TOPIC_ORDER_INFO, TOPIC_RAW, TOPIC_STARTUP, TOPIC_STRIPPED, TOPIC_USER_INFO)
 from tidemark.operators import alerts as AL
 from tidemark.operators.keyed import KeyedTable
 from tidemark.operators.parse import accepted, parse_json
@@ -29,7 +29,7 @@ from tidemark.schemas import CDC_CHANGE, EVENT_LOG, ORDER_SINK_ROW, TOPIC_RECORD
 from tidemark.sources.topics import read_topics
 from tidemark.streaming import jobs as J
 
-APPS = ("dau", "devices", "alert", "closed_alert", "orders", "users", "sale_join", "sale_users", "strip", "cdc", "logs")
+APPS = ("dau", "devices", "alert", "closed_alert", "orders", "users", "sale_join", "sale_users", "strip", "transfer", "cdc", "logs")
 
 LOG_INPUT = T.StructType([T.StructField("value", T.StringType()),
                           T.StructField("arrival_ms", T.LongType())])
@@ -97,6 +97,10 @@ def start(spark: SparkSession, app: str, *, kind: str, out: str, checkpoint: str
     if app == "strip":
         return J.strip_job(_source(spark, [TOPIC_RAW], kind, path, servers), out, checkpoint,
                            available_now=not live)
+    if app == "transfer":     # stripped, into another topic (Kafka, or files)
+        return J.transfer_job(_source(spark, [TOPIC_RAW], kind, path, servers), TOPIC_STRIPPED, out, checkpoint,
+                              available_now=not live, kind=kind,
+                              options={"kafka.bootstrap.servers": servers} if kind == "kafka" else None)
     if app == "cdc":          # change rows (table, entry_type, event_type, after, ...) as files
         changes = J.file_stream(spark, path, CDC_CHANGE)
         return J.cdc_route_job(changes, out, checkpoint, available_now=not live,

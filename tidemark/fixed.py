@@ -13,6 +13,7 @@ TOPIC_ORDER_INFO = "gmall_order_info"
 TOPIC_ORDER_DETAIL = "gmall_order_detail"
 TOPIC_USER_INFO = "gmall_user_info"
 TOPIC_RAW = "first"
+TOPIC_STRIPPED = "second"
 
 # Topic rewriter marker, app id, cell family.
 MARKER = "atguigu>>>"

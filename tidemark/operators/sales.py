@@ -21,6 +21,12 @@ def _batch(arrival: str, seconds: int):
     return F.floor(F.timestamp_diff("SECOND", epoch, F.col(arrival)) / seconds).cast("long")
 
 
+def _same_order(orders: DataFrame, details: DataFrame, oid: str, did: str, o: str, d: str):
+    if "order_key" in orders.columns and "order_key" in details.columns:
+        return F.col(f"{o}.order_key") == F.col(f"{d}.order_key")
+    return F.col(oid) == F.col(did)
+
+
 def order_detail_outer(orders: DataFrame, details: DataFrame, batch_seconds: int = 3600) -> DataFrame:
     """Full outer join of orders and details arriving in the same micro-batch.
 
@@ -60,11 +66,13 @@ def sale_detail(orders: DataFrame, details: DataFrame,
     Order fields: order_id, order_status, create_time, user_id, dt; detail
     fields: order_detail_id, sku_id, sku_name, sku_price (sku_num is not carried).
 
-    ``orders`` must carry create_date (see ``clean_orders``).
+    ``orders`` must carry create_date (see ``clean_orders``). Where both sides carry
+    ``order_key``, the order's id as a number, the join is on that, so details that
+    are dealt by it already stay where they are.
     """
     o = orders.alias("o")
     d = details.alias("d")
-    cond = F.col("o.id") == F.col("d.order_id")
+    cond = _same_order(orders, details, "o.id", "d.order_id", "o", "d")
     if "_salt" in orders.columns and "_salt" in details.columns:
         cond = cond & (F.col("o._salt") == F.col("d._salt"))
     if within_seconds is not None:

@@ -329,6 +329,10 @@ SELECT CASE WHEN type = 'startup' THEN 'gmall_startup' ELSE 'gmall_event' END AS
 FROM lines"""
     q["topic_strip"] = _with(_topic_records()) + """SELECT topic, "partition", "offset", key,
   regexp_replace(value, 'atguigu>>>', '', 'g') AS value FROM topic_records"""
+    q["topic_transfer"] = _with(_topic_records()) + """SELECT 'second' AS topic, key,
+  regexp_replace(value, 'atguigu>>>', '', 'g') AS value FROM topic_records"""
+    q["log_counts"] = """SELECT topic, strftime(ts, '%Y-%m-%d %H') AS hour, count(*) AS logs
+FROM events, (VALUES ('gmall_startup'), ('gmall_event')) AS t(topic) GROUP BY ALL"""
     q["value_time_prefix"] = _with(_topic_records()) + """SELECT topic, CAST(1 AS INTEGER) AS "partition", key,
   CAST(epoch_us(ts) // 1000 AS VARCHAR) || '-' || value AS value FROM topic_records"""
     q["topic_offset_range"] = _with(_topic_records()) + f"""SELECT "offset", value FROM (

@@ -28,7 +28,8 @@ from tidemark.operators.parse import accepted, parse_json
 from tidemark.operators.textindex import SearchIndex
 from tidemark.plans import params as P
 from tidemark.schemas import ORDER_INFO, STARTUP_LOG, USER_INFO
-from tidemark.functions.timefmt import ntz_to_epoch_ms, previous_day_str
+from tidemark.fixed import TOPIC_STRIPPED
+from tidemark.functions.timefmt import log_date, log_hour, ntz_to_epoch_ms, previous_day_str
 from tidemark.session import run_dir
 from tidemark.sources import adapters as AD
 from tidemark.sources.tables import tables
@@ -51,11 +52,12 @@ class Ctx:
         return DD.first_logs(self.startup(days))
 
     # ---- orders
-    def orders(self, days=None) -> DataFrame:
-        return clean_orders(AD.order_infos(self.t, days))
+    def orders(self, days=None, customer: bool = False) -> DataFrame:
+        """Cleaned orders; ``customer`` where the province or consignee is used."""
+        return clean_orders(AD.order_infos(self.t, days, customer))
 
-    def details(self, days=None) -> DataFrame:
-        return AD.order_details(self.t, days)
+    def details(self, days=None, arrival: bool = True) -> DataFrame:
+        return AD.order_details(self.t, days, arrival)
 
     def users(self) -> DataFrame:
         return SA.latest_users(AD.user_changes(self.t))
@@ -112,9 +114,8 @@ def q_new_devices(spark, root):
 
 
 def q_pipeline_counts(spark, root):
-    seen, batch = _seen_and_batch(_ctx(spark, root))
-    after = DD.not_seen(batch, seen)
-    return DD.stage_counts(batch, after, DD.first_logs(after))
+    logs = _ctx(spark, root).startup()
+    return DD.stage_counts_at_once(logs, F.col("ts") < _cut_ms())
 
 
 # -------------------------------------------------------------------- orders
@@ -161,7 +162,7 @@ def kept_dashboard(spark: SparkSession, root: str) -> Dashboard:
         kept = Dashboard(spark, run_dir(spark, "dashboard"))
         for n, logs in enumerate((c.startup().where(F.col("ts") < _cut_ms()), c.startup().where(F.col("ts") >= _cut_ms()))):
             kept.add_logs(logs, n)
-        rows = to_order_sink(c.orders())
+        rows = to_order_sink(c.orders(customer=True))
         earlier = F.coalesce(F.col("CREATE_DATE") < P.ORDER_DATE, F.lit(True))
         for n, orders in enumerate((rows.where(earlier), rows.where(~earlier))):
             kept.add_orders(orders, n)
@@ -188,12 +189,12 @@ def q_kept_order_hours(spark, root):
 
 def q_province_amount(spark, root):
     c = _ctx(spark, root)
-    return ME.province_amount(c.orders(), c.t.nation)
+    return ME.province_amount(c.orders(customer=True), c.t.nation)
 
 
 def q_province_bands(spark, root):
     c = _ctx(spark, root)
-    return ME.province_bands(ME.province_amount(c.orders(), c.t.nation), "order_count",
+    return ME.province_bands(ME.province_amount(c.orders(customer=True), c.t.nation), "order_count",
                              P.BAND_WIDTH)
 
 
@@ -201,12 +202,12 @@ def q_province_bands(spark, root):
 
 def q_order_detail_outer(spark, root):
     c = _ctx(spark, root)
-    return SA.order_detail_outer(AD.order_infos(c.t), c.details(), P.BATCH_SECONDS)
+    return SA.order_detail_outer(AD.order_infos(c.t, customer=False), c.details(), P.BATCH_SECONDS)
 
 
 def q_sale_detail(spark, root):
     c = _ctx(spark, root)
-    return SA.sale_detail(c.orders(), c.details())
+    return SA.sale_detail(c.orders(), c.details(arrival=False))
 
 
 def q_sale_detail_interval(spark, root):
@@ -305,7 +306,7 @@ def q_coupon_alert_keyed(spark, root):
 # --------------------------------------------------------------------- feeds
 
 def q_cdc_route(spark, root):
-    return FE.cdc_route(AD.cdc_changes(_ctx(spark, root).t))
+    return FE.cdc_route(AD.cdc_changes(_ctx(spark, root).t, timed=False))
 
 
 def q_log_route(spark, root):
@@ -316,6 +317,20 @@ def q_topic_strip(spark, root):
     return FE.strip_topic(AD.topic_records(_ctx(spark, root).t))
 
 
+def q_topic_transfer(spark, root):
+    records = FE.strip_topic(AD.topic_records(_ctx(spark, root).t))
+    return records.select(F.lit(TOPIC_STRIPPED).alias("topic"), "key", "value")
+
+
+def q_log_counts(spark, root):
+    """Logs of each topic and hour, over both topics."""
+    t = _ctx(spark, root).t
+    logs = AD.startup_logs(t).select(F.lit(AD.TOPIC_STARTUP).alias("topic"), "ts").unionByName(
+        AD.event_logs(t).select(F.lit(AD.TOPIC_EVENT).alias("topic"), "ts"))
+    hour = F.concat_ws(" ", log_date("ts"), log_hour("ts")).alias("hour")
+    return logs.groupBy("topic", hour).agg(F.count(F.lit(1)).alias("logs"))
+
+
 def q_value_time_prefix(spark, root):
     return FE.prefix_time(AD.topic_records(_ctx(spark, root).t))
 
@@ -417,6 +432,8 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_route": q_cdc_route,
     "log_route": q_log_route,
     "topic_strip": q_topic_strip,
+    "topic_transfer": q_topic_transfer,
+    "log_counts": q_log_counts,
     "value_time_prefix": q_value_time_prefix,
     "topic_offset_range": q_topic_offset_range,
     "delivery_counts": q_delivery_counts,

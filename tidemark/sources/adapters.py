@@ -147,17 +147,22 @@ def _orders(t: Tables, days=None) -> DataFrame:
     return o
 
 
-def order_infos(t: Tables, days=None) -> DataFrame:
-    """Order rows as the change feed sends them, plus ``arrival`` (NTZ).
+def order_infos(t: Tables, days=None, customer: bool = True) -> DataFrame:
+    """Order rows as the change feed sends them, plus ``arrival`` (NTZ) and
+    ``order_key``, the id as a number.
 
-    province_id comes from the customer's nation (orders -> customer join).
-    ``days`` narrows the scan to orders that can fall on those create dates
+    province_id comes from the customer's nation (orders -> customer join); with
+    ``customer=False``, for callers that use neither it nor the consignee, both
+    are null and there is no join. ``days`` narrows the scan to orders that can fall on those create dates
     (callers still filter on create_date exactly).
     """
     o = _orders(t, days).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                 "o_orderdate", "o_orderpriority")
-    c = t.customer.select(F.col("c_custkey"), F.col("c_nationkey"), F.col("c_name"))
-    j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    if customer:
+        c = t.customer.select(F.col("c_custkey"), F.col("c_nationkey"), F.col("c_name"))
+        j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    else:
+        j = o.select("*", F.lit(None).cast("int").alias("c_nationkey"), F.lit(None).cast("string").alias("c_name"))
     ts = _create_ts()
     nul = F.lit(None).cast("string")
     return j.select(
@@ -172,26 +177,34 @@ def order_infos(t: Tables, days=None) -> DataFrame:
         F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         nul.alias("operate_time"), nul.alias("tracking_no"), nul.alias("parent_order_id"),
         nul.alias("out_trade_no"), nul.alias("trade_body"),
-        ts.alias("arrival"))
+        ts.alias("arrival"), F.col("o_orderkey").alias("order_key"))
 
 
-def order_details(t: Tables, days=None) -> DataFrame:
-    """Order detail rows (lineitem + part name) plus ``arrival`` (NTZ).
+def order_details(t: Tables, days=None, arrival: bool = True) -> DataFrame:
+    """Order detail rows (lineitem + part name) plus ``arrival`` (NTZ) and
+    ``order_key``, the order's id as a number.
 
     The detail's arrival is its order's arrival shifted by
     ``(l_partkey * 7) % 1201 - 600`` seconds, so some pairs fall outside a
     300 s join memory. The five-part id is unique at every scale.
     With ``days``, only details of orders that can fall on those create dates.
+    With ``arrival=False``, for callers that pair details with orders whenever they
+    came, there is no join with orders, no arrival, and ``days`` does not count.
+    The join with orders comes last, so a further one on ``order_key`` finds the
+    rows in place.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_quantity", "l_extendedprice")
     p = t.part.select("p_partkey", "p_name")
-    o = _orders(t, days).select("o_orderkey", "o_orderdate")
-    j = li.join(p, li.l_partkey == p.p_partkey, "left").join(
-        o, li.l_orderkey == o.o_orderkey, "inner" if days else "left")
+    j = li.join(p, li.l_partkey == p.p_partkey, "left")
+    if arrival:
+        o = _orders(t, days).select("o_orderkey", "o_orderdate")
+        j = j.join(o, li.l_orderkey == o.o_orderkey, "inner" if days else "left")
+        shift = (F.col("l_partkey") * 7) % (2 * DETAIL_SKEW_SECONDS + 1) - DETAIL_SKEW_SECONDS
+        at = F.timestamp_add("SECOND", shift, _create_ts("l_orderkey", "o_orderdate"))
+    else:
+        at = F.lit(None).cast("timestamp_ntz")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    shift = (F.col("l_partkey") * 7) % (2 * DETAIL_SKEW_SECONDS + 1) - DETAIL_SKEW_SECONDS
-    arrival = F.timestamp_add("SECOND", shift, _create_ts("l_orderkey", "o_orderdate"))
     return j.select(
         F.concat_ws("_", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"),
                     _s("l_suppkey"), cents.cast("string")).alias("id"),
@@ -199,7 +212,7 @@ def order_details(t: Tables, days=None) -> DataFrame:
         _s("l_partkey").alias("sku_id"), _money_text("l_extendedprice").alias("order_price"),
         F.lit(None).cast("string").alias("img_url"),
         F.col("l_quantity").cast("bigint").cast("string").alias("sku_num"),
-        arrival.alias("arrival"))
+        at.alias("arrival"), F.col("l_orderkey").alias("order_key"))
 
 
 # ------------------------------------------------------------------------- users
@@ -240,8 +253,9 @@ def _kv_map(*names):
     return F.create_map(*args)
 
 
-def cdc_changes(t: Tables) -> DataFrame:
-    """Change-log rows: table, entry_type, event_type, after map, change_ts, seq."""
+def cdc_changes(t: Tables, timed: bool = True) -> DataFrame:
+    """Change-log rows: table, entry_type, event_type, after map, change_ts, seq.
+    With ``timed=False``, for callers that don't use it, details have no change_ts."""
     o = order_infos(t)
     order_after = F.create_map(
         F.lit("id"), F.col("id"), F.lit("province_id"), F.col("province_id"),
@@ -270,7 +284,7 @@ def cdc_changes(t: Tables) -> DataFrame:
         F.lit("payment_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
         F.lit("INSERT").alias("event_type"), F.create_map(F.lit("order_id"), F.col("id")).alias("after"),
         F.col("arrival").alias("change_ts"), (key * 8 + 4).alias("seq"))
-    d = order_details(t)
+    d = order_details(t, arrival=timed)
     details = d.select(F.lit("order_detail").alias("table"), F.lit("ROWDATA").alias("entry_type"),
                        F.lit("INSERT").alias("event_type"),
                        _kv_map("id", "order_id", "sku_name", "sku_id", "order_price", "sku_num").alias("after"),

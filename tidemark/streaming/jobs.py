@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.timefmt import ntz_to_instant
+from tidemark.fixed import TOPIC_STRIPPED
+from tidemark.functions.timefmt import instant_to_ntz, ntz_to_instant
 from tidemark.operators import alerts as AL
 from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
@@ -323,6 +324,34 @@ def log_route_job(raw: DataFrame, topic_out: str, daily_out: str, checkpoint: st
                 available_now)
 
 
+def transfer_job(records: DataFrame, target: str, out: str | None, checkpoint: str, available_now: bool = True,
+                 kind: str = "files", options: dict | None = None) -> StreamingQuery:
+    """Records of one topic, the marker stripped from their values, into the topic
+    ``target`` through the topic sink (Kafka, or files split by topic)."""
+    moved = FE.strip_topic(records).select(F.lit(target).alias("topic"), "key", "value")
+    return _run(topic_stream_writer(moved, kind=kind, path=out, options=options), checkpoint, available_now)
+
+
+LOG_COUNT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("hour_start", T.TimestampType()),
+                          T.StructField("logs", T.LongType())])
+
+
+def log_counts_job(startup: DataFrame, events: DataFrame, table: KeyedTable, checkpoint: str, delay: str,
+                   event_delay: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Two topics of different schema in one query: logs of each topic and hour.
+    Each topic has its own lateness; the query's watermark is that of the topic
+    that is behind (Spark's ``multipleWatermarkPolicy``, ``min`` unless the session says otherwise)."""
+    def side(records, topic, schema, late):
+        logs = AL.with_event_time(accepted(parse_json(records, schema)))
+        return logs.select(F.lit(topic).alias("topic"), "mid", "event_time").withWatermark("event_time", late)
+
+    both = side(startup, AD.TOPIC_STARTUP, STARTUP_LOG, delay).unionByName(
+        side(events, AD.TOPIC_EVENT, EVENT_LOG, event_delay or delay))
+    counts = both.groupBy("topic", F.window("event_time", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("logs"))
+    return _run(counts.select("topic", F.col("w.start").alias("hour_start"), "logs").writeStream.outputMode("update")
+                .foreachBatch(table.foreach_batch(True)), checkpoint, available_now)
+
+
 def strip_job(records: DataFrame, out: str, checkpoint: str,
               available_now: bool = True) -> StreamingQuery:
     return _run(FE.strip_topic(records).writeStream.outputMode("append").format("parquet")
@@ -478,6 +507,28 @@ def q_stream_topic_strip(spark, root):
     return spark.read.parquet(f"{base}/out")
 
 
+def q_stream_topic_transfer(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-transfer")
+    stage_in_order(AD.topic_records(t), f"{base}/in", "timestamp")
+    _finish(transfer_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), TOPIC_STRIPPED, f"{base}/out", f"{base}/ckpt"),
+            "stream_topic_transfer")
+    return spark.read.schema("key string, value string, topic string").parquet(f"{base}/out").select("topic", "key", "value")
+
+
+def q_stream_log_counts(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-log-counts")
+    for name, logs, topic, schema in (("startup", AD.startup_logs(t), AD.TOPIC_STARTUP, STARTUP_LOG),
+                                      ("events", AD.event_logs(t), AD.TOPIC_EVENT, EVENT_LOG)):
+        stage_in_order(_topic(logs.withColumn("event_time", F.timestamp_millis("ts")), topic, schema, "event_time", F.col("ts")),
+                       f"{base}/{name}", "timestamp")
+    kt = KeyedTable(spark, f"{base}/table", LOG_COUNT, ["topic", "hour_start"])
+    _finish(log_counts_job(replay_stream(spark, f"{base}/startup", TOPIC_RECORD), replay_stream(spark, f"{base}/events", TOPIC_RECORD),
+                           kt, f"{base}/ckpt", P.STREAM_DELAY), "stream_log_counts")
+    return kt.read().select("topic", F.date_format(instant_to_ntz("hour_start"), "yyyy-MM-dd HH").alias("hour"), "logs")
+
+
 STREAM_QUERIES = {
     "stream_dau": q_stream_dau,
     "stream_new_devices": q_stream_new_devices,
@@ -489,6 +540,8 @@ STREAM_QUERIES = {
     "stream_cdc_route": q_stream_cdc_route,
     "stream_log_route": q_stream_log_route,
     "stream_topic_strip": q_stream_topic_strip,
+    "stream_topic_transfer": q_stream_topic_transfer,
+    "stream_log_counts": q_stream_log_counts,
 }
 
 # Stream result = batch result: each stream query is checked with the SQL of
@@ -504,4 +557,6 @@ STREAM_ORACLE = {
     "stream_cdc_route": "cdc_route",
     "stream_log_route": "log_route",
     "stream_topic_strip": "topic_strip",
+    "stream_topic_transfer": "topic_transfer",
+    "stream_log_counts": "log_counts",
 }
