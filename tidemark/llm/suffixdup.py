@@ -46,7 +46,7 @@ from tidemark.llm import common
 
 LENGTH, GRAM = 50, 16
 #: Window starts worked on at once; distinct runs sorted at once, and of one anchor at most.
-PIECE, BATCH, GROUP = 1 << 20, 8_000, 24_000
+PIECE, BATCH, GROUP = 1 << 18, 8_000, 24_000
 #: Hashes, and bytes of text with shared runs, that a task gathers before it sends them on.
 GATHERED, GATHERED_TEXT = 1 << 21, 1 << 23
 
