@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from pyspark.sql import types as T
 
 from tidemark.llm import common
 
-#: Distinct marked words that a worker keeps; longer ones than KEPT_CHARS are not kept.
-KEPT, KEPT_CHARS = 600_000, 200
+#: Distinct marked words that a task keeps; longer ones than KEPT_CHARS are not kept.
+KEPT, KEPT_CHARS = 200_000, 200
 MARK = "▁"
 _CHUNKS = re.compile(" +[^ ]*")
 _CODECS: dict = {}
@@ -79,10 +80,15 @@ class Codec:
         return self.model.decode([np.frombuffer(x, "<u4").tolist() for x in ids], num_threads=1)
 
 
-def _codec(path: str) -> Codec:
+@contextmanager
+def _codec(path: str):
+    """The worker's codec; the words that a task taught it go with the task."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
-    return _CODECS[path]
+    try:
+        yield _CODECS[path]
+    finally:
+        _CODECS[path].ids = {}
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,12 +96,13 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     common.arrow_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            for part in common.slices(batch):
-                ids = _codec(path).encode(part.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32()))],
-                    ["doc_id", "ids"])
+        with _codec(path) as codec:
+            for batch in batches:
+                for part in common.slices(batch):
+                    ids = codec.encode(part.column("text").to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id"), pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32()))],
+                        ["doc_id", "ids"])
 
     return common.narrow(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
 
@@ -108,15 +115,15 @@ def encode_rows(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
     at = schema.names.index(text_col)
 
     def run(batches):
-        for batch in batches:
-            for part in common.slices(batch, text_col):
-                codec = _codec(path)
-                ids = codec.encode(part.column(text_col).to_pylist())
-                columns = list(part.columns)
-                columns[at] = pa.array(codec.decode(ids), pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())),
-                     pa.array([len(x) // 4 for x in ids], pa.int64())], [*schema.names, "ids", "n_tokens"])
+        with _codec(path) as codec:
+            for batch in batches:
+                for part in common.slices(batch, text_col):
+                    ids = codec.encode(part.column(text_col).to_pylist())
+                    columns = list(part.columns)
+                    columns[at] = pa.array(codec.decode(ids), pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())),
+                         pa.array([len(x) // 4 for x in ids], pa.int64())], [*schema.names, "ids", "n_tokens"])
 
     return docs.mapInArrow(run, T.StructType(list(schema)).add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()))
 
@@ -126,9 +133,10 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     common.arrow_batches(tokens.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            texts = _codec(path).model.decode([x or [] for x in batch.column("ids").to_pylist()], num_threads=1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+        with _codec(path) as codec:
+            for batch in batches:
+                texts = codec.model.decode([x or [] for x in batch.column("ids").to_pylist()], num_threads=1)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return (tokens.selectExpr(f"cast({id_col} as bigint) doc_id", f"{ids_col} ids")
             .mapInArrow(run, "doc_id bigint, text string"))
@@ -140,16 +148,16 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     common.arrow_batches(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            for part in common.slices(batch):
-                codec = _codec(path)
-                ids = codec.encode(part.column("text").to_pylist())
-                texts = codec.decode(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts])],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with _codec(path) as codec:
+            for batch in batches:
+                for part in common.slices(batch):
+                    ids = codec.encode(part.column("text").to_pylist())
+                    texts = codec.decode(ids)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                         pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                         pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts])],
+                        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return common.narrow(docs, id_col, text_col).mapInArrow(
         run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
