@@ -327,19 +327,71 @@ def test_long_stretches_of_hits_are_aligned_whole():
         raw = " ".join(words).encode()
         h, _ = decontam.word_hashes(np.array([0, len(raw)]), np.frombuffer(raw, np.uint8))
         score = decontam.align(items.words[0], h)[0] / 60
-        assert [x[1] for x in decontam.search(items, h, 4, 0.5, {})] == [score] * (score >= 0.5)
+        assert [x[1] for x in decontam.search(items, h, 0.5, {})] == [score] * (score >= 0.5)
+
+
+def brute_align(a: list, b: list) -> list[list[int]]:
+    rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            rows[i][j] = max(0, rows[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), rows[i - 1][j] - 1, rows[i][j - 1] - 1)
+    return rows
 
 
 def test_alignment_is_smith_waterman():
     r = random.Random(8)
-    for _ in range(200):
+    for _ in range(300):
         a, b = ([r.randrange(4) for _ in range(r.randint(1, 9))] for _ in range(2))
-        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i in range(1, len(a) + 1):
-            for j in range(1, len(b) + 1):
-                rows[i][j] = max(0, rows[i - 1][j - 1] + (2 if a[i - 1] == b[j - 1] else -1), rows[i - 1][j] - 1, rows[i][j - 1] - 1)
+        best = max(map(max, brute_align(a, b)))
         score, first, last = decontam.align(np.array(a, np.uint64), np.array(b, np.uint64))
-        assert score == max(map(max, rows)) and (score == 0 or 0 <= first <= last < len(b))
+        assert score == best and (score == 0 or 0 <= first <= last < len(b))
+        if score:  # the words named hold the whole score, and no shorter stretch that ends there does
+            assert brute_align(a, b[first:last + 1])[-1] and max(map(max, brute_align(a, b[first:last + 1]))) == score
+            assert max(map(max, brute_align(a, b[first + 1:last + 1]))) < score
+        assert decontam.align(np.array(a, np.uint64), np.array(b, np.uint64), 100) == (score, -1, -1)
+
+
+def test_a_long_item_is_aligned_in_little_memory():
+    import tracemalloc
+
+    item = np.arange(6_000, dtype=np.uint64)
+    copy = np.concatenate([np.full(3_000, 9_999_999, np.uint64), item, np.full(3_000, 9_999_999, np.uint64)])
+    tracemalloc.start()
+    assert decontam.align(item, copy) == (12_000, 3_000, 8_999)
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize("edit", ["every fourth", "a quarter", "a quarter, cut and put in too"])
+def test_edited_items_are_found(spark, documents, edit):
+    r = random.Random(15)
+    vocab = [f"v{k}" for k in range(3_000)]
+    items = [r.choices(vocab, k=r.randint(12, 60)) for _ in range(200)]
+    texts = []
+    for item in items:
+        copy = []
+        for k, w in enumerate(item):
+            if k % 4 == 3 if edit == "every fourth" else r.random() < 0.25:
+                copy += r.choice([["edited"], ["edited"], [], [w, "more"]]) if "cut" in edit else ["edited"]
+            else:
+                copy.append(w)
+        texts.append(" ".join([*r.choices(vocab, k=100), *copy, *r.choices(vocab, k=100)]))
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id bigint, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontam.copies(documents(texts), bench).collect()}
+    want = {k for k, (i, t) in enumerate(zip(items, texts)) if max(map(max, brute_align(i, t.split()))) >= len(i)}
+    assert got <= {(k, k) for k in want} and len(got) >= 0.95 * len(want) and len(want) >= 150
+    if edit == "every fourth":
+        assert len(got) == len(items)
+
+
+def test_short_items_and_scripts_without_spaces(spark, documents):
+    items = ["zwei worte", "eins", "", "!?", "敏捷的棕色狐狸跳过了懒狗", "สวัสดีครับผม", "ひらがな、カタカナ。漢字を読む"]
+    texts = ["es sind zwei Worte hier", "zwei andere worte", "Eins, zwei", "他说：敏捷的棕色狐狸跳过了那懒狗。然后走了", "พูดว่าสวัสดีครับผมแล้ว",
+             "これはひらがなカタカナ漢字を読む人", "完全不同的内容没有关系", "x" * 50, None]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(x["doc_id"], x["item_id"], round(x["score"], 3)) for x in decontam.copies(documents(texts), bench).collect()}
+    assert {(d, i) for d, i, _ in got} == {(0, 0), (2, 1), (3, 4), (4, 5), (5, 6)}
+    assert (0, 0, 1.0) in got and (2, 1, 1.0) in got and (5, 6, 1.0) in got and (3, 4, round(23 / 24, 3)) in got
 
 
 # ---------------------------------------------------------------- suffix sorting
