@@ -5,7 +5,9 @@ letters and non-ASCII characters) joined by one space. A notice that may hold
 k edits is split into k + 1 pieces: by the pigeonhole principle one of them
 stands unedited in every fuzzy occurrence. One Aho-Corasick pass finds all
 pieces; around each hit the regex library's bounded-error matching verifies
-the notice and counts its edits.
+the notice and counts its edits. What tells a notice from its like (KEYS) must
+stand in the span too, with one edit at most for each KEY_CHARS characters, so
+that edits can't turn one licence into another.
 
 Defined results: a null or empty text has no words, places or spans; texts of
 any length are searched as a whole; repeated rows are searched one by one;
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +40,21 @@ NOTICES = {
     "subject to the terms of the mozilla public license": "mpl",
     "this work is dedicated to the public domain": "public-domain",
 }
-#: Characters of a notice for each edit that it may hold.
-CHARS_AN_EDIT = 10
+#: The words of each notice that tell it from others.
+KEYS = {
+    "licensed under the gnu general public license": "general",
+    "licensed under the apache license version 2 0": "apache",
+    "released under the mit license": "mit",
+    "licensed under cc by": "cc by",
+    "all rights reserved": "reserved",
+    "general public license": "general",
+    "permission is hereby granted free of charge to any person obtaining a copy": "free of charge to any person obtaining",
+    "redistribution and use in source and binary forms": "source and binary",
+    "subject to the terms of the mozilla public license": "mozilla",
+    "this work is dedicated to the public domain": "public domain",
+}
+#: Characters of a notice, and of its key, for each edit that they may hold.
+CHARS_AN_EDIT, KEY_CHARS = 10, 6
 
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -53,13 +69,15 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Scanner:
-    def __init__(self, phrases: dict[str, str], notices: dict[str, str], chars_an_edit: int):
+    def __init__(self, phrases: dict[str, str], notices: dict[str, str], chars_an_edit: int, keys: dict[str, str] = KEYS):
         import ahocorasick
         import regex
 
         self.phrases = [(f" {p} ", label) for p, label in phrases.items()]
         self.notices = [(n, label, edits(n, chars_an_edit)) for n, label in notices.items()]
         self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={k}}}") for n, _, k in self.notices]
+        self.keys = [regex.compile(rf"(?<!\S)(?:{regex.escape(keys[n])}){{e<={len(keys[n]) // KEY_CHARS}}}(?!\S)") if n in keys else None
+                     for n, _, _ in self.notices]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for i, (n, _, k) in enumerate(self.notices):
             for j in range(k + 1):
@@ -74,8 +92,10 @@ class Scanner:
         self.verify = lru_cache(20_000)(self._verify)
 
     def _verify(self, i: int, window: str) -> tuple[int, int, int] | None:
-        """Start, end and edits of notice i's best place in a window."""
+        """Start, end and edits of notice i's best place in a window, if its key stands there."""
         got = self.patterns[i].search(window)
+        if got and self.keys[i] and not self.keys[i].search(window, got.start(), got.end()):
+            return None
         return got and (got.start(), got.end(), sum(got.fuzzy_counts))
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[str, int]], list[tuple[str, int, int, int]]]:
@@ -83,10 +103,15 @@ class Scanner:
         parts = words(text)
         line = b" ".join(parts).decode("latin-1")  # a character for each byte, as the seeds are ASCII
         padded, places = f" {line} ", []
+        blanks = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
+
+        def word(at: int) -> int:
+            return int(np.searchsorted(blanks, at))
+
         for phrase, label in self.phrases:
             at = padded.find(phrase)
             while at >= 0:
-                places.append((label, padded.count(" ", 0, at)))
+                places.append((label, word(at)))
                 at = padded.find(phrase, at + 1)
         found: dict[tuple[int, int], tuple[int, int]] = {}
         tried: dict[int, set[int]] = {}
@@ -115,7 +140,7 @@ class Scanner:
                 continue
             last[i] = (start, end, n, i)
             spans.append(last[i])
-        return len(parts), places, [(self.notices[i][1], line.count(" ", 0, a), line.count(" ", 0, max(a, b - 1)), n)
+        return len(parts), places, [(self.notices[i][1], word(a), word(max(a, b - 1)), n)
                                     for a, b, n, i in sorted(spans, key=lambda s: (s[0], s[3]))]
 
 
@@ -126,10 +151,10 @@ FOUND = ("doc_id bigint, n_words bigint, places array<struct<label: string, word
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES,
-         chars_an_edit: int = CHARS_AN_EDIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         chars_an_edit: int = CHARS_AN_EDIT, keys: dict[str, str] = KEYS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, places of exact phrases, spans of notices with their edits."""
     common.arrow_batches(docs.sparkSession)
-    key = (tuple(phrases.items()), tuple(notices.items()), chars_an_edit)
+    key = (tuple(phrases.items()), tuple(notices.items()), chars_an_edit, tuple(keys.items()))
     longest = {}
     for notice, label in notices.items():
         longest[label] = max(longest.get(label, 0), len(notice))
@@ -141,7 +166,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
 
     def run(batches):
         if key not in _SCANNERS:
-            _SCANNERS[key] = Scanner(dict(key[0]), dict(key[1]), key[2])
+            _SCANNERS[key] = Scanner(dict(key[0]), dict(key[1]), key[2], dict(key[3]))
         scanner = _SCANNERS[key]
         for batch in batches:
             out: dict[str, list] = {"doc_id": batch.column("doc_id").to_pylist(), "n_words": [], "places": [], "spans": []}
