@@ -7,8 +7,9 @@ aliases that no rule fits. Inside a component an explicit allow precedes a
 block; without either a url is allowed.
 
 Edges come from the pages: ``<link rel=canonical href>``, ``<meta
-http-equiv=refresh>``, and a url's own normal form (no scheme, ``www.``,
-query, fragment or last slash), which is the node that stands for it.
+http-equiv=refresh>``, and a url's own normal form (no scheme and no fragment,
+``/`` for an empty path), which is the node that stands for it. Urls that differ
+in their query, in ``www.`` or in a last slash are aliases only where an edge says so.
 
 Defined results: a null url or one without ``://`` has an empty host and path
 and no rule, is no alias of any other and is allowed; a null html has no
@@ -38,6 +39,11 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def query_of(url: Column) -> Column:
+    """The query with its question mark; empty without one."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     """Name and verdict of the longest rule that fits; null where none does. Equal lengths: the first given."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -47,10 +53,10 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return name, verdict
 
 
-def node_of(host: Column, path: Column) -> Column:
+def node_of(url: Column) -> Column:
     """The normal form that stands for a url and its variants; null without a host."""
-    bare = F.concat(F.regexp_replace(host, r"^www\.", ""), F.regexp_replace(path, r"/+$", ""))
-    return F.when(host != "", bare)
+    host, path = host_of(url), path_of(url)
+    return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), query_of(url)))
 
 
 def target_of(url: Column, html: Column) -> tuple[Column, Column]:
@@ -68,7 +74,8 @@ def target_of(url: Column, html: Column) -> tuple[Column, Column]:
         link = F.regexp_replace(link, "&amp;", "&")
         return (F.when(link == "", F.lit(None)).when(link.contains("://"), link)
                 .when(link.startswith("//"), F.concat(scheme, link)).when(link.startswith("/"), F.concat(root, link))
-                .when(link.rlike("^[?#]"), url).otherwise(F.concat(folder, F.lit("/"), link)))
+                .when(link.startswith("#"), url)
+                .when(link.startswith("?"), F.concat(F.regexp_extract(url, r"(?s)^([^?#]*)", 1), link)).otherwise(F.concat(folder, F.lit("/"), link)))
 
     html = F.coalesce(html, F.lit(""))
     canonical = F.regexp_extract(html, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?\s*canonical\b)[^>]*>", 0)
@@ -86,13 +93,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES,
     judged = base.withColumn("host", host).withColumn("path", path)
     rule, own = rule_of(F.col("host"), F.col("path"), rules)
     judged = judged.select("page_id", "host", "path", rule.alias("rule"), own.alias("own"),
-                           node_of(F.col("host"), F.col("path")).alias("node"))
+                           node_of(F.col("url")).alias("node"))
 
     redirect, canonical = target_of(F.col("url"), F.col("html"))
     links = (base.select("url", F.explode(F.array_distinct(F.array_compact(F.array(redirect, canonical)))).alias("to"))
-             .select(node_of(host_of(F.col("url")), path_of(F.col("url"))).alias("src"),
+             .select(node_of(F.col("url")).alias("src"), node_of(F.col("to")).alias("dst"),
                      host_of(F.col("to")).alias("to_host"), path_of(F.col("to")).alias("to_path")))
-    links = links.withColumn("dst", node_of(F.col("to_host"), F.col("to_path")))
     found = components(links.select("src", "dst"))
 
     # explicit decisions of each component: of its pages and of targets that are not pages
