@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,6 +9,7 @@ from tests.conftest import rows
 from tidemark.operators import cells as CE
 from tidemark.operators import feeds as FE
 from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.offsetlog import OffsetLog
 from tidemark.session import run_dir
 
 NOW = dt.datetime(2024, 1, 1)
@@ -61,6 +63,47 @@ def test_offset_range_byte_cap(spark):
     assert rows(FE.offset_range(recs, "first", 3, 108, 3)) == []
 
 
+def _log(spark, name, batches, span=8):
+    log = OffsetLog(spark, run_dir(spark, name), span=span)
+    for n, data in enumerate(batches):
+        log.append(_records(spark, data), n)
+    return log
+
+
+def test_offset_log_gives_the_range_of_the_records(spark):
+    r = random.Random(4)
+    data = [(p, o, r.choice([None, "", "x" * r.randrange(40)])) for p in (2, 3)
+            for o in sorted(r.sample(range(3000), 500)) + list(range(9000, 9100))]
+    r.shuffle(data)
+    log = _log(spark, "t-offsets", [data[:700], data[700:]])
+    recs = _records(spark, data)
+    for start, cap in ((0, 0), (0, 100), (108, 2000), (2990, 500), (1500, 10 ** 9), (9099, 10), (20_000, 10)):
+        assert rows(log.fetch("first", 3, start, cap)) == rows(FE.offset_range(recs, "first", 3, start, cap)), (start, cap)
+    log.compact()
+    assert rows(log.fetch("first", 3, 108, 2000)) == rows(FE.offset_range(recs, "first", 3, 108, 2000))
+    assert log.fetch("other", 3, 0, 10).collect() == [] == log.fetch("first", 7, 0, 10).collect()
+
+
+def test_offset_log_replaces_a_replayed_batch(spark):
+    log = _log(spark, "t-offsets-replay", [[(3, 1, "aa"), (3, 2, "bb")], [(3, 3, "cc")]])
+    log.append(_records(spark, [(3, 1, "aa"), (3, 2, "bb"), (3, None, "zz")]), 0)
+    assert rows(log.fetch("first", 3, 0, 100)) == [(1, "aa"), (2, "bb"), (3, "cc")]
+    assert OffsetLog(spark, run_dir(spark, "t-offsets-none")).fetch("first", 3, 0, 10).collect() == []
+
+
+def test_offset_log_reads_what_the_cap_needs(spark):
+    data = [(3, o, "v" * 10) for o in range(20_000)]
+    log = _log(spark, "t-offsets-scan", [data], span=64)
+    assert log.fetch("first", 3, 5000, 1000).count() == 100
+    assert log.scan("first", 3, 5000, 1000).count() <= 100 + 3 * 64
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = log.scan("first", 3, 5000, 1000)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(offset,5000)" in plan and "LessThan(offset," in plan
+
+
 def test_prefix_and_strip(spark):
     recs = spark.sql("SELECT 'first' AS topic, 0 AS partition, 5L AS offset, 'k' AS key, "
                      "'atguigu>>>x' AS value, timestamp_millis(1704153600123) AS timestamp")

@@ -378,3 +378,14 @@ def test_transfer_app_writes_the_target_topic(spark):
     J._finish(apps.start(spark, "transfer", kind="files", path=f"{base}/in", out=f"{base}/out", checkpoint=f"{base}/ck", once=True))
     got = spark.read.parquet(f"{base}/out").select("topic", "key", "value").collect()
     assert sorted(map(tuple, got), key=str) == sorted([("second", "k", "a b"), ("second", None, None)], key=str)
+
+
+def test_offsets_app_keeps_the_raw_topic(spark):
+    from tidemark import apps
+    base = run_dir(spark, "t-offsets-app")
+    recs = [("first", p, o, None, f"v{o}", None) for p in (0, 1) for o in range(50)]
+    spark.createDataFrame(recs, TOPIC_RECORD).repartition(4).write.parquet(f"{base}/in")
+    for _ in range(2):   # a restart from the checkpoint appends nothing again
+        J._finish(apps.start(spark, "offsets", kind="files", path=f"{base}/in", out=f"{base}/out", checkpoint=f"{base}/ck", once=True))
+    got = apps.TABLES["offsets"](spark, f"{base}/out").fetch("first", 1, 40, 6).collect()
+    assert sorted(map(tuple, got)) == [(40, "v40"), (41, "v41")]

@@ -22,6 +22,7 @@ from tidemark.fixed import (ALERT_SLIDE, ALERT_WINDOW, TOPIC_EVENT, TOPIC_ORDER_
                             TOPIC_ORDER_INFO, TOPIC_RAW, TOPIC_STARTUP, TOPIC_STRIPPED, TOPIC_USER_INFO)
 from tidemark.operators import alerts as AL
 from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.offsetlog import OffsetLog
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.operators.rollup import Dashboard
 from tidemark.plans.params import AS_OF
@@ -29,7 +30,8 @@ from tidemark.schemas import CDC_CHANGE, EVENT_LOG, ORDER_SINK_ROW, TOPIC_RECORD
 from tidemark.sources.topics import read_topics
 from tidemark.streaming import jobs as J
 
-APPS = ("dau", "devices", "alert", "closed_alert", "orders", "users", "sale_join", "sale_users", "strip", "transfer", "cdc", "logs")
+APPS = ("dau", "devices", "alert", "closed_alert", "orders", "users", "sale_join", "sale_users", "strip", "transfer", "offsets", "cdc",
+        "logs")
 
 LOG_INPUT = T.StructType([T.StructField("value", T.StringType()),
                           T.StructField("arrival_ms", T.LongType())])
@@ -55,6 +57,7 @@ TABLES = {
     "devices": Dashboard,
     "users": J.users_table,
     "sale_users": J.sale_index,
+    "offsets": OffsetLog,
 }
 
 
@@ -101,6 +104,8 @@ def start(spark: SparkSession, app: str, *, kind: str, out: str, checkpoint: str
         return J.transfer_job(_source(spark, [TOPIC_RAW], kind, path, servers), TOPIC_STRIPPED, out, checkpoint,
                               available_now=not live, kind=kind,
                               options={"kafka.bootstrap.servers": servers} if kind == "kafka" else None)
+    if app == "offsets":
+        return J.offset_log_job(_source(spark, [TOPIC_RAW], kind, path, servers), table, checkpoint, available_now=not live)
     if app == "cdc":          # change rows (table, entry_type, event_type, after, ...) as files
         changes = J.file_stream(spark, path, CDC_CHANGE)
         return J.cdc_route_job(changes, out, checkpoint, available_now=not live,

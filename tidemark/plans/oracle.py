@@ -339,6 +339,7 @@ FROM events, (VALUES ('gmall_startup'), ('gmall_event')) AS t(topic) GROUP BY AL
   SELECT "offset", value, sum(coalesce(strlen(value), 0)) OVER (ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM topic_records WHERE topic = '{P.OFFSET_TOPIC}' AND "partition" = {P.OFFSET_PARTITION} AND "offset" >= {P.OFFSET_START})
 WHERE upto <= {P.OFFSET_MAX_BYTES}"""
+    q["topic_offset_kept"] = q["topic_offset_range"]
     q["delivery_counts"] = """SELECT count(*) FILTER (WHERE event_type <> 'error') AS success,
   count(*) FILTER (WHERE event_type = 'error') AS failure FROM events"""
     cells = """SELECT CAST(c_custkey AS VARCHAR) AS rowkey, 'hfile-fy' AS family, qualifier, value FROM (

@@ -23,6 +23,7 @@ from tidemark.operators import sales as SA
 from tidemark.operators import search as SE
 from tidemark.operators.keyed import KeyedTable, stamp
 from tidemark.operators.orders import clean_orders, to_order_sink
+from tidemark.operators.offsetlog import OffsetLog
 from tidemark.operators.rollup import Dashboard
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.operators.textindex import SearchIndex
@@ -340,6 +341,30 @@ def q_topic_offset_range(spark, root):
                            P.OFFSET_PARTITION, P.OFFSET_START, P.OFFSET_MAX_BYTES)
 
 
+#: Offset logs kept by this session, by the state of the table that they were made from.
+_LOGS: dict[tuple, OffsetLog] = {}
+
+
+def kept_log(spark: SparkSession, root: str) -> OffsetLog:
+    """The raw topic of a data folder, kept in the shared folder: written in two
+    batches, by offset, when it is first asked for, and again when ``events`` changes."""
+    c = _ctx(spark, root)
+    key = (spark.sparkContext.applicationId, stamp(spark, c.t.path("events")))
+    if key not in _LOGS:
+        log = OffsetLog(spark, run_dir(spark, "offset-log"))
+        records = AD.topic_records(c.t)
+        earlier = F.coalesce(F.col("offset") % 2 == 0, F.lit(True))   # neighbours in offset lie in both batches
+        log.append(records.where(earlier), 0)
+        log.append(records.where(~earlier), 1)
+        log.compact()
+        _LOGS[key] = log
+    return _LOGS[key]
+
+
+def q_topic_offset_kept(spark, root):
+    return kept_log(spark, root).fetch(P.OFFSET_TOPIC, P.OFFSET_PARTITION, P.OFFSET_START, P.OFFSET_MAX_BYTES)
+
+
 def q_delivery_counts(spark, root):
     return FE.delivery_counts(AD.delivery_results(_ctx(spark, root).t))
 
@@ -436,6 +461,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_counts": q_log_counts,
     "value_time_prefix": q_value_time_prefix,
     "topic_offset_range": q_topic_offset_range,
+    "topic_offset_kept": q_topic_offset_kept,
     "delivery_counts": q_delivery_counts,
     "kv_cells": q_kv_cells,
     "kv_cells_sorted": q_kv_cells_sorted,

@@ -26,6 +26,7 @@ from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
 from tidemark.operators import sales as SA
 from tidemark.operators.keyed import FILE_BYTES, KeyedTable, _fs, bytes_under, list_children
+from tidemark.operators.offsetlog import OffsetLog
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
 from tidemark.operators.rollup import Dashboard
@@ -332,6 +333,11 @@ def transfer_job(records: DataFrame, target: str, out: str | None, checkpoint: s
     return _run(topic_stream_writer(moved, kind=kind, path=out, options=options), checkpoint, available_now)
 
 
+def offset_log_job(records: DataFrame, log: OffsetLog, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Records of topics into an offset log, from which ranges of offsets are fetched."""
+    return _run(records.writeStream.foreachBatch(log.foreach_batch()), checkpoint, available_now)
+
+
 LOG_COUNT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("hour_start", T.TimestampType()),
                           T.StructField("logs", T.LongType())])
 
@@ -516,6 +522,15 @@ def q_stream_topic_transfer(spark, root):
     return spark.read.schema("key string, value string, topic string").parquet(f"{base}/out").select("topic", "key", "value")
 
 
+def q_stream_topic_offsets(spark, root):
+    t = tables(spark, root)
+    base = run_dir(spark, "stream-offsets")
+    stage_in_order(AD.topic_records(t), f"{base}/in", "timestamp")
+    log = OffsetLog(spark, f"{base}/log")
+    _finish(offset_log_job(replay_stream(spark, f"{base}/in", TOPIC_RECORD), log, f"{base}/ckpt"), "stream_topic_offsets")
+    return log.fetch(P.OFFSET_TOPIC, P.OFFSET_PARTITION, P.OFFSET_START, P.OFFSET_MAX_BYTES)
+
+
 def q_stream_log_counts(spark, root):
     t = tables(spark, root)
     base = run_dir(spark, "stream-log-counts")
@@ -541,6 +556,7 @@ STREAM_QUERIES = {
     "stream_log_route": q_stream_log_route,
     "stream_topic_strip": q_stream_topic_strip,
     "stream_topic_transfer": q_stream_topic_transfer,
+    "stream_topic_offsets": q_stream_topic_offsets,
     "stream_log_counts": q_stream_log_counts,
 }
 
@@ -558,5 +574,6 @@ STREAM_ORACLE = {
     "stream_log_route": "log_route",
     "stream_topic_strip": "topic_strip",
     "stream_topic_transfer": "topic_transfer",
+    "stream_topic_offsets": "topic_offset_range",
     "stream_log_counts": "log_counts",
 }
