@@ -473,8 +473,10 @@ def brute_removal(rows, length):
     return sorted(out)
 
 
+@pytest.mark.parametrize("hot", [1, suffixdup.HOT])
 @pytest.mark.parametrize("group", [24_000, 3])
-def test_removal_against_brute_force(spark, documents, odd_texts, monkeypatch, group):
+def test_removal_against_brute_force(spark, documents, odd_texts, monkeypatch, group, hot):
+    monkeypatch.setattr(suffixdup, "HOT", hot)
     monkeypatch.setattr(suffixdup, "GROUP", group)
     texts = corpus(9, 120, odd_texts)
     ids = [(k * 37) % 1000 for k in range(len(texts))]
@@ -484,6 +486,37 @@ def test_removal_against_brute_force(spark, documents, odd_texts, monkeypatch, g
     assert suffixdup.summary(suffixdup.remove(documents([]))).collect() == []
 
 
+@pytest.mark.parametrize("hot", [1, suffixdup.HOT])
+def test_one_anchor_in_50_000_runs(spark, documents, monkeypatch, hot):
+    monkeypatch.setattr(suffixdup, "HOT", hot)  # split before they travel, or where they gather
+    r = random.Random(20)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    grams = ["".join(r.choices(letters, k=16)) for _ in range(20_000)]
+    gram = grams[int(np.argmin([suffixdup._gram_hashes(np.frombuffer(g.encode(), np.uint8))[0] for g in grams]))]
+    texts = ["".join("".join(r.choices(letters, k=18)) + gram + "".join(r.choices(letters, k=18)) for _ in range(250)) for _ in range(200)]
+    for k in range(0, 200, 7):  # strings around the anchor that two documents hold, of all lengths
+        for n in range(40):
+            at = texts[k].index(gram, r.randrange(12_000))
+            a, b = at - r.randrange(18), at + 16 + r.randrange(30, 60)
+            to = r.randrange(12_000)
+            texts[k + 3 if k < 197 else 0] = (x := texts[k + 3 if k < 197 else 0])[:to] + texts[k][a:b] + x[to:]
+    ids = r.sample(range(1000), 200)
+    got = sorted((str(x["doc_id"]), *list(x)[1:]) for x in suffixdup.summary(suffixdup.remove(documents(texts, ids))).collect())
+    assert sum(t.count(gram) for t in texts) >= 50_000 and sum(x[2] for x in got) > 1000
+    assert got == brute_removal(list(zip(ids, texts)), 50)
+
+
+def test_settled_runs_and_merged_stretches():
+    raw, runs = b"aaabbbaaaaaa", [(0, 3), (3, 6), (6, 9), (9, 12)]
+    at, to = (np.array(x) for x in zip(*runs))
+    ids = np.array([5, 5, 4, 5])
+    assert suffixdup.settled(raw, np.array([1, 1, 1, 1]), ids, at, to).tolist() == [True, False, False, True]
+    assert suffixdup.settled(raw, np.array([1, 2, 3, 4]), ids, at, to).tolist() == [False] * 4
+    got = suffixdup.merged(np.array([1, 0, 1, 1]), np.array([9, 0, 5, 20]), np.array([14, 5, 10, 25]))
+    assert [x.tolist() for x in got] == [[0, 1, 1], [0, 5, 20], [5, 14, 25]]
+    assert [len(x) for x in suffixdup.merged(*[np.zeros(0, np.int64)] * 3)] == [0, 0, 0]
+
+
 def test_only_cut_characters_go_with_a_passage(spark, documents):
     passage = "one passage that two documents hold, of over fifty bytes in all "
     # the shared bytes end inside the second text's first character after them (0xC3 begins both), and begin inside another

@@ -20,8 +20,14 @@ with a smaller id. Three steps find those strings exactly, across documents:
 3. Adjacent common prefixes of LENGTH bytes or more tie suffixes into groups;
    the smallest id of a group covers the other documents' strings.
 
-An anchor with more than GROUP distinct runs is not held in one task: its
-strings are compared by digest, by a further shuffle.
+Hot anchors are split by the bytes next to them. A string holds half of its
+other bytes, at least, on one side of its anchor: with those the anchor becomes
+a longer gram, at the same place in equal strings, and each run falls into two
+at most, one for each side. Anchors that many tasks hold (HOT) are split so before
+they travel; one that still gathers over GROUP distinct runs in a task is split
+there and dealt out anew. Each round halves the bytes beside the gram, so
+after six the gram is the whole string. Equal runs that a task
+gathers are settled before they travel: it sends those of the smallest id only.
 
 Exact copies are settled beforehand by the text's hash, so they never reach
 step 2 in number. Texts travel only for documents that lose bytes.
@@ -46,7 +52,11 @@ from tidemark.llm import common
 
 LENGTH, GRAM = 50, 16
 #: Window starts worked on at once; distinct runs sorted at once, and of one anchor at most.
-PIECE, BATCH, GROUP = 1 << 18, 8_000, 24_000
+PIECE, BATCH, GROUP = 1 << 18, 8_000, 12_000
+#: An anchor is hot when its counts come to HOT: two at most of a task's gathering, but OFTEN of one with MANY documents.
+HOT, OFTEN, MANY = 512, 8, 64
+#: Bits of the bitmap of hot anchors; one that is taken for hot is split without need.
+HOT_BITS = 22
 #: Hashes, and bytes of text with shared runs, that a task gathers before it sends them on.
 GATHERED, GATHERED_TEXT = 1 << 21, 1 << 23
 
@@ -66,7 +76,7 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def runs(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH):
-    """(document, first start, last start, anchor hash) of each run of strings with one anchor."""
+    """(document, first start, last start, anchor's hash, anchor's place) of each run of strings with one anchor."""
     width = length - GRAM + 1
     out = []
     for at in range(0, max(0, len(data) - length + 1), PIECE):
@@ -88,14 +98,35 @@ def runs(offsets: np.ndarray, data: np.ndarray, length: int = LENGTH):
             continue
         first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]))
         last = np.concatenate([first[1:], [len(starts)]]) - 1
-        out.append((doc[first], starts[first], starts[last], common.mix(h[anchor[first]])))  # least hashes are small: spread
+        out.append((doc[first], starts[first], starts[last], common.mix(h[anchor[first]]),  # least hashes are small: spread
+                    anchor[first] + at))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(3)) + (np.zeros(0, np.uint64),)
+        return tuple(np.zeros(0, np.uint64 if k == 3 else np.int64) for k in range(5))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _shared_anchors(docs: DataFrame, length: int, chosen) -> np.ndarray:
-    """Bitmap of the anchor hashes (32 bits) that two documents or more have; ``chosen`` filters a batch's rows."""
+def _words_hash(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """64-bit hash of the GRAM bytes at some places."""
+    words = data[places[:, None] + np.arange(GRAM)].view("<u8").astype(np.uint64)
+    return common.mix(words[:, 0] * np.uint64(0x9E3779B97F4A7C15) + words[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def widened(data: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, length: int):
+    """Runs split by the side of their anchor on which their strings have more bytes:
+    (document, first start, last start, hash of the anchor with half of the other bytes on that side)."""
+    more = -(-(length - GRAM) // 2)
+    right = place + GRAM + more - length  # from this start on there are ``more`` bytes after the anchor
+    sides = []
+    for a, b, low in ((first, np.minimum(last, right - 1), place - more), (np.maximum(first, right), last, place)):
+        held = a <= b
+        low = low[held]
+        sides.append((doc[held], a[held], b[held], common.mix(
+            _words_hash(data, low) * np.uint64(0x9E3779B97F4A7C15) + _words_hash(data, low + more))))
+    return tuple(np.concatenate(x) for x in zip(*sides))
+
+
+def _shared_anchors(docs: DataFrame, length: int, chosen) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the anchor hashes (32 bits) that two documents or more have, and of the hot ones; ``chosen`` filters a batch's rows."""
     ranges = common.n_ranges(docs.sparkSession)
 
     def gather(batches):
@@ -103,14 +134,14 @@ def _shared_anchors(docs: DataFrame, length: int, chosen) -> np.ndarray:
 
         def send():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            both = np.concatenate([values, values[counts > 1]])  # twice is as good as often
+            both = np.repeat(values, np.where(counts < MANY, np.minimum(counts, 2), OFTEN))
             sent = list(common.to_ranges(both, ranges))
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()),
                                                pa.array([b for _, b in sent], pa.binary())], ["range", "hashes"])
 
         for batch in batches:
             for part in common.slices(chosen(batch)):
-                doc, _, _, h = runs(*common.utf8(part.column("text")), length)
+                doc, _, _, h, _ = runs(*common.utf8(part.column("text")), length)
                 if not len(h):
                     continue
                 h = (h >> np.uint64(32)).astype(np.uint64)
@@ -124,12 +155,13 @@ def _shared_anchors(docs: DataFrame, length: int, chosen) -> np.ndarray:
             yield send()
 
     blobs = docs.mapInArrow(gather, "range int, hashes binary")
-    return common.bitmap(common.hash_counts(blobs, 2).select("hash"))
+    counts = common.written(common.hash_counts(blobs, 2), "anchors")
+    return common.bitmap(counts.select("hash")), common.bitmap(counts.where(F.col("n") >= HOT).select("hash"), HOT_BITS)
 
 
 # ---------------------------------------------------------------- runs on their way
 
-_RUNS = "anchor bigint, doc_id bigint, mark int, start bigint, run binary"
+_RUNS = "anchor bigint, doc_id bigint, mark int, start bigint, stop bigint, run binary"  # run null: settled already
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -167,14 +199,45 @@ def unpack(blob: bytes):
             [text[a:b] for a, b in zip([0, *ends], ends)])
 
 
+def settled(raw: bytes, anchor: np.ndarray, ids: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Which runs an equal one (bytes ``at`` .. ``to`` of ``raw``) with a smaller id covers; anchors are in order."""
+    gone = np.zeros(len(anchor), bool)
+    same = anchor[1:] == anchor[:-1]
+    several = np.flatnonzero(np.concatenate([[False], same]) | np.concatenate([same, [False]]))
+    least: dict[bytes, int] = {}
+    found = []
+    for k, i, a, b in zip(several.tolist(), ids[several].tolist(), at[several].tolist(), to[several].tolist()):
+        run = raw[a:b]
+        found.append((k, i, run))
+        if i < least.setdefault(run, i):
+            least[run] = i
+    gone[[k for k, i, run in found if i > least[run]]] = True
+    return gone
+
+
+def merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray):
+    """Stretches of documents, those that meet made one; all of one width or more, so stops follow starts."""
+    order = np.lexsort((stop, start, doc))
+    doc, start, stop = doc[order], start[order], stop[order]
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > stop[:-1])]) if len(doc) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc))[:len(first)] - 1
+    return doc[first], start[first], stop[last]
+
+
 def _unpacked(batches):
-    """Rows of ``_RUNS`` from packed runs."""
+    """Rows of ``_RUNS`` from packed runs and settled stretches."""
     for batch in batches:
-        for blob in batch.column("runs"):
-            anchor, ids, marks, start, found = unpack(blob.as_py())
+        for blob, done in zip(batch.column("runs"), batch.column("settled")):
+            if blob.is_valid:
+                anchor, ids, marks, start, found = unpack(blob.as_py())
+                stop, anchor = start + np.array([len(r) for r in found], np.int64), anchor.astype(np.int64)
+            else:
+                ids, marks, start, stop = np.frombuffer(done.as_py(), "<i8").reshape(4, -1)
+                anchor, found = np.full(len(ids), -1), [None] * len(ids)
             rows = pa.RecordBatch.from_arrays(
-                [pa.array(anchor.astype(np.int64)), pa.array(ids), pa.array(marks, pa.int32()), pa.array(start.astype(np.int64)),
-                 pa.array(found, pa.binary())], ["anchor", "doc_id", "mark", "start", "run"])
+                [pa.array(anchor), pa.array(ids), pa.array(marks.astype(np.int32)), pa.array(start.astype(np.int64)),
+                 pa.array(stop.astype(np.int64)), pa.array(found, pa.binary())], ["anchor", "doc_id", "mark", "start", "stop", "run"])
             for at in range(0, rows.num_rows, 8192):
                 yield rows.slice(at, 8192)
 
@@ -253,11 +316,17 @@ def covered(texts: list[bytes], ids: np.ndarray, length: int = LENGTH) -> list[t
     return list(zip(owner[first].tolist(), inside[first].tolist(), inside[final].tolist()))
 
 
-_FOUND = "doc_id bigint, mark int, start bigint, stop bigint, run binary"
+_FOUND = "doc_id bigint, mark int, start bigint, stop bigint, run binary, low int"
+
+
+def _anchor_place(run: bytes, length: int) -> int:
+    """Where in a run the anchor of its strings is."""
+    return int(np.argmin(_gram_hashes(np.frombuffer(run[:length], np.uint8)) >> np.uint64(24)))
 
 
-def _cover(length: int):
-    """Streams runs sorted by (anchor, run, doc_id) to covered stretches; runs of too large an anchor come back."""
+def _cover(length: int, again: bool = False):
+    """Streams runs sorted by (anchor, run, doc_id) to covered stretches; runs of too
+    large an anchor come back, with the place of the gram that they share (``again``: as given in ``low``)."""
     def work(batches):
         held: list[tuple] = []  # (doc_id, mark, start, run) of whole anchors, then of the present one
         whole = 0
@@ -265,47 +334,72 @@ def _cover(length: int):
         large = False
         out: list[tuple] = []
 
+        def too_many(d, mark, start, r, low):
+            return d, mark, start, start, r, low if again else _anchor_place(r, length)
+
         def settle(k):
             if k:
                 for i, a, b in covered([x[3] for x in held[:k]], np.array([x[0] for x in held[:k]]), length):
-                    d, mark, start, _ = held[i]
-                    out.append((d, mark, start + a, start + b + length, None))
+                    d, mark, start = held[i][:3]
+                    out.append((d, mark, start + a, start + b + length, None, None))
 
         def sent():
-            cols = list(zip(*out)) if out else [()] * 5
+            cols = list(zip(*out)) if out else [()] * 6
             out.clear()
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                              ["doc_id", "mark", "start", "stop", "run"])
+                                              ["doc_id", "mark", "start", "stop", "run", "low"])
 
         for batch in batches:
-            for h, d, mark, start, r in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "mark", "start", "run"))):
+            lows = batch.column("low").to_pylist() if again else [None] * batch.num_rows
+            for h, d, mark, start, stop, r, low in zip(
+                    *(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "mark", "start", "stop", "run")), lows):
+                if len(out) >= 4096:
+                    yield sent()
+                if r is None:
+                    out.append((d, mark, start, stop, None, None))
+                    continue
                 if h != anchor:
                     if len(held) >= BATCH:
                         settle(len(held))
                         held = []
                     anchor, run, whole, large = h, None, len(held), False
                 if r == run and d > least:
-                    out.append((d, mark, start, start + len(r), None))
+                    out.append((d, mark, start, stop, None, None))
                     continue
                 if r != run:
                     run, least = r, d
                 if large:
-                    out.append((d, mark, start, start, r))
+                    out.append(too_many(d, mark, start, r, low))
                     continue
-                held.append((d, mark, start, r))
+                held.append((d, mark, start, r, low))
                 if len(held) - whole > GROUP:
-                    out.extend((d, mark, start, start, r) for d, mark, start, r in held[whole:])
+                    out.extend(too_many(*x) for x in held[whole:])
                     del held[whole:]
                     large = True
-            if len(out) >= 4096:
-                yield sent()
         settle(len(held))
         yield sent()
 
     return work
 
 
+def _split(runs_: DataFrame, width: int, length: int) -> DataFrame:
+    """Runs with a shared gram of ``width`` bytes at ``low``, split as in :func:`widened`:
+    rows of ``_RUNS`` and the place ``low`` of the wider gram, whose hash is the new anchor."""
+    more = -(-(length - width) // 2)
+    starts = F.octet_length("run") - (length - 1)
+    right = F.greatest(F.lit(0), F.least(starts, F.col("low") + (width + more - length)))
+
+    def side(first, count, low):
+        return F.struct(F.xxhash64(F.substring("run", low + 1, F.lit(width + more))).alias("anchor"), "doc_id", "mark",
+                        (F.col("start") + first).alias("start"), (F.col("start") + first + count + (length - 1)).alias("stop"),
+                        F.substring("run", first + 1, count + (length - 1)).alias("run"),
+                        (low - first).cast("int").alias("low"), (count > 0).alias("held"))
+
+    both = F.array(side(F.lit(0), right, F.col("low") - more), side(right, starts - right, F.col("low")))
+    return runs_.select(F.inline(F.filter(both, lambda x: x["held"]))).drop("held")
+
+
 # ---------------------------------------------------------------- the operator
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -335,7 +429,8 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
     def of_firsts(batch):
         return batch.filter(pa.array(common.in_bitmap(firsts.value, batch.column("h").to_numpy().view(np.uint64))))
 
-    shared = spark.sparkContext.broadcast(_shared_anchors(keyed.select("h", "text"), length, of_firsts))
+    often, most = _shared_anchors(keyed.select("h", "text"), length, of_firsts)
+    shared, hot = spark.sparkContext.broadcast(often), spark.sparkContext.broadcast(most)
 
     ranges = common.n_ranges(spark)
 
@@ -348,22 +443,35 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
             raw = b"".join(x[7] for x in held)
             order = np.argsort(anchor, kind="stable")
             anchor, doc, start, at, to = (x[order] for x in (anchor, doc, start, at, to))
+            gone = settled(raw, anchor, ids[doc], at, to)
+            done = merged(doc[gone], start[gone].astype(np.int64), (start + to - at)[gone].astype(np.int64))
+            anchor, doc, start, at, to = (x[~gone] for x in (anchor, doc, start, at, to))
             cuts = np.searchsorted(anchor, (np.arange(ranges + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(ranges))
             sent = [(k, pack(anchor[a:b], doc[a:b], ids, marks, start[a:b], [raw[x:y] for x, y in zip(at[a:b].tolist(), to[a:b].tolist())]))
                     for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if a < b]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()),
-                                               pa.array([b for _, b in sent], pa.binary())], ["range", "runs"])
+            to_range, blobs, stretches_ = [k for k, _ in sent], [b for _, b in sent], [None] * len(sent)
+            if gone.any():
+                to_range.append(int(ids[done[0][0]]) % ranges)
+                blobs.append(None)
+                stretches_.append(b"".join(x.astype("<i8").tobytes() for x in (ids[done[0]], marks[done[0]], *done[1:])))
+            return pa.RecordBatch.from_arrays([pa.array(to_range, pa.int32()), pa.array(blobs, pa.binary()),
+                                               pa.array(stretches_, pa.binary())], ["range", "runs", "settled"])
 
         for batch in batches:
             for part in common.slices(of_firsts(batch)):
                 offsets, data = common.utf8(part.column("text"))
-                doc, first, last, h = runs(offsets, data, length)
+                doc, first, last, h, place = runs(offsets, data, length)
                 h >>= np.uint64(32)
                 kept = common.in_bitmap(shared.value, h)
                 if not kept.any():
                     continue
-                doc, first, last = doc[kept], first[kept], last[kept]
-                held.append((h[kept], doc + docs_held, first - offsets[doc], first + size, last + length + size,
+                doc, first, last, h, place = (x[kept] for x in (doc, first, last, h, place))
+                split = common.in_bitmap(hot.value, h)
+                if split.any():
+                    *wide, key = widened(data, *(x[split] for x in (doc, first, last, place)), length)
+                    parts = zip((doc[~split], first[~split], last[~split], h[~split]), (*wide, key >> np.uint64(32)))
+                    doc, first, last, h = (np.concatenate(x) for x in parts)
+                held.append((h, doc + docs_held, first - offsets[doc], first + size, last + length + size,
                              *(part.column(c).to_numpy() for c in ("doc_id", "mark")), data.tobytes()))
                 docs_held += part.num_rows
                 size += len(data)
@@ -374,19 +482,19 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
             yield send()
 
     found = common.written(
-        keyed.mapInArrow(ship, "range int, runs binary").repartitionById(ranges, F.col("range"))
+        keyed.mapInArrow(ship, "range int, runs binary, settled binary").repartitionById(ranges, F.col("range"))
         .mapInArrow(_unpacked, _RUNS).sortWithinPartitions("anchor", "run", "doc_id")
         .mapInArrow(_cover(length), _FOUND), "stretches")
-    out = found.where("run is null").select("doc_id", "mark", "start", "stop")
-
-    rest = found.where("run is not null")
-    if not rest.isEmpty():
-        strings = rest.select("doc_id", "mark", F.explode(F.sequence(F.lit(0), F.octet_length("run") - length)).alias("k"), "start", "run")
-        strings = strings.select("doc_id", "mark", (F.col("start") + F.col("k")).alias("start"),
-                                 F.md5(F.substring("run", F.col("k") + 1, F.lit(length))).alias("digest"))
-        least = strings.groupBy("digest").agg(F.min("doc_id").alias("least"))
-        out = out.unionByName(strings.join(least, "digest").where("doc_id > least")
-                              .select("doc_id", "mark", "start", (F.col("start") + length).alias("stop")))
+    out, width = found.where("run is null").select("doc_id", "mark", "start", "stop"), GRAM
+    while width < length:  # six rounds at most, for what is left
+        rest = found.where("run is not null")
+        if rest.isEmpty():
+            break
+        found = common.written(
+            _split(rest, width, length).repartition(ranges, "anchor").sortWithinPartitions("anchor", "run", "doc_id")
+            .mapInArrow(_cover(length, True), _FOUND), "stretches")
+        out = out.unionByName(found.where("run is null").select("doc_id", "mark", "start", "stop"))
+        width += -(-(length - width) // 2)
     whole = (classes.where("doc_id > least").select("doc_id", "mark", F.lit(0).cast("bigint").alias("start"),
                                                     F.lit(-1).cast("bigint").alias("stop")))  # to the end
     return out.unionByName(whole)
