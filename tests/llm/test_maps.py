@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import common, langid, maintext, notices, pieces, tokencount
 
@@ -80,6 +81,22 @@ def brute_places(text: str):
     return len(words), sorted(places)
 
 
+def test_many_languages_share_the_sample(spark, documents):
+    r = random.Random(8)
+    words = {f"l{k:03}": ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 8))) for _ in range(60)] for k in range(200)}
+    rows = [(lang, " ".join(r.choices(vocab, k=60))) for lang, vocab in words.items() for _ in range(12)]
+    df = documents([t for _, t in rows], langs=[x for x, _ in rows])
+    texts = langid.sample(df, F.col("lang"))
+    assert set(texts) == set(words) and sum(t.count(" ") for t in texts.values()) < langid.TOTAL_ROWS * langid.SAMPLE_CHARS
+    assert max(len(t) for t in texts.values()) <= 6 * (langid.SAMPLE_CHARS + 1)  # 1,024 rows by 200 labels
+    model = langid.Model(texts)
+    assert sum(t.nbytes for t in model.tables) < 100 << 20
+    asked = [(lang, " ".join(r.choices(vocab, k=40))) for lang, vocab in words.items()]
+    got, _ = model.predict([t for _, t in asked])
+    assert sum(a == b for a, (b, _) in zip(got, asked)) >= 190
+    assert set(langid.sample(df, F.col("lang"), total=150)) == set(sorted(words)[:150])
+
+
 def test_notices_against_brute_force(spark, documents, odd_texts):
     r = random.Random(3)
     bits = ["cc", "by", "CC BY", "General Public", "license", "All rights reserved.", "é", "x-y", "\n", "_"]

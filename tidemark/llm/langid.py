@@ -1,14 +1,15 @@
 """Language identification by cross-parsing entropy.
 
-For each language a suffix automaton of labelled text is kept as a dense
-transition table. A text is parsed into phrases, each the longest match in a
+For each language a suffix automaton of labelled text is kept as a transition
+table with a column for each character that the text has. A text is parsed into phrases, each the longest match in a
 language's text, and the phrases are normalised to bits a character:
 phrases x log2(length of the language's text) / characters. The language that
 needs the fewest bits wins.
 
 The automata come from a bounded sample of labelled rows (SAMPLE_ROWS rows a
 language, SAMPLE_CHARS characters of each, at a place that the text's hash
-names). Texts are parsed whole, in blocks of BLOCK characters side by side; a
+names; of more than TOTAL_ROWS / SAMPLE_ROWS languages each gives fewer rows, so that a worker's
+tables take some 100 MB at most, whatever the number of labels). Texts are parsed whole, in blocks of BLOCK characters side by side; a
 phrase ends with its block, for every language alike.
 
 Defined results: a null text and one without a letter are ``und`` with score
@@ -24,13 +25,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import common
 
-SAMPLE_ROWS, SAMPLE_CHARS = 64, 400
+SAMPLE_ROWS, SAMPLE_CHARS, TOTAL_ROWS = 64, 400, 1024
 BLOCK = 512
 UNKNOWN = "und"
 
@@ -39,11 +40,14 @@ _FREQUENT, _OTHERS, _FILL, _CODES = 94, 32, 127, 128
 _SHIFT = 28
 
 
-def sample(docs: DataFrame, lang: Column, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """``rows`` x ``chars`` characters of text for each language at most.
+def sample(docs: DataFrame, lang: Column, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS,
+           total: int = TOTAL_ROWS) -> dict[str, str]:
+    """``rows`` x ``chars`` characters of text for each language at most, of ``total`` rows in all.
 
     Rows are chosen by the text's hash: of each of ``rows`` buckets of a
-    language the smallest; partial minima are taken before the shuffle.
+    language the smallest; partial minima are taken before the shuffle. Where that
+    gives more than ``total`` rows, every language gives its first one, then its second one and so
+    on; of more labels than ``total`` those that sort first are learned.
     """
     h = F.xxhash64("text")
     place = F.pmod(F.shiftrightunsigned(h, 8), F.greatest(F.char_length("text") - chars, F.lit(0)) + 1).cast("int") + 1
@@ -51,7 +55,9 @@ def sample(docs: DataFrame, lang: Column, rows: int = SAMPLE_ROWS, chars: int =
            .select("_lang", F.pmod(h, F.lit(rows)).alias("_bucket"),
                    F.struct(h.alias("h"), F.col("text").substr(place, F.lit(chars)).alias("part")).alias("_row"))
            .groupBy("_lang", "_bucket").agg(F.min("_row").alias("_row"))
-           .select("_lang", "_bucket", F.col("_row.part").alias("part")).collect())
+           .select("_lang", "_bucket", F.col("_row.part").alias("part"),
+                   F.row_number().over(Window.partitionBy("_lang").orderBy("_bucket")).alias("_turn"))
+           .orderBy("_turn", "_lang").limit(total).collect())
     parts: dict[str, list[str]] = {}
     for row in sorted(got, key=lambda r: (r["_lang"], r["_bucket"])):
         parts.setdefault(row["_lang"], []).append(row["part"])
@@ -83,9 +89,10 @@ def encoded(codes: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray
     return all_codes[kept], np.diff(before[np.concatenate([[0], ends])])
 
 
-def automaton(codes: np.ndarray) -> np.ndarray:
-    """Suffix automaton as a table: state * 128 + code -> next state * 128, and
-    above _SHIFT the phrases that end on the way (a dead end begins anew)."""
+def automaton(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffix automaton as a table: state * width + column -> next state * width, and
+    above _SHIFT the phrases that end on the way (a dead end begins anew); and the
+    column of each code: 0 for all that the text lacks, the last one for filling."""
     nexts: list[dict] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
@@ -111,17 +118,21 @@ def automaton(codes: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    root = np.full(_CODES, 1 << _SHIFT, np.int32)  # a code that the text lacks is a phrase
+    used = np.unique(codes)
+    place, width = np.zeros(_CODES, np.uint8), len(used) + 2
+    place[used] = np.arange(1, width - 1)
+    place[_FILL] = width - 1
+    root = np.full(width, 1 << _SHIFT, np.int32)  # a code that the text lacks is a phrase
     for c, s in nexts[0].items():
-        root[c] = s * _CODES
-    table = np.empty((len(nexts), _CODES), np.int32)
+        root[place[c]] = s * width
+    table = np.empty((len(nexts), width), np.int32)
     table[:] = root + (1 << _SHIFT)
     table[0] = root
     for s, row in enumerate(nexts):
         for c, to in row.items():
-            table[s, c] = to * _CODES
-    table[:, _FILL] = np.arange(len(nexts)) * _CODES
-    return table.ravel()
+            table[s, place[c]] = to * width
+    table[:, -1] = np.arange(len(nexts)) * width
+    return table.ravel(), place
 
 
 class Model:
@@ -129,7 +140,7 @@ class Model:
         self.langs = sorted(texts)
         self.codes = letter_codes(texts.values())
         parts = [encoded(self.codes, [texts[x]])[0] for x in self.langs]
-        self.tables = [automaton(p) for p in parts]
+        self.tables, self.places = zip(*map(automaton, parts)) if parts else ((), ())
         self.bits = np.array([np.log2(max(2, len(p))) for p in parts])
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,11 +157,11 @@ class Model:
         padded = np.concatenate([codes, np.full(BLOCK, _FILL, np.uint8)])
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         alive = np.searchsorted(-width, -np.arange(1, BLOCK + 1), side="right")
-        columns = [padded[at[:n] + k].astype(np.int32) for k, n in enumerate(alive) if n]
-        for j, table in enumerate(self.tables):
+        columns = [padded[at[:n] + k] for k, n in enumerate(alive) if n]
+        for j, (table, place) in enumerate(zip(self.tables, self.places)):
             state, count = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
             for column in columns:
-                got = table[state[:len(column)] + column]
+                got = table[state[:len(column)] + place[column]]
                 count[:len(column)] += got >> _SHIFT
                 state[:len(column)] = got & ((1 << _SHIFT) - 1)
             count += state != 0
