@@ -6,6 +6,7 @@ columns, also ones whose names clash with an operator's own, never reach it.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -53,6 +54,26 @@ def arrow_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(work):
+    """``work`` over a task's Arrow batches; when it ends, its worker, which goes on to serve
+    other tasks, gives back what it freed."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder and read again: lineage ends here,
     and a lost executor costs no more than its running tasks."""

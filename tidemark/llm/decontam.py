@@ -269,7 +269,7 @@ def copies(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
                                                      ["doc_id", "item_id", "score", "first_word", "last_word"])
 
-        found = docs.mapInArrow(work, _KIND)
+        found = docs.mapInArrow(common.lean(work), _KIND)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -285,5 +285,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, s
                 for part in common.slices(batch, text_col):
                     yield part.filter(pa.array([not hits for hits in _found(block, part, text_col, threshold, known)], pa.bool_()))
 
-        out = out.mapInArrow(work, T.StructType(list(docs.schema)))
+        out = out.mapInArrow(common.lean(work), T.StructType(list(docs.schema)))
     return out

@@ -201,7 +201,7 @@ def identify_rows(docs: DataFrame, texts: dict[str, str], text_col: str = "text"
                     [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                     [*part.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, T.StructType(list(schema)).add("lang_pred", "string").add("score", "double"))
+    return docs.mapInArrow(common.lean(run), T.StructType(list(schema)).add("lang_pred", "string").add("score", "double"))
 
 
 def identify(docs: DataFrame, texts: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

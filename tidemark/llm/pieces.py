@@ -104,7 +104,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                         [part.column("doc_id"), pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32()))],
                         ["doc_id", "ids"])
 
-    return common.narrow(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return common.narrow(docs, id_col, text_col).mapInArrow(common.lean(run), "doc_id bigint, ids array<int>")
 
 
 def encode_rows(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -125,7 +125,7 @@ def encode_rows(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
                         [*columns, pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())),
                          pa.array([len(x) // 4 for x in ids], pa.int64())], [*schema.names, "ids", "n_tokens"])
 
-    return docs.mapInArrow(run, T.StructType(list(schema)).add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()))
+    return docs.mapInArrow(common.lean(run), T.StructType(list(schema)).add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()))
 
 
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -139,7 +139,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return (tokens.selectExpr(f"cast({id_col} as bigint) doc_id", f"{ids_col} ids")
-            .mapInArrow(run, "doc_id bigint, text string"))
+            .mapInArrow(common.lean(run), "doc_id bigint, text string"))
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,4 +160,4 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                         ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return common.narrow(docs, id_col, text_col).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        common.lean(run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -294,7 +294,7 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())], ["doc_id", "text_hash", "n", "key"])
 
     return (common.narrow(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-            .mapInArrow(work, "doc_id bigint, text_hash bigint, n bigint, key bigint"))
+            .mapInArrow(common.lean(work), "doc_id bigint, text_hash bigint, n bigint, key bigint"))
 
 
 def _of_firsts(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, object]:
@@ -333,7 +333,7 @@ def _shingle_bitmaps(rows: DataFrame, firsts) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield send()
 
-    counts = common.written(common.hash_counts(rows.mapInArrow(gather, "range int, hashes binary"), 2), "shingles")
+    counts = common.written(common.hash_counts(rows.mapInArrow(common.lean(gather), "range int, hashes binary"), 2), "shingles")
     return (common.bitmap(counts.select("hash")),
             common.bitmap(counts.where(F.col("n") > WIDESPREAD).select("hash")))
 
@@ -364,7 +364,7 @@ def _prefixes(rows: DataFrame, firsts, shared, widespread, percent: int) -> Data
                         [pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d), pa.array(e), pa.array(blobs, pa.binary())],
                         ["shingle", "key", "n", "wide", "own", "shingles"])
 
-    return rows.mapInArrow(work, "shingle bigint, key bigint, n int, wide boolean, own double, shingles binary")
+    return rows.mapInArrow(common.lean(work), "shingle bigint, key bigint, n int, wide boolean, own double, shingles binary")
 
 
 def _hubs(groups: DataFrame, percent: int, salts: int) -> DataFrame:
@@ -386,7 +386,7 @@ def _hubs(groups: DataFrame, percent: int, salts: int) -> DataFrame:
     salt = F.when(F.col("wide"), F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     met = (groups.select("shingle", salt.alias("salt"), "own", "n", "key")
            .repartition(common.n_ranges(groups.sparkSession), "shingle", "salt")
-           .sortWithinPartitions("shingle", "salt", "own", "n", "key").mapInArrow(work, "hub bigint, key bigint"))
+           .sortWithinPartitions("shingle", "salt", "own", "n", "key").mapInArrow(common.lean(work), "hub bigint, key bigint"))
     meetings = groups.groupBy("key").agg(F.count("*").alias("meetings"))
     best = met.groupBy("hub", "key").count().groupBy("key").agg(F.max(F.struct("count", "hub")).alias("best"))
     return (best.join(meetings, "key").where(F.col("best.count") >= VOTES * F.col("meetings"))
@@ -408,7 +408,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     joined = (pairs.join(sets.select(F.col("key").alias("src"), F.col("shingles").alias("x")), "src")
               .join(sets.select(F.col("key").alias("dst"), F.col("shingles").alias("y")), "dst"))
-    return common.written(joined.select("src", "dst", "x", "y").mapInArrow(compare, "src bigint, dst bigint"), "links")
+    return common.written(joined.select("src", "dst", "x", "y").mapInArrow(common.lean(compare), "src bigint, dst bigint"), "links")
 
 
 def _tree_links(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -454,7 +454,7 @@ def _tree_links(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: i
     return common.written(
         cells.select("bundle", "lo", "hi", "key", "component", "own", "shingles")
         .repartition(parts, "bundle", "lo", "hi").sortWithinPartitions("bundle", "lo", "hi")
-        .mapInArrow(work, "src bigint, dst bigint"), "links")
+        .mapInArrow(common.lean(work), "src bigint, dst bigint"), "links")
 
 
 def join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -154,7 +154,7 @@ def _shared_anchors(docs: DataFrame, length: int, chosen) -> tuple[np.ndarray, n
         if held:
             yield send()
 
-    blobs = docs.mapInArrow(gather, "range int, hashes binary")
+    blobs = docs.mapInArrow(common.lean(gather), "range int, hashes binary")
     counts = common.written(common.hash_counts(blobs, 2), "anchors")
     return common.bitmap(counts.select("hash")), common.bitmap(counts.where(F.col("n") >= HOT).select("hash"), HOT_BITS)
 
@@ -482,9 +482,9 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
             yield send()
 
     found = common.written(
-        keyed.mapInArrow(ship, "range int, runs binary, settled binary").repartitionById(ranges, F.col("range"))
-        .mapInArrow(_unpacked, _RUNS).sortWithinPartitions("anchor", "run", "doc_id")
-        .mapInArrow(_cover(length), _FOUND), "stretches")
+        keyed.mapInArrow(common.lean(ship), "range int, runs binary, settled binary").repartitionById(ranges, F.col("range"))
+        .mapInArrow(common.lean(_unpacked), _RUNS).sortWithinPartitions("anchor", "run", "doc_id")
+        .mapInArrow(common.lean(_cover(length)), _FOUND), "stretches")
     out, width = found.where("run is null").select("doc_id", "mark", "start", "stop"), GRAM
     while width < length:  # six rounds at most, for what is left
         rest = found.where("run is not null")
@@ -492,7 +492,7 @@ def stretches(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", tex
             break
         found = common.written(
             _split(rest, width, length).repartition(ranges, "anchor").sortWithinPartitions("anchor", "run", "doc_id")
-            .mapInArrow(_cover(length, True), _FOUND), "stretches")
+            .mapInArrow(common.lean(_cover(length, True)), _FOUND), "stretches")
         out = out.unionByName(found.where("run is null").select("doc_id", "mark", "start", "stop"))
         width += -(-(length - width) // 2)
     whole = (classes.where("doc_id > least").select("doc_id", "mark", F.lit(0).cast("bigint").alias("start"),
@@ -544,10 +544,10 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
         return work
 
     spans_kind = "array<struct<start: bigint, stop: bigint>>"
-    whole = base.mapInArrow(split(False), kind).select(
+    whole = base.mapInArrow(common.lean(split(False)), kind).select(
         "doc_id", F.encode("text", "UTF-8").alias("kept"), F.array().cast(spans_kind).alias("removed"), "carried")
     spans = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # of one document
-    joined = base.mapInArrow(split(True), kind).join(spans, ["doc_id", "mark"], "left")
+    joined = base.mapInArrow(common.lean(split(True)), kind).join(spans, ["doc_id", "mark"], "left")
 
     def apply(batches):
         for batch in batches:
@@ -561,7 +561,7 @@ def remove(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
                  pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), batch.column("carried")],
                 ["doc_id", "kept", "removed", "carried"])
 
-    return whole.unionByName(joined.select("doc_id", "text", "spans", "carried").mapInArrow(apply, whole.schema))
+    return whole.unionByName(joined.select("doc_id", "text", "spans", "carried").mapInArrow(common.lean(apply), whole.schema))
 
 
 def summary(removed: DataFrame) -> DataFrame:
