@@ -287,3 +287,37 @@ def test_puts_do_not_shuffle_and_failures_fail_the_job(spark):
     with pytest.raises(Exception):
         table.put(bad, 1)
     assert table.scan().where("value = 'v'").count() == 20    # nothing of the failed batch is seen
+
+
+def test_keyed_last_rows_equal_the_aggregate_and_unique_rows_are_not_dealt(spark, monkeypatch):
+    from tidemark.operators import keyed
+    monkeypatch.setattr(keyed, "PLAIN_BYTES", 0)
+    for most in (1 << 20, 1):
+        monkeypatch.setattr(keyed, "LOOKUP_KEYS", most)
+        kt, frame = _keyed(spark, "keyed-last")
+        df = frame(("a", 1, "d"), ("a", 2, "d"), ("b", 1, "e"), (None, 3, "f"), (None, 4, "f"), ("c", 5, None), ("c", 5, None))
+        assert rows(kt.last_rows(df).na.fill("-")) == rows(kt._latest(df, []).na.fill("-"))
+        kt.upsert(df, 0)
+        kt.upsert(frame(("b", 9, "x"), ("new", 1, "y")), 1)
+        assert rows(kt.read().na.fill("-")) == [("-", 4, "f"), ("a", 2, "d"), ("b", 9, "x"), ("c", 5, "-"), ("new", 1, "y")]
+    unique = kt.last_rows(frame(("a", 1, "d"), ("b", 1, "e")))
+    assert "Exchange" not in unique._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keyed_fresh_batch_is_checked_again_after_a_replay(spark):
+    kt, frame = _keyed(spark, "keyed-fresh")
+    kt.upsert(frame(("a", 1, "d")), 0)
+    kt.upsert(frame(("b", 2, "d")), 1, fresh=True)
+    assert rows(kt.read()) == [("a", 1, "d"), ("b", 2, "d")]
+    kt.upsert(frame(("a", 1, "d"), ("b", 1, "e")), 0)    # the replay holds a key of the later batch
+    assert rows(kt.read()) == [("a", 1, "d"), ("b", 2, "d")]
+    kt.compact()
+    assert rows(kt.read()) == [("a", 1, "d"), ("b", 2, "d")]
+
+
+def test_orders_of_the_change_log_meet_the_customers_once(spark):
+    from tidemark.sources import adapters as AD
+    from tidemark.sources.tables import tables
+    changes = AD.cdc_changes(tables(spark, "/root/testdata/sf0.001"))
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("c_nationkey#") > 0 and plan.count("Join LeftOuter, (o_custkey") == 1

@@ -389,3 +389,42 @@ def test_offsets_app_keeps_the_raw_topic(spark):
         J._finish(apps.start(spark, "offsets", kind="files", path=f"{base}/in", out=f"{base}/out", checkpoint=f"{base}/ck", once=True))
     got = apps.TABLES["offsets"](spark, f"{base}/out").fetch("first", 1, 40, 6).collect()
     assert sorted(map(tuple, got)) == [(40, "v40"), (41, "v41")]
+
+
+def test_a_batch_that_meets_itself_is_not_made_again(spark, monkeypatch):
+    """The batch's sales and the ids that look up their users are read from files: no plan reaches the join's state."""
+    import __spark_entry__ as E
+    plans, split = [], J.SA.with_users_split
+
+    def seen(*args):
+        out = split(*args)
+        plans.append(out[0]._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(J.SA, "with_users_split", seen)
+    assert E.queries()["stream_sale_users"](spark, "/root/testdata/sf0.001").count() > 0
+    assert plans and not any("ExistingRDD" in p for p in plans)
+
+
+def test_a_staged_slice_has_files_for_more_than_one_core(spark):
+    from tidemark.operators.keyed import list_children
+    path = run_dir(spark, "t-cores") + "/in"
+    J.stage_in_order(spark.range(100_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"),
+                                                 F.timestamp_seconds("id").alias("at")), path, "at")
+    assert sum(n.endswith(".parquet") for n in list_children(spark, path)) >= 16
+    assert spark.read.parquet(path).count() == 100_000
+
+
+def test_rows_new_to_a_kept_table_are_marked_and_read_without_an_aggregate(spark):
+    from tidemark.operators.keyed import KeyedTable, list_children
+    from tidemark.operators.rollup import FIRST_SEEN, KeptTable, Rollup
+    path = run_dir(spark, "t-kept")
+    kept = KeptTable(KeyedTable(spark, f"{path}/rows", FIRST_SEEN, ["mid"]),
+                     {"totals": Rollup(spark, f"{path}/totals", ["logdate"])})
+    for n, mids in enumerate((["a", "b"], ["c"])):
+        kept.upsert(spark.createDataFrame([(m, 1, f"d{n}") for m in mids], FIRST_SEEN), n)
+    assert "Aggregate" not in kept.read()._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r[0] for r in kept.read().collect()) == ["a", "b", "c"]
+    kept.upsert(spark.createDataFrame([("a", 1, "d2")], FIRST_SEEN), 2)
+    assert sorted((r[0], r[2]) for r in kept.read().collect()) == [("a", "d2"), ("b", "d0"), ("c", "d1")]
+    assert {r["logdate"]: r["n"] for r in kept.rollups["totals"].read().collect()} == {"d0": 1, "d1": 1, "d2": 1}
+    assert [list_children(spark, f"{path}/rows/log/batch_id={n}")[0].endswith("-fresh") for n in (1, 2)] == [True, False]

@@ -95,7 +95,7 @@ class Dashboard:
     each device, orders; and their totals by date and hour."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 0):
-        root = path.rstrip("/")
+        self.path = root = path.rstrip("/")
 
         def kept(name, schema, key, group, sums=(), part=None):
             return KeptTable(KeyedTable(spark, f"{root}/{name}", schema, key, part=part, buckets=buckets),

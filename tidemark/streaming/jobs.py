@@ -25,7 +25,7 @@ from tidemark.operators import alerts as AL
 from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
 from tidemark.operators import sales as SA
-from tidemark.operators.keyed import FILE_BYTES, KeyedTable, _fs, bytes_under, list_children
+from tidemark.operators.keyed import FILE_BYTES, KeyedTable, _fs, bytes_under, list_children, staged_batch
 from tidemark.operators.offsetlog import OffsetLog
 from tidemark.operators.orders import clean_orders, to_order_sink
 from tidemark.operators.parse import accepted, parse_json
@@ -175,11 +175,7 @@ def first_seen_job(records: DataFrame, kept: Dashboard, checkpoint: str, delay:
     once = logs.dropDuplicatesWithinWatermark([f.name for f in STARTUP_LOG.fields])
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            kept.add_logs(b, batch_id)
-        finally:
-            b.unpersist()
+        kept.add_logs(staged_batch(batch, f"{kept.path}/batch"), batch_id)
     return _run(once.writeStream.outputMode("append").foreachBatch(_write), checkpoint, available_now)
 
 
@@ -210,15 +206,12 @@ def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
     parsed = parse_json(records, ORDER_INFO, keep=("value", *arrival))
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()
-        try:
-            # of two images of an order in one batch the later record wins
-            table.upsert(to_order_sink(clean_orders(accepted(b.drop("value"))), arrival), batch_id, arrival=arrival)
-            if rejects:
-                b.where(F.col("_corrupt").isNotNull()).select("value").write.mode(
-                    "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
-        finally:
-            b.unpersist()
+        b = staged_batch(batch.withColumn("value", F.when(F.col("_corrupt").isNotNull(), F.col("value"))), f"{table.path}/batch")
+        # of two images of an order in one batch the later record wins
+        table.upsert(to_order_sink(clean_orders(accepted(b.drop("value"))), arrival), batch_id, arrival=arrival)
+        if rejects:
+            b.where(F.col("_corrupt").isNotNull()).select("value").write.mode(
+                "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
     return _run(parsed.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
                 available_now)
 
@@ -278,22 +271,19 @@ def sale_users_job(order_records, detail_records, users: KeyedTable, index: Keye
     pairs = sale_join_frame(order_records, detail_records, delay)
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.persist()      # the join, and its state, runs once
+        b = staged_batch(batch, f"{index.path}/batch")      # the join, and its state, runs once
+        if not b.count():
+            return
+        found = users.lookup(b.select(F.col("user_id").alias("id")))
+        joined, has_user = SA.with_users_split(b, found, as_of)
+        j = joined.persist()
         try:
-            if not b.count():    # all tasks at once; a probe would run the first one alone
-                return
-            found = users.lookup(b.select(F.col("user_id").alias("id")))
-            joined, has_user = SA.with_users_split(b, found, as_of)
-            j = joined.persist()
-            try:
-                index.upsert(j.where(has_user).select(*SALE_DETAIL_COLUMNS), batch_id)
-                if rejects:
-                    j.where(~has_user).select(*SA_PAIR_SCHEMA.fieldNames()).write.mode(
-                        "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
-            finally:
-                j.unpersist()
+            index.upsert(j.where(has_user).select(*SALE_DETAIL_COLUMNS), batch_id)
+            if rejects:
+                j.where(~has_user).select(*SA_PAIR_SCHEMA.fieldNames()).write.mode(
+                    "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
         finally:
-            b.unpersist()
+            j.unpersist()
     return _run(pairs.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
                 available_now)
 
