@@ -79,3 +79,13 @@ def test_index_of_nothing(spark):
     index.upsert(spark.createDataFrame([], SALE_ROW), 0)
     assert rows(index.total("d1", None)) == [(0,)] and index.page("d1", "red").count() == 0
     assert index.hits("d1", "red").where(F.lit(True)).count() == 0
+
+
+def test_postings_are_made_in_place(spark):
+    from tidemark.operators.textindex import postings_of
+    df = spark.createDataFrame([("1", "d", "Red red blue"), ("2", "d", None), ("3", None, "blue")],
+                               "order_detail_id string, dt string, sku_name string")
+    made = postings_of(df, "sku_name")
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, made.collect())) == sorted(map(str, spark.createDataFrame(
+        [("red", "1", "d", 2, 3), ("blue", "1", "d", 1, 3), ("blue", "3", None, 1, 1)], made.schema).collect()))

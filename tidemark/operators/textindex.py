@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import query_terms, tokens
-from tidemark.operators.keyed import KeyedTable
+from tidemark.operators.keyed import LOOKUP_KEYS, KeyedTable
 from tidemark.operators.search import BM25_B, BM25_K1
 from tidemark.schemas import SALE_ROW
 
@@ -44,11 +44,11 @@ ALL, NAMED = "", " "   # the statistics' rows of all documents and of those with
 
 
 def postings_of(rows: DataFrame, field: str) -> DataFrame:
-    """(term, id, dt, tf, dl): one row for each distinct term of each row's ``field``."""
+    """(term, id, dt, tf, dl): one row for each distinct term of each row's ``field``.
+    ``rows`` has one row per id; a name's terms are counted inside its row, nothing is dealt."""
     return (rows.select(ID, "dt", F.coalesce(tokens(field), F.array().cast("array<string>")).alias("_t"))
-            .select(ID, "dt", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
-            .groupBy(ID, "dt", "dl", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-            .select(*POSTING.fieldNames()))
+            .select(ID, "dt", "_t", F.size("_t").alias("dl"), F.explode(F.array_distinct("_t")).alias("term"))
+            .select("term", ID, "dt", (F.col("dl") - F.size(F.array_remove("_t", F.col("term")))).alias("tf"), "dl"))
 
 
 class SearchIndex:
@@ -61,31 +61,42 @@ class SearchIndex:
 
     # ------------------------------------------------------------- upkeep
     def upsert(self, df: DataFrame, batch_id: int) -> None:
-        """Write one batch of sale rows; a batch that a base already holds is ignored."""
+        """Write one batch of sale rows; a batch that a base already holds is ignored. Cache ``df`` if it is dear."""
         base = self.docs._base()
         if base is not None and base >= batch_id:
             return
-        new = self.docs._latest(df, []).persist()
+        new = self.docs.last_rows(df).persist()
         try:
-            old = self.docs.lookup(new.select(ID), before=batch_id)
-            mine = [F.col(c).alias(f"_{c}") for c in ("term", ID)]
-            now, was = postings_of(new, self.field), postings_of(old, self.field)
-            gone = was.join(now.select(*mine), (F.col("term") == F.col("_term")) & F.col(ID).eqNullSafe(F.col(f"_{ID}")), "left_anti")
-            dates = new.select(ID, "dt")
-            gone = gone.drop("dt").join(dates, ID).select("term", ID, "dt", F.lit(0).alias("tf"), "dl")
-            moved = self._moved(new, now, 1).unionByName(self._moved(old, was, -1)).groupBy("term").agg(
-                F.sum("n").alias("n"), F.sum("total").alias("total")).persist()
+            old = self.docs.lookup(new.select(ID), before=batch_id).persist()
             try:
-                before = self.stats.lookup(moved.select("term"), before=batch_id)
-                self.stats.upsert(moved.unionByName(before).groupBy("term").agg(
-                    F.sum("n").alias("n"), F.sum("total").alias("total")), batch_id, unique=True)
+                self._write(new, old, batch_id)
             finally:
-                moved.unpersist()
-            self.postings.upsert(now.unionByName(gone), batch_id, unique=True)
-            self.docs.upsert(new, batch_id, unique=True)
+                old.unpersist()
         finally:
             new.unpersist()
 
+    def _write(self, new: DataFrame, old: DataFrame, batch_id: int) -> None:
+        """Statistics, postings, documents; where there are no images before, nothing is met with them."""
+        n_old = old.count()
+        now = postings_of(new, self.field)
+        moved, rows = self._moved(new, now, 1), now
+        if n_old:
+            was = postings_of(old, self.field)
+            moved = moved.unionByName(self._moved(old, was, -1))
+            mine = new.select(ID, F.col("dt").alias("_dt"), tokens(self.field).alias("_now"))
+            gone = mine.join(F.broadcast(was) if n_old <= LOOKUP_KEYS else was, ID).where(
+                ~F.coalesce(F.array_contains("_now", F.col("term")), F.lit(False)))
+            rows = now.unionByName(gone.select("term", ID, F.col("_dt").alias("dt"), F.lit(0).alias("tf"), "dl"))
+        moved = moved.groupBy("term").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).persist()
+        try:
+            before = self.stats.lookup(moved.select("term"), before=batch_id)
+            self.stats.upsert(moved.unionByName(before).groupBy("term").agg(
+                F.sum("n").alias("n"), F.sum("total").alias("total")), batch_id, unique=True)
+        finally:
+            moved.unpersist()
+        self.postings.upsert(rows, batch_id, unique=True, fresh=not n_old)
+        self.docs.upsert(new, batch_id, unique=True, fresh=not n_old)
+
     def _moved(self, rows: DataFrame, postings: DataFrame, sign: int) -> DataFrame:
         """What ``rows`` add to (or, negative, take from) the statistics."""
         by_term = postings.groupBy("term").agg((F.count(F.lit(1)) * sign).alias("n"), F.lit(0).cast("long").alias("total"))

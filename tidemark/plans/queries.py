@@ -149,6 +149,12 @@ def q_realtime_total(spark, root):
                              c.orders([P.ORDER_DATE]), P.DAU_DATE, P.ORDER_DATE)
 
 
+def _derived(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once and read back: both batches are taken from it, not derived twice."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Kept dashboards of this session, by the state of the tables that they were made from.
 _DASHBOARDS: dict[tuple, Dashboard] = {}
 
@@ -268,7 +274,7 @@ def kept_index(spark: SparkSession, root: str) -> SearchIndex:
     key = (spark.sparkContext.applicationId, made_from)
     if key not in _INDEXES:
         index = SearchIndex(spark, run_dir(spark, "sale-index"))
-        sales = c.sales()
+        sales = _derived(c.sales(), f"{index.path}/derived")
         earlier = F.coalesce(F.col("dt") < P.ORDER_DATE, F.lit(True))
         index.upsert(sales.where(earlier), 0)
         index.upsert(sales.where(~earlier), 1)
