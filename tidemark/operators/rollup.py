@@ -63,17 +63,18 @@ class KeptTable:
         base = self.rows._base()
         if base is not None and base >= batch_id:
             return
-        new = (df.select(*self.rows.columns) if unique else self.rows._latest(df, list(arrival))).persist()
+        new = (df.select(*self.rows.columns) if unique else self.rows.last_rows(df, arrival)).persist()
         try:
             if not new.count():
                 return
             old = self.rows.lookup(new, before=batch_id).persist()
             try:
+                fresh = not old.count()
                 for rollup in self.rollups.values():
                     rollup.move(new, old, batch_id)
             finally:
                 old.unpersist()
-            self.rows.upsert(new, batch_id, unique=True)
+            self.rows.upsert(new, batch_id, unique=True, fresh=fresh)
         finally:
             new.unpersist()
 

@@ -167,9 +167,10 @@ def kept_dashboard(spark: SparkSession, root: str) -> Dashboard:
     key = (spark.sparkContext.applicationId, tuple(stamp(spark, c.t.path(name)) for name in ("events", "orders", "customer")))
     if key not in _DASHBOARDS:
         kept = Dashboard(spark, run_dir(spark, "dashboard"))
-        for n, logs in enumerate((c.startup().where(F.col("ts") < _cut_ms()), c.startup().where(F.col("ts") >= _cut_ms()))):
+        startup = _derived(c.startup(), f"{kept.path}/derived/logs")
+        for n, logs in enumerate((startup.where(F.col("ts") < _cut_ms()), startup.where(F.col("ts") >= _cut_ms()))):
             kept.add_logs(logs, n)
-        rows = to_order_sink(c.orders(customer=True))
+        rows = _derived(to_order_sink(c.orders(customer=True)), f"{kept.path}/derived/orders")
         earlier = F.coalesce(F.col("CREATE_DATE") < P.ORDER_DATE, F.lit(True))
         for n, orders in enumerate((rows.where(earlier), rows.where(~earlier))):
             kept.add_orders(orders, n)
