@@ -266,24 +266,22 @@ def cdc_changes(t: Tables, timed: bool = True) -> DataFrame:
         F.lit("create_time"), F.col("create_time"))
     key = F.col("id").cast("bigint")
     nul_map = F.lit(None).cast("map<string,string>")
-    orders_ins = o.select(F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
-                          F.lit("INSERT").alias("event_type"), order_after.alias("after"),
-                          F.col("arrival").alias("change_ts"), (key * 8).alias("seq"))
-    orders_del = o.where(F.col("order_status") == DELETED_STATUS).select(
-        F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
-        F.lit("DELETE").alias("event_type"), F.create_map(F.lit("id"), F.col("id")).alias("after"),
-        F.timestamp_add("DAY", F.lit(1), F.col("arrival")).alias("change_ts"), (key * 8 + 1).alias("seq"))
-    txn = o.where(F.col("order_comment") == TXN_PRIORITY)
-    txn_begin = txn.select(F.lit("order_info").alias("table"), F.lit("TRANSACTIONBEGIN").alias("entry_type"),
-                           F.lit(None).cast("string").alias("event_type"), nul_map.alias("after"),
-                           F.col("arrival").alias("change_ts"), (key * 8 + 2).alias("seq"))
-    txn_end = txn.select(F.lit("order_info").alias("table"), F.lit("TRANSACTIONEND").alias("entry_type"),
-                         F.lit(None).cast("string").alias("event_type"), nul_map.alias("after"),
-                         F.col("arrival").alias("change_ts"), (key * 8 + 3).alias("seq"))
-    other = o.where(F.col("order_status") == PAID_STATUS).select(
-        F.lit("payment_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
-        F.lit("INSERT").alias("event_type"), F.create_map(F.lit("order_id"), F.col("id")).alias("after"),
-        F.col("arrival").alias("change_ts"), (key * 8 + 4).alias("seq"))
+
+    def change(table, entry, event, after, at, n):
+        return F.struct(F.lit(table).alias("table"), F.lit(entry).alias("entry_type"), F.lit(event).cast("string").alias("event_type"),
+                        after.alias("after"), at.alias("change_ts"), (key * 8 + n).alias("seq"))
+
+    at = F.col("arrival")
+    urgent = F.col("order_comment") == TXN_PRIORITY
+    # all changes of an order from its one row: orders meet the customers once
+    orders = o.select(F.inline(F.array_compact(F.array(
+        change("order_info", "ROWDATA", "INSERT", order_after, at, 0),
+        F.when(F.col("order_status") == DELETED_STATUS, change(
+            "order_info", "ROWDATA", "DELETE", F.create_map(F.lit("id"), F.col("id")), F.timestamp_add("DAY", F.lit(1), at), 1)),
+        F.when(urgent, change("order_info", "TRANSACTIONBEGIN", None, nul_map, at, 2)),
+        F.when(urgent, change("order_info", "TRANSACTIONEND", None, nul_map, at, 3)),
+        F.when(F.col("order_status") == PAID_STATUS, change(
+            "payment_info", "ROWDATA", "INSERT", F.create_map(F.lit("order_id"), F.col("id")), at, 4))))))
     d = order_details(t, arrival=timed)
     details = d.select(F.lit("order_detail").alias("table"), F.lit("ROWDATA").alias("entry_type"),
                        F.lit("INSERT").alias("event_type"),
@@ -295,8 +293,7 @@ def cdc_changes(t: Tables, timed: bool = True) -> DataFrame:
                      F.col("event_type"),
                      _kv_map("id", "login_name", "user_level", "birthday", "gender").alias("after"),
                      F.col("change_ts"), F.col("seq"))
-    return (orders_ins.unionByName(orders_del).unionByName(txn_begin).unionByName(txn_end)
-            .unionByName(other).unionByName(details).unionByName(users))
+    return orders.unionByName(details).unionByName(users)
 
 
 # ------------------------------------------------------------------ raw topic

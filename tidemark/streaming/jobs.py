@@ -294,6 +294,8 @@ def cdc_route_job(changes: DataFrame, out: str | None, checkpoint: str,
     """Route row changes to their topics through one topic sink (Kafka, or
     files split by topic)."""
     routed = FE.cdc_route(changes)
+    if kind == "files":
+        options = {"compression": "zstd", **(options or {})}
     return _run(topic_stream_writer(routed, kind=kind, path=out, options=options),
                 checkpoint, available_now)
 
