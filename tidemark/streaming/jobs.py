@@ -41,6 +41,7 @@ from tidemark.sources.topics import topic_stream_writer
 
 TRIGGER = "5 seconds"          # the reference's micro-batch interval
 DAY_MS = 86_400_000
+STAGED_BYTES = 256 << 10       # a staged slice of more bytes is dealt over several files, up to one a core
 
 
 # ------------------------------------------------------------------ plumbing
@@ -101,19 +102,22 @@ def replay_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 def stage_in_order(df: DataFrame, path: str, time_col: str, slices: int = P.STREAM_SLICES) -> None:
     """Write ``df`` as files that a file source replays in order of ``time_col``
-    (an instant): at least ``slices`` files, more by bytes, each holding one
+    (an instant): at least ``slices`` files, more by bytes and cores, each holding one
     range of times (records without a time first) and a later modification
     time than the file before it, which is the order that a file source takes. A
     replay in order needs no more lateness than the feed itself has.
 
-    The frame is derived once into a sibling folder and dealt by time from there.
+    The frame is derived once into a sibling folder and dealt by time from there. A file is
+    one row group, so what a trigger takes is as many files as there are cores to read them.
     """
     spark = df.sparkSession
     full = f"{path.rstrip('/')}_derived"
-    df.write.mode("overwrite").parquet(full)          # derive once: the range shuffle samples its input
-    each = max(1, -(-bytes_under(spark, full) // (slices * FILE_BYTES)))
+    df.write.mode("overwrite").option("compression", "zstd").parquet(full)   # derive once: the range shuffle samples its input
+    size = bytes_under(spark, full)
+    each = max(1, -(-size // (slices * FILE_BYTES)),
+               min(spark.sparkContext.defaultParallelism, -(-size // (slices * STAGED_BYTES))))
     spark.read.parquet(full).repartitionByRange(slices * each, F.asc_nulls_first(time_col)).sortWithinPartitions(
-        F.asc_nulls_first(time_col)).write.parquet(path)
+        F.asc_nulls_first(time_col)).write.option("compression", "zstd").parquet(path)
     put_in_order(spark, path)
 
 
