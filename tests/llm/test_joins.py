@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import components, decontam, multisethash, sigtree, stages, suffixdup, urlalias
+from tidemark.llm import common, components, decontam, multisethash, sigtree, stages, suffixdup, urlalias
 
 VOCAB = [a + b for a in ("th", "er", "on", "an", "re", "st") for b in ("", "e", "ing", "ation", "ed", "ly")]
 
@@ -319,6 +320,53 @@ def test_join_of_copies_without_a_centre(spark, documents, monkeypatch):
     assert got == {k: 0 if k < 200 else 200 for k in range(201)}
 
 
+def test_hashes_of_more_than_32_bits_are_counted_apart(spark):
+    """By 32 bits, a quarter of the shingles of 6 GB of text meet others by chance."""
+    r = np.random.default_rng(20)
+    same = (r.integers(0, 1 << 32, 500, np.uint64) << np.uint64(8)) + np.uint64(3)
+    values = np.sort(np.concatenate([same, same, same + np.uint64(1)]))   # the last have 32 bits in common with others
+    assert (common.unpacked(common.packed(values, 40), 40) == values).all()
+    assert common.packed(values[:9] >> np.uint64(8)) == common.packed((values[:9] >> np.uint64(8)).astype(np.uint32))
+    blobs = spark.createDataFrame([(k, bytearray(b)) for k, b in common.to_ranges(values, 3, 40)], "range int, hashes binary")
+    got = {x["hash"]: x["n"] for x in common.hash_counts(blobs, 2, 40).collect()}
+    assert got == {int(x): 2 for x in np.unique(same)}
+    for total in (10**6, 25 * 10**7, 15 * 10**8, 10**12):
+        assert 32 <= sigtree._counted_bits(total) <= 63 and total / 2 ** sigtree._counted_bits(total) <= 1 / 64
+    assert common.filter_bits(1000) == common.FILTER_BITS < common.filter_bits(10**8) <= common.filter_bits(10**10) == common.MOST_BITS
+
+
+def test_only_sets_of_classes_that_meet_are_written(spark, documents, monkeypatch):
+    """Also where the bitmap of shared shingles is full, so that each class seems to meet others."""
+    bitmap, names = common.bitmap, {}
+    monkeypatch.setattr(common, "bitmap", lambda values, bits=common.FILTER_BITS: bitmap(values, 4 if values.columns == ["hash"] else bits))
+    written = common.written
+    monkeypatch.setattr(common, "written", lambda df, name: names.setdefault(name, written(df, name)))
+    r = random.Random(21)
+    alone = [" ".join(f"w{r.getrandbits(40):x}" for _ in range(60)) for _ in range(40)]
+    texts = [*alone, *(f"{t} end" for t in alone[:3])]
+    got = {x["doc_id"]: x["component_id"] for x in sigtree.join(documents(texts)).collect()}
+    assert got == {k: k if k < 40 else k - 40 for k in range(43)}
+    assert names["sets"].count() == 6
+    assert "shingles" not in names["groups"].columns and names["groups"].select("key").distinct().count() == 6
+
+
+def shuffle_files(spark) -> int:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.size()))
+
+
+def test_written_gives_its_shuffles_back(spark):
+    df = spark.range(100_000).groupBy(F.xxhash64("id").alias("k")).count()
+    before, setting = shuffle_files(spark), spark.conf.get(common._CLEANUP, None)
+    assert common.written(df, "t-shuffles").count() == 100_000
+    for _ in range(50):
+        if shuffle_files(spark) <= before + 2:   # those of count()
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before + 2
+    assert spark.conf.get(common._CLEANUP, None) == setting
+
+
 @pytest.mark.parametrize("ids, kept", [([None, None, 5, 7], {5}), ([7, 7, 7, 7], {7}), ([None] * 4, {None}), ([9, 3, None, 4], {3})])
 def test_one_row_of_each_group_stays(spark, documents, ids, kept):
     """Near copies with null and repeated ids beside a text of its own that has one of these ids."""

@@ -6,6 +6,7 @@ columns, also ones whose names clash with an operator's own, never reach it.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import os
 from collections.abc import Iterator
@@ -74,11 +75,30 @@ def lean(work):
     return run
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def spent_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run inside give their shuffle files back when they end, not when the
+    driver next collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder and read again: lineage ends here,
-    and a lost executor costs no more than its running tasks."""
+    """The frame, written to the shared folder and read again: lineage ends here, its
+    shuffles are given back, and a lost executor costs no more than its running tasks."""
     path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with spent_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -123,6 +143,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: Bits of a broadcast bitmap: 16 MB, whatever the input.
 FILTER_BITS = 27
+#: Bits of one that is sized to what it holds, at most: 64 MB.
+MOST_BITS = 29
+
+
+def filter_bits(n: int) -> int:
+    """Bits of a bitmap of n values: FILTER_BITS, for more values two for each of them, up to MOST_BITS."""
+    return min(max(FILTER_BITS, (2 * n - 1).bit_length()), MOST_BITS)
 
 
 def bitmap(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -142,10 +169,11 @@ def bitmap(values: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
         np.bitwise_or.at(packed, low >> 3, (1 << (low & 7)).astype(np.uint8))
         return pa.table({"slice": bits_set.column("slice").slice(0, 1), "packed": pa.array([packed.tobytes()], pa.binary())})
 
-    got = (values.where(F.col(name).isNotNull())
-           .select(F.col(name).bitwiseAND(F.lit(mask)).alias("bit")).distinct()
-           .withColumn("slice", F.shiftrightunsigned("bit", step))
-           .groupBy("slice").applyInArrow(build, "slice bigint, packed binary").collect())
+    with spent_shuffles(values.sparkSession):
+        got = (values.where(F.col(name).isNotNull())
+               .select(F.col(name).bitwiseAND(F.lit(mask)).alias("bit")).distinct()
+               .withColumn("slice", F.shiftrightunsigned("bit", step))
+               .groupBy("slice").applyInArrow(build, "slice bigint, packed binary").collect())
     out = np.zeros(max(1, (1 << bits) // 8), np.uint8)
     size = (1 << step) // 8
     for row in got:
@@ -161,18 +189,18 @@ def in_bitmap(packed: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ hashes, counted in blobs
 
-def hash_counts(blobs: DataFrame, least: int) -> DataFrame:
-    """Hashes that occur at least ``least`` times in packed arrays of them.
+def hash_counts(blobs: DataFrame, least: int, bits: int = 32) -> DataFrame:
+    """Hashes of so many bits that occur at least ``least`` times in packed arrays of them.
 
     ``blobs``: (range int, hashes binary) as :func:`to_ranges` gives them. Each
     range is put together in one task; ranges are as many as the caller made.
     """
     def count(blobs: pa.Table) -> pa.Table:
         column = blobs.column("hashes")
-        sizes = pc.divide(pc.binary_length(column), 4).to_numpy()
-        hashes, at = np.empty(int(sizes.sum()), np.uint32), 0
+        sizes = pc.divide(pc.binary_length(column), _width(bits)).to_numpy()
+        hashes, at = np.empty(int(sizes.sum()), _kind(bits)), 0
         for blob, size in zip(column, sizes.tolist()):
-            hashes[at:at + size] = unpacked(blob.as_py())
+            hashes[at:at + size] = unpacked(blob.as_py(), bits)
             at += size
         hashes.sort()  # in place: a range is held once
         often = hashes[least - 1:] == hashes[:len(hashes) - least + 1]
@@ -184,25 +212,36 @@ def hash_counts(blobs: DataFrame, least: int) -> DataFrame:
     return blobs.groupBy("range").applyInArrow(count, "hash bigint, n bigint")
 
 
-def to_ranges(hashes: np.ndarray, ranges: int) -> Iterator[tuple[int, bytes]]:
-    """Sorted uint32 hashes, cut into (range, packed array) pairs."""
+def to_ranges(hashes: np.ndarray, ranges: int, bits: int = 32) -> Iterator[tuple[int, bytes]]:
+    """Hashes of so many bits, sorted and cut into (range, packed array) pairs."""
     hashes = np.sort(hashes)
-    cuts = np.searchsorted(hashes, (np.arange(1, ranges, dtype=np.uint64) << np.uint64(32)) // np.uint64(ranges))
+    cuts = np.searchsorted(hashes, np.array([(k << bits) // ranges for k in range(1, ranges)], hashes.dtype))
     for k, part in enumerate(np.split(hashes, cuts)):
         if len(part):
-            yield k, packed(part)
+            yield k, packed(part, bits)
+
+
+def _width(bits: int) -> int:
+    return max(4, -(-bits // 8))
+
+
+def _kind(bits: int) -> type:
+    return np.uint32 if bits <= 32 else np.uint64
 
 
-def packed(hashes: np.ndarray) -> bytes:
-    """Sorted uint32 values as differences, their lowest bytes first, then the
+def packed(hashes: np.ndarray, bits: int = 32) -> bytes:
+    """Sorted values of so many bits as differences, their lowest bytes first, then the
     next and so on: the high bytes are mostly 0, which Spark compresses away."""
-    steps = np.diff(hashes.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    kind = np.dtype(_kind(bits)).newbyteorder("<")
+    steps = np.diff(hashes.astype(kind), prepend=kind.type(0)).astype(kind)
+    return steps.view(np.uint8).reshape(-1, kind.itemsize)[:, :_width(bits)].T.tobytes()
 
 
-def unpacked(blob: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-    return np.cumsum(steps, dtype=np.uint32)
+def unpacked(blob: bytes, bits: int = 32) -> np.ndarray:
+    kind, planes = np.dtype(_kind(bits)).newbyteorder("<"), np.frombuffer(blob, np.uint8).reshape(_width(bits), -1)
+    steps = np.zeros((planes.shape[1], kind.itemsize), np.uint8)
+    steps[:, :len(planes)] = planes.T
+    return np.cumsum(steps.view(kind).ravel(), dtype=kind.type)
 
 
 def n_ranges(spark: SparkSession) -> int:

@@ -4,12 +4,14 @@ Two documents link when the Jaccard similarity of their sets of distinct word
 shingles is PERCENT / 100 or more. The join is exact on 64-bit shingle hashes.
 
 1. Documents of equal sets are one class; only its first document goes on.
-2. Shingles are counted over all classes (packed hash arrays). Each set is
+2. Shingles are counted over all classes (packed arrays of their hashes' first bits,
+   as many as tell so many shingles apart but for one in 64). Each set is
    ordered: shingles of its own first, then ones of two classes or more, then
    widespread ones. Two sets that link share one of the first
    ``n - ceil(0.75 n) + 1`` of their shingles, so classes meet in the groups of
    those: a class with a quarter of its own meets none, and a passage that many
-   documents share does not bring them together.
+   documents share does not bring them together. Shingles under which one class stands
+   alone are dropped, and sets are made for the classes that then meet others only.
 3. First rounds: each class is compared with the most central class (the
    smallest share of shingles of its own) that it meets in VOTES of its groups.
    Widespread groups are dealt over SALTS tasks by class; a further round joins
@@ -28,8 +30,8 @@ shingles is PERCENT / 100 or more. The join is exact on 64-bit shingle hashes.
    already join the two: a cell gives at most one link less than it has
    classes, however many pairs link. Links join components.
 
-The bitmaps that are broadcast are of fixed size (see common.bitmap); false
-positives cost time only. Sets travel only for classes that meet others.
+The bitmaps that are broadcast have 16 MB, that of shared shingles up to 64 (see common.filter_bits);
+false positives cost time, and eight bytes each until they are dropped, never results.
 
 Defined results: a null text and one without words have an empty set, link
 with nothing and are their own component; with fewer words than a shingle the
@@ -63,6 +65,9 @@ TOGETHER = 64
 #: Tasks that share one widespread shingle's group in the first round.
 SALTS = 16
 GATHERED = 1 << 21
+#: Shingles are counted by hashes of so many bits more than their number has: by fewer, ones that
+#: are no one else's would pass for shared, and each class would meet others by chance.
+ROOM = 6
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -308,8 +313,12 @@ def _first_rows(bits, batch):
     return batch.filter(pa.array(common.in_bitmap(bits.value, batch.column("h").to_numpy().view(np.uint64))))
 
 
-def _shingle_bitmaps(rows: DataFrame, firsts) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps of the shingles (32-bit hashes) that two classes or more hold, and of the widespread ones."""
+def _counted_bits(total: int) -> int:
+    return min(max(32, total.bit_length() + ROOM), 63)
+
+
+def _shingle_bitmaps(rows: DataFrame, firsts, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the shingles (their first bits) that two classes or more hold, and of the widespread ones."""
     ranges = common.n_ranges(rows.sparkSession)
 
     def gather(batches):
@@ -317,7 +326,7 @@ def _shingle_bitmaps(rows: DataFrame, firsts) -> tuple[np.ndarray, np.ndarray]:
 
         def send():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            sent = list(common.to_ranges(np.repeat(values, np.minimum(counts, WIDESPREAD + 1)), ranges))
+            sent = list(common.to_ranges(np.repeat(values, np.minimum(counts, WIDESPREAD + 1)), ranges, bits))
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()),
                                                pa.array([b for _, b in sent], pa.binary())], ["range", "hashes"])
 
@@ -325,7 +334,7 @@ def _shingle_bitmaps(rows: DataFrame, firsts) -> tuple[np.ndarray, np.ndarray]:
             for part in common.slices(_first_rows(firsts, batch)):
                 for s in _sets(part):
                     if len(s):
-                        held.append((s >> np.uint64(32)).astype(np.uint32))
+                        held.append(_first_bits(s, bits))
                         size += len(s)
                 if size >= GATHERED:
                     yield send()
@@ -333,23 +342,28 @@ def _shingle_bitmaps(rows: DataFrame, firsts) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield send()
 
-    counts = common.written(common.hash_counts(rows.mapInArrow(common.lean(gather), "range int, hashes binary"), 2), "shingles")
-    return (common.bitmap(counts.select("hash")),
+    counts = common.written(common.hash_counts(rows.mapInArrow(common.lean(gather), "range int, hashes binary"), 2, bits), "shingles")
+    return (common.bitmap(counts.select("hash"), common.filter_bits(counts.count())),
             common.bitmap(counts.where(F.col("n") > WIDESPREAD).select("hash")))
 
 
-def _prefixes(rows: DataFrame, firsts, shared, widespread, percent: int) -> DataFrame:
-    """(shingle, key, n, wide, own, shingles): the shingles by which classes
-    meet; own is a class's share of unshared shingles; its set is on one of its rows."""
+def _first_bits(shingle_set: np.ndarray, bits: int) -> np.ndarray:
+    first = shingle_set >> np.uint64(64 - bits)
+    return first.astype(np.uint32) if bits <= 32 else first
+
+
+def _prefixes(rows: DataFrame, firsts, shared, widespread, bits: int, percent: int) -> DataFrame:
+    """(shingle, key, n, wide, own): the shingles by which classes may
+    meet; own is a class's share of unshared shingles."""
     def work(batches):
         for batch in batches:
             for part in common.slices(_first_rows(firsts, batch)):
-                cols, blobs = [], []
+                cols = []
                 for s in _sets(part):
                     if not len(s):
                         continue
-                    both = common.in_bitmap(shared.value, s >> np.uint64(32))
-                    wide = both & common.in_bitmap(widespread.value, s >> np.uint64(32))
+                    both = common.in_bitmap(shared.value, _first_bits(s, bits))
+                    wide = both & common.in_bitmap(widespread.value, _first_bits(s, bits))
                     own = int((~both).sum())
                     most = max(0, prefix(len(s), percent) - own)  # its own fill the rest
                     order = np.concatenate([np.flatnonzero(both & ~wide), np.flatnonzero(wide)])[:most]
@@ -357,14 +371,35 @@ def _prefixes(rows: DataFrame, firsts, shared, widespread, percent: int) -> Data
                         k = len(order)
                         cols.append((s[order].view(np.int64), np.full(k, set_key(s)), np.full(k, len(s)), wide[order],
                                      np.full(k, own / len(s))))
-                        blobs += [s.tobytes()] + [None] * (k - 1)
                 if cols:
                     a, b, c, d, e = (np.concatenate(x) for x in zip(*cols))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d), pa.array(e), pa.array(blobs, pa.binary())],
-                        ["shingle", "key", "n", "wide", "own", "shingles"])
+                        [pa.array(a), pa.array(b), pa.array(c, pa.int32()), pa.array(d), pa.array(e)],
+                        ["shingle", "key", "n", "wide", "own"])
+
+    return rows.mapInArrow(common.lean(work), "shingle bigint, key bigint, n int, wide boolean, own double")
+
+
+def _meeting(groups: DataFrame) -> DataFrame:
+    """The groups that hold two classes or more."""
+    met = (groups.groupBy("shingle").agg(F.min("key").alias("k0"), F.max("key").alias("k1"))
+           .where("k0 <> k1").select("shingle"))
+    return groups.join(met, "shingle", "left_semi")
+
+
+def _class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, shingles): the sets of some classes."""
+    rows, firsts = _of_firsts(docs, classes)
+
+    def work(batches):
+        for batch in batches:
+            for part in common.slices(_first_rows(firsts, batch)):
+                sets = [s for s in _sets(part) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "shingles"])
 
-    return rows.mapInArrow(common.lean(work), "shingle bigint, key bigint, n int, wide boolean, own double, shingles binary")
+    return (rows.mapInArrow(common.lean(work), "key bigint, shingles binary")
+            .join(classes.select("key"), "key", "left_semi").dropDuplicates(["key"]))
 
 
 def _hubs(groups: DataFrame, percent: int, salts: int) -> DataFrame:
@@ -465,17 +500,20 @@ def join(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_c
     common.arrow_batches(spark)
     docs = common.narrow(docs, id_col, text_col)
     profile = common.written(profiles(docs), "profiles")
-    classes = common.written(profile.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first")), "classes")
+    classes = common.written(profile.where(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min("doc_id").alias("first"), F.max("n").alias("n")), "classes")
+    bits = _counted_bits(classes.agg(F.sum("n")).first()[0] or 0)
+    classes = classes.select("key", "first")
     rows, firsts = _of_firsts(docs, classes)
-    shared, widespread = (spark.sparkContext.broadcast(b) for b in _shingle_bitmaps(rows, firsts))
-    groups = common.written(_prefixes(rows, firsts, shared, widespread, percent), "groups")
-    sets = common.written(groups.where(F.col("shingles").isNotNull()).select("key", "own", "shingles").dropDuplicates(["key"]), "sets")
-    groups = groups.select("shingle", "key", "n", "wide", "own")
+    shared, widespread = (spark.sparkContext.broadcast(b) for b in _shingle_bitmaps(rows, firsts, bits))
+    groups = common.written(_prefixes(rows, firsts, shared, widespread, bits, percent), "prefixes")
+    groups = common.written(_meeting(groups), "groups")
+    sets = common.written(_class_sets(docs, classes.join(groups, "key", "left_semi")), "sets")
 
     links = _compared(_hubs(groups, percent, SALTS), sets, percent)
     found = components(links)
     # the most central class of each component, and classes without a link
-    member = sets.select("key", "own").join(found.withColumnRenamed("node", "key"), "key", "left")
+    member = groups.select("key", "own").distinct().join(found.withColumnRenamed("node", "key"), "key", "left")
     central = (member.groupBy(F.coalesce("component", "key").alias("component"))
                .agg(F.min(F.struct("own", "key")).alias("c")).select(F.col("c.key").alias("key")))
     links = links.unionByName(_compared(_hubs(groups.join(central, "key", "left_semi"), percent, 1), sets, percent))
