@@ -367,6 +367,18 @@ def test_written_gives_its_shuffles_back(spark):
     assert spark.conf.get(common._CLEANUP, None) == setting
 
 
+def test_near_duplicates_deals_texts_once(spark, documents):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = stages.near_duplicates(spark, common.written(documents(corpus(22, 20)), "t-near"), "")
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    dealt = [x for x in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan) if "text#" in x]
+    assert len(dealt) == 1, plan
+
+
 @pytest.mark.parametrize("ids, kept", [([None, None, 5, 7], {5}), ([7, 7, 7, 7], {7}), ([None] * 4, {None}), ([9, 3, None, 4], {3})])
 def test_one_row_of_each_group_stays(spark, documents, ids, kept):
     """Near copies with null and repeated ids beside a text of its own that has one of these ids."""

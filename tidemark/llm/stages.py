@@ -32,10 +32,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("row"))
     kept = least.select("row.doc_id", "row.text_hash").unionByName(
         found.where(F.col("group").isNull()).select("doc_id", "text_hash").distinct())
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-    rows = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
-    return (rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash")), "left_semi")
-            .dropDuplicates(["doc_id", "text_hash"]).select(*COLUMNS))
+    # the join and the dropping of repeated rows deal by the same three columns, so texts travel once
+    rows = _by_row(docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text")))
+    return (rows.join(_by_row(kept).select(*BY_ROW), BY_ROW, "left_semi").dropDuplicates(BY_ROW).select(*COLUMNS))
+
+
+BY_ROW = ["row_id", "no_id", "text_hash"]
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """Columns without nulls that tell rows apart by doc_id, null ones included, and text_hash."""
+    return rows.withColumns({"row_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "no_id": F.col("doc_id").isNull()})
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
