@@ -236,6 +236,78 @@ def test_join_memory_is_given_back(spark):
     assert state["removed"] > 0 and state["last"] < state["most"] / 10
 
 
+def _memory(spark, base, delay="10 minutes"):
+    from tidemark.operators import sales as SA
+    from tidemark.operators.joinmemory import JoinMemory
+    return JoinMemory(spark, f"{base}/memory", (J.JOIN_ORDER, J.JOIN_DETAIL), lambda o, d: SA.sale_detail(o, d, 300), delay, 300)
+
+
+def _at(seconds):
+    return None if seconds is None else dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
+
+
+def _side_rows(spark, orders, details):
+    o = spark.createDataFrame([(i, "1", "c", "u", "2024-01-01", _at(s)) for i, s in orders], J.JOIN_ORDER)
+    d = spark.createDataFrame([(i, o, "s", "1.5", "n", _at(s)) for i, o, s in details], J.JOIN_DETAIL)
+    return o, d
+
+
+def test_join_memory_against_all_pairs(spark):
+    """Batches out of order inside the delay, each record once or twice: every pair of 300 s, as often as its
+    records came; the memory keeps the delay and 300 s, and a replayed batch changes nothing."""
+    import random
+    base, r = run_dir(spark, "t-memory"), random.Random(7)
+    orders, details = [], []
+    for k in range(60):
+        at = r.randrange(6000)
+        orders += [(f"o{k}", at)] * r.choice([1, 1, 2])
+        details += [(f"d{k}-{j}", f"o{k}" if r.random() < 0.9 else "o1", at + r.randint(-400, 400)) for j in range(r.randint(0, 4))]
+    due = lambda row: (row[-1] + r.randint(0, 500)) // 1000      # noqa: E731  the batch it comes in, late by 500 s at most
+    by_batch = {}
+    for side, recs in ((0, orders), (1, details)):
+        for rec in recs:
+            by_batch.setdefault(max(0, due(rec)), ([], []))[side].append(rec)
+    got = {}
+    for n in sorted(by_batch):
+        for _ in range(2 if n == 3 else 1):
+            memory = _memory(spark, base)                        # a restart: all that counts is in the files
+            memory.join(memory.both(*_side_rows(spark, *by_batch[n])), n, lambda pairs: got.__setitem__(
+                n, [tuple(x) for x in pairs.select("order_id", "order_detail_id").collect()]))
+            last = min(max(x[-1] for m in by_batch if m <= n for x in by_batch[m][k]) for k in (0, 1))
+            kept = [x["arrival"] for s in ("left", "right") for x in spark.read.parquet(f"{base}/memory/kept/batch_id={n}/{s}").collect()]
+            assert all(x > _at(last - 900) for x in kept) and memory.rows[-1]["held"] == len(kept) and memory.rows[-1]["late"] == 0
+    want = sorted((o, i) for o, a in orders for i, of, b in details if o == of and abs(a - b) <= 300)
+    assert sorted(x for pairs in got.values() for x in pairs) == want and len(want) > 50
+
+
+def test_join_memory_refuses_late_rows_and_forgets(spark):
+    base = run_dir(spark, "t-late")
+    memory, got = _memory(spark, base), []
+
+    def batch(n, orders, details):
+        memory.join(memory.both(*_side_rows(spark, orders, details)), n, lambda pairs: got.append(rows(pairs, "order_id", "order_detail_id")))
+        return memory.rows[-1]
+    assert batch(0, [("o1", 0), ("o2", 0), ("none", None)], [])["held"] == 2        # no watermark before both sides have a row
+    assert batch(1, [], [("d1", "o1", 300), ("d2", "o1", 301), ("x", None, 5), ("y", "none", None)])["late"] == 0
+    assert batch(2, [("o3", 5000)], [("d3", "o3", 5100)]) == {"held": 2, "most": 7, "removed": 5, "late": 0}
+    assert batch(3, [("o4", 4400)], [("d4", "o3", 4401)])["late"] == 1              # at the watermark, 5000 - 600 s; above it
+    assert batch(4, [], [])["held"] == memory.rows[-2]["held"]
+    assert got == [[], [("o1", "d1")], [("o3", "d3")], [], []]
+
+
+def test_sale_streams_hold_no_state_store(spark):
+    """A look-up and two writes of a state store for each row took most of the join's time."""
+    base = run_dir(spark, "t-no-store")
+    _write_batches(spark, f"{base}/o", [[_order("o1", DAY1)]])
+    _write_batches(spark, f"{base}/d", [[_detail("d1", "o1", DAY1)]])
+    q = J.sale_join_job(J.file_stream(spark, f"{base}/o", TOPIC_RECORD), J.file_stream(spark, f"{base}/d", TOPIC_RECORD),
+                        f"{base}/out", f"{base}/ck", "10 minutes")
+    J._finish(q, "t-no-store")
+    assert not any(p["stateOperators"] for p in q.recentProgress)
+    assert J.STATE_ROWS.pop("t-no-store") == {"removed": 0, "late": 0, "most": 2, "last": 2, "batches": 1}
+    assert rows(spark.read.parquet(f"{base}/out"), "order_detail_id") == [("d1",)]
+
+
 def test_apps_users_and_sale_users_read_the_buckets_of_a_batch(spark):
     from tidemark import apps
     base = run_dir(spark, "t-sale-app")

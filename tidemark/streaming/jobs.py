@@ -25,6 +25,7 @@ from tidemark.operators import alerts as AL
 from tidemark.operators import dedup as DD
 from tidemark.operators import feeds as FE
 from tidemark.operators import sales as SA
+from tidemark.operators.joinmemory import JoinMemory
 from tidemark.operators.keyed import FILE_BYTES, KeyedTable, _fs, bytes_under, list_children, staged_batch
 from tidemark.operators.offsetlog import OffsetLog
 from tidemark.operators.orders import clean_orders, to_order_sink
@@ -59,6 +60,8 @@ ROWS_PER_SEC: dict[str, float] = {}
 # State of each finished stateful run: rows that left it, rows it held at its
 # largest and at the end, rows refused as late.
 STATE_ROWS: dict[str, dict[str, int]] = {}
+# Memory of the joins that run by micro-batch, by query id.
+JOINS: dict[str, JoinMemory] = {}
 
 
 def _finish(q: StreamingQuery, name: str = "") -> None:
@@ -78,6 +81,10 @@ def _finish(q: StreamingQuery, name: str = "") -> None:
                                 "late": sum(o["numRowsDroppedByWatermark"] for batch in ops for o in batch),
                                 "most": max(held), "last": held[-1],
                                 "batches": sum(p.get("numInputRows", 0) > 0 for p in prog)}
+        join = JOINS.pop(str(q.id), None)
+        if join and join.rows:
+            STATE_ROWS[name] = {"removed": sum(b["removed"] for b in join.rows), "late": sum(b["late"] for b in join.rows),
+                                "most": max(b["most"] for b in join.rows), "last": join.rows[-1]["held"], "batches": len(join.rows)}
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -220,24 +227,39 @@ def orders_job(records: DataFrame, table: KeyedTable, checkpoint: str,
                 available_now)
 
 
-def sale_join_frame(order_records: DataFrame, detail_records: DataFrame, delay: str,
-                    within_seconds: int = P.JOIN_SECONDS, salt: int = 1) -> DataFrame:
-    """Interval join of the order and detail streams on arrival time. With
-    ``salt`` > 1 a hot order's details are spread over that many tasks
-    (streaming queries have no AQE skew splitting)."""
+JOIN_ORDER = T.StructType([T.StructField(c, T.TimestampType() if c == "arrival" else T.StringType()) for c in (
+    "id", "order_status", "create_time", "user_id", "create_date", "arrival")])
+JOIN_DETAIL = T.StructType([T.StructField(c, T.TimestampType() if c == "arrival" else T.StringType()) for c in (
+    "id", "order_id", "sku_id", "order_price", "sku_name", "arrival")])
+
+
+def _sale_pairs(order_records: DataFrame, detail_records: DataFrame, write, checkpoint: str, delay: str,
+                available_now: bool, within_seconds: int = P.JOIN_SECONDS, salt: int = 1) -> StreamingQuery:
+    """Interval join of the order and detail streams on arrival time, a micro-batch's pairs
+    at a time to ``write(pairs, batch_id)``; the join's memory lies beside the checkpoint's own
+    folders. With ``salt`` > 1 a hot order's details are spread over that many tasks."""
     o = clean_orders(accepted(parse_json(order_records, ORDER_INFO, keep=("timestamp",))))
-    o = o.withColumnRenamed("timestamp", "arrival").withWatermark("arrival", delay)
     d = accepted(parse_json(detail_records, ORDER_DETAIL, keep=("timestamp",)))
-    d = d.withColumnRenamed("timestamp", "arrival").withWatermark("arrival", delay)
-    o, d = SA.salt_pair(o, d, salt)
-    return SA.sale_detail(o, d, within_seconds)
+
+    def pair(orders, details):
+        return SA.sale_detail(*SA.salt_pair(orders, details, salt), within_seconds)
+
+    memory = JoinMemory(order_records.sparkSession, f"{checkpoint}/join", (JOIN_ORDER, JOIN_DETAIL), pair, delay, within_seconds)
+    both = memory.both(o.withColumnRenamed("timestamp", "arrival"), d.withColumnRenamed("timestamp", "arrival"))
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        memory.join(batch, batch_id, lambda pairs: write(pairs, batch_id))
+    q = _run(both.writeStream.outputMode("append").foreachBatch(_write), checkpoint, available_now)
+    JOINS[str(q.id)] = memory
+    return q
 
 
 def sale_join_job(order_records, detail_records, out: str, checkpoint: str, delay: str,
                   available_now: bool = True, salt: int = 1) -> StreamingQuery:
-    pairs = sale_join_frame(order_records, detail_records, delay, salt=salt)
-    return _run(pairs.writeStream.outputMode("append").format("parquet").option("path", out),
-                checkpoint, available_now)
+    """Sale pairs, in a folder of ``out`` for each batch, which a replayed batch overwrites."""
+    def _write(pairs: DataFrame, batch_id: int) -> None:
+        pairs.write.mode("overwrite").parquet(f"{out}/batch_id={int(batch_id)}")
+    return _sale_pairs(order_records, detail_records, _write, checkpoint, delay, available_now, salt=salt)
 
 
 USER_ROW = T.StructType(list(USER_INFO.fields) + [
@@ -272,10 +294,8 @@ def sale_users_job(order_records, detail_records, users: KeyedTable, index: Keye
     into the sale index keyed by ``order_detail_id`` (a replayed detail
     replaces itself). Sales whose user is not known are left out of the index
     and, with ``rejects``, kept there."""
-    pairs = sale_join_frame(order_records, detail_records, delay)
-
-    def _write(batch: DataFrame, batch_id: int) -> None:
-        b = staged_batch(batch, f"{index.path}/batch")      # the join, and its state, runs once
+    def _write(pairs: DataFrame, batch_id: int) -> None:
+        b = staged_batch(pairs, f"{index.path}/batch")      # the join runs once
         if not b.count():
             return
         found = users.lookup(b.select(F.col("user_id").alias("id")))
@@ -288,8 +308,7 @@ def sale_users_job(order_records, detail_records, users: KeyedTable, index: Keye
                     "overwrite").parquet(f"{rejects}/batch_id={int(batch_id)}")
         finally:
             j.unpersist()
-    return _run(pairs.writeStream.outputMode("append").foreachBatch(_write), checkpoint,
-                available_now)
+    return _sale_pairs(order_records, detail_records, _write, checkpoint, delay, available_now)
 
 
 def cdc_route_job(changes: DataFrame, out: str | None, checkpoint: str,
@@ -451,7 +470,7 @@ def q_stream_sale_join(spark, root):
                       f"{base}/out", f"{base}/ckpt", P.STREAM_DELAY,
                       salt=P.STREAM_JOIN_SALT)
     _finish(q, "stream_sale_join")
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.schema(SA_PAIR_SCHEMA).parquet(f"{base}/out").select(*SA_PAIR_SCHEMA.fieldNames())
 
 
 def q_stream_sale_users(spark, root):
