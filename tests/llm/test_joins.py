@@ -375,8 +375,8 @@ def test_near_duplicates_deals_texts_once(spark, documents):
         plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    dealt = [x for x in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan) if "text#" in x]
-    assert len(dealt) == 1, plan
+    dealt = [x for x in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan) if "text#" in x or "valueSet#" in x]   # also as a partial first()
+    assert len(dealt) == 1, dealt
 
 
 @pytest.mark.parametrize("ids, kept", [([None, None, 5, 7], {5}), ([7, 7, 7, 7], {7}), ([None] * 4, {None}), ([9, 3, None, 4], {3})])
